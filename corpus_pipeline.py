@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm.common import table, written
 from tickloom.llm.exact_dedup import dedup_stage
+from tickloom.llm.simhash import simhash_stage
 
 STAGES = [
     ("exact_dedup", dedup_stage),
+    ("simhash_near_dedup", simhash_stage),
 ]
 
 ORACLE_SQL = None

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tickloom.llm import exact_dedup
+from tickloom.llm import exact_dedup, simhash
 
 
 def queries() -> dict:
     return {
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+        "op5_simhash_covering": simhash.op5_simhash_covering,
     }
 
 
