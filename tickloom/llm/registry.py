@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tickloom.llm import exact_dedup, packing, simhash, transport_stream
+from tickloom.llm import exact_dedup, mixing, packing, simhash, transport_stream
 
 
 def queries() -> dict:
     return {
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+        "op4_source_mixing": mixing.op4_source_mixing,
         "op5_simhash_covering": simhash.op5_simhash_covering,
         "op7_mixture_packing": packing.op7_mixture_packing,
         "op9_transport_stream": transport_stream.op9_transport_stream,
