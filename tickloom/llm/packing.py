@@ -191,7 +191,8 @@ def pack(
     parts = parts.withColumn("shared", shared)
     totals = {r.shared: r.n for r in parts.groupBy("shared").agg(F.sum("n").alias("n")).collect()}  # at most most_sources + 1 rows
     before = Window.partitionBy("shared").orderBy("part", "queue").rowsBetween(Window.unboundedPreceding, -1)
-    bases = parts.select("part", "queue", "shared", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    # Written, so that its size is known when the join is planned: it is broadcast if small, and only then are no ids shuffled.
+    bases = written(parts.select("part", "queue", "shared", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
     places = Places(totals, window, quantum) if totals else None
     fields = [("id", pa.int64()), ("source_queue", pa.string()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
     schema = pa.schema([*fields, ("ids", pa.binary())] if with_ids else fields)
