@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickloom.llm import exact_dedup, mixing, packing, simhash, transport_stream
+from tickloom.llm import exact_dedup, mixing, packing, quality, simhash, transport_stream
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op5_simhash_covering": simhash.op5_simhash_covering,
         "op7_mixture_packing": packing.op7_mixture_packing,
         "op9_transport_stream": transport_stream.op9_transport_stream,
+        "op10_quality_classifier": quality.op10_quality_classifier,
     }
 
 
