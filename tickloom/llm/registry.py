@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickloom.llm import exact_dedup, mixing, packing, quality, simhash, transport_stream
+from tickloom.llm import exact_dedup, language, mixing, packing, quality, simhash, transport_stream
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op4_source_mixing": mixing.op4_source_mixing,
         "op5_simhash_covering": simhash.op5_simhash_covering,
+        "op6_language_centroids": language.op6_language_centroids,
         "op7_mixture_packing": packing.op7_mixture_packing,
         "op9_transport_stream": transport_stream.op9_transport_stream,
         "op10_quality_classifier": quality.op10_quality_classifier,
