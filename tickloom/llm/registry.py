@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tickloom.llm import exact_dedup, language, mixing, packing, quality, simhash, transport_stream
+from tickloom.llm import exact_dedup, language, mixing, packing, quality, simhash, transport_stream, warc
 
 
 def queries() -> dict:
     return {
+        "op2_warc_writer": warc.op2_warc_writer,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op4_source_mixing": mixing.op4_source_mixing,
         "op5_simhash_covering": simhash.op5_simhash_covering,
