@@ -168,7 +168,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     pieces = rows.where("size > 0").select("rank", "at", "size", cut.alias("block"))
     low = F.greatest("at", F.col("block") * block)
     pieces = pieces.select("rank", "block", "at", (low - F.col("at")).alias("word"), (F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block) - low).alias("words"))
-    return rows, slots.join(pieces, ["rank", "block"]).select("shard", "slot", "rank", "pass", "block", "at", "word", "words")
+    # Both sides grow with the input, which the plan can't see through the maps: sorted, and not broadcast.
+    return rows, slots.hint("merge").join(pieces.hint("merge"), ["rank", "block"]).select("shard", "slot", "rank", "pass", "block", "at", "word", "words")
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +177,7 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, taken = mix(own_columns(table(spark, sf_dir, "documents"), "doc_id", "text", "source"))
     sums = taken.groupBy("rank", "at").agg(F.sum("words").alias("taken")).withColumn("size_key", F.lit(True))
     # Rows without words share their place with the row after them; only rows with words are in the mix.
-    joined = rows.withColumn("size_key", F.col("size") > 0).join(sums, ["rank", "at", "size_key"], "left")
+    joined = rows.withColumn("size_key", F.col("size") > 0).hint("merge").join(sums.hint("merge"), ["rank", "at", "size_key"], "left")
     return joined.select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
@@ -187,7 +188,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     rows, taken = mix(docs, carry=docs.columns)
     passes = taken.groupBy("rank", "at", "pass").agg(F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("word", "words"))).alias("runs"))
-    joined = rows.where("size > 0").join(passes, ["rank", "at"]).select("row", "size", "words", "runs")
+    joined = rows.where("size > 0").hint("merge").join(passes.hint("merge"), ["rank", "at"]).select("row", "size", "words", "runs")
     kinds = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
