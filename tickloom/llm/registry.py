@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tickloom.llm import exact_dedup, language, mixing, packing, quality, simhash, transport_stream, warc
+from tickloom.llm import exact_dedup, language, mixing, packing, private_terms, quality, simhash, transport_stream, warc
 
 
 def queries() -> dict:
     return {
+        "op1_private_terms": private_terms.op1_private_terms,
         "op2_warc_writer": warc.op2_warc_writer,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op4_source_mixing": mixing.op4_source_mixing,
