@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickloom.llm import exact_dedup, language, mixing, packing, private_terms, quality, simhash, transport_stream, warc
+from tickloom.llm import exact_dedup, language, line_dedup, mixing, packing, private_terms, quality, simhash, transport_stream, warc
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op5_simhash_covering": simhash.op5_simhash_covering,
         "op6_language_centroids": language.op6_language_centroids,
         "op7_mixture_packing": packing.op7_mixture_packing,
+        "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_transport_stream": transport_stream.op9_transport_stream,
         "op10_quality_classifier": quality.op10_quality_classifier,
     }
