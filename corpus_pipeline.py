@@ -6,13 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm.common import table, written
 from tickloom.llm.exact_dedup import dedup_stage
+from tickloom.llm.mixing import mixing_stage
+from tickloom.llm.packing import packing_stage
+from tickloom.llm.quality import quality_stage
 from tickloom.llm.simhash import simhash_stage
 
 STAGES = [
+    ("quality_classifier", quality_stage),
     ("exact_dedup", dedup_stage),
     ("simhash_near_dedup", simhash_stage),
+    ("source_mixing", mixing_stage),
+    ("mixture_packing", packing_stage),
 ]
 
+#: SQL can express neither the classifier nor the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
