@@ -5,14 +5,18 @@ found by a hash aggregation that combines before it shuffles, so copies never me
 are joined at a Jaccard similarity of at least num/den:
 
 - tokens get a global order by rarity: words are counted over all classes in BUCKETS hash buckets (a table of
-  fixed size), and a token is 63 bits of its word's hash with the bucket's rank in front;
+  fixed size), and a token is 56 bits of its word's hash behind a rank of 7 bits, the logarithm of its bucket's count;
 - prefix filter: two similar sets share a token in their first n-ceil(t*n)+1 tokens, and the smaller one even
   in its first n-ceil(2t/(1+t)*n)+1;
 - length filter: the smaller has at least t times the larger's tokens;
 - positional filter: the tokens left from the shared one on must be able to reach the overlap needed;
 - the rest is verified on the whole sets.
 
-Tokens that at most RARE classes have in their prefix pair each class with those before it, by a window. More
+Each entry also carries a signature, one bit of 64 for each token: a bit that only one of two sets has
+is a token that only it has, which bounds their overlap before any set is fetched.
+
+Tokens in the prefix of at most RARE classes are joined on the token. The rank bounds how often a token occurs, so only those whose
+bound is higher are counted. More
 frequent ones are cut into chunks of CHUNK classes; every two chunks of a token meet in one row, which verifies
 inside its arrays and gives sums by class. So no row is ever made for each pair of a large group,
 no group is gathered beyond a chunk, and no pair is lost. A pair is counted once, at its first common token.
@@ -28,14 +32,19 @@ together, and each of the rows is returned. An empty table gives an empty table.
 from __future__ import annotations
 
 import gc
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import own_columns, table, written
+from tickloom.llm.common import discard, own_columns, table, written
 
 NUM, DEN = 4, 5
-BUCKETS, RARE, CHUNK = 1 << 16, 64, 128
+BUCKETS, RARE, CHUNK = 1 << 20, 256, 128
+#: Ranks for each doubling of a bucket's count.
+STEPS = 4
 #: Lines are placed by identifier and line number in one number; null identifiers come last.
 _PLACE = "decimal(29,0)"
 _LAST = "9223372036854775808"
@@ -54,7 +63,10 @@ def _ceil(n: Column, num: int, den: int) -> Column:
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, line, norm, place): lines with a word."""
     rows = own_columns(docs, id_col, text_col).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.posexplode(F.split(F.col(f"`{text_col}`"), "\n")).alias("line", "raw"))
-    norm = F.trim(F.lower(F.translate("raw", "\t\x0b\x0c\r", "    ")))
+    other = "\t\x0b\x0c\r"
+    # Translating goes character by character, so only the lines that need it are.
+    needs = reduce(or_, [F.contains("raw", F.lit(c)) for c in other])
+    norm = F.trim(F.lower(F.when(needs, F.translate("raw", other, "    ")).otherwise(F.col("raw"))))
     place = F.expr(f"CAST(coalesce(CAST(id AS DECIMAL(20,0)), {_LAST}BD) * 16777216BD + line AS {_PLACE})")
     return rows.select("id", "line", norm.alias("norm"), place.alias("place")).where("norm <> ''")
 
@@ -63,20 +75,29 @@ def _hashes(norm: Column) -> Column:
     return F.transform(F.filter(F.split(norm, " "), lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def ranks(classes: DataFrame) -> str:
-    """The buckets' ranks by how often their words occur in the classes, rarest first, comma-joined: of fixed size whatever the input."""
-    counts = dict(classes.select(F.explode(_hashes(F.col("norm"))).alias("h")).groupBy(F.col("h").bitwiseAND(BUCKETS - 1).cast("int").alias("b")).count().collect())
-    order = sorted(range(BUCKETS), key=lambda b: (counts.get(b, 0), b))
-    out = [0] * BUCKETS
-    for rank, b in enumerate(order):
-        out[b] = rank
-    return ",".join(map(str, out))
+def ranks(classes: DataFrame) -> bytes:
+    """A byte a bucket: STEPS times the logarithm of how often its words occur in the classes, at most 127. Of fixed size whatever the input."""
+    counted = classes.select(F.explode(_hashes(F.col("norm"))).alias("h")).groupBy(F.col("h").bitwiseAND(BUCKETS - 1).cast("int").alias("b")).agg(F.count("*").alias("n"))
+    found = counted.select("b", F.least(F.lit(127), F.floor(F.log2(F.col("n").cast("double")) * STEPS).cast("int")).alias("r")).toArrow()
+    out = np.zeros(BUCKETS, np.uint8)
+    out[found["b"].to_numpy()] = found["r"].to_numpy()
+    return out.tobytes()
+
+
+def bound(token: Column) -> Column:
+    """No less than the number of classes that hold the token; without bound from the last rank on."""
+    rank = F.shiftright(token, 56)
+    return F.when(rank >= 127, F.lit(float("inf"))).otherwise(F.pow(F.lit(2.0), (rank + 1) / STEPS))
+
 
+def _tokens(norm: Column, ranked: bytes) -> Column:
+    """The line's set as sorted longs: rank, then the hash."""
+    rank = lambda h: F.ascii(F.substring(F.lit(ranked), h.bitwiseAND(BUCKETS - 1).cast("int") + 1, 1).cast("string")).cast("long")
+    return F.sort_array(F.array_distinct(F.transform(_hashes(norm), lambda h: F.shiftleft(rank(h), 56).bitwiseOR(F.shiftrightunsigned(h, 8)))))
 
-def _tokens(norm: Column, ranked: str) -> Column:
-    """The line's set as sorted longs: rank, then the rest of the hash. The split literal is folded into one array when planned."""
-    table_ = F.split(F.lit(ranked), ",").cast("array<bigint>")
-    return F.sort_array(F.array_distinct(F.transform(_hashes(norm), lambda h: F.shiftleft(table_[h.bitwiseAND(BUCKETS - 1).cast("int")], 47).bitwiseOR(F.shiftrightunsigned(h, 17)))))
+
+def _signature(tokens: Column) -> Column:
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda s, t: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
 
 
 class _Filters:
@@ -91,9 +112,10 @@ class _Filters:
     def indexed(self, n: Column) -> Column:
         return n - _ceil(n, 2 * self.num, self.num + self.den) + 1
 
-    def may(self, large_n: Column, large_i: Column, small_n: Column, small_i: Column) -> Column:
+    def may(self, large_n: Column, large_i: Column, large_sig: Column, small_n: Column, small_i: Column, small_sig: Column) -> Column:
         need = _ceil(large_n + small_n, self.num, self.num + self.den)
-        return (small_i < self.indexed(small_n)) & (small_n * self.den >= large_n * self.num) & (F.least(large_n - large_i, small_n - small_i) >= need)
+        kept = F.least(large_n - F.bit_count(large_sig.bitwiseAND(F.bitwise_not(small_sig))), small_n - F.bit_count(small_sig.bitwiseAND(F.bitwise_not(large_sig))))
+        return (small_n * self.den >= large_n * self.num) & (small_i < self.indexed(small_n)) & (F.least(large_n - large_i, small_n - small_i) >= need) & (kept >= need)
 
     def similar(self, n: Column, m: Column, common: Column) -> Column:
         return common * self.den >= (n + m - common) * self.num
@@ -103,20 +125,26 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     """(cid, links, earliest): for each class (cid, norm, first) with similar ones, how many, and the first place of the earliest of them."""
     spark, f = classes.sparkSession, _Filters(num, den)
     ranked = ranks(classes)
-    sets = classes.select("cid", "first", _tokens(F.col("norm"), ranked).alias("tokens"))
-    prefixes = sets.select("cid", F.size("tokens").alias("n"), F.posexplode(F.slice("tokens", F.lit(1), f.prefix(F.size("tokens")))).alias("i", "token"))
-    group = Window.partitionBy("token").orderBy("n", "cid")
-    counted = prefixes.withColumn("c", F.count("*").over(group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    before = F.collect_list(F.when(F.col("c") <= rare, F.struct("n", "i", "cid"))).over(group.rowsBetween(-rare, -1))
-    met = F.filter(before, lambda y: f.may(F.col("n"), F.col("i"), y.n, y.i))
-    shared = written(counted.withColumn("met", met).where((F.col("c") > rare) | (F.size("met") > 0)).select("token", "cid", "n", "i", "c", F.transform("met", lambda y: y.cid).alias("met")), "prefixes")
-    _freed(spark)
-
-    # Rare tokens: rows for each candidate, at most `rare` a prefix token.
-    pairs = shared.where(F.col("c") <= rare).select("cid", "token", F.explode("met").alias("other")).groupBy("cid", "other").agg(F.min("token").alias("token"))
-    pairs = written(pairs, "candidates")
+    sets = classes.select("cid", _tokens(F.col("norm"), ranked).alias("tokens"))
+    prefixes = sets.select("cid", F.size("tokens").alias("n"), _signature(F.col("tokens")).alias("sig"), F.posexplode(F.slice("tokens", F.lit(1), f.prefix(F.size("tokens")))).alias("i", "token"))
+    prefixes = written(prefixes.select("token", "cid", "n", "i", "sig"), "prefixes")
+
+    # Tokens that may be frequent are counted; these are few, as prefixes hold the rarest tokens.
+    doubtful = prefixes.where(bound(F.col("token")) > rare)
+    counts = written(doubtful.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") > rare), "counts")
+    hot_rows = doubtful.join(counts, "token")
+    few = prefixes.where(bound(F.col("token")) <= rare).unionAll(doubtful.join(counts, "token", "left_anti"))
+
+    # Rare tokens: a join on the token, whose condition applies the filters.
+    large, small = few.alias("x"), few.alias("y")
+    col = F.col
+    order = (col("x.n") > col("y.n")) | ((col("x.n") == col("y.n")) & (col("x.cid") > col("y.cid")))
+    met = large.hint("merge").join(small, (col("x.token") == col("y.token")) & order & f.may(col("x.n"), col("x.i"), col("x.sig"), col("y.n"), col("y.i"), col("y.sig")))
+    pairs = written(met.select(col("x.cid").alias("cid"), col("y.cid").alias("other"), col("x.token").alias("token")).groupBy("cid", "other").agg(F.min("token").alias("token")), "candidates")
+    hot_rows = written(hot_rows, "frequent")
+    discard(prefixes)
     _freed(spark)
-    wanted = pairs.select("cid").unionAll(pairs.select("other")).unionAll(shared.where(F.col("c") > rare).select("cid")).distinct()
+    wanted = pairs.select("cid").unionAll(pairs.select("other")).unionAll(hot_rows.select("cid")).distinct()
     known = written(classes.join(wanted, "cid", "left_semi").select("cid", "first", _tokens(F.col("norm"), ranked).alias("tokens")), "sets")
     _freed(spark)
     both = pairs.join(known, "cid").join(known.select(F.col("cid").alias("other"), F.col("first").alias("other_first"), F.col("tokens").alias("other_tokens")), "other")
@@ -127,8 +155,8 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
 
     # Frequent tokens: rows for each two chunks of a token.
     chunks = F.ceil(F.col("c") / chunk)
-    entries = shared.where(F.col("c") > rare).select("token", "cid", "n", "i", chunks.alias("m"), F.pmod(F.xxhash64("cid"), chunks).alias("k")).join(known, "cid")
-    packed = entries.groupBy("token", "m", "k").agg(F.collect_list(F.struct("cid", "n", "i", "first", "tokens")).alias("members"))
+    entries = hot_rows.select("token", "cid", "n", "i", "sig", chunks.alias("m"), F.pmod(F.xxhash64("cid"), chunks).alias("k")).join(known, "cid")
+    packed = entries.groupBy("token", "m", "k").agg(F.collect_list(F.struct("cid", "n", "i", "sig", "first", "tokens")).alias("members"))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1))
     left = packed.select("token", F.col("k").alias("a"), every.alias("b"), F.col("members").alias("xs"))
     right = packed.select("token", every.alias("a"), F.col("k").alias("b"), F.col("members").alias("ys"))
@@ -136,7 +164,7 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     def matches(x: Column) -> Column:
         def match(y: Column) -> Column:
             larger = (x.n > y.n) | ((x.n == y.n) & (x.cid > y.cid))
-            may = F.when(larger, f.may(x.n, x.i, y.n, y.i)).otherwise(f.may(y.n, y.i, x.n, x.i))
+            may = F.when(larger, f.may(x.n, x.i, x.sig, y.n, y.i, y.sig)).otherwise(f.may(y.n, y.i, y.sig, x.n, x.i, x.sig))
             first_common = ~F.arrays_overlap(F.slice(x.tokens, F.lit(1), x.i), F.slice(y.tokens, F.lit(1), y.i))
             return F.when((x.cid != y.cid) & may, first_common & f.similar(x.n, y.n, F.size(F.array_intersect(x.tokens, y.tokens)))).otherwise(False)
 
