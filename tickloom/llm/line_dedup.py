@@ -72,7 +72,7 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _hashes(norm: Column) -> Column:
-    return F.transform(F.filter(F.split(norm, " "), lambda w: w != ""), lambda w: F.xxhash64(w))
+    return F.transform(F.array_remove(F.split(norm, " "), ""), lambda w: F.xxhash64(w))
 
 
 def ranks(classes: DataFrame) -> bytes:
@@ -148,9 +148,10 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     known = written(classes.join(wanted, "cid", "left_semi").select("cid", "first", _tokens(F.col("norm"), ranked).alias("tokens")), "sets")
     _freed(spark)
     both = pairs.join(known, "cid").join(known.select(F.col("cid").alias("other"), F.col("first").alias("other_first"), F.col("tokens").alias("other_tokens")), "other")
-    common = F.array_intersect("tokens", "other_tokens")
-    found = both.select("cid", "other", "first", "other_first", "token", F.size("tokens").alias("n"), F.size("other_tokens").alias("m"), common.alias("common"))
-    found = found.where(f.similar(F.col("n"), F.col("m"), F.size("common")) & (F.get("common", F.lit(0)) == F.col("token")))
+    n, m, common = F.size("tokens"), F.size("other_tokens"), F.array_intersect("tokens", "other_tokens")
+    # One condition over one intersection, which a filter over a column of it would compute again for each use.
+    found = both.where(F.exists(F.array(common), lambda c: f.similar(n, m, F.size(c)) & (F.get(c, F.lit(0)) == F.col("token"))))
+    found = found.select("cid", "other", "first", "other_first")
     cold = found.select("cid", F.lit(1).cast("long").alias("links"), F.col("other_first").alias("earliest")).unionAll(found.select("other", F.lit(1).cast("long"), "first"))
 
     # Frequent tokens: rows for each two chunks of a token.
