@@ -1,6 +1,6 @@
 """Line deduplication by an exact set-similarity join. DataFrame functions only.
 
-A line is the set of its lower-cased words. Lines that are alike but for white space at the ends and case are one class,
+A line is the set of its lower-cased words. Lines that are alike but for white space and case are one class,
 found by a hash aggregation that combines before it shuffles, so copies never meet each other. Classes
 are joined at a Jaccard similarity of at least num/den:
 
@@ -66,18 +66,20 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     other = "\t\x0b\x0c\r"
     # Translating goes character by character, so only the lines that need it are.
     needs = reduce(or_, [F.contains("raw", F.lit(c)) for c in other])
-    norm = F.trim(F.lower(F.when(needs, F.translate("raw", other, "    ")).otherwise(F.col("raw"))))
+    plain = F.trim(F.lower(F.when(needs, F.translate("raw", other, "    ")).otherwise(F.col("raw"))))
+    norm = F.when(F.contains("raw", F.lit("  ")) | needs, F.regexp_replace(plain, " +", " ")).otherwise(plain)
     place = F.expr(f"CAST(coalesce(CAST(id AS DECIMAL(20,0)), {_LAST}BD) * 16777216BD + line AS {_PLACE})")
     return rows.select("id", "line", norm.alias("norm"), place.alias("place")).where("norm <> ''")
 
 
 def _hashes(norm: Column) -> Column:
-    return F.transform(F.array_remove(F.split(norm, " "), ""), lambda w: F.xxhash64(w))
+    return F.transform(F.split(norm, " "), lambda w: F.xxhash64(w))
 
 
 def ranks(classes: DataFrame) -> bytes:
     """A byte a bucket: STEPS times the logarithm of how often its words occur in the classes, at most 127. Of fixed size whatever the input."""
-    counted = classes.select(F.explode(_hashes(F.col("norm"))).alias("h")).groupBy(F.col("h").bitwiseAND(BUCKETS - 1).cast("int").alias("b")).agg(F.count("*").alias("n"))
+    words = classes.select(F.explode(F.split("norm", " ")).alias("word"))
+    counted = words.groupBy(F.xxhash64("word").bitwiseAND(BUCKETS - 1).cast("int").alias("b")).agg(F.count("*").alias("n"))
     found = counted.select("b", F.least(F.lit(127), F.floor(F.log2(F.col("n").cast("double")) * STEPS).cast("int")).alias("r")).toArrow()
     out = np.zeros(BUCKETS, np.uint8)
     out[found["b"].to_numpy()] = found["r"].to_numpy()
@@ -127,22 +129,32 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     ranked = ranks(classes)
     sets = classes.select("cid", _tokens(F.col("norm"), ranked).alias("tokens"))
     prefixes = sets.select("cid", F.size("tokens").alias("n"), _signature(F.col("tokens")).alias("sig"), F.posexplode(F.slice("tokens", F.lit(1), f.prefix(F.size("tokens")))).alias("i", "token"))
-    prefixes = written(prefixes.select("token", "cid", "n", "i", "sig"), "prefixes")
+    # One exchange, by token, serves the join's two sides and the tokens that may be frequent.
+    dealt = prefixes.select("token", "cid", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long")).alias("ni"), "sig").repartition("token")
+    entry = lambda e: e.withColumns({"n": F.shiftright("ni", 32).cast("int"), "i": F.col("ni").bitwiseAND(0x7FFFFFFF).cast("int")})
 
-    # Tokens that may be frequent are counted; these are few, as prefixes hold the rarest tokens.
-    doubtful = prefixes.where(bound(F.col("token")) > rare)
-    counts = written(doubtful.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") > rare), "counts")
-    hot_rows = doubtful.join(counts, "token")
-    few = prefixes.where(bound(F.col("token")) <= rare).unionAll(doubtful.join(counts, "token", "left_anti"))
-
-    # Rare tokens: a join on the token, whose condition applies the filters.
-    large, small = few.alias("x"), few.alias("y")
+    # Tokens that can't be frequent: a join on the token, whose condition applies the filters.
+    few = dealt.where(bound(F.col("token")) <= rare)
+    large, small = entry(few).alias("x"), entry(few).alias("y")
     col = F.col
     order = (col("x.n") > col("y.n")) | ((col("x.n") == col("y.n")) & (col("x.cid") > col("y.cid")))
-    met = large.hint("merge").join(small, (col("x.token") == col("y.token")) & order & f.may(col("x.n"), col("x.i"), col("x.sig"), col("y.n"), col("y.i"), col("y.sig")))
-    pairs = written(met.select(col("x.cid").alias("cid"), col("y.cid").alias("other"), col("x.token").alias("token")).groupBy("cid", "other").agg(F.min("token").alias("token")), "candidates")
-    hot_rows = written(hot_rows, "frequent")
-    discard(prefixes)
+    may = order & f.may(col("x.n"), col("x.i"), col("x.sig"), col("y.n"), col("y.i"), col("y.sig"))
+
+    def met(xs: DataFrame, ys: DataFrame) -> DataFrame:
+        return xs.alias("x").hint("merge").join(ys.alias("y"), (col("x.token") == col("y.token")) & may).select(col("x.cid").alias("cid"), col("y.cid").alias("other"), col("x.token").alias("token"))
+
+    null = lambda kind: F.lit(None).cast(kind)
+    doubtful = dealt.where(bound(F.col("token")) > rare).select("cid", null("long").alias("other"), "token", "ni", "sig")
+    first_pass = written(met(large, small).select("cid", "other", "token", null("long").alias("ni"), null("long").alias("sig")).unionAll(doubtful), "candidates")
+    _freed(spark)
+
+    # Of those that may be, the frequent ones are set apart by a count; there are few, as prefixes hold the rarest tokens.
+    doubtful = entry(first_pass.where("other is null").select("token", "cid", "ni", "sig"))
+    counts = written(doubtful.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") > rare), "counts")
+    hot_rows = written(doubtful.join(counts, "token"), "frequent")
+    more = doubtful.join(counts, "token", "left_anti")
+    pairs = first_pass.where("other is not null").select("cid", "other", "token").unionAll(met(more, more))
+    pairs = written(pairs.groupBy("cid", "other").agg(F.min("token").alias("token")), "pairs")
     _freed(spark)
     wanted = pairs.select("cid").unionAll(pairs.select("other")).unionAll(hot_rows.select("cid")).distinct()
     known = written(classes.join(wanted, "cid", "left_semi").select("cid", "first", _tokens(F.col("norm"), ranked).alias("tokens")), "sets")
