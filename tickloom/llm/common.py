@@ -45,11 +45,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet to the shared folder and read again: cuts lineage and outlives lost executors."""
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+    """df, written as Parquet to the shared folder and read again: cuts lineage and outlives lost executors.
+
+    Once it is written, nothing needs the shuffle files behind it, so Spark drops them at the end of the write.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before or "false")
     out = spark.read.schema(nullable(df.schema)).parquet(path)
     out._tickloom_path = path
     return out

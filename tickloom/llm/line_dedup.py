@@ -31,7 +31,6 @@ together, and each of the rows is returned. An empty table gives an empty table.
 
 from __future__ import annotations
 
-import gc
 from functools import reduce
 from operator import or_
 
@@ -50,24 +49,18 @@ _PLACE = "decimal(29,0)"
 _LAST = "9223372036854775808"
 
 
-def _freed(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def _ceil(n: Column, num: int, den: int) -> Column:
     return F.floor((n * num + (den - 1)) / F.lit(den)).cast("int")
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, line, norm, place): lines with a word."""
-    rows = own_columns(docs, id_col, text_col).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.posexplode(F.split(F.col(f"`{text_col}`"), "\n")).alias("line", "raw"))
-    other = "\t\x0b\x0c\r"
-    # Translating goes character by character, so only the lines that need it are.
-    needs = reduce(or_, [F.contains("raw", F.lit(c)) for c in other])
-    plain = F.trim(F.lower(F.when(needs, F.translate("raw", other, "    ")).otherwise(F.col("raw"))))
-    norm = F.when(F.contains("raw", F.lit("  ")) | needs, F.regexp_replace(plain, " +", " ")).otherwise(plain)
+    text, other = F.col(f"`{text_col}`"), "\t\x0b\x0c\r"
+    # Whole texts are searched and lower-cased much faster than their lines one by one, and few need the replacement.
+    needs = reduce(or_, [F.contains(text, F.lit(c)) for c in [*other, "  "]])
+    clean = F.when(needs, F.regexp_replace(text, f"[ {other}]+", " ")).otherwise(text)
+    rows = own_columns(docs, id_col, text_col).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.posexplode(F.split(F.lower(clean), "\n")).alias("line", "raw"))
+    norm = F.trim("raw")
     place = F.expr(f"CAST(coalesce(CAST(id AS DECIMAL(20,0)), {_LAST}BD) * 16777216BD + line AS {_PLACE})")
     return rows.select("id", "line", norm.alias("norm"), place.alias("place")).where("norm <> ''")
 
@@ -125,17 +118,16 @@ class _Filters:
 
 def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: int = RARE, chunk: int = CHUNK) -> DataFrame:
     """(cid, links, earliest): for each class (cid, norm, first) with similar ones, how many, and the first place of the earliest of them."""
-    spark, f = classes.sparkSession, _Filters(num, den)
+    f = _Filters(num, den)
     ranked = ranks(classes)
     sets = classes.select("cid", _tokens(F.col("norm"), ranked).alias("tokens"))
     prefixes = sets.select("cid", F.size("tokens").alias("n"), _signature(F.col("tokens")).alias("sig"), F.posexplode(F.slice("tokens", F.lit(1), f.prefix(F.size("tokens")))).alias("i", "token"))
-    # One exchange, by token, serves the join's two sides and the tokens that may be frequent.
-    dealt = prefixes.select("token", "cid", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long")).alias("ni"), "sig").repartition("token")
+    packed_place = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long")).alias("ni")
+    prefixes = written(prefixes.select("token", "cid", packed_place, "sig"), "prefixes", "lz4")
     entry = lambda e: e.withColumns({"n": F.shiftright("ni", 32).cast("int"), "i": F.col("ni").bitwiseAND(0x7FFFFFFF).cast("int")})
 
     # Tokens that can't be frequent: a join on the token, whose condition applies the filters.
-    few = dealt.where(bound(F.col("token")) <= rare)
-    large, small = entry(few).alias("x"), entry(few).alias("y")
+    few = entry(prefixes.where(bound(F.col("token")) <= rare))
     col = F.col
     order = (col("x.n") > col("y.n")) | ((col("x.n") == col("y.n")) & (col("x.cid") > col("y.cid")))
     may = order & f.may(col("x.n"), col("x.i"), col("x.sig"), col("y.n"), col("y.i"), col("y.sig"))
@@ -143,22 +135,16 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     def met(xs: DataFrame, ys: DataFrame) -> DataFrame:
         return xs.alias("x").hint("merge").join(ys.alias("y"), (col("x.token") == col("y.token")) & may).select(col("x.cid").alias("cid"), col("y.cid").alias("other"), col("x.token").alias("token"))
 
-    null = lambda kind: F.lit(None).cast(kind)
-    doubtful = dealt.where(bound(F.col("token")) > rare).select("cid", null("long").alias("other"), "token", "ni", "sig")
-    first_pass = written(met(large, small).select("cid", "other", "token", null("long").alias("ni"), null("long").alias("sig")).unionAll(doubtful), "candidates")
-    _freed(spark)
-
     # Of those that may be, the frequent ones are set apart by a count; there are few, as prefixes hold the rarest tokens.
-    doubtful = entry(first_pass.where("other is null").select("token", "cid", "ni", "sig"))
+    doubtful = entry(prefixes.where(bound(F.col("token")) > rare))
     counts = written(doubtful.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") > rare), "counts")
     hot_rows = written(doubtful.join(counts, "token"), "frequent")
     more = doubtful.join(counts, "token", "left_anti")
-    pairs = first_pass.where("other is not null").select("cid", "other", "token").unionAll(met(more, more))
+    pairs = met(few, few).unionAll(met(more, more))
     pairs = written(pairs.groupBy("cid", "other").agg(F.min("token").alias("token")), "pairs")
-    _freed(spark)
+    discard(prefixes)
     wanted = pairs.select("cid").unionAll(pairs.select("other")).unionAll(hot_rows.select("cid")).distinct()
     known = written(classes.join(wanted, "cid", "left_semi").select("cid", "first", _tokens(F.col("norm"), ranked).alias("tokens")), "sets")
-    _freed(spark)
     both = pairs.join(known, "cid").join(known.select(F.col("cid").alias("other"), F.col("first").alias("other_first"), F.col("tokens").alias("other_tokens")), "other")
     n, m, common = F.size("tokens"), F.size("other_tokens"), F.array_intersect("tokens", "other_tokens")
     # One condition over one intersection, which a filter over a column of it would compute again for each use.
@@ -192,16 +178,12 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = NUM, den: int = DEN, rare: int = RARE, chunk: int = CHUNK) -> DataFrame:
     """(id, line, removed, links, earliest) for each line whose class has copies or similar classes; other lines stay."""
-    spark = docs.sparkSession
     lines = lines_of(docs, id_col, text_col)
     classes = written(lines.groupBy("norm").agg(F.min("place").alias("first"), F.count("*").alias("copies")).select(F.monotonically_increasing_id().alias("cid"), "norm", "first", "copies"), "lines")
-    _freed(spark)
     linked = written(similar_classes(classes, num, den, rare, chunk), "linked")
-    _freed(spark)
     told = classes.join(linked, "cid", "left").where("copies > 1 or links is not null")
     keys = [F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), F.col("norm")).alias("k2")]
     told = written(told.select(*keys, "first", F.coalesce("links", F.lit(0)).alias("links"), F.least("first", "earliest").alias("earliest")), "told")
-    _freed(spark)
     placed = lines.select("id", "line", "place", *keys)
     return placed.join(told, ["k1", "k2"]).select("id", "line", ((F.col("place") > F.col("first")) | (F.col("earliest") < F.col("first"))).alias("removed"), "links", "earliest")
 
