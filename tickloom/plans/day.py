@@ -29,13 +29,17 @@ def accepted_trades(events: DataFrame, cfg: Config) -> DataFrame:
     return binned.where((F.col("action") == "T") & F.col("in_session") & (price > 0) & (price != 2**63 - 1)).select(*DAY, "seq", "ts_recv_ns", "price_nano", "size", "publisher_id", "bin_idx")
 
 
-def processed_bins(events: DataFrame, cfg: Config, context: DataFrame | None = None) -> DataFrame:
-    """Every processed bin with its aggregates, its place in the grid and the state at its end; emit marks those past warm-up."""
+def processed_bins(events: DataFrame, cfg: Config, context: DataFrame | None = None, times_in_order: bool = True) -> DataFrame:
+    """Every processed bin with its aggregates, its place in the grid and the state at its end; emit marks those past warm-up.
+
+    times_in_order=False is for days whose receive times fall now and then: bulk volume is then replayed trade by trade.
+    """
     sums = aggregates.bin_aggregates(aggregates.with_previous(records(events, cfg)), cfg)
     grid = bins.emitted(bins.day_grid(sums, cfg), cfg)
     traded = accepted_trades(events, cfg)
     keys = [*DAY, "bin_idx"]
-    grid = grid.join(bvc.by_bin(bvc.with_bvc(traded, cfg.vpin.sigma_window_minutes)), keys, "left")
+    bulk = bvc.with_bvc if times_in_order else bvc.replayed_bvc
+    grid = grid.join(bvc.by_bin(bulk(traded, cfg.vpin.sigma_window_minutes)), keys, "left")
     v = cfg.validation
     grid = grid.join(bursts.bursts(traded.where(is_trf(F.col("publisher_id"))), v.burst_threshold, v.burst_window_ns), keys, "left")
     if cfg.features.vpin:
@@ -60,14 +64,14 @@ def vpin_by_bin(traded: DataFrame, cfg: Config, context: DataFrame | None, which
     return vpin.by_bin(bucketed(traded, cfg, context, which), f"{which.lower()}_vpin_now")
 
 
-def all_bins(events: DataFrame, cfg: Config, context: DataFrame | None = None) -> DataFrame:
+def all_bins(events: DataFrame, cfg: Config, context: DataFrame | None = None, times_in_order: bool = True) -> DataFrame:
     """Processed bins with all 34 features, warm-up included (its values feed the filling)."""
-    return features.filled_features(features.live_features(processed_bins(events, cfg, context), cfg), cfg)
+    return features.filled_features(features.live_features(processed_bins(events, cfg, context, times_in_order), cfg), cfg)
 
 
-def feature_bins(events: DataFrame, cfg: Config, context: DataFrame | None = None) -> DataFrame:
+def feature_bins(events: DataFrame, cfg: Config, context: DataFrame | None = None, times_in_order: bool = True) -> DataFrame:
     """The emitted bins: DAY, bin_idx, bin_end_ns, is_gap, is_final, mid_price and the 34 features."""
     from tickloom.schema import FEATURES
 
-    out = all_bins(events, cfg, context).where("emit")
+    out = all_bins(events, cfg, context, times_in_order).where("emit")
     return out.select(*DAY, "bin_idx", "bin_end_ns", "is_gap", F.col("is_flush").alias("is_final"), "mid_price", *FEATURES)
