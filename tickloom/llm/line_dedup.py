@@ -121,7 +121,9 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     f = _Filters(num, den)
     ranked = ranks(classes)
     sets = classes.select("cid", _tokens(F.col("norm"), ranked).alias("tokens"))
-    prefixes = sets.select("cid", F.size("tokens").alias("n"), _signature(F.col("tokens")).alias("sig"), F.posexplode(F.slice("tokens", F.lit(1), f.prefix(F.size("tokens")))).alias("i", "token"))
+    # What is by set is computed before the explode: beside a generator it would be computed again for each row.
+    sets = sets.select("cid", F.size("tokens").alias("n"), _signature(F.col("tokens")).alias("sig"), F.slice("tokens", F.lit(1), f.prefix(F.size("tokens"))).alias("prefix"))
+    prefixes = sets.select("cid", "n", "sig", F.posexplode("prefix").alias("i", "token"))
     packed_place = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long")).alias("ni")
     prefixes = written(prefixes.select("token", "cid", packed_place, "sig"), "prefixes", "lz4")
     entry = lambda e: e.withColumns({"n": F.shiftright("ni", 32).cast("int"), "i": F.col("ni").bitwiseAND(0x7FFFFFFF).cast("int")})
@@ -156,9 +158,7 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     chunks = F.ceil(F.col("c") / chunk)
     entries = hot_rows.select("token", "cid", "n", "i", "sig", chunks.alias("m"), F.pmod(F.xxhash64("cid"), chunks).alias("k")).join(known, "cid")
     packed = entries.groupBy("token", "m", "k").agg(F.collect_list(F.struct("cid", "n", "i", "sig", "first", "tokens")).alias("members"))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1))
-    left = packed.select("token", F.col("k").alias("a"), every.alias("b"), F.col("members").alias("xs"))
-    right = packed.select("token", every.alias("a"), F.col("k").alias("b"), F.col("members").alias("ys"))
+    left, right = packed.select("token", F.col("members").alias("xs")), packed.select("token", F.col("members").alias("ys"))
 
     def matches(x: Column) -> Column:
         def match(y: Column) -> Column:
@@ -172,7 +172,7 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     def summed(x: Column) -> Column:
         return F.transform(F.array(matches(x)), lambda ys: F.struct(x.cid.alias("cid"), F.size(ys).cast("long").alias("links"), F.array_min(F.transform(ys, lambda y: y.first)).alias("earliest")))[0]
 
-    hot = left.join(right.hint("shuffle_merge"), ["token", "a", "b"]).select(F.explode(F.filter(F.transform("xs", summed), lambda s: s.links > 0)).alias("s")).select("s.cid", "s.links", "s.earliest")
+    hot = left.hint("merge").join(right, "token").select(F.explode(F.filter(F.transform("xs", summed), lambda s: s.links > 0)).alias("s")).select("s.cid", "s.links", "s.earliest")
     return cold.unionAll(hot).groupBy("cid").agg(F.sum("links").alias("links"), F.min("earliest").alias("earliest"))
 
 
