@@ -31,10 +31,11 @@ def discover(spark: SparkSession, data_dir: str, pattern: str) -> DataFrame:
     return listed.select(from_file_date(F.col("day")).alias("trade_date"), "path", "bytes").where("trade_date is not null").orderBy("trade_date", "path")
 
 
-def read_events(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
+def read_events(spark: SparkSession, path: str | list[str], kind: str = "parquet") -> DataFrame:
     """Canonical events from Parquet or from delimited text with a header; a missing path is an error at once."""
     reader = spark.read.schema(EVENTS)
-    return reader.parquet(path) if kind == "parquet" else reader.option("header", True).csv(path)
+    paths = [path] if isinstance(path, str) else path
+    return reader.parquet(*paths) if kind == "parquet" else reader.option("header", True).csv(paths)
 
 
 def read_tolerant(spark: SparkSession, path: str) -> DataFrame:
