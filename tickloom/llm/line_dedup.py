@@ -153,6 +153,9 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     found = both.where(F.exists(F.array(common), lambda c: f.similar(n, m, F.size(c)) & (F.get(c, F.lit(0)) == F.col("token"))))
     found = found.select("cid", "other", "first", "other_first")
     cold = found.select("cid", F.lit(1).cast("long").alias("links"), F.col("other_first").alias("earliest")).unionAll(found.select("other", F.lit(1).cast("long"), "first"))
+    # Each half is written by itself, so that its shuffle files are gone before the other's are made.
+    total = lambda found: found.groupBy("cid").agg(F.sum("links").alias("links"), F.min("earliest").alias("earliest"))
+    cold = written(total(cold), "cold")
 
     # Frequent tokens: rows for each two chunks of a token.
     chunks = F.ceil(F.col("c") / chunk)
@@ -173,7 +176,7 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
         return F.transform(F.array(matches(x)), lambda ys: F.struct(x.cid.alias("cid"), F.size(ys).cast("long").alias("links"), F.array_min(F.transform(ys, lambda y: y.first)).alias("earliest")))[0]
 
     hot = left.hint("merge").join(right, "token").select(F.explode(F.filter(F.transform("xs", summed), lambda s: s.links > 0)).alias("s")).select("s.cid", "s.links", "s.earliest")
-    return cold.unionAll(hot).groupBy("cid").agg(F.sum("links").alias("links"), F.min("earliest").alias("earliest"))
+    return total(cold.unionAll(written(total(hot), "hot")))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = NUM, den: int = DEN, rare: int = RARE, chunk: int = CHUNK) -> DataFrame:
