@@ -42,6 +42,8 @@ from tickloom.llm.common import discard, own_columns, table, written
 
 NUM, DEN = 4, 5
 BUCKETS, RARE, CHUNK = 1 << 20, 256, 128
+#: Frequent tokens are gone through in so many parts, one after the other, which bounds the disk that their sets take.
+PARTS = 4
 #: Ranks for each doubling of a bucket's count.
 STEPS = 4
 #: Lines are placed by identifier and line number in one number; null identifiers come last.
@@ -159,9 +161,11 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
 
     # Frequent tokens: rows for each two chunks of a token.
     chunks = F.ceil(F.col("c") / chunk)
-    entries = hot_rows.select("token", "cid", "n", "i", "sig", chunks.alias("m"), F.pmod(F.xxhash64("cid"), chunks).alias("k")).join(known, "cid")
-    packed = entries.groupBy("token", "m", "k").agg(F.collect_list(F.struct("cid", "n", "i", "sig", "first", "tokens")).alias("members"))
-    left, right = packed.select("token", F.col("members").alias("xs")), packed.select("token", F.col("members").alias("ys"))
+    part = F.pmod(F.xxhash64("token"), F.lit(PARTS))
+
+    def chunked(k: int) -> DataFrame:
+        entries = hot_rows.where(part == k).select("token", "cid", "n", "i", "sig", chunks.alias("m"), F.pmod(F.xxhash64("cid"), chunks).alias("k")).join(known, "cid")
+        return entries.groupBy("token", "m", "k").agg(F.collect_list(F.struct("cid", "n", "i", "sig", "first", "tokens")).alias("members"))
 
     def matches(x: Column) -> Column:
         def match(y: Column) -> Column:
@@ -175,8 +179,13 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     def summed(x: Column) -> Column:
         return F.transform(F.array(matches(x)), lambda ys: F.struct(x.cid.alias("cid"), F.size(ys).cast("long").alias("links"), F.array_min(F.transform(ys, lambda y: y.first)).alias("earliest")))[0]
 
-    hot = left.hint("merge").join(right, "token").select(F.explode(F.filter(F.transform("xs", summed), lambda s: s.links > 0)).alias("s")).select("s.cid", "s.links", "s.earliest")
-    return total(cold.unionAll(written(total(hot), "hot")))
+    def hot(k: int) -> DataFrame:
+        packed = chunked(k)
+        left, right = packed.select("token", F.col("members").alias("xs")), packed.select("token", F.col("members").alias("ys"))
+        met = left.hint("merge").join(right, "token").select(F.explode(F.filter(F.transform("xs", summed), lambda s: s.links > 0)).alias("s"))
+        return total(met.select("s.cid", "s.links", "s.earliest"))
+
+    return total(reduce(DataFrame.unionAll, [written(hot(k), "hot") for k in range(PARTS)], cold))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = NUM, den: int = DEN, rare: int = RARE, chunk: int = CHUNK) -> DataFrame:
