@@ -28,11 +28,20 @@ def bin_aggregates(records: DataFrame, cfg: Config) -> DataFrame:
     prev = F.col("prev_quote")
     held = F.when(quoted & (prev.bin == F.col("bin_idx")), F.greatest(F.col("ts_recv_ns") - prev.ts, F.lit(0)).cast("double"))
     gap = F.when(trf & (F.col("prev_trf.bin") == F.col("bin_idx")), F.greatest(F.col("ts_recv_ns") - F.col("prev_trf.ts"), F.lit(0)).cast("double"))
-    quote = F.struct("bid_size", "ask_size", F.col("bbo_spread_bps").alias("spread"), F.col("ts_recv_ns").alias("ts"))
-    state = F.struct("bbo_valid", "bid", "ask", "bid_size", "ask_size", "mid", F.col("bbo_spread_bps").alias("spread_bps"), F.col("bbo_ts").alias("ts"))
-    return records.groupBy(*DAY, "bin_idx").agg(
-        F.first("open_ns").alias("open_ns"),
-        F.first("close_ns").alias("close_ns"),
+    # By field, not as structs: buffers of plain numbers keep the aggregation hashed, where structs would have every record sorted again.
+    quote = {"bid_size": "bid_size", "ask_size": "ask_size", "spread": "bbo_spread_bps", "ts": "ts_recv_ns"}
+    state = {"bid": "bid", "ask": "ask", "bid_size": "bid_size", "ask_size": "ask_size", "mid": "mid", "spread_bps": "bbo_spread_bps", "ts": "bbo_ts"}
+    at_quote, at_state = F.when(quoted, F.col("seq")), F.when(F.col("bbo_valid"), F.col("seq"))
+    picked = [
+        *[F.min_by(c, at_quote).alias(f"_first_{k}") for k, c in quote.items()],
+        *[F.max_by(c, at_quote).alias(f"_last_{k}") for k, c in quote.items()],
+        *[F.max_by(c, at_state).alias(f"_state_{k}") for k, c in state.items()],
+    ]
+    whole = lambda name, fields, when, *more: F.when(when, F.struct(*more, *[F.col(f"_{name}_{k}").alias(k) for k in fields]))
+    sums = records.groupBy(*DAY, "bin_idx").agg(
+        *picked,
+        F.min("open_ns").alias("open_ns"),
+        F.min("close_ns").alias("close_ns"),
         volume(trf & (F.col("direction") == "Buy")).alias("trf_buy_vol"),
         volume(trf & (F.col("direction") == "Sell")).alias("trf_sell_vol"),
         volume(trf & (F.col("direction") == "Unsigned")).alias("trf_unsigned_vol"),
@@ -52,12 +61,11 @@ def bin_aggregates(records: DataFrame, cfg: Config) -> DataFrame:
         F.coalesce(F.sum(F.when(acc, (size * size).cast("double"))), F.lit(0.0)).alias("size_squares"),
         n("dropped").alias("dropped"),
         n(quoted).alias("updates"),
-        F.min_by(quote, F.when(quoted, F.col("seq"))).alias("first_quote"),
-        F.max_by(quote, F.when(quoted, F.col("seq"))).alias("last_quote"),
         F.coalesce(F.sum(held), F.lit(0.0)).alias("held_ns"),
         F.coalesce(F.sum(held * prev.spread), F.lit(0.0)).alias("held_spread"),
         F.count(gap).alias("gaps"),
         F.coalesce(F.sum(gap), F.lit(0.0)).alias("gap_sum"),
         F.coalesce(F.sum(gap * gap), F.lit(0.0)).alias("gap_squares"),
-        F.max_by(F.when(F.col("bbo_valid"), state), "seq").alias("state"),
     )
+    sums = sums.withColumns({"first_quote": whole("first", quote, F.col("updates") > 0), "last_quote": whole("last", quote, F.col("updates") > 0), "state": whole("state", state, F.col("_state_ts").isNotNull(), F.lit(True).alias("bbo_valid"))})
+    return sums.drop(*[c for c in sums.columns if c.startswith("_")])
