@@ -31,6 +31,26 @@ def test_muldiv_is_exact(n, a, m):
     assert (int(q), int(r)) == divmod(n * a, m)
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 9000), min_size=1, max_size=24))
+def test_windows_are_gapless(sizes):
+    places = packing.Places({f"q{i}": n for i, n in enumerate(sizes)})
+    windows = defaultdict(list)
+    for i, n in enumerate(sizes):
+        cuts = np.unique(np.concatenate([[0, n], np.arange(0, n, 700)]))
+        row, at, length, w, offset = places.pieces(f"q{i}", cuts[:-1], np.diff(cuts))
+        assert length.sum() == n and (length > 0).all()
+        for k, o, m in zip(w.tolist(), offset.tolist(), length.tolist()):
+            windows[k].append((o, m))
+    assert sorted(windows) == list(range(len(windows)))
+    for runs in windows.values():
+        end = 0
+        for o, m in sorted(runs):
+            assert o == end
+            end += m
+        assert end <= 1024
+
+
 def check(rows, got, window=1024):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     t.encode_special_tokens = True

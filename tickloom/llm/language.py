@@ -52,14 +52,15 @@ def grams(text: bytes) -> np.ndarray | None:
         c = np.frombuffer(lowered[at : at + (1 << 20)].encode("utf-32-le", "surrogatepass"), np.uint32)
         letter = _letters()[np.minimum(c, 0x10FFFF)]
         seen |= bool(letter.any())
-        c = np.concatenate([tail, np.where(letter, c, 0)])
+        k = len(tail)
+        c = np.concatenate([tail, np.where(letter, c, 0).astype(np.uint32)])
         c = c[np.concatenate([[True], (c[1:] != 0) | (c[:-1] != 0)])]  # word edges are single
         h = c[:-1] * np.uint32(0x9E3779B1) ^ c[1:] * np.uint32(0x85EBCA77)
         h3 = h[:-1] * np.uint32(0xC2B2AE3D) ^ c[2:] * np.uint32(0x27D4EB2F)
-        for x in (c[1:] * np.uint32(0x165667B1), h, h3):
+        for x in (c[k:] * np.uint32(0x165667B1), h[k - 1 :], h3[max(0, k - 2) :]):  # those that end in this chunk
             x = x ^ x >> np.uint32(15)
             out += np.bincount((x * np.uint32(0x2C1B3C6D)) >> np.uint32(20), minlength=BUCKETS)
-        tail = c[-1:]
+        tail = c[-2:]
     return out if seen else None
 
 

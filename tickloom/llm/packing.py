@@ -159,7 +159,7 @@ class Places:
         new[1:] = (row[1:] != row[:-1]) | (w[1:] != w[:-1])
         row, w = row[new], w[new]
         have, before = self.schedule.served(queue, w * self.slots)
-        then, after = self.schedule.served(queue, (w + 1) * self.slots if len(w) else w)
+        then, after = self.schedule.served(queue, np.minimum((w + 1) * self.slots, self.schedule.total))
         opens = have * quantum
         a = np.maximum(starts[row], opens)
         b = np.minimum(starts[row] + sizes[row], np.minimum(then * quantum, total))
