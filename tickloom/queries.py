@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tickloom.config import Config
 from tickloom.functions.market import is_trf, normal_cdf
-from tickloom.operators import aggregates, bins, bursts, bvc, calendar, context, diagnostics, features, labels, normalize, quotes, sequences, trades
+from tickloom.operators import aggregates, bursts, bvc, calendar, context, diagnostics, features, labels, normalize, quotes, sequences, trades
 from tickloom.plans import day, export, manifest, reports
 from tickloom.schema import DAY, FEATURES
 from tickloom.sources.adapter import driver_events
