@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest
 
-from tickloom.llm.common import batch_of, discard, mapped, own_columns, table, utf8, written
+from tickloom.llm.common import discard, mapped, own_columns, table, utf8, written
 
 TRAIN_ROWS, VOCABULARY, WIDTH, NONZERO, REACH, HIDDEN = 8000, 1 << 14, 48, 4, 2, 24
 FOLDS, HELD_FOLD, THRESHOLD = 5, 0, 0.3

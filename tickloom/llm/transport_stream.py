@@ -14,7 +14,6 @@ ignored. Rows are independent: there is no shuffle, and a task holds one Arrow b
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
