@@ -57,3 +57,8 @@ def emitted(grid: DataFrame, cfg: Config) -> DataFrame:
     """The processed bins with emit: bins up to the cut; the last one only without a cut and if anything happened in it; none in warm-up."""
     kept = grid.where(F.when(F.col("cut").isNotNull(), (F.col("bin_idx") <= F.col("cut")) & ~F.col("is_flush")).otherwise(~F.col("is_flush") | F.col("active")))
     return kept.withColumn("emit", F.col("bin_idx") >= cfg.validation.warmup_bins)
+
+
+def with_volume_bins(trades: DataFrame, volume: int) -> DataFrame:
+    """Adds volume_bin, the bin of equal traded volume in which each trade (DAY, seq, size) ends; the volume-driven counterpart of the time grid."""
+    return trades.withColumn("volume_bin", F.floor((F.sum("size").over(up_to_now()) - 1) / F.lit(volume)))

@@ -100,3 +100,13 @@ def filled_features(live: DataFrame, cfg: Config) -> DataFrame:
     filled = {f: F.when(traded, F.col(f)).otherwise(F.coalesce(F.col(f"_traded.{f}"), F.lit(0.0))) for f in state}
     filled |= {f: F.when(traded | moved, F.col(f)).otherwise(F.coalesce(F.col(f"_moved.{f}"), F.lit(0.0))) for f in QUOTE_STATE_FEATURES}
     return out.withColumns(filled).drop("_traded", "_moved")
+
+
+def asserted(bins: DataFrame) -> DataFrame:
+    """bins, failing the job at the first one with a feature that isn't finite, a gate that isn't 0 or 1, or a progress outside [0, 1]. A debugging aid: it costs a look at every feature."""
+    finite = F.lit(True)
+    for f in FEATURES:
+        finite = finite & F.col(f).isNotNull() & ~F.isnan(F.col(f)) & (F.abs(F.col(f)) < float("inf"))
+    gates = F.col("bin_valid").isin(0.0, 1.0) & F.col("bbo_valid").isin(0.0, 1.0) & F.col("session_progress").between(0.0, 1.0)
+    broken = F.when(~F.coalesce(finite & gates, F.lit(False)), F.raise_error(F.concat(F.lit("a feature is out of bounds in bin "), F.col("bin_idx").cast("string"))))
+    return bins.withColumn("bin_idx", F.coalesce(broken.cast("long"), F.col("bin_idx")))

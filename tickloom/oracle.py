@@ -249,6 +249,8 @@ def oracle_sql() -> dict[str, str]:
         "vpin_buckets": with_(*base, _VPIN[0], select=f"SELECT trade_date, bucket, b AS bin_idx, {r6('buy')}, {r6('sell')}, {r6('imbalance')}, {r6('vpin')} FROM vpt"),
         "bin_vpin": with_(*base, sums(), grid(B600), bvc(HOUR), *_VPIN, live(B600, 2, 3, 300_000_000_000, vpin=True), select=f"SELECT trade_date, bin_idx, {r6('trf_vpin')}, {r6('lit_vpin')} FROM l WHERE emit"),
         "gap_bins": with_(*bins_of(B60), select=f"SELECT trade_date, b AS bin_idx, bend AS bin_end_ns, is_gap, is_flush, emit, trades, ups AS updates, {r6('st_mid', 'mid_price')} FROM p"),
+        "volume_bins": with_(*base, "vb0 AS (SELECT trade_date, seq, size, sum(size) OVER (PARTITION BY trade_date ORDER BY seq) AS thru FROM r WHERE acc)", select="SELECT trade_date, ((thru - 1) // 5000)::BIGINT AS volume_bin, count(*) AS trades, sum(size)::BIGINT AS volume, min(seq) AS first_seq FROM vb0 GROUP BY 1, 2"),
+        "finite_features": with_(*bins_of(B600), select="SELECT trade_date, count(*) AS bins, max(b) AS last_bin FROM p WHERE emit GROUP BY trade_date"),
         "early_close": with_(*bins_of(B60), select="SELECT trade_date, min(cut) AS cut, max(mb) AS max_bin, count(*) AS processed, count(*) FILTER (WHERE is_gap) AS gaps FROM p GROUP BY trade_date"),
         "forward_fill": with_(*_fine(), filled(), select=f"SELECT trade_date, bin_idx, {', '.join(r6(c) for c in _FILL)} FROM f WHERE emit"),
         "feature_matrix": with_(*_coarse(), filled(), select=matrix),

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tickloom.config import Config
 from tickloom.functions.market import is_trf, normal_cdf
 from tickloom.operators import aggregates, bursts, bvc, calendar, context, diagnostics, features, labels, normalize, quotes, sequences, trades
+from tickloom.operators import bins as grid
 from tickloom.plans import day, export, manifest, reports
 from tickloom.schema import DAY, FEATURES
 from tickloom.sources.adapter import driver_events
@@ -148,6 +149,17 @@ def gap_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("trade_date", "bin_idx", "bin_end_ns", "is_gap", "is_flush", "emit", F.coalesce("trades", F.lit(0)).alias("trades"), F.coalesce("updates", F.lit(0)).alias("updates"), r6("mid_price").alias("mid_price"))
 
 
+def volume_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = grid.with_volume_bins(_accepted(spark, sf_dir), 5000)
+    return found.groupBy("trade_date", "volume_bin").agg(F.count("*").alias("trades"), F.sum("size").alias("volume"), F.min("seq").alias("first_seq"))
+
+
+def finite_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature matrix with its bounds asserted, counted by day."""
+    found = features.asserted(day.feature_bins(driver_events(spark, sf_dir), COARSE))
+    return found.groupBy("trade_date").agg(F.count("*").alias("bins"), F.max("bin_idx").alias("last_bin"))
+
+
 def early_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = day.processed_bins(driver_events(spark, sf_dir), FINE)
     return found.groupBy("trade_date").agg(F.first("cut").alias("cut"), F.max("max_bin").alias("max_bin"), F.count("*").alias("processed"), F.count_if("is_gap").alias("gaps"))
@@ -325,6 +337,8 @@ def queries() -> dict:
         "vpin_daily_buckets": vpin_daily_buckets,
         "bin_vpin": _features(("trf_vpin", "lit_vpin"), WITH_VPIN),
         "gap_bins": gap_bins,
+        "volume_bins": volume_bins,
+        "finite_features": finite_features,
         "early_close": early_close,
         "forward_fill": forward_fill,
         "feature_matrix": _matrix(COARSE),
