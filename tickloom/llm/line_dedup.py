@@ -42,7 +42,7 @@ from tickloom.llm.common import discard, own_columns, table, written
 
 NUM, DEN = 4, 5
 BUCKETS, RARE, CHUNK = 1 << 20, 256, 128
-#: Frequent tokens are gone through in so many parts, one after the other, which bounds the disk that their sets take.
+#: Sets are fetched and verified in so many parts, one after the other, which bounds the disk that they take.
 PARTS = 4
 #: Ranks for each doubling of a bucket's count.
 STEPS = 4
@@ -149,15 +149,17 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     discard(prefixes)
     wanted = pairs.select("cid").unionAll(pairs.select("other")).unionAll(hot_rows.select("cid")).distinct()
     known = written(classes.join(wanted, "cid", "left_semi").select("cid", "first", _tokens(F.col("norm"), ranked).alias("tokens")), "sets")
-    both = pairs.join(known, "cid").join(known.select(F.col("cid").alias("other"), F.col("first").alias("other_first"), F.col("tokens").alias("other_tokens")), "other")
-    n, m, common = F.size("tokens"), F.size("other_tokens"), F.array_intersect("tokens", "other_tokens")
-    # One condition over one intersection, which a filter over a column of it would compute again for each use.
-    found = both.where(F.exists(F.array(common), lambda c: f.similar(n, m, F.size(c)) & (F.get(c, F.lit(0)) == F.col("token"))))
-    found = found.select("cid", "other", "first", "other_first")
-    cold = found.select("cid", F.lit(1).cast("long").alias("links"), F.col("other_first").alias("earliest")).unionAll(found.select("other", F.lit(1).cast("long"), "first"))
-    # Each half is written by itself, so that its shuffle files are gone before the other's are made.
     total = lambda found: found.groupBy("cid").agg(F.sum("links").alias("links"), F.min("earliest").alias("earliest"))
-    cold = written(total(cold), "cold")
+    n, m, common = F.size("tokens"), F.size("other_tokens"), F.array_intersect("tokens", "other_tokens")
+    others = known.select(F.col("cid").alias("other"), F.col("first").alias("other_first"), F.col("tokens").alias("other_tokens"))
+
+    def cold(k: int) -> DataFrame:
+        mine = lambda df: df.where(F.pmod(F.xxhash64("cid"), F.lit(PARTS)) == k)
+        both = mine(pairs).join(mine(known), "cid").join(others, "other")
+        # One condition over one intersection, which a filter over a column of it would compute again for each use.
+        found = both.where(F.exists(F.array(common), lambda c: f.similar(n, m, F.size(c)) & (F.get(c, F.lit(0)) == F.col("token"))))
+        found = found.select("cid", "other", "first", "other_first")
+        return total(found.select("cid", F.lit(1).cast("long").alias("links"), F.col("other_first").alias("earliest")).unionAll(found.select("other", F.lit(1).cast("long"), "first")))
 
     # Frequent tokens: rows for each two chunks of a token.
     chunks = F.ceil(F.col("c") / chunk)
@@ -185,7 +187,8 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
         met = left.hint("merge").join(right, "token").select(F.explode(F.filter(F.transform("xs", summed), lambda s: s.links > 0)).alias("s"))
         return total(met.select("s.cid", "s.links", "s.earliest"))
 
-    return total(reduce(DataFrame.unionAll, [written(hot(k), "hot") for k in range(PARTS)], cold))
+    # Each part is written by itself, so that its shuffle files are gone before the next one's are made.
+    return total(reduce(DataFrame.unionAll, [written(half(k), "matched") for half in (cold, hot) for k in range(PARTS)]))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = NUM, den: int = DEN, rare: int = RARE, chunk: int = CHUNK) -> DataFrame:
