@@ -63,3 +63,21 @@ def test_terms_that_reveal(spark):
         assert got[2000 + k].terms == [] and got[2000 + k].text == "copied words hapax near [EMAIL] and unicum here"
     assert all(got[i].text is None for i in range(200))
     assert pt.sanitise(docs.limit(0)).count() == 0
+
+
+def common_rows(n=400):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda omicron sigma upsilon omega".split()
+    return [(i, " ".join(words[(i * k + i // 15) % 15] for k in range(1, 12))) for i in range(n)]
+
+
+def marked(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    text = dict(rows)
+    return {r.id: {text[r.id][s.start : s.end] for s in r.terms} for r in pt.sanitise(docs).collect() if r.terms}
+
+
+def test_single_values_and_shared_parts(spark):
+    rows = common_rows(400)
+    rows += [(1000, "alpha beta hapax gamma one.of@many.example delta")]
+    rows += [(1001 + i, f"{w} registrar beta p{i}.q@shared.example gamma") for i, w in enumerate(("alpha", "omega", "theta", "kappa"))]
+    assert marked(spark, rows) == {1000: {"hapax"}} | {1001 + i: {"registrar"} for i in range(4)}

@@ -6,7 +6,12 @@ what the entity itself is worth, IC(entity) = log2(N / n_e). Their ratio is the
 the term reveals. Terms at or over GENERALISE are replaced by a placeholder of their kind, those at or over REMOVE are
 taken out, wherever they stand near the entity.
 
-n_te counts different contexts, so copies of a document say nothing new; a term needs SUPPORT of them. n_e
+A value that occurs once has little to count, so the part that it shares with others (a mail domain, a network, a
+card's issuer, a block of phone numbers) is an entity too. No pair is left out for being rare: a pair seen in k different contexts
+counts with k / (k + 1) of its probability, a bit less for one context and next to nothing for many. The kind alone isn't an
+entity, as the placeholder tells it anyway.
+
+n_te counts different contexts, so copies of a document say nothing new. n_e
 and n_t are documents with the entity and with the term, N all documents.
 
 Scale: the patterns run in the scan. Only documents with personal data are written, with some characters
@@ -35,8 +40,8 @@ PATTERNS = {
 }
 KINDS = list(PATTERNS)
 
-#: Characters on either side of a value that count as its context, contexts that a term needs, and the shares of information.
-CONTEXT, SUPPORT, GENERALISE, REMOVE = 80, 3, 0.85, 0.95
+#: Characters on either side of a value that count as its context, and the shares of information.
+CONTEXT, GENERALISE, REMOVE = 80, 0.85, 0.95
 TERM = r"\p{L}{3,}+"
 #: Matches of a text are numbered in blocks of so many, to add up their places.
 STRIDE = 256
@@ -115,6 +120,13 @@ def _entity(kind: Column, value: Column) -> Column:
     return F.concat_ws(":", kind, F.when(kind.isin("card", "phone"), digits(value)).otherwise(F.lower(value)))
 
 
+def _entities(kind: Column, value: Column) -> Column:
+    """The value's own entity, and that of the part it shares with other values."""
+    bare = digits(value)
+    part = F.when(kind == "email", F.substring_index(F.lower(value), "@", -1)).when(kind == "ip", F.substring_index(value, ".", 3)).when(kind == "card", F.left(bare, F.lit(6))).otherwise(F.left(bare, F.length(bare) - 4))
+    return F.array(_entity(kind, value), F.concat_ws("/", kind, part))
+
+
 def _of_kind(kind: str, found: Column) -> Column:
     named = F.transform(found, lambda s: F.struct(F.lit(kind).alias("kind"), s.start.alias("start"), s.end.alias("end"), s.value.alias("value"), s.left.alias("left"), s.right.alias("right")))
     return F.filter(named, lambda s: _holds(kind, s.value))
@@ -145,7 +157,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def _context_terms(found: DataFrame) -> DataFrame:
     """(row, entity, context, term, start, end): each word near each value, with its place in the text."""
-    near = found.where(F.size("spans") > 0).select("row", F.explode("spans").alias("s")).select("row", _entity(F.col("s.kind"), F.col("s.value")).alias("entity"), F.xxhash64("s.left", "s.right").alias("context"), "s.start", "s.end", "s.left", "s.right")
+    near = found.where(F.size("spans") > 0).select("row", F.explode("spans").alias("s")).select("row", F.explode(_entities(F.col("s.kind"), F.col("s.value"))).alias("entity"), F.xxhash64("s.left", "s.right").alias("context"), "s.start", "s.end", "s.left", "s.right")
     # A word at the outer end of a context may be cut off, so it isn't one.
     left, right = located(F.col("left"), TERM), located(F.col("right"), TERM)
     full = F.lit(CONTEXT)
@@ -154,27 +166,28 @@ def _context_terms(found: DataFrame) -> DataFrame:
     return near.select("row", "entity", "context", F.explode(F.concat(before, after)).alias("w")).select("row", "entity", "context", "w.term", "w.start", "w.end")
 
 
-def disclosures(docs: DataFrame, found: DataFrame, terms: DataFrame, text_col: str = "text", support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+def disclosures(docs: DataFrame, found: DataFrame, terms: DataFrame, text_col: str = "text", least: float = GENERALISE) -> DataFrame:
     """(entity, term, share) of the terms that reveal at least that share of an entity."""
-    together = written(terms.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support), "together")
-    entities = found.where(F.size("spans") > 0).select("row", F.explode(F.array_distinct(F.transform("spans", lambda s: _entity(s.kind, s.value)))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    together = written(terms.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")), "together")
+    entities = found.where(F.size("spans") > 0).select("row", F.explode(F.array_distinct(F.flatten(F.transform("spans", lambda s: _entities(s.kind, s.value))))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(f"`{text_col}`")), r"[^\p{L}]++"))).alias("term"))
     wanted = together.select("term").distinct()
     seen = words.where(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, "term")
     total = docs.agg(F.count("*").alias("n")).first().n
     weighed = together.join(entities, "entity").join(seen, "term")
     n = F.lit(float(total))
-    pmi = F.log2(F.col("n_te") * n / (F.greatest("n_t", "n_te").cast("double") * F.greatest("n_e", "n_te").cast("double")))
+    trusted = F.col("n_te") / (F.col("n_te") + 1.0)
+    pmi = F.log2(trusted * F.col("n_te") * n / (F.greatest("n_t", "n_te").cast("double") * F.greatest("n_e", "n_te").cast("double")))
     ic = F.log2(n / F.greatest("n_e", "n_te").cast("double"))
     share = F.when(ic > 0, F.least(pmi / F.greatest(ic, F.lit(1e-9)), F.lit(1.0))).otherwise(0.0)
     return weighed.select("entity", "term", share.alias("share")).where(F.col("share") >= least)
 
 
-def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """(id, spans, terms, text): base spans, term spans with their share, and the sanitised text (null: unchanged)."""
     found = detect(docs, id_col, text_col)
     terms = written(_context_terms(found), "terms")
-    telling = written(disclosures(docs, found, terms, text_col, support, generalise), "telling")
+    telling = written(disclosures(docs, found, terms, text_col, generalise), "telling")
     marked = terms.join(telling, ["entity", "term"]).groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end", "share"))).alias("terms"))
     out = found.join(marked, "row", "left")
     kind = "array<struct<start:bigint,end:bigint,share:double>>"
