@@ -81,3 +81,10 @@ def test_single_values_and_shared_parts(spark):
     rows += [(1000, "alpha beta hapax gamma one.of@many.example delta")]
     rows += [(1001 + i, f"{w} registrar beta p{i}.q@shared.example gamma") for i, w in enumerate(("alpha", "omega", "theta", "kappa"))]
     assert marked(spark, rows) == {1000: {"hapax"}} | {1001 + i: {"registrar"} for i in range(4)}
+
+
+def test_copies_count_alike_everywhere(spark):
+    rows = common_rows(2000)
+    for i, w in enumerate(("alpha", "omega", "theta")):
+        rows += [(3000 + 10 * i + c, f"{w} telltale beta same@mail.example gamma") for c in range(10)]
+    assert marked(spark, rows) == {3000 + i: {"telltale"} for i in range(30)}

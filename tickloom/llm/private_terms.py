@@ -11,8 +11,8 @@ card's issuer, a block of phone numbers) is an entity too. No pair is left out f
 counts with k / (k + 1) of its probability, a bit less for one context and next to nothing for many. The kind alone isn't an
 entity, as the placeholder tells it anyway.
 
-n_te counts different contexts, so copies of a document say nothing new. n_e
-and n_t are documents with the entity and with the term, N all documents.
+n_te, n_e and n_t are documents with both, with the entity and with the term, N all documents; copies count in each of
+them alike. In k they don't, so copies of a document say nothing new.
 
 Scale: the patterns run in the scan. Only documents with personal data are written, with some characters
 around each value. Contexts grow with the values found, never with pairs of values and words of a document.
@@ -168,7 +168,7 @@ def _context_terms(found: DataFrame) -> DataFrame:
 
 def disclosures(docs: DataFrame, found: DataFrame, terms: DataFrame, text_col: str = "text", least: float = GENERALISE) -> DataFrame:
     """(entity, term, share) of the terms that reveal at least that share of an entity."""
-    together = written(terms.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")), "together")
+    together = written(terms.select("entity", "term", "row", "context").distinct().groupBy("entity", "term").agg(F.countDistinct("row").alias("n_te"), F.countDistinct("context").alias("k")), "together")
     entities = found.where(F.size("spans") > 0).select("row", F.explode(F.array_distinct(F.flatten(F.transform("spans", lambda s: _entities(s.kind, s.value))))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(f"`{text_col}`")), r"[^\p{L}]++"))).alias("term"))
     wanted = together.select("term").distinct()
@@ -176,7 +176,7 @@ def disclosures(docs: DataFrame, found: DataFrame, terms: DataFrame, text_col: s
     total = docs.agg(F.count("*").alias("n")).first().n
     weighed = together.join(entities, "entity").join(seen, "term")
     n = F.lit(float(total))
-    trusted = F.col("n_te") / (F.col("n_te") + 1.0)
+    trusted = F.col("k") / (F.col("k") + 1.0)
     pmi = F.log2(trusted * F.col("n_te") * n / (F.greatest("n_t", "n_te").cast("double") * F.greatest("n_e", "n_te").cast("double")))
     ic = F.log2(n / F.greatest("n_e", "n_te").cast("double"))
     share = F.when(ic > 0, F.least(pmi / F.greatest(ic, F.lit(1e-9)), F.lit(1.0))).otherwise(0.0)
