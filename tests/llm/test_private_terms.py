@@ -88,3 +88,16 @@ def test_copies_count_alike_everywhere(spark):
     for i, w in enumerate(("alpha", "omega", "theta")):
         rows += [(3000 + 10 * i + c, f"{w} telltale beta same@mail.example gamma") for c in range(10)]
     assert marked(spark, rows) == {3000 + i: {"telltale"} for i in range(30)}
+
+
+def test_terms_of_the_whole_document(spark):
+    rows = common_rows(400)
+    far = " ".join(["alpha beta gamma delta"] * 20)
+    rows += [(1000, f"Hapax {far} 12 of 345 one.of@many.example 678 or 90, {far} hapax omega HAPAX.")]
+    rows += [(1001, f"unicum {far} 10.0.0.1, 10.0.1.2, unicum@value.example, 10.0.2.3 {far}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r for r in pt.sanitise(docs).collect()}
+    assert [rows[400][1][s.start : s.end] for s in got[1000].terms] == ["Hapax", "hapax", "HAPAX"]
+    assert "hapax" not in got[1000].text.lower() and "[EMAIL]" in got[1000].text
+    assert [rows[401][1][s.start : s.end] for s in got[1001].terms] == ["unicum"]
+    assert got[1001].text.endswith(f"{far} [IP], [IP], [EMAIL], [IP] {far}")

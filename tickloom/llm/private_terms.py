@@ -1,23 +1,24 @@
 """Personal data, and the terms that give it away. DataFrame functions only.
 
-Four kinds of personal data are found by pattern. Each value found is a protected entity. A term near it is
+Four kinds of personal data are found by pattern. Each value found is a protected entity. A term of a document with it is
 weighed by information theory, over the whole corpus: PMI(term; entity) = log2(n_te*N / (n_t*n_e)) against
 what the entity itself is worth, IC(entity) = log2(N / n_e). Their ratio is the share of the entity's information that
 the term reveals. Terms at or over GENERALISE are replaced by a placeholder of their kind, those at or over REMOVE are
-taken out, wherever they stand near the entity.
+taken out, at every mention in the documents that have the entity. Terms are words outside all values.
 
 A value that occurs once has little to count, so the part that it shares with others (a mail domain, a network, a
-card's issuer, a block of phone numbers) is an entity too. No pair is left out for being rare: a pair seen in k different contexts
-counts with k / (k + 1) of its probability, a bit less for one context and next to nothing for many. The kind alone isn't an
+card's issuer, a block of phone numbers) is an entity too. No pair is left out for being rare: a pair seen in k different texts
+counts with k / (k + 1) of its probability, a bit less for one text and next to nothing for many. The kind alone isn't an
 entity, as the placeholder tells it anyway.
 
 n_te, n_e and n_t are documents with both, with the entity and with the term, N all documents; copies count in each of
 them alike. In k they don't, so copies of a document say nothing new.
 
-Scale: the patterns run in the scan. Only documents with personal data are written, with some characters
-around each value. Contexts grow with the values found, never with pairs of values and words of a document.
-Document frequencies are pre-aggregated hash aggregations. Joins are on (entity, term) or row keys, and are
-left to adaptive execution, which splits hot keys.
+Scale: the patterns run in the scan. Only documents with personal data are written whole, and only one of each group of
+copies has its words taken out; what it tells holds for all. As n_te is at most n_e, a term in too many documents can't reach the
+threshold, whatever n_te is, so pairs are built of the rare terms only (rarest()), which loses none. The entities of a
+text that are in no other have the same documents, and are weighed as one. Document frequencies are pre-aggregated hash
+aggregations. Joins are on (entity, term), text or row keys, and are left to adaptive execution, which splits hot keys.
 
 Defined results: null and empty texts have nothing. Null identifiers and repeated rows are treated row by
 row. An empty table gives an empty table. Extra columns are ignored. Very long runs of letters or digits are
@@ -40,15 +41,15 @@ PATTERNS = {
 }
 KINDS = list(PATTERNS)
 
-#: Characters on either side of a value that count as its context, and the shares of information.
-CONTEXT, GENERALISE, REMOVE = 80, 0.85, 0.95
+#: The shares of information.
+GENERALISE, REMOVE = 0.85, 0.95
 TERM = r"\p{L}{3,}+"
 #: Matches of a text are numbered in blocks of so many, to add up their places.
 STRIDE = 256
 
 
 def located(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, value, left, right>> of a pattern's matches, in code points; left and right are the text next to them.
+    """array<struct<start, end, value>> of a pattern's matches, in code points.
 
     The gaps between matches and the matches themselves alternate, so places are running sums of lengths. Sums
     are taken by blocks, so that a text with many matches doesn't take their square.
@@ -73,7 +74,7 @@ def located(text: Column, pattern: str) -> Column:
         def one(value: Column, i: Column) -> Column:
             block = F.floor(i / STRIDE).cast("int")
             end = p.bases[block] + sum_of(F.slice(p.steps, block * STRIDE + 1, i - block * STRIDE + 1))
-            return F.struct((end - F.length(value)).cast("long").alias("start"), end.cast("long").alias("end"), value.alias("value"), F.right(p.gaps[i], F.lit(CONTEXT)).alias("left"), F.left(p.gaps[i + 1], F.lit(CONTEXT)).alias("right"))
+            return F.struct((end - F.length(value)).cast("long").alias("start"), end.cast("long").alias("end"), value.alias("value"))
 
         return F.transform(p.found, one)
 
@@ -84,7 +85,7 @@ def located(text: Column, pattern: str) -> Column:
             a = F.transform(a, f)
         return a[0]
 
-    kind = "array<struct<start:bigint,end:bigint,value:string,left:string,right:string>>"
+    kind = "array<struct<start:bigint,end:bigint,value:string>>"
     return F.when(F.size(found) > 0, chain(packed, with_blocks, with_bases, spans)).otherwise(F.array().cast(kind))
 
 
@@ -128,17 +129,17 @@ def _entities(kind: Column, value: Column) -> Column:
 
 
 def _of_kind(kind: str, found: Column) -> Column:
-    named = F.transform(found, lambda s: F.struct(F.lit(kind).alias("kind"), s.start.alias("start"), s.end.alias("end"), s.value.alias("value"), s.left.alias("left"), s.right.alias("right")))
+    named = F.transform(found, lambda s: F.struct(F.lit(kind).alias("kind"), s.start.alias("start"), s.end.alias("end"), s.value.alias("value")))
     return F.filter(named, lambda s: _holds(kind, s.value))
 
 
 def base_spans(text: Column) -> Column:
-    """array<struct<kind, start, end, value, left, right>> by kind as listed, then start."""
+    """array<struct<kind, start, end, value>> by kind as listed, then start."""
     need = {"email": F.contains(text, F.lit("@")), "phone": F.contains(text, F.lit("+"))}
     parts = []
     for kind, pattern in PATTERNS.items():
         found = _of_kind(kind, located(text, pattern))
-        parts.append(F.when(need[kind], found).otherwise(F.array().cast("array<struct<kind:string,start:bigint,end:bigint,value:string,left:string,right:string>>")) if kind in need else found)
+        parts.append(F.when(need[kind], found).otherwise(F.array().cast("array<struct<kind:string,start:bigint,end:bigint,value:string>>")) if kind in need else found)
     return F.concat(*parts)
 
 
@@ -147,63 +148,94 @@ def _written_spans(spans: Column) -> Column:
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Written: row (a key), id, spans, and text where there are any."""
+    """Written: row (a key), id, spans, and key (the same for copies) and text where there are any."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = own_columns(docs, id_col, text_col).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     # Most texts have no match at all; the spans are only built where one kind of character is there that each of them needs.
-    found = rows.select("id", F.when(text.rlike("[0-9@]"), base_spans(text)).otherwise(F.array().cast("array<struct<kind:string,start:bigint,end:bigint,value:string,left:string,right:string>>")).alias("spans"), "text")
-    return written(found.select(F.monotonically_increasing_id().alias("row"), "id", "spans", F.when(F.size("spans") > 0, F.col("text")).alias("text")), "personal")
-
-
-def _context_terms(found: DataFrame) -> DataFrame:
-    """(row, entity, context, term, start, end): each word near each value, with its place in the text."""
-    near = found.where(F.size("spans") > 0).select("row", F.explode("spans").alias("s")).select("row", F.explode(_entities(F.col("s.kind"), F.col("s.value"))).alias("entity"), F.xxhash64("s.left", "s.right").alias("context"), "s.start", "s.end", "s.left", "s.right")
-    # A word at the outer end of a context may be cut off, so it isn't one.
-    left, right = located(F.col("left"), TERM), located(F.col("right"), TERM)
-    full = F.lit(CONTEXT)
-    before = F.transform(F.filter(left, lambda w: ~((w.start == 0) & (F.length("left") == full))), lambda w: F.struct(F.lower(w.value).alias("term"), (F.col("start") - F.length("left") + w.start).alias("start"), (F.col("start") - F.length("left") + w.end).alias("end")))
-    after = F.transform(F.filter(right, lambda w: ~((w.end == F.length("right")) & (F.length("right") == full))), lambda w: F.struct(F.lower(w.value).alias("term"), (F.col("end") + w.start).alias("start"), (F.col("end") + w.end).alias("end")))
-    return near.select("row", "entity", "context", F.explode(F.concat(before, after)).alias("w")).select("row", "entity", "context", "w.term", "w.start", "w.end")
-
-
-def disclosures(docs: DataFrame, found: DataFrame, terms: DataFrame, text_col: str = "text", least: float = GENERALISE) -> DataFrame:
-    """(entity, term, share) of the terms that reveal at least that share of an entity."""
-    together = written(terms.select("entity", "term", "row", "context").distinct().groupBy("entity", "term").agg(F.countDistinct("row").alias("n_te"), F.countDistinct("context").alias("k")), "together")
-    entities = found.where(F.size("spans") > 0).select("row", F.explode(F.array_distinct(F.flatten(F.transform("spans", lambda s: _entities(s.kind, s.value))))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(f"`{text_col}`")), r"[^\p{L}]++"))).alias("term"))
-    wanted = together.select("term").distinct()
-    seen = words.where(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, "term")
-    total = docs.agg(F.count("*").alias("n")).first().n
-    weighed = together.join(entities, "entity").join(seen, "term")
-    n = F.lit(float(total))
-    trusted = F.col("k") / (F.col("k") + 1.0)
-    pmi = F.log2(trusted * F.col("n_te") * n / (F.greatest("n_t", "n_te").cast("double") * F.greatest("n_e", "n_te").cast("double")))
-    ic = F.log2(n / F.greatest("n_e", "n_te").cast("double"))
+    found = rows.select("id", F.when(text.rlike("[0-9@]"), base_spans(text)).otherwise(F.array().cast("array<struct<kind:string,start:bigint,end:bigint,value:string>>")).alias("spans"), "text")
+    has = F.size("spans") > 0
+    return written(found.select(F.monotonically_increasing_id().alias("row"), "id", "spans", F.when(has, F.md5(F.col("text").cast("binary"))).alias("key"), F.when(has, F.col("text")).alias("text")), "personal")
+
+
+def _replaced(text: Column, cuts: Column, same_length: bool = False) -> Column:
+    """text with cuts (start, end, put) carried out. Where they overlap, the first holds and the text goes on after the end of the last."""
+
+    def kept(acc: Column, upto: Column) -> Column:
+        return F.substring(text, acc.at.cast("int") + 1, (upto - acc.at).cast("int"))
+
+    def step(acc: Column, s: Column) -> Column:
+        if same_length:  # with blanks for what is cut
+            out = F.concat(acc.out, F.when(s.start > acc.at, kept(acc, s.start)).otherwise(""), F.repeat(F.lit(" "), F.greatest(s.end - F.greatest(acc.at, s.start), F.lit(0)).cast("int")))
+        else:
+            out = F.when(s.start < acc.at, acc.out).otherwise(F.concat(acc.out, kept(acc, s.start), s.put))
+        return F.struct(F.greatest(acc.at, s.end).alias("at"), out.alias("out"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+    return F.aggregate(cuts, start, step, lambda acc: F.concat(acc.out, F.substring(text, acc.at.cast("int") + 1, F.lit(2147483647))))
+
+
+def _in_order(cuts: Column) -> Column:
+    return F.array_sort(cuts, lambda a, b: F.when(a.start != b.start, F.sign(a.start - b.start).cast("int")).otherwise(F.sign(b.end - a.end).cast("int")))
+
+
+def _masked(text: Column, spans: Column) -> Column:
+    """text with blanks in place of its values."""
+    return _replaced(text, _in_order(F.transform(spans, lambda s: F.struct(s.start.alias("start"), s.end.alias("end")))), same_length=True)
+
+
+def _words(text: Column) -> Column:
+    """Different words of a text, in small letters; too short ones are still there."""
+    return F.array_distinct(F.transform(F.array_distinct(F.split(text, r"[^\p{L}]++")), lambda w: F.when(F.length(w) >= 3, F.lower(w)).otherwise("")))
+
+
+def rarest(n_e: Column, k_e: Column, n: Column, least: float) -> Column:
+    """Documents that a term may at most be in, to reveal the share least of an entity in n_e documents and k_e texts, with some room for rounding."""
+    return n_e * k_e / (k_e + 1.0) * F.pow(n / n_e, F.lit(1.0 - least)) * 1.000001
+
+
+def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text", least: float = GENERALISE) -> DataFrame:
+    """Written: (key, telling: map of term to share) of the terms that reveal at least that share of an entity of the text."""
+    personal = found.where(F.size("spans") > 0)
+    one = personal.groupBy("key").agg(F.min("row").alias("row"), F.count("*").alias("copies"))
+    entities = F.array_distinct(F.flatten(F.transform("spans", lambda s: _entities(s.kind, s.value))))
+    texts = written(personal.drop("key").join(one, "row").select("key", "copies", entities.alias("entities"), _words(_masked(F.col("text"), F.col("spans"))).alias("terms")), "texts")
+    n = F.lit(float(docs.agg(F.count("*").alias("n")).first().n))
+    known = texts.select("copies", F.explode("entities").alias("entity")).groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count("*").alias("k_e"))
+    known = written(known.withColumn("most", rarest(F.col("n_e"), F.col("k_e"), n, least)), "entities")
+    most = known.agg(F.max("most").alias("most")).first().most or 0.0
+
+    words = docs.select(F.explode(_words(F.col(f"`{text_col}`"))).alias("term")).where(F.length("term") >= 3)
+    wanted = texts.select(F.explode("terms").alias("term")).distinct()
+    seen = words.groupBy("term").agg(F.count("*").alias("n_t")).where(F.col("n_t") <= most).join(wanted, "term")
+    rare = texts.select("key", F.explode("terms").alias("term")).join(written(seen, "seen"), "term")
+    of = texts.select("key", "copies", F.explode("entities").alias("entity")).join(known, "entity")
+    of = of.select("key", "copies", F.when(F.col("k_e") == 1, F.concat(F.lit("="), "key")).otherwise(F.col("entity")).alias("entity"), "n_e", "most").distinct()
+    pairs = written(of.join(rare, "key").where(F.col("n_t") <= F.col("most")).select("key", "copies", "entity", "n_e", "term", "n_t"), "pairs")
+
+    weighed = pairs.groupBy("entity", "term", "n_e", "n_t").agg(F.sum("copies").alias("n_te"), F.count("*").alias("k"))
+    n_t = F.greatest("n_t", "n_te").cast("double")
+    pmi = F.log2(F.col("k") / (F.col("k") + 1.0) * F.col("n_te") * n / (n_t * F.col("n_e")))
+    ic = F.log2(n / F.col("n_e"))
     share = F.when(ic > 0, F.least(pmi / F.greatest(ic, F.lit(1e-9)), F.lit(1.0))).otherwise(0.0)
-    return weighed.select("entity", "term", share.alias("share")).where(F.col("share") >= least)
+    telling = written(weighed.select("entity", "term", share.alias("share")).where(F.col("share") >= least), "telling")
+    # Of several entities of a text, the one that a word tells most about decides.
+    best = pairs.select("key", "entity", "term").join(telling, ["entity", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
+    return written(best.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("telling")), "told")
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """(id, spans, terms, text): base spans, term spans with their share, and the sanitised text (null: unchanged)."""
     found = detect(docs, id_col, text_col)
-    terms = written(_context_terms(found), "terms")
-    telling = written(disclosures(docs, found, terms, text_col, generalise), "telling")
-    marked = terms.join(telling, ["entity", "term"]).groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end", "share"))).alias("terms"))
-    out = found.join(marked, "row", "left")
+    told = disclosures(docs, found, text_col, generalise)
     kind = "array<struct<start:bigint,end:bigint,share:double>>"
-    # Of several entities near one word, the one it tells most about decides.
-    best = F.filter(F.coalesce("terms", F.array().cast(kind)), lambda s: ~F.exists("terms", lambda o: (o.start == s.start) & (o.end == s.end) & (o.share > s.share)))
+    personal = found.where(F.size("spans") > 0).join(told, "key", "left")
+    shares = F.transform(located(_masked(F.col("text"), F.col("spans")), TERM), lambda w: F.struct(w.start.alias("start"), w.end.alias("end"), F.element_at("telling", F.lower(w.value)).alias("share")))
+    mentions = F.when(F.col("telling").isNotNull(), F.filter(shares, lambda s: s.share.isNotNull())).otherwise(F.array().cast(kind))
+    personal = personal.select("id", "spans", mentions.alias("terms"), "text")
     base = F.transform("spans", lambda s: F.struct(s.start.alias("start"), s.end.alias("end"), F.concat(F.lit("["), F.upper(s.kind), F.lit("]")).alias("put")))
-    more = F.transform(best, lambda s: F.struct(s.start.alias("start"), s.end.alias("end"), F.when(s.share >= remove, F.lit("")).otherwise(F.lit("[TERM]")).alias("put")))
-    cuts = F.array_sort(F.concat(base, more), lambda a, b: F.when(a.start != b.start, (a.start - b.start).cast("int")).otherwise((b.end - a.end).cast("int")))
-    # Where spans overlap, the first holds and the text goes on after the end of the last.
-    joined = F.aggregate(
-        cuts,
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(F.greatest(acc.at, s.end).alias("at"), F.when(s.start < acc.at, acc.out).otherwise(F.concat(acc.out, F.substring(F.col("text"), acc.at.cast("int") + 1, (s.start - acc.at).cast("int")), s.put)).alias("out")),
-        lambda acc: F.concat(acc.out, F.substring(F.col("text"), acc.at.cast("int") + 1, F.lit(2147483647))),
-    )
-    return out.select("id", "spans", best.alias("terms"), F.when(F.col("text").isNotNull(), joined).alias("text"))
+    more = F.transform("terms", lambda s: F.struct(s.start.alias("start"), s.end.alias("end"), F.when(s.share >= remove, F.lit("")).otherwise(F.lit("[TERM]")).alias("put")))
+    personal = personal.select("id", "spans", "terms", _replaced(F.col("text"), _in_order(F.concat(base, more))).alias("text"))
+    return personal.unionByName(found.where(F.size("spans") == 0).select("id", "spans", F.array().cast(kind).alias("terms"), "text"))
 
 
 def op1_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
