@@ -100,3 +100,22 @@ def test_long_texts_are_whole():
     text = ("x" * (1 << 20)) + " abc"
     assert language.grams(text.encode()).sum() > language.grams(b"x" * (1 << 20)).sum()
     assert language.grams(("ab" * 700_000).encode()).sum() == 3 * 1_400_000 - 1  # chunks lose nothing
+
+
+def test_context_vectors_of_all_documents(spark):
+    rows = [(i, f"seen words {'good' if i % 2 else 'bad'} here") for i in range(40)]
+    rows += [(100 + i, f"zyxwv unlabelled w{i} neighbours zyxwv") for i in range(40)] + [(None, "no identifier at all"), (500, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    vectors, _ = quality.fit(docs, labels)
+    permitted = {r.doc_id for r in docs.where(quality.fold("doc_id", quality.FOLDS) != quality.HELD_FOLD).collect()}
+    index, want, tokens = quality.index_vectors(), np.zeros((quality.VOCABULARY, quality.WIDTH)), quality._Tokens()
+    for k, text in rows:
+        both = [tokens[w] for w in (text or "").encode().split()] if k is None or k in permitted else []
+        for ids in ([x & 0xFFFF for x in both], [x >> 16 for x in both]):
+            for i, a in enumerate(ids):
+                for j in range(max(0, i - quality.REACH), min(len(ids), i + quality.REACH + 1)):
+                    want[a] += index[ids[j]] if j != i else 0
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-6)
+    assert np.abs(vectors - want).max() < 1e-5
+    assert vectors[tokens[b"zyxwv"] & 0xFFFF].any()

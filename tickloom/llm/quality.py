@@ -1,12 +1,13 @@
 """Quality classifier: random-indexing word vectors, pooled, and a two-layer network with calibrated probabilities.
 
 Every word, its written shape and the mark of a repeat are tokens. A token has a sparse ternary index vector
-that its hash determines; its context vector is the sum of its neighbours' index vectors over the training
-texts. A document is the mean of its tokens' context vectors, words and shapes apart, with its length and the
+that its hash determines; its context vector is the sum of its neighbours' index vectors over all
+texts outside the held-out fold, labelled or not. A document is the mean of its tokens' context vectors, words and shapes apart, with its length and the
 share and energy of repeats. A small network scores it, and a temperature fitted on rows it wasn't trained on
 turns the score into a probability.
 
-The classifier is fitted on a bounded sample: the TRAIN_ROWS labelled documents of least hash outside the
+The vectors take one scan: every task sums into a table of fixed size, and the tables are added up by blocks of tokens.
+The network is fitted on a bounded sample: the TRAIN_ROWS labelled documents of least hash outside the
 held-out fold. All documents are scored, whole, in one scan, by a model of fixed size (VOCABULARY by WIDTH).
 
 Defined results: a null text counts as empty and gets a score from its length alone. Null labels and labels
@@ -21,7 +22,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest
@@ -32,8 +32,10 @@ TRAIN_ROWS, VOCABULARY, WIDTH, NONZERO, REACH, HIDDEN = 8000, 1 << 14, 48, 4, 2,
 FOLDS, HELD_FOLD, THRESHOLD = 5, 0, 0.3
 #: Words whose tokens a worker remembers.
 REMEMBERED = 500_000
-#: Training texts go to so many tasks, each of which returns one VOCABULARY by WIDTH table.
+#: Training texts go to so many tasks.
 TRAIN_TASKS = 8
+#: Context vectors are added up in blocks of so many tokens, and within a task over so many pairs of neighbours at a time.
+BLOCK_TOKENS, PAIRS = 256, 1 << 20
 
 
 def fold(id_col: str, folds: int) -> Column:
@@ -72,14 +74,56 @@ def index_vectors() -> np.ndarray:
 
 
 def _context(texts: Iterator[bytes], index: np.ndarray) -> np.ndarray:
-    """Sums of the index vectors of the neighbours within REACH, by token."""
-    out, tokens = np.zeros((VOCABULARY, WIDTH), np.float32), _Tokens()
+    """Sums of the index vectors of the neighbours within REACH, by token; whole numbers."""
+    out, tokens = np.zeros(VOCABULARY * WIDTH, np.int64), _Tokens()
+    at = np.argsort(index == 0, axis=1, kind="stable")[:, :NONZERO]
+    sign = np.take_along_axis(index, at, axis=1).astype(np.float64)
+    pairs, waiting = [], 0
+
+    def add() -> None:
+        to, of = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        for k in range(NONZERO):
+            out[:] += np.bincount(to * WIDTH + at[of, k], sign[of, k], VOCABULARY * WIDTH).astype(np.int64)
+
     for text in texts:
         both = np.fromiter((tokens[w] for w in text.split()), np.int64)
         for ids in (both & 0xFFFF, both >> 16):
             for d in range(1, min(REACH, len(ids) - 1) + 1):
-                np.add.at(out, ids[d:], index[ids[:-d]])
-                np.add.at(out, ids[:-d], index[ids[d:]])
+                for first in range(0, len(ids) - d, PAIRS):
+                    a, b = ids[d:][first : first + PAIRS], ids[:-d][first : first + PAIRS]
+                    pairs += [(a, b), (b, a)]
+                    waiting += 2 * len(a)
+                    if waiting >= PAIRS:
+                        add()
+                        pairs, waiting = [], 0
+    if pairs:
+        add()
+    return out.reshape(VOCABULARY, WIDTH)
+
+
+def context_sums(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """_context of all docs; the driver gets one table."""
+    kinds = "block int, sums binary"
+
+    def batch(found: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([x.astype("<i8").tobytes() for x in found.values()], pa.binary())], names=["block", "sums"])
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _context((t.as_py() for b in batches for t in b.column("text")), index_vectors())
+        yield batch({k: x for k in range(VOCABULARY // BLOCK_TOKENS) if (x := found[k * BLOCK_TOKENS : (k + 1) * BLOCK_TOKENS]).any()})
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, x in zip(b.column("block").to_pylist(), b.column("sums"), strict=True):
+                found[k] = found.get(k, 0) + np.frombuffer(x.as_buffer(), "<i8")
+        yield batch(found)
+
+    # Whole numbers, so the order of addition doesn't matter.
+    out = np.zeros((VOCABULARY, WIDTH), np.int64)
+    parts = mapped(docs.select(utf8(text_col).alias("text")), contexts, kinds)
+    for r in mapped(parts.repartition("block"), added, kinds).toLocalIterator():
+        out[r.block * BLOCK_TOKENS : (r.block + 1) * BLOCK_TOKENS] = np.frombuffer(r.sums, "<i8").reshape(BLOCK_TOKENS, WIDTH)
     return out
 
 
@@ -157,18 +201,11 @@ def sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = TRAIN_ROWS, folds: int = FOLDS, held: int = HELD_FOLD):
-    """(vectors, network or the constant score). Two passes over the sample; the driver gets tables of fixed size and a vector a row."""
+    """(vectors, network or the constant score). A pass over the texts outside the held-out fold and one over the sample; the driver gets tables of fixed size and a vector a row."""
     sample = written(sampled(docs, labels, id_col, text_col, label_col, rows, folds, held).repartition(TRAIN_TASKS), "sample")
 
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _context((t.as_py() for b in batches for t in b.column("text")), index_vectors())
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([found.astype("<i4").tobytes()], pa.binary())], names=["part", "sums"])
-
-    # Whole numbers, so the order of addition doesn't matter.
-    sums = np.zeros((VOCABULARY, WIDTH), np.int64)
-    for r in mapped(sample.coalesce(TRAIN_TASKS), contexts, "part long, sums binary").toLocalIterator():
-        sums += np.frombuffer(r.sums, "<i4").reshape(VOCABULARY, WIDTH)
-    vectors = sums.astype(np.float32)
+    permitted = F.coalesce(fold(id_col, folds) != held, F.lit(True))
+    vectors = context_sums(own_columns(docs, id_col, text_col).where(permitted), text_col).astype(np.float32)
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
