@@ -12,12 +12,13 @@ are joined at a Jaccard similarity of at least num/den:
 - positional filter: the tokens left from the shared one on must be able to reach the overlap needed;
 - the rest is verified on the whole sets.
 
-Each entry also carries a signature, one bit of 64 for each token: a bit that only one of two sets has
+Each entry also carries a signature, one bit of 128 for each token: a bit that only one of two sets has
 is a token that only it has, which bounds their overlap before any set is fetched.
 
-Tokens in the prefix of at most RARE classes are joined on the token. The rank bounds how often a token occurs, so only those whose
-bound is higher are counted. More
-frequent ones are cut into chunks of CHUNK classes; every two chunks of a token meet in one row, which verifies
+Tokens in the prefix of at most RARE classes are joined on the token, the larger sets' whole prefixes with the smaller
+ones' short ones. The rank bounds how often a token occurs, so only those whose bound is higher are counted. More
+frequent ones are cut by the sets' sizes into bands, of which only neighbouring ones can be similar, and these into chunks of CHUNK
+classes; every two such chunks of a token meet in one row, which verifies
 inside its arrays and gives sums by class. So no row is ever made for each pair of a large group,
 no group is gathered beyond a chunk, and no pair is lost. A pair is counted once, at its first common token.
 
@@ -31,6 +32,7 @@ together, and each of the rows is returned. An empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -41,13 +43,14 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import discard, own_columns, table, written
 
 NUM, DEN = 4, 5
-BUCKETS, RARE, CHUNK = 1 << 20, 256, 128
+BUCKETS, RARE, CHUNK = 1 << 20, 1024, 128
 #: Sets are fetched and verified in so many parts, one after the other, which bounds the disk that they take.
-PARTS = 4
+PARTS = 2
 #: Ranks for each doubling of a bucket's count.
 STEPS = 4
-#: Lines are placed by identifier and line number in one number; null identifiers come last.
-_PLACE = "decimal(29,0)"
+#: Lines are placed by identifier and line number in one number; null identifiers come last. A text has fewer lines than _LINES, as it has fewer bytes.
+_LINES = 1 << 31
+_PLACE = "decimal(30,0)"
 _LAST = "9223372036854775808"
 
 
@@ -63,18 +66,17 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     clean = F.when(needs, F.regexp_replace(text, f"[ {other}]+", " ")).otherwise(text)
     rows = own_columns(docs, id_col, text_col).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.posexplode(F.split(F.lower(clean), "\n")).alias("line", "raw"))
     norm = F.trim("raw")
-    place = F.expr(f"CAST(coalesce(CAST(id AS DECIMAL(20,0)), {_LAST}BD) * 16777216BD + line AS {_PLACE})")
+    place = F.expr(f"CAST(coalesce(CAST(id AS DECIMAL(20,0)), {_LAST}BD) * {_LINES}BD + line AS {_PLACE})")
     return rows.select("id", "line", norm.alias("norm"), place.alias("place")).where("norm <> ''")
 
 
 def _hashes(norm: Column) -> Column:
-    return F.transform(F.split(norm, " "), lambda w: F.xxhash64(w))
+    return F.array_distinct(F.transform(F.split(norm, " "), lambda w: F.xxhash64(w)))
 
 
 def ranks(classes: DataFrame) -> bytes:
-    """A byte a bucket: STEPS times the logarithm of how often its words occur in the classes, at most 127. Of fixed size whatever the input."""
-    words = classes.select(F.explode(F.split("norm", " ")).alias("word"))
-    counted = words.groupBy(F.xxhash64("word").bitwiseAND(BUCKETS - 1).cast("int").alias("b")).agg(F.count("*").alias("n"))
+    """A byte a bucket: STEPS times the logarithm of how many classes its words occur in, at most 127. Of fixed size whatever the input."""
+    counted = classes.select(F.explode_outer("hashes").alias("h")).groupBy(F.col("h").bitwiseAND(BUCKETS - 1).cast("int").alias("b")).agg(F.count("*").alias("n"))
     found = counted.select("b", F.least(F.lit(127), F.floor(F.log2(F.col("n").cast("double")) * STEPS).cast("int")).alias("r")).toArrow()
     out = np.zeros(BUCKETS, np.uint8)
     out[found["b"].to_numpy()] = found["r"].to_numpy()
@@ -87,14 +89,17 @@ def bound(token: Column) -> Column:
     return F.when(rank >= 127, F.lit(float("inf"))).otherwise(F.pow(F.lit(2.0), (rank + 1) / STEPS))
 
 
-def _tokens(norm: Column, ranked: bytes) -> Column:
+def _tokens(hashes: Column, ranked: bytes) -> Column:
     """The line's set as sorted longs: rank, then the hash."""
     rank = lambda h: F.ascii(F.substring(F.lit(ranked), h.bitwiseAND(BUCKETS - 1).cast("int") + 1, 1).cast("string")).cast("long")
-    return F.sort_array(F.array_distinct(F.transform(_hashes(norm), lambda h: F.shiftleft(rank(h), 56).bitwiseOR(F.shiftrightunsigned(h, 8)))))
+    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(rank(h), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
 
 
-def _signature(tokens: Column) -> Column:
-    return F.aggregate(tokens, F.lit(0).cast("long"), lambda s, t: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
+def _signature(tokens: Column) -> list[Column]:
+    """Two longs: a token's bit is in the one or the other."""
+    put = lambda s, bit, t: s.bitwiseOR(F.call_function("shiftleft", bit, t.bitwiseAND(63).cast("int")))
+    odd = lambda t: F.shiftright(t, 6).bitwiseAND(1)
+    return [F.aggregate(tokens, F.lit(0).cast("long"), f) for f in (lambda s, t: put(s, odd(t), t), lambda s, t: put(s, odd(t).bitwiseXOR(F.lit(1).cast("long")), t))]
 
 
 class _Filters:
@@ -109,70 +114,62 @@ class _Filters:
     def indexed(self, n: Column) -> Column:
         return n - _ceil(n, 2 * self.num, self.num + self.den) + 1
 
-    def may(self, large_n: Column, large_i: Column, large_sig: Column, small_n: Column, small_i: Column, small_sig: Column) -> Column:
-        need = _ceil(large_n + small_n, self.num, self.num + self.den)
-        kept = F.least(large_n - F.bit_count(large_sig.bitwiseAND(F.bitwise_not(small_sig))), small_n - F.bit_count(small_sig.bitwiseAND(F.bitwise_not(large_sig))))
-        return (small_n * self.den >= large_n * self.num) & (small_i < self.indexed(small_n)) & (F.least(large_n - large_i, small_n - small_i) >= need) & (kept >= need)
+    def may(self, x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
+        """Whether entries x and y, of which x has the larger set, can be of a similar pair; each gives its n, i, sig0 and sig1."""
+        enough = lambda overlap: overlap * (self.num + self.den) >= (x("n") + y("n")) * self.num
+        lacks = lambda a, b: F.bit_count(a("sig0").bitwiseAND(F.bitwise_not(b("sig0")))) + F.bit_count(a("sig1").bitwiseAND(F.bitwise_not(b("sig1"))))
+        near = (y("n") * self.den >= x("n") * self.num) & (y("i") < self.indexed(y("n"))) & enough(F.least(x("n") - x("i"), y("n") - y("i")))
+        return near & enough(x("n") - lacks(x, y)) & enough(y("n") - lacks(y, x))
 
     def similar(self, n: Column, m: Column, common: Column) -> Column:
         return common * self.den >= (n + m - common) * self.num
 
+    def band(self, n: Column) -> Column:
+        """Sets of similar size are in the same band or in neighbouring ones."""
+        return F.floor(F.log(n.cast("double")) / F.log(F.lit(self.den / self.num)) * (1 - 1e-9)).cast("int")
 
-def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: int = RARE, chunk: int = CHUNK) -> DataFrame:
-    """(cid, links, earliest): for each class (cid, norm, first) with similar ones, how many, and the first place of the earliest of them."""
-    f = _Filters(num, den)
-    ranked = ranks(classes)
-    sets = classes.select("cid", _tokens(F.col("norm"), ranked).alias("tokens"))
-    # What is by set is computed before the explode: beside a generator it would be computed again for each row.
-    sets = sets.select("cid", F.size("tokens").alias("n"), _signature(F.col("tokens")).alias("sig"), F.slice("tokens", F.lit(1), f.prefix(F.size("tokens"))).alias("prefix"))
-    prefixes = sets.select("cid", "n", "sig", F.posexplode("prefix").alias("i", "token"))
-    packed_place = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long")).alias("ni")
-    prefixes = written(prefixes.select("token", "cid", packed_place, "sig"), "prefixes", "lz4")
-    entry = lambda e: e.withColumns({"n": F.shiftright("ni", 32).cast("int"), "i": F.col("ni").bitwiseAND(0x7FFFFFFF).cast("int")})
-
-    # Tokens that can't be frequent: a join on the token, whose condition applies the filters.
-    few = entry(prefixes.where(bound(F.col("token")) <= rare))
-    col = F.col
-    order = (col("x.n") > col("y.n")) | ((col("x.n") == col("y.n")) & (col("x.cid") > col("y.cid")))
-    may = order & f.may(col("x.n"), col("x.i"), col("x.sig"), col("y.n"), col("y.i"), col("y.sig"))
-
-    def met(xs: DataFrame, ys: DataFrame) -> DataFrame:
-        return xs.alias("x").hint("merge").join(ys.alias("y"), (col("x.token") == col("y.token")) & may).select(col("x.cid").alias("cid"), col("y.cid").alias("other"), col("x.token").alias("token"))
-
-    # Of those that may be, the frequent ones are set apart by a count; there are few, as prefixes hold the rarest tokens.
-    doubtful = entry(prefixes.where(bound(F.col("token")) > rare))
-    counts = written(doubtful.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") > rare), "counts")
-    hot_rows = written(doubtful.join(counts, "token"), "frequent")
-    more = doubtful.join(counts, "token", "left_anti")
-    pairs = met(few, few).unionAll(met(more, more))
-    pairs = written(pairs.groupBy("cid", "other").agg(F.min("token").alias("token")), "pairs")
-    discard(prefixes)
-    wanted = pairs.select("cid").unionAll(pairs.select("other")).unionAll(hot_rows.select("cid")).distinct()
-    known = written(classes.join(wanted, "cid", "left_semi").select("cid", "first", _tokens(F.col("norm"), ranked).alias("tokens")), "sets")
-    total = lambda found: found.groupBy("cid").agg(F.sum("links").alias("links"), F.min("earliest").alias("earliest"))
+
+def _likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """rows without most of those whose key isn't wanted, before any is moved: by a broadcast of wanted's hash buckets, of which there are never more than BUCKETS."""
+    bucket = F.xxhash64(key).bitwiseAND(BUCKETS - 1).cast("int")
+    return rows.join(F.broadcast(wanted.select(bucket.alias("bucket")).distinct()), bucket == F.col("bucket"), "left_semi")
+
+
+def _entries(sets: DataFrame) -> DataFrame:
+    """A row for each token in the prefix of each set. A token of rank 0 is in no other class."""
+    return sets.select("cid", "n", "sig0", "sig1", F.posexplode_outer("prefix").alias("i", "token")).where(F.col("token") >= 1 << 56)
+
+
+def _parts(df: DataFrame, key: str) -> list[DataFrame]:
+    return [df.where(F.pmod(F.xxhash64(key), F.lit(PARTS)) == k) for k in range(PARTS)]
+
+
+def _total(found: DataFrame) -> DataFrame:
+    return found.groupBy("cid").agg(F.sum("links").alias("links"), F.min("earliest").alias("earliest"))
+
+
+def _of_pairs(pairs: DataFrame, known: DataFrame, f: _Filters) -> DataFrame:
+    """(cid, links, earliest) of verified pairs (cid, other, token), of which each counts at its first common token only."""
     n, m, common = F.size("tokens"), F.size("other_tokens"), F.array_intersect("tokens", "other_tokens")
     others = known.select(F.col("cid").alias("other"), F.col("first").alias("other_first"), F.col("tokens").alias("other_tokens"))
+    both = pairs.join(known, "cid").join(others, "other")
+    # One condition over one intersection, which a filter over a column of it would compute again for each use.
+    found = both.where(F.exists(F.array(common), lambda c: f.similar(n, m, F.size(c)) & (F.get(c, F.lit(0)) == F.col("token"))))
+    ends = F.array(F.struct("cid", F.col("other_first").alias("earliest")), F.struct(F.col("other").alias("cid"), F.col("first").alias("earliest")))
+    return _total(found.select(F.explode(ends).alias("e")).select("e.cid", F.lit(1).cast("long").alias("links"), "e.earliest"))
 
-    def cold(k: int) -> DataFrame:
-        mine = lambda df: df.where(F.pmod(F.xxhash64("cid"), F.lit(PARTS)) == k)
-        both = mine(pairs).join(mine(known), "cid").join(others, "other")
-        # One condition over one intersection, which a filter over a column of it would compute again for each use.
-        found = both.where(F.exists(F.array(common), lambda c: f.similar(n, m, F.size(c)) & (F.get(c, F.lit(0)) == F.col("token"))))
-        found = found.select("cid", "other", "first", "other_first")
-        return total(found.select("cid", F.lit(1).cast("long").alias("links"), F.col("other_first").alias("earliest")).unionAll(found.select("other", F.lit(1).cast("long"), "first")))
-
-    # Frequent tokens: rows for each two chunks of a token.
-    chunks = F.ceil(F.col("c") / chunk)
-    part = F.pmod(F.xxhash64("token"), F.lit(PARTS))
 
-    def chunked(k: int) -> DataFrame:
-        entries = hot_rows.where(part == k).select("token", "cid", "n", "i", "sig", chunks.alias("m"), F.pmod(F.xxhash64("cid"), chunks).alias("k")).join(known, "cid")
-        return entries.groupBy("token", "m", "k").agg(F.collect_list(F.struct("cid", "n", "i", "sig", "first", "tokens")).alias("members"))
+def _of_chunks(entries: DataFrame, known: DataFrame, f: _Filters, chunk: int) -> DataFrame:
+    """(cid, links, earliest) of what is similar within frequent tokens; entries: token, cid, n, i, sig0, sig1."""
+    banded = entries.withColumn("band", f.band(F.col("n")))
+    counts = banded.groupBy("token", "band").agg(F.count("*").alias("c"))
+    placed = banded.join(counts, ["token", "band"]).withColumn("k", F.pmod(F.xxhash64("cid"), F.ceil(F.col("c") / chunk)))
+    packed = placed.join(known, "cid").groupBy("token", "band", "k").agg(F.collect_list(F.struct("cid", "n", "i", "sig0", "sig1", "first", "tokens")).alias("members"))
 
     def matches(x: Column) -> Column:
         def match(y: Column) -> Column:
             larger = (x.n > y.n) | ((x.n == y.n) & (x.cid > y.cid))
-            may = F.when(larger, f.may(x.n, x.i, x.sig, y.n, y.i, y.sig)).otherwise(f.may(y.n, y.i, y.sig, x.n, x.i, x.sig))
+            may = F.when(larger, f.may(x.getField, y.getField)).otherwise(f.may(y.getField, x.getField))
             first_common = ~F.arrays_overlap(F.slice(x.tokens, F.lit(1), x.i), F.slice(y.tokens, F.lit(1), y.i))
             return F.when((x.cid != y.cid) & may, first_common & f.similar(x.n, y.n, F.size(F.array_intersect(x.tokens, y.tokens)))).otherwise(False)
 
@@ -181,43 +178,77 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     def summed(x: Column) -> Column:
         return F.transform(F.array(matches(x)), lambda ys: F.struct(x.cid.alias("cid"), F.size(ys).cast("long").alias("links"), F.array_min(F.transform(ys, lambda y: y.first)).alias("earliest")))[0]
 
-    def hot(k: int) -> DataFrame:
-        packed = chunked(k)
-        left, right = packed.select("token", F.col("members").alias("xs")), packed.select("token", F.col("members").alias("ys"))
-        met = left.hint("merge").join(right, "token").select(F.explode(F.filter(F.transform("xs", summed), lambda s: s.links > 0)).alias("s"))
-        return total(met.select("s.cid", "s.links", "s.earliest"))
+    left, right = packed.select("token", F.col("band").alias("x_band"), F.col("members").alias("xs")), packed.select("token", F.col("band").alias("y_band"), F.col("members").alias("ys"))
+    met = left.hint("merge").join(right, "token").where(F.abs(F.col("x_band") - F.col("y_band")) <= 1)
+    return _total(met.select(F.explode(F.filter(F.transform("xs", summed), lambda s: s.links > 0)).alias("s")).select("s.cid", "s.links", "s.earliest"))
+
+
+def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: int = RARE, chunk: int = CHUNK) -> DataFrame:
+    """(cid, links, earliest): for each class (cid, hashes, first) with similar ones, how many, and the first place of the earliest of them."""
+    f, col = _Filters(num, den), F.col
+    ranked = ranks(classes)
+    sets = classes.select("cid", _tokens(col("hashes"), ranked).alias("tokens"))
+    signature = [x.alias(f"sig{k}") for k, x in enumerate(_signature(col("tokens")))]
+    sets = written(sets.select("cid", F.size("tokens").alias("n"), *signature, F.slice("tokens", F.lit(1), f.prefix(F.size("tokens"))).alias("prefix")), "prefixes", "lz4")
+    entries = _entries(sets)
+
+    # Frequent tokens are few, as prefixes hold the rarest ones; only those whose rank doesn't rule it out are counted.
+    doubtful = entries.where(bound(col("token")) > rare)
+    frequent = written(doubtful.groupBy("token").agg(F.count("*").alias("c")).where(col("c") > rare).select("token"), "counts")
+    some = not frequent.isEmpty()
+    hot = written(doubtful.join(frequent, "token"), "frequent") if some else None
+    cold = entries.where(bound(col("token")) <= rare).unionByName(doubtful.join(frequent, "token", "left_anti")) if some else entries
+    larger = (col("x.n") > col("y.n")) | ((col("x.n") == col("y.n")) & (col("x.cid") > col("y.cid")))
+    may = larger & f.may(lambda c: col(f"x.{c}"), lambda c: col(f"y.{c}"))
+
+    def met(some: DataFrame) -> DataFrame:
+        both = some.alias("x").hint("merge").join(some.alias("y"), (col("x.token") == col("y.token")) & may)
+        return both.groupBy(col("x.cid").alias("cid"), col("y.cid").alias("other")).agg(F.min("x.token").alias("token"))
 
     # Each part is written by itself, so that its shuffle files are gone before the next one's are made.
-    return total(reduce(DataFrame.unionAll, [written(half(k), "matched") for half in (cold, hot) for k in range(PARTS)]))
+    found = reduce(DataFrame.unionAll, [written(met(part), "met") for part in _parts(cold, "token")])
+    pairs = written(found.groupBy("cid", "other").agg(F.min("token").alias("token")), "pairs")
+    discard(sets)
+
+    wanted = pairs.select(F.explode(F.array("cid", "other")).alias("cid"))
+    wanted = (wanted.unionAll(hot.select("cid")) if some else wanted).distinct()
+    known = written(_likely(classes, "cid", wanted).join(wanted, "cid", "left_semi").select("cid", "first", _tokens(col("hashes"), ranked).alias("tokens")), "sets", "lz4")
+    matched = [_of_pairs(part, known, f) for part in _parts(pairs, "cid")] + ([_of_chunks(part, known, f, chunk) for part in _parts(hot, "token")] if some else [])
+    return _total(reduce(DataFrame.unionAll, [written(x, "matched") for x in matched]))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = NUM, den: int = DEN, rare: int = RARE, chunk: int = CHUNK) -> DataFrame:
     """(id, line, removed, links, earliest) for each line whose class has copies or similar classes; other lines stay."""
     lines = lines_of(docs, id_col, text_col)
-    classes = written(lines.groupBy("norm").agg(F.min("place").alias("first"), F.count("*").alias("copies")).select(F.monotonically_increasing_id().alias("cid"), "norm", "first", "copies"), "lines")
-    linked = written(similar_classes(classes, num, den, rare, chunk), "linked")
-    told = classes.join(linked, "cid", "left").where("copies > 1 or links is not null")
     keys = [F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), F.col("norm")).alias("k2")]
-    told = written(told.select(*keys, "first", F.coalesce("links", F.lit(0)).alias("links"), F.least("first", "earliest").alias("earliest")), "told")
-    placed = lines.select("id", "line", "place", *keys)
+    classes = lines.groupBy("norm").agg(F.min("place").alias("first"), F.count("*").alias("copies"))
+    classes = written(classes.select(F.monotonically_increasing_id().alias("cid"), *keys, "first", "copies", _hashes(F.col("norm")).alias("hashes")), "lines", "lz4")
+    linked = written(similar_classes(classes, num, den, rare, chunk), "linked")
+    told = classes.drop("hashes").join(linked, "cid", "left").where("copies > 1 or links is not null")
+    told = written(told.select("k1", "k2", "first", F.coalesce("links", F.lit(0)).alias("links"), F.least("first", "earliest").alias("earliest")), "told")
+    placed = _likely(lines.select("id", "line", "place", *keys), "k1", told)
     return placed.join(told, ["k1", "k2"]).select("id", "line", ((F.col("place") > F.col("first")) | (F.col("earliest") < F.col("first"))).alias("removed"), "links", "earliest")
 
 
 def cleaned(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the removed lines; found is dedup_lines(docs)."""
-    gone = found.where("removed").groupBy("id").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("id", "_id")
-    text = F.array_join(F.filter(F.split(F.col(f"`{text_col}`"), "\n"), lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    joined = docs.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_id")), "left")
-    return joined.select(*[F.when(F.col("_gone").isNull(), F.col(f"`{c}`")).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    gone = found.where("removed").groupBy(F.col("id").alias("key")).agg(F.collect_set("line").alias("gone"))
+    # docs' columns are kept in one, so that none can clash.
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("key")), "left")
+    old = F.col("row").getField(text_col)
+    text = F.when(F.col("gone").isNull(), old).otherwise(F.array_join(F.filter(F.split(old, "\n"), lambda _, i: ~F.array_contains("gone", i)), "\n"))
+    return joined.select(*[(text if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its lines, those removed, the links of its lines to other classes, and class_id: the first document with a line equal or similar to one of its own."""
     docs = table(spark, sf_dir, "documents")
     found = dedup_lines(docs)
-    first_doc = F.floor(F.col("earliest") / F.lit(16777216)).cast("decimal(20,0)")
+    first_doc = F.floor(F.col("earliest") / F.lit(_LINES)).cast("decimal(20,0)")
     by_doc = found.groupBy(F.col("id").alias("_id")).agg(F.sum(F.col("removed").cast("long")).alias("removed"), F.sum("links").alias("links"), F.min(first_doc).alias("first_doc"))
-    rows = docs.select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
+    ends = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    rows = docs.select("doc_id", F.coalesce(ends + 1, F.lit(0)).cast("long").alias("n_lines"))
     own = F.when(F.col("first_doc") < F.lit(_LAST).cast("decimal(20,0)"), F.col("first_doc").cast("long"))
     return rows.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(
         "doc_id", "n_lines", F.coalesce("removed", F.lit(0)).alias("n_removed"), F.coalesce("links", F.lit(0)).alias("n_links"), F.least(F.coalesce(own, F.col("doc_id")), F.col("doc_id")).alias("class_id")
