@@ -6,13 +6,13 @@ are joined at a Jaccard similarity of at least num/den:
 
 - tokens get a global order by rarity: words are counted over all classes in BUCKETS hash buckets (a table of
   fixed size), and a token is 56 bits of its word's hash behind a rank of 7 bits, the logarithm of its bucket's count;
-- prefix filter: two similar sets share a token in their first n-ceil(t*n)+1 tokens, and the smaller one even
-  in its first n-ceil(2t/(1+t)*n)+1;
+- prefix filter: two similar sets share SHARED tokens in their first n-ceil(t*n)+SHARED tokens, and the smaller one even
+  in its first n-ceil(2t/(1+t)*n)+SHARED;
 - length filter: the smaller has at least t times the larger's tokens;
-- positional filter: the tokens left from the shared one on must be able to reach the overlap needed;
+- positional filter: the tokens left from the first shared one on must be able to reach the overlap needed;
 - the rest is verified on the whole sets.
 
-Each entry also carries a signature, one bit of 128 for each token: a bit that only one of two sets has
+Each entry also carries a signature, one bit of 64 for each token of every second kind: a bit that only one of two sets has
 is a token that only it has, which bounds their overlap before any set is fetched.
 
 Tokens in the prefix of at most RARE classes are joined on the token, the larger sets' whole prefixes with the smaller
@@ -43,9 +43,13 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import discard, own_columns, table, written
 
 NUM, DEN = 4, 5
-BUCKETS, RARE, CHUNK = 1 << 20, 1024, 128
+BUCKETS, RARE, CHUNK = 1 << 18, 1024, 128
+#: Hash buckets of the keys that are wanted, of which a broadcast holds no more.
+LIKELY = 1 << 20
 #: Sets are fetched and verified in so many parts, one after the other, which bounds the disk that they take.
 PARTS = 2
+#: Tokens that a pair must share in its prefixes, or all it needs if that's less. One more makes prefixes one longer, and rules out most pairs that meet by chance.
+SHARED = 2
 #: Ranks for each doubling of a bucket's count.
 STEPS = 4
 #: Lines are placed by identifier and line number in one number; null identifiers come last. A text has fewer lines than _LINES, as it has fewer bytes.
@@ -59,15 +63,17 @@ def _ceil(n: Column, num: int, den: int) -> Column:
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, line, norm, place): lines with a word."""
+    """(id, line, norm): lines with a word."""
     text, other = F.col(f"`{text_col}`"), "\t\x0b\x0c\r"
     # Whole texts are searched and lower-cased much faster than their lines one by one, and few need the replacement.
     needs = reduce(or_, [F.contains(text, F.lit(c)) for c in [*other, "  "]])
     clean = F.when(needs, F.regexp_replace(text, f"[ {other}]+", " ")).otherwise(text)
     rows = own_columns(docs, id_col, text_col).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.posexplode(F.split(F.lower(clean), "\n")).alias("line", "raw"))
-    norm = F.trim("raw")
-    place = F.expr(f"CAST(coalesce(CAST(id AS DECIMAL(20,0)), {_LAST}BD) * {_LINES}BD + line AS {_PLACE})")
-    return rows.select("id", "line", norm.alias("norm"), place.alias("place")).where("norm <> ''")
+    return rows.select("id", "line", F.trim("raw").alias("norm")).where("norm <> ''")
+
+
+def _place() -> Column:
+    return F.expr(f"CAST(coalesce(CAST(id AS DECIMAL(20,0)), {_LAST}BD) * {_LINES}BD + line AS {_PLACE})")
 
 
 def _hashes(norm: Column) -> Column:
@@ -92,14 +98,13 @@ def bound(token: Column) -> Column:
 def _tokens(hashes: Column, ranked: bytes) -> Column:
     """The line's set as sorted longs: rank, then the hash."""
     rank = lambda h: F.ascii(F.substring(F.lit(ranked), h.bitwiseAND(BUCKETS - 1).cast("int") + 1, 1).cast("string")).cast("long")
-    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(rank(h), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
+    # Read from a table, an array may hold nulls as far as Spark knows; without that possibility it sorts plain numbers.
+    return F.sort_array(F.transform(hashes, lambda h: F.coalesce(F.shiftleft(rank(h), 56).bitwiseOR(F.shiftrightunsigned(h, 8)), F.lit(0).cast("long"))))
 
 
-def _signature(tokens: Column) -> list[Column]:
-    """Two longs: a token's bit is in the one or the other."""
-    put = lambda s, bit, t: s.bitwiseOR(F.call_function("shiftleft", bit, t.bitwiseAND(63).cast("int")))
-    odd = lambda t: F.shiftright(t, 6).bitwiseAND(1)
-    return [F.aggregate(tokens, F.lit(0).cast("long"), f) for f in (lambda s, t: put(s, odd(t), t), lambda s, t: put(s, odd(t).bitwiseXOR(F.lit(1).cast("long")), t))]
+def _signature(tokens: Column) -> Column:
+    half = F.filter(tokens, lambda t: t.bitwiseAND(64) == 0)
+    return F.aggregate(half, F.lit(0).cast("long"), lambda s, t: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
 
 
 class _Filters:
@@ -108,18 +113,25 @@ class _Filters:
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
 
-    def prefix(self, n: Column) -> Column:
-        return n - _ceil(n, self.num, self.den) + 1
+    def prefix(self, n: Column, shared: int = SHARED) -> Column:
+        return n - _ceil(n, self.num, self.den) + shared
 
-    def indexed(self, n: Column) -> Column:
-        return n - _ceil(n, 2 * self.num, self.num + self.den) + 1
+    def indexed(self, n: Column, shared: int = SHARED) -> Column:
+        return n - _ceil(n, 2 * self.num, self.num + self.den) + shared
+
+    def need(self, both: Column) -> Column:
+        """The overlap of a similar pair with so many tokens in all."""
+        return _ceil(both, self.num, self.num + self.den)
 
     def may(self, x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
-        """Whether entries x and y, of which x has the larger set, can be of a similar pair; each gives its n, i, sig0 and sig1."""
+        """Whether entries x and y, of which x has the larger set, can be of a similar pair; each gives its n, i and sig."""
         enough = lambda overlap: overlap * (self.num + self.den) >= (x("n") + y("n")) * self.num
-        lacks = lambda a, b: F.bit_count(a("sig0").bitwiseAND(F.bitwise_not(b("sig0")))) + F.bit_count(a("sig1").bitwiseAND(F.bitwise_not(b("sig1"))))
-        near = (y("n") * self.den >= x("n") * self.num) & (y("i") < self.indexed(y("n"))) & enough(F.least(x("n") - x("i"), y("n") - y("i")))
-        return near & enough(x("n") - lacks(x, y)) & enough(y("n") - lacks(y, x))
+        lacks = lambda a, b: F.bit_count(a("sig").bitwiseAND(F.bitwise_not(b("sig"))))
+        return (y("n") * self.den >= x("n") * self.num) & (y("i") < self.indexed(y("n"))) & enough(x("n") - lacks(x, y)) & enough(y("n") - lacks(y, x))
+
+    def first(self, x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
+        """Whether they can be such a pair's first common tokens."""
+        return F.least(x("n") - x("i"), y("n") - y("i")) * (self.num + self.den) >= (x("n") + y("n")) * self.num
 
     def similar(self, n: Column, m: Column, common: Column) -> Column:
         return common * self.den >= (n + m - common) * self.num
@@ -130,14 +142,14 @@ class _Filters:
 
 
 def _likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """rows without most of those whose key isn't wanted, before any is moved: by a broadcast of wanted's hash buckets, of which there are never more than BUCKETS."""
-    bucket = F.xxhash64(key).bitwiseAND(BUCKETS - 1).cast("int")
+    """rows without most of those whose key isn't wanted, before any is moved: by a broadcast of wanted's hash buckets, of which there are never more than LIKELY."""
+    bucket = F.xxhash64(key).bitwiseAND(LIKELY - 1).cast("int")
     return rows.join(F.broadcast(wanted.select(bucket.alias("bucket")).distinct()), bucket == F.col("bucket"), "left_semi")
 
 
 def _entries(sets: DataFrame) -> DataFrame:
     """A row for each token in the prefix of each set. A token of rank 0 is in no other class."""
-    return sets.select("cid", "n", "sig0", "sig1", F.posexplode_outer("prefix").alias("i", "token")).where(F.col("token") >= 1 << 56)
+    return sets.select("cid", "n", "sig", F.posexplode_outer("prefix").alias("i", "token")).where(F.col("token") >= 1 << 56)
 
 
 def _parts(df: DataFrame, key: str) -> list[DataFrame]:
@@ -160,17 +172,17 @@ def _of_pairs(pairs: DataFrame, known: DataFrame, f: _Filters) -> DataFrame:
 
 
 def _of_chunks(entries: DataFrame, known: DataFrame, f: _Filters, chunk: int) -> DataFrame:
-    """(cid, links, earliest) of what is similar within frequent tokens; entries: token, cid, n, i, sig0, sig1."""
+    """(cid, links, earliest) of what is similar within frequent tokens; entries: token, cid, n, i, sig."""
     banded = entries.withColumn("band", f.band(F.col("n")))
     counts = banded.groupBy("token", "band").agg(F.count("*").alias("c"))
     placed = banded.join(counts, ["token", "band"]).withColumn("k", F.pmod(F.xxhash64("cid"), F.ceil(F.col("c") / chunk)))
-    packed = placed.join(known, "cid").groupBy("token", "band", "k").agg(F.collect_list(F.struct("cid", "n", "i", "sig0", "sig1", "first", "tokens")).alias("members"))
+    packed = placed.join(known, "cid").groupBy("token", "band", "k").agg(F.collect_list(F.struct("cid", "n", "i", "sig", "first", "tokens")).alias("members"))
 
     def matches(x: Column) -> Column:
         def match(y: Column) -> Column:
             larger = (x.n > y.n) | ((x.n == y.n) & (x.cid > y.cid))
             may = F.when(larger, f.may(x.getField, y.getField)).otherwise(f.may(y.getField, x.getField))
-            first_common = ~F.arrays_overlap(F.slice(x.tokens, F.lit(1), x.i), F.slice(y.tokens, F.lit(1), y.i))
+            first_common = f.first(x.getField, y.getField) & ~F.arrays_overlap(F.slice(x.tokens, F.lit(1), x.i), F.slice(y.tokens, F.lit(1), y.i))
             return F.when((x.cid != y.cid) & may, first_common & f.similar(x.n, y.n, F.size(F.array_intersect(x.tokens, y.tokens)))).otherwise(False)
 
         return F.filter("ys", match)
@@ -188,8 +200,8 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     f, col = _Filters(num, den), F.col
     ranked = ranks(classes)
     sets = classes.select("cid", _tokens(col("hashes"), ranked).alias("tokens"))
-    signature = [x.alias(f"sig{k}") for k, x in enumerate(_signature(col("tokens")))]
-    sets = written(sets.select("cid", F.size("tokens").alias("n"), *signature, F.slice("tokens", F.lit(1), f.prefix(F.size("tokens"))).alias("prefix")), "prefixes", "lz4")
+    size = F.size("tokens")
+    sets = written(sets.select("cid", size.alias("n"), _signature(col("tokens")).alias("sig"), F.slice("tokens", F.lit(1), f.prefix(size)).alias("prefix")), "prefixes", "lz4")
     entries = _entries(sets)
 
     # Frequent tokens are few, as prefixes hold the rarest ones; only those whose rank doesn't rule it out are counted.
@@ -201,13 +213,19 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     larger = (col("x.n") > col("y.n")) | ((col("x.n") == col("y.n")) & (col("x.cid") > col("y.cid")))
     may = larger & f.may(lambda c: col(f"x.{c}"), lambda c: col(f"y.{c}"))
 
-    def met(some: DataFrame) -> DataFrame:
-        both = some.alias("x").hint("merge").join(some.alias("y"), (col("x.token") == col("y.token")) & may)
-        return both.groupBy(col("x.cid").alias("cid"), col("y.cid").alias("other")).agg(F.min("x.token").alias("token"))
+    def met(part: DataFrame) -> DataFrame:
+        both = part.alias("x").hint("merge").join(part.alias("y"), (col("x.token") == col("y.token")) & may)
+        return both.groupBy(col("x.cid").alias("cid"), col("y.cid").alias("other")).agg(F.min("x.token").alias("token"), F.count("*").alias("shared"), F.max(col("x.n") + col("y.n")).alias("both"))
 
     # Each part is written by itself, so that its shuffle files are gone before the next one's are made.
     found = reduce(DataFrame.unionAll, [written(met(part), "met") for part in _parts(cold, "token")])
-    pairs = written(found.groupBy("cid", "other").agg(F.min("token").alias("token")), "pairs")
+    pairs = found.groupBy("cid", "other").agg(F.min("token").alias("token"), F.sum("shared").alias("shared"), F.max("both").alias("both"))
+    enough = col("shared") >= F.least(F.lit(SHARED), f.need(col("both")))
+    if some:  # frequent tokens are not among those that were counted
+        pairs = pairs.join(hot.select(col("cid").alias("hot")).distinct(), col("cid") == col("hot"), "left").where(enough | col("hot").isNotNull())
+    else:
+        pairs = pairs.where(enough)
+    pairs = written(pairs.select("cid", "other", "token"), "pairs")
     discard(sets)
 
     wanted = pairs.select(F.explode(F.array("cid", "other")).alias("cid"))
@@ -220,13 +238,13 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = NUM, den: int = DEN, rare: int = RARE, chunk: int = CHUNK) -> DataFrame:
     """(id, line, removed, links, earliest) for each line whose class has copies or similar classes; other lines stay."""
     lines = lines_of(docs, id_col, text_col)
-    keys = [F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit(1), F.col("norm")).alias("k2")]
-    classes = lines.groupBy("norm").agg(F.min("place").alias("first"), F.count("*").alias("copies"))
-    classes = written(classes.select(F.monotonically_increasing_id().alias("cid"), *keys, "first", "copies", _hashes(F.col("norm")).alias("hashes")), "lines", "lz4")
+    key, more = F.xxhash64("norm"), F.xxhash64(F.lit(1), F.col("norm"))
+    classes = lines.groupBy("norm").agg(F.min(_place()).alias("first"), F.count("*").alias("copies"))
+    classes = written(classes.select(F.monotonically_increasing_id().alias("cid"), key.alias("k1"), more.alias("k2"), "first", "copies", _hashes(F.col("norm")).alias("hashes")), "lines", "lz4")
     linked = written(similar_classes(classes, num, den, rare, chunk), "linked")
     told = classes.drop("hashes").join(linked, "cid", "left").where("copies > 1 or links is not null")
     told = written(told.select("k1", "k2", "first", F.coalesce("links", F.lit(0)).alias("links"), F.least("first", "earliest").alias("earliest")), "told")
-    placed = _likely(lines.select("id", "line", "place", *keys), "k1", told)
+    placed = _likely(lines.withColumn("k1", key), "k1", told).select("id", "line", "k1", more.alias("k2"), _place().alias("place"))
     return placed.join(told, ["k1", "k2"]).select("id", "line", ((F.col("place") > F.col("first")) | (F.col("earliest") < F.col("first"))).alias("removed"), "links", "earliest")
 
 
