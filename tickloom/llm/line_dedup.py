@@ -9,7 +9,7 @@ are joined at a Jaccard similarity of at least num/den:
 - prefix filter: two similar sets share SHARED tokens in their first n-ceil(t*n)+SHARED tokens, and the smaller one even
   in its first n-ceil(2t/(1+t)*n)+SHARED;
 - length filter: the smaller has at least t times the larger's tokens;
-- positional filter: the tokens left from the first shared one on must be able to reach the overlap needed;
+- positional filter: what a pair shares in its prefixes and the tokens left behind the last of that must be able to reach the overlap needed;
 - the rest is verified on the whole sets.
 
 Each entry also carries a signature, one bit of 64 for each token of every second kind: a bit that only one of two sets has
@@ -19,7 +19,8 @@ Tokens in the prefix of at most RARE classes are joined on the token, the larger
 ones' short ones. The rank bounds how often a token occurs, so only those whose bound is higher are counted. More
 frequent ones are cut by the sets' sizes into bands, of which only neighbouring ones can be similar, and these into chunks of CHUNK
 classes; every two such chunks of a token meet in one row, which verifies
-inside its arrays and gives sums by class. So no row is ever made for each pair of a large group,
+inside its arrays and gives sums by class. Two classes with the same token before it have met there, which is seen first, so that
+copies with small changes, which share most of their tokens, are compared in full about once. So no row is ever made for each pair of a large group,
 no group is gathered beyond a chunk, and no pair is lost. A pair is counted once, at its first common token.
 
 A line stays if it is its class's first occurrence (by document, then line) and no similar class occurs
@@ -43,10 +44,10 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import discard, own_columns, table, written
 
 NUM, DEN = 4, 5
-BUCKETS, RARE, CHUNK = 1 << 18, 1024, 128
+BUCKETS, RARE, CHUNK = 1 << 18, 512, 128
 #: Hash buckets of the keys that are wanted, of which a broadcast holds no more.
 LIKELY = 1 << 20
-#: Sets are fetched and verified in so many parts, one after the other, which bounds the disk that they take.
+#: Tokens are joined in so many parts, one after the other, which bounds the disk that they take.
 PARTS = 2
 #: Tokens that a pair must share in its prefixes, or all it needs if that's less. One more makes prefixes one longer, and rules out most pairs that meet by chance.
 SHARED = 2
@@ -148,8 +149,9 @@ def _likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
 
 
 def _entries(sets: DataFrame) -> DataFrame:
-    """A row for each token in the prefix of each set. A token of rank 0 is in no other class."""
-    return sets.select("cid", "n", "sig", F.posexplode_outer("prefix").alias("i", "token")).where(F.col("token") >= 1 << 56)
+    """A row for each token in the prefix of each set, with the token before it, prev, or a number of the class's own. A token of rank 0 is in no other class."""
+    before = F.coalesce(F.when(F.col("i") > 0, F.get("prefix", F.col("i") - 1)), -F.col("cid") - 1)
+    return sets.select("cid", "n", "sig", "prefix", F.posexplode_outer("prefix").alias("i", "token")).where(F.col("token") >= 1 << 56).select("cid", "n", "sig", "i", "token", before.alias("prev"))
 
 
 def _parts(df: DataFrame, key: str) -> list[DataFrame]:
@@ -172,18 +174,18 @@ def _of_pairs(pairs: DataFrame, known: DataFrame, f: _Filters) -> DataFrame:
 
 
 def _of_chunks(entries: DataFrame, known: DataFrame, f: _Filters, chunk: int) -> DataFrame:
-    """(cid, links, earliest) of what is similar within frequent tokens; entries: token, cid, n, i, sig."""
+    """(cid, links, earliest) of what is similar within frequent tokens; entries: token, cid, n, i, sig, prev."""
     banded = entries.withColumn("band", f.band(F.col("n")))
     counts = banded.groupBy("token", "band").agg(F.count("*").alias("c"))
     placed = banded.join(counts, ["token", "band"]).withColumn("k", F.pmod(F.xxhash64("cid"), F.ceil(F.col("c") / chunk)))
-    packed = placed.join(known, "cid").groupBy("token", "band", "k").agg(F.collect_list(F.struct("cid", "n", "i", "sig", "first", "tokens")).alias("members"))
+    packed = placed.join(known, "cid").groupBy("token", "band", "k").agg(F.collect_list(F.struct("cid", "n", "i", "sig", "prev", "first", "tokens")).alias("members"))
 
     def matches(x: Column) -> Column:
         def match(y: Column) -> Column:
             larger = (x.n > y.n) | ((x.n == y.n) & (x.cid > y.cid))
             may = F.when(larger, f.may(x.getField, y.getField)).otherwise(f.may(y.getField, x.getField))
             first_common = f.first(x.getField, y.getField) & ~F.arrays_overlap(F.slice(x.tokens, F.lit(1), x.i), F.slice(y.tokens, F.lit(1), y.i))
-            return F.when((x.cid != y.cid) & may, first_common & f.similar(x.n, y.n, F.size(F.array_intersect(x.tokens, y.tokens)))).otherwise(False)
+            return F.when((x.prev != y.prev) & (x.cid != y.cid) & may, first_common & f.similar(x.n, y.n, F.size(F.array_intersect(x.tokens, y.tokens)))).otherwise(False)
 
         return F.filter("ys", match)
 
@@ -210,17 +212,19 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     some = not frequent.isEmpty()
     hot = written(doubtful.join(frequent, "token"), "frequent") if some else None
     cold = entries.where(bound(col("token")) <= rare).unionByName(doubtful.join(frequent, "token", "left_anti")) if some else entries
+    cold = cold.drop("prev")
     larger = (col("x.n") > col("y.n")) | ((col("x.n") == col("y.n")) & (col("x.cid") > col("y.cid")))
     may = larger & f.may(lambda c: col(f"x.{c}"), lambda c: col(f"y.{c}"))
 
     def met(part: DataFrame) -> DataFrame:
         both = part.alias("x").hint("merge").join(part.alias("y"), (col("x.token") == col("y.token")) & may)
-        return both.groupBy(col("x.cid").alias("cid"), col("y.cid").alias("other")).agg(F.min("x.token").alias("token"), F.count("*").alias("shared"), F.max(col("x.n") + col("y.n")).alias("both"))
+        return both.groupBy(col("x.cid").alias("cid"), col("y.cid").alias("other")).agg(F.min("x.token").alias("token"), F.count("*").alias("shared"), *[F.max(c).alias(c.replace(".", "_")) for c in ("x.n", "x.i", "y.n", "y.i")])
 
     # Each part is written by itself, so that its shuffle files are gone before the next one's are made.
     found = reduce(DataFrame.unionAll, [written(met(part), "met") for part in _parts(cold, "token")])
-    pairs = found.groupBy("cid", "other").agg(F.min("token").alias("token"), F.sum("shared").alias("shared"), F.max("both").alias("both"))
-    enough = col("shared") >= F.least(F.lit(SHARED), f.need(col("both")))
+    pairs = found.groupBy("cid", "other").agg(F.min("token").alias("token"), F.sum("shared").alias("shared"), *[F.max(c).alias(c) for c in ("x_n", "x_i", "y_n", "y_i")])
+    need = f.need(col("x_n") + col("y_n"))
+    enough = (col("shared") >= F.least(F.lit(SHARED), need)) & (col("shared") + F.least(col("x_n") - col("x_i"), col("y_n") - col("y_i")) - 1 >= need)
     if some:  # frequent tokens are not among those that were counted
         pairs = pairs.join(hot.select(col("cid").alias("hot")).distinct(), col("cid") == col("hot"), "left").where(enough | col("hot").isNotNull())
     else:
@@ -231,7 +235,7 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     wanted = pairs.select(F.explode(F.array("cid", "other")).alias("cid"))
     wanted = (wanted.unionAll(hot.select("cid")) if some else wanted).distinct()
     known = written(_likely(classes, "cid", wanted).join(wanted, "cid", "left_semi").select("cid", "first", _tokens(col("hashes"), ranked).alias("tokens")), "sets", "lz4")
-    matched = [_of_pairs(part, known, f) for part in _parts(pairs, "cid")] + ([_of_chunks(part, known, f, chunk) for part in _parts(hot, "token")] if some else [])
+    matched = [_of_pairs(pairs, known, f)] + ([_of_chunks(part, known, f, chunk) for part in _parts(hot, "token")] if some else [])
     return _total(reduce(DataFrame.unionAll, [written(x, "matched") for x in matched]))
 
 
