@@ -87,6 +87,12 @@ def test_bvc_eviction(spark):
             assert got[0].sigma == 0
 
 
+def test_bvc_takes_very_large_moves(spark):
+    rows = [(k * S, p * S, 10) for k, p in enumerate([100, 700_000, 100, 5_000_000_000, 100, 100])]
+    a, b = (sorted(f(trades(spark, rows)).collect(), key=lambda r: r.seq) for f in (bvc.with_bvc, bvc.replayed_bvc))
+    assert [x.bvc_buy for x in a] == pytest.approx([y.bvc_buy for y in b], abs=1e-6)
+
+
 def test_bvc_forms_agree_on_ties(spark):
     rng = np.random.default_rng(4)
     rows = [(int(t), 100_000_000_000 + int(d) * 10**7, int(n)) for t, d, n in zip(np.sort(rng.integers(0, 200, 400)) * S, rng.integers(-4, 5, 400), rng.integers(0, 500, 400))]

@@ -22,3 +22,14 @@ def test_append_mode_drops_only_late_rows_and_open_bins(spark, tmp_path):
     want = {r.bin_idx: (r["count"],) for r in batch.groupBy("bin_idx").count().collect()}
     assert {k: v[:1] for k, v in got.items()} == want
     assert datetime.date(2024, 1, 16) == rows[0]["trade_date"]
+
+
+def test_bins_start_at_the_open(spark, tmp_path):
+    cfg = Config().with_(sampling={"market_open_et": "09:35", "bin_size_seconds": 600})
+    rows = [r for r in stream(6, False) if r["ts_recv_ns"] < OPEN + 23_400 * 10**9]
+    spark.createDataFrame([tuple(r[f.name] for f in EVENTS) for r in rows], EVENTS).write.parquet(f"{tmp_path}/in/a")
+    source = spark.readStream.schema(EVENTS).parquet(f"{tmp_path}/in/*")
+    bins.snapshot(bins.stream_bins(source, cfg), f"{tmp_path}/out", f"{tmp_path}/ck")
+    got = {r.bin_idx: r.trades for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    batch = with_bins(spark.read.parquet(f"{tmp_path}/in/a"), cfg).where("action = 'T' and in_session and price_nano > 0 and price_nano <> 9223372036854775807")
+    assert got == {r.bin_idx: r["count"] for r in batch.groupBy("bin_idx").count().collect()}

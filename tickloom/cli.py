@@ -45,6 +45,13 @@ def wanted(spark: SparkSession, cfg: Config, date: str | None = None) -> DataFra
     return reduce(DataFrame.unionByName, parts).withColumn("symbol", F.coalesce("symbol", F.lit(cfg.input.symbol)))
 
 
+def printed(rows: DataFrame) -> None:
+    """All rows as lines of tab-separated values, a partition at a time."""
+    print("\t".join(rows.columns))
+    for r in rows.toLocalIterator():
+        print("\t".join(map(str, r)))
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tickloom", description=__doc__.splitlines()[0])
     parser.add_argument("command", choices=("export", "coverage", "profile"))
@@ -64,10 +71,10 @@ def main(argv: list[str] | None = None) -> int:
         return 0 if found["complete"] else 1
     events = wanted(spark, cfg, args.date)
     if args.command == "profile":
-        reports.profile_report(events, cfg).orderBy("symbol", "trade_date").show(1000, False)
+        printed(reports.profile_report(events, cfg).orderBy("symbol", "trade_date"))
         return 0
     by_day = reports.coverage_report(events, daily(spark, cfg), cfg)
-    by_day.orderBy("symbol", "trade_date").show(1000, False)
+    printed(by_day.orderBy("symbol", "trade_date"))
     context.coverage_summary(by_day).show(truncate=False)
     return 0
 

@@ -37,10 +37,13 @@ def day_grid(activity: DataFrame, cfg: Config) -> DataFrame:
     A day's bins are few (at most a session over the bin size, 4680), so its windows are small.
     """
     day = Window.partitionBy(*DAY)
-    last = activity.groupBy(*DAY).agg(F.max("bin_idx").alias("max_bin"), F.first("open_ns").alias("open_ns"), F.first("close_ns").alias("close_ns"))
-    grid = last.select(*DAY, "max_bin", "open_ns", "close_ns", F.explode(F.sequence(F.lit(0).cast("long"), "max_bin")).alias("bin_idx"))
-    found = activity.drop("open_ns", "close_ns").withColumn("recorded", F.lit(True))
-    out = grid.join(found, [*DAY, "bin_idx"], "left")
+    before = F.coalesce(F.lag("bin_idx").over(day.orderBy("bin_idx")), F.lit(-1).cast("long"))
+    ends = activity.withColumns({"max_bin": F.max("bin_idx").over(day), "own": F.col("bin_idx"), "gap_from": before + 1})
+    # Each bin with records brings the empty ones before it along, so that the aggregation is used once and joined with nothing.
+    out = ends.withColumn("bin_idx", F.explode(F.sequence("gap_from", "own")))
+    recorded = F.col("bin_idx") == F.col("own")
+    fixed = {*DAY, "bin_idx", "open_ns", "close_ns"}
+    out = out.withColumns({c: F.when(recorded, F.col(c)) for c in activity.columns if c not in fixed} | {"recorded": F.when(recorded, F.lit(True))}).drop("own", "gap_from")
     flush = F.col("bin_idx") == F.col("max_bin")
     end = F.when(flush, F.col("close_ns")).otherwise(F.col("open_ns") + (F.col("bin_idx") + 1) * cfg.bin_ns)
     active = (F.coalesce("trades", F.lit(0)) > 0) | (F.coalesce("updates", F.lit(0)) > 0)

@@ -29,7 +29,7 @@ def with_bvc(trades: DataFrame, window_minutes: int = 1) -> DataFrame:
     """
     delta = F.coalesce(F.col("price_nano") - F.lag("price_nano").over(by_seq()), F.lit(0)).cast("long")
     exact = F.col("delta").cast("decimal(19,0)")
-    running = F.struct(F.count("*").over(up_to_now()).alias("n"), F.sum("delta").over(up_to_now()).alias("s"), F.sum((exact * exact).cast("decimal(28,0)")).over(up_to_now()).alias("q"))
+    running = F.struct(F.count("*").over(up_to_now()).alias("n"), F.sum("delta").over(up_to_now()).alias("s"), F.sum((exact * exact).cast("decimal(38,0)")).over(up_to_now()).alias("q"))
     summed = trades.withColumn("delta", delta).withColumn("now", running)
     # Explode keeps the partitioning by day, which a union would not.
     both = summed.withColumn("probe", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("at", F.col("ts_recv_ns") - F.col("probe") * (window_minutes * MINUTE_NS))
@@ -38,8 +38,11 @@ def with_bvc(trades: DataFrame, window_minutes: int = 1) -> DataFrame:
     n = F.col("now.n") - F.coalesce("past.n", F.lit(0))
     s = (F.col("now.s") - F.coalesce("past.s", F.lit(0))).cast("decimal(19,0)")
     q = F.col("now.q") - F.coalesce("past.q", F.lit(0).cast("decimal(38,0)"))
-    spread = (q * n.cast("decimal(10,0)")).cast("decimal(38,0)") - (s * s).cast("decimal(38,0)")
-    sigma = F.when(n < 2, 0.0).otherwise(F.sqrt(F.greatest(spread.cast("double"), F.lit(0.0)) / F.greatest((n * (n - 1)).cast("double"), F.lit(1.0))) * F.lit(1e-9))
+    spread = ((q * n.cast("decimal(10,0)")).cast("decimal(38,0)") - (s * s).cast("decimal(38,0)")).cast("double")
+    # Prices that move by thousands of dollars again and again outgrow 38 digits; floating point is near enough for those.
+    rough = q.cast("double") * n - s.cast("double") * s.cast("double")
+    spread = F.when((q.cast("double") * n < 1e37) & (s.cast("double") * s.cast("double") < 1e37), spread).otherwise(rough)
+    sigma = F.when(n < 2, 0.0).otherwise(F.sqrt(F.greatest(spread, F.lit(0.0)) / F.greatest((n * (n - 1)).cast("double"), F.lit(1.0))) * F.lit(1e-9))
     out = probed.withColumns({"window_n": n, "sigma": sigma, "delta": F.col("delta").cast("double") * F.lit(1e-9)})
     z = F.when(F.col("sigma") > EPS, F.col("delta") / F.greatest("sigma", F.lit(EPS))).otherwise(0.0)
     out = out.withColumn("buy_share", normal_cdf(z))

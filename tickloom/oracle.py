@@ -207,8 +207,8 @@ _LEADS = "SELECT *, " + ", ".join(f"(lead(mid_price, {h}) OVER w - mid_price) /
 _VALID = "(label_1 IS NOT NULL AND label_2 IS NOT NULL AND label_3 IS NOT NULL AND label_5 IS NOT NULL)"
 _CALENDAR = "cal AS (SELECT d::DATE AS trade_date FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-15', INTERVAL 1 DAY)) AS d) WHERE dayofweek(d) NOT IN (0, 6) AND d::DATE NOT IN (DATE '2024-01-01', DATE '2024-01-15'))"
 _CONTEXT = """cx AS (SELECT trade_date, sum(size)::BIGINT AS consolidated_volume, min_by(px, seq)::DOUBLE * 1e-9::DOUBLE AS open, max(px)::DOUBLE * 1e-9::DOUBLE AS high, min(px)::DOUBLE * 1e-9::DOUBLE AS low, max_by(px, seq)::DOUBLE * 1e-9::DOUBLE AS close
-  FROM raw WHERE px > 0 AND dayofweek(trade_date) <> 0 GROUP BY trade_date)"""
-_STATS = ("dark_share", "trf_volume", "retail_trade_rate", "spread_bps", "session_progress", "bin_valid")
+  FROM raw WHERE px > 0 GROUP BY trade_date)"""
+_AS_IS = ("bin_valid", "bbo_valid", "time_bucket", "schema_version")
 _FILL = ("dark_share", "subpenny_intensity", "odd_lot_ratio", "retail_volume_fraction", "mean_trade_size", "block_trade_ratio", "size_concentration", "spread_bps", "quote_imbalance")
 _COVER = "cv AS (SELECT x.trade_date, trf_volume, lit_volume, consolidated_volume, (trf_volume + lit_volume) / consolidated_volume::DOUBLE AS coverage, trf_volume / consolidated_volume::DOUBLE AS dark_share FROM (SELECT p.trade_date, coalesce(sum(tv), 0)::DOUBLE AS trf_volume, coalesce(sum(lv), 0)::DOUBLE AS lit_volume FROM p LEFT JOIN a ON a.trade_date = p.trade_date AND a.b = p.b GROUP BY p.trade_date) x LEFT JOIN cx ON cx.trade_date = x.trade_date)"
 
@@ -218,8 +218,8 @@ def oracle_sql() -> dict[str, str]:
     matrix = f"SELECT trade_date, bin_idx, bin_end_ns, is_gap, is_final, {', '.join(r6(c) for c in ['mid_price', *ALL_F])} FROM f WHERE emit"
     bvc_cols = f"SELECT trade_date, seq, n AS window_n, {r6('d::DOUBLE * 1e-9::DOUBLE', 'delta')}, {r6('sigma')}, {r6('buy', 'bvc_buy')}, {r6('sell', 'bvc_sell')} FROM v"
     bins_of = lambda b: (RAW, STATE, records(b), sums(), grid(b))
-    zs = ", ".join(r6(f"CASE WHEN s_{c} < 1e-8::DOUBLE THEN least(greatest((f.{c} - m_{c}) / 1e-8::DOUBLE, -100), 100) ELSE (f.{c} - m_{c}) / s_{c} END", c) if c != "bin_valid" else r6("f.bin_valid", "bin_valid") for c in _STATS)
-    stats_rows = " UNION ALL ".join(f"SELECT trade_date, '{c}' AS feature, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std, round(min({c}), 6) AS min, round(max({c}), 6) AS max, count({c}) AS n_finite, 0::BIGINT AS n_nan FROM f WHERE emit GROUP BY trade_date" for c in _STATS)
+    zs = ", ".join(r6(f"CASE WHEN s_{c} < 1e-8::DOUBLE THEN least(greatest((f.{c} - m_{c}) / 1e-8::DOUBLE, -100), 100) ELSE (f.{c} - m_{c}) / s_{c} END", c) if c not in _AS_IS else r6(f"f.{c}", c) for c in ALL_F)
+    stats_rows = " UNION ALL ".join(f"SELECT trade_date, '{c}' AS feature, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std, round(min({c}), 6) AS min, round(max({c}), 6) AS max, count({c}) AS n_finite, 0::BIGINT AS n_nan FROM f WHERE emit GROUP BY trade_date" for c in ALL_F)
     volume = lambda w: f"coalesce(sum(size) FILTER (WHERE {w}), 0)::DOUBLE"
     return {
         "bin_signed_flow": with_(*base, sums(), select=f"SELECT trade_date, b AS bin_idx, tb::BIGINT AS trf_buy_vol, tsl::BIGINT AS trf_sell_vol, tu::BIGINT AS trf_unsigned_vol, rv::BIGINT AS retail_vol, rb::BIGINT AS retail_buy_vol, rs::BIGINT AS retail_sell_vol, lv::BIGINT AS lit_vol, {r6('(tb - tsl)::DOUBLE / greatest((tb + tsl)::DOUBLE, 1e-8::DOUBLE)', 'trf_signed_imbalance')} FROM a"),
@@ -259,7 +259,7 @@ def oracle_sql() -> dict[str, str]:
         "forward_prices": with_(*_coarse(), select="SELECT trade_date, bin_idx, " + ", ".join(f"round(nullif(lead(mid_price, {k}) OVER w, 0), 6) AS price_{k}" for k in range(6)) + " FROM l WHERE emit WINDOW w AS (PARTITION BY trade_date ORDER BY bin_idx)"),
         "sequences_index": with_(*_coarse(), f"lb AS ({_LEADS})", "sq AS (SELECT *, sum(trf_volume + trade_count * 1000) OVER (PARTITION BY trade_date ORDER BY bin_idx ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS checksum FROM lb)", select=f"SELECT trade_date, bin_idx, position, position - 4 AS first_position, checksum FROM sq WHERE position >= 4 AND {_VALID}"),
         "normalization_stats": with_(*_coarse(), filled(), select=stats_rows),
-        "zscore_features": with_(*_coarse(), filled(), "zz AS (SELECT trade_date, " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _STATS) + " FROM f WHERE emit GROUP BY trade_date)", select=f"SELECT f.trade_date, f.bin_idx, {zs} FROM f JOIN zz ON zz.trade_date = f.trade_date WHERE f.emit"),
+        "zscore_features": with_(*_coarse(), filled(), "zz AS (SELECT trade_date, " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in ALL_F) + " FROM f WHERE emit GROUP BY trade_date)", select=f"SELECT f.trade_date, f.bin_idx, {zs} FROM f JOIN zz ON zz.trade_date = f.trade_date WHERE f.emit"),
         "calendar_weekdays": with_(_CALENDAR, select="SELECT trade_date, strftime(trade_date, '%Y%m%d') AS file_date, true AS same FROM cal"),
         "split_assignment": with_(RAW, _CALENDAR, "dv AS (SELECT trade_date, count(*) AS n FROM raw GROUP BY trade_date)", select="SELECT CASE WHEN trade_date <= DATE '2024-01-20' THEN 'train' WHEN trade_date <= DATE '2024-01-25' THEN 'val' ELSE 'test' END AS split, count(*) AS n_days, sum(n)::BIGINT AS n_records, min(trade_date) AS first_date, max(trade_date) AS last_date FROM cal JOIN dv USING (trade_date) WHERE trade_date <= DATE '2024-01-31' GROUP BY 1"),
         "missing_days": with_(RAW, _CALENDAR, select="SELECT trade_date FROM cal WHERE trade_date NOT IN (SELECT trade_date FROM raw)"),

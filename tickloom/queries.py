@@ -198,16 +198,13 @@ def sequences_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalization_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = normalize.feature_stats(day.feature_bins(driver_events(spark, sf_dir), COARSE), _STATS)
+    found = normalize.feature_stats(day.feature_bins(driver_events(spark, sf_dir), COARSE))
     return rounded(found.drop("symbol", "feature_idx"), "mean", "std", "min", "max")
 
 
-_STATS = ("dark_share", "trf_volume", "retail_trade_rate", "spread_bps", "session_progress", "bin_valid")
-
-
 def zscore_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = normalize.normalized(day.feature_bins(driver_events(spark, sf_dir), COARSE), features=_STATS)
-    return found.select("trade_date", "bin_idx", *[r6(f).alias(f) for f in _STATS])
+    found = normalize.normalized(day.feature_bins(driver_events(spark, sf_dir), COARSE))
+    return found.select("trade_date", "bin_idx", *[r6(f).alias(f) for f in FEATURES])
 
 
 _HOLIDAYS = ("2024-01-01", "2024-01-15")
@@ -230,10 +227,10 @@ def missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A daily context made from the events themselves: all volume, and the day's prices; Sundays have none."""
+    """A daily context made from the events themselves: all volume, and the day's prices."""
     e = driver_events(spark, sf_dir).where("price_nano > 0")
     sums = e.groupBy(*DAY).agg(F.max("seq").alias("seq"), F.max("ts_event_ns").alias("ts_event_ns"), F.sum("size").alias("volume"), F.min_by("price_nano", "seq").alias("open_nano"), F.max("price_nano").alias("high_nano"), F.min("price_nano").alias("low_nano"), F.max_by("price_nano", "seq").alias("close_nano"))
-    return context.daily_context(sums.where(F.dayofweek("trade_date") != 1))
+    return context.daily_context(sums)
 
 
 def daily_context_join(spark: SparkSession, sf_dir: str) -> DataFrame:

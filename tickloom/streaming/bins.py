@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.config import Config
+from tickloom.config import Config, seconds_of
 from tickloom.functions.market import is_lit, is_trf, market_time_ns
 from tickloom.schema import DAY, EPS
 
@@ -21,10 +21,11 @@ def stream_bins(events: DataFrame, cfg: Config, lateness: str = "10 seconds") ->
     opens, closes = market_time_ns(F.col("trade_date"), cfg.sampling.market_open_et), market_time_ns(F.col("trade_date"), cfg.sampling.market_close_et)
     traded = events.where((F.col("action") == "T") & (ts >= opens) & (ts < closes) & (F.col("price_nano") > 0) & (F.col("price_nano") != 2**63 - 1))
     at = F.timestamp_micros(F.floor(ts / F.lit(1000)))
-    # The opens of all days lie whole half hours after midnight, which every allowed bin size divides.
+    # Windows start at the open. New York is whole hours from UTC, which every allowed bin size divides, so the open's minutes are enough.
+    offset = seconds_of(cfg.sampling.market_open_et) % cfg.sampling.bin_size_seconds
     binned = traded.withColumn("at", at).withWatermark("at", lateness).withColumn("trf", is_trf(F.col("publisher_id"))).withColumn("lit", is_lit(F.col("publisher_id")))
     volume = lambda c: F.sum(F.when(F.col(c), F.col("size")).otherwise(0)).cast("double")
-    sums = binned.groupBy(*DAY, F.window("at", f"{cfg.sampling.bin_size_seconds} seconds").alias("w")).agg(F.count("*").alias("trades"), F.count_if("trf").alias("trf_trades"), volume("trf").alias("trf_volume"), volume("lit").alias("lit_volume"))
+    sums = binned.groupBy(*DAY, F.window("at", f"{cfg.sampling.bin_size_seconds} seconds", startTime=f"{offset} seconds").alias("w")).agg(F.count("*").alias("trades"), F.count_if("trf").alias("trf_trades"), volume("trf").alias("trf_volume"), volume("lit").alias("lit_volume"))
     start = F.unix_micros("w.start") * 1000
     idx = F.floor((start - opens) / F.lit(cfg.bin_ns))
     total = F.col("trf_volume") + F.col("lit_volume")
