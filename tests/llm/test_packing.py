@@ -53,7 +53,6 @@ def test_windows_are_gapless(sizes):
 
 def check(rows, got, window=1024):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     ids = {i: [*t.encode(text or "", add_special_tokens=False).ids, 0] for i, text, _ in rows}
     docs, seqs = defaultdict(list), defaultdict(list)
     for r in got:
@@ -80,7 +79,7 @@ def check(rows, got, window=1024):
 def test_pieces(spark, most):
     rng = np.random.default_rng(0)
     rows = [(i, " ".join(f"word{k}" for k in rng.integers(0, 99, rng.integers(1, 400))), ["a", "a", "b", None, "null", "rare" if i == 7 else "c"][i % 6]) for i in range(200)]
-    rows += [(900, None, "a"), (901, "", None), (902, "<|endoftext|> x", "b"), (903, "long text " * 20_000, "a")]
+    rows += [(900, None, "a"), (901, "", None), (902, "<|endoftext|> x", "b"), (904, "a<|endoftext|><|endoftext|> b\n<|endoftext|>", "b"), (905, "<|endoftext", "c"), (906, " <|endoftext|>\n\n<|END|>", None), (903, "long text " * 20_000, "a")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
     docs = docs.selectExpr("*", "1 AS start", "'x' AS queue")
     got = packing.pack(docs, most_sources=most).collect()

@@ -48,7 +48,7 @@ BUCKETS, RARE, CHUNK = 1 << 18, 512, 128
 #: Hash buckets of the keys that are wanted, of which a broadcast holds no more.
 LIKELY = 1 << 20
 #: Tokens are joined in so many parts, one after the other, which bounds the disk that they take.
-PARTS = 2
+PARTS = 3
 #: Tokens that a pair must share in its prefixes, or all it needs if that's less. One more makes prefixes one longer, and rules out most pairs that meet by chance.
 SHARED = 2
 #: Ranks for each doubling of a bucket's count.
@@ -184,8 +184,8 @@ def _of_chunks(entries: DataFrame, known: DataFrame, f: _Filters, chunk: int) ->
         def match(y: Column) -> Column:
             larger = (x.n > y.n) | ((x.n == y.n) & (x.cid > y.cid))
             may = F.when(larger, f.may(x.getField, y.getField)).otherwise(f.may(y.getField, x.getField))
-            first_common = f.first(x.getField, y.getField) & ~F.arrays_overlap(F.slice(x.tokens, F.lit(1), x.i), F.slice(y.tokens, F.lit(1), y.i))
-            return F.when((x.prev != y.prev) & (x.cid != y.cid) & may, first_common & f.similar(x.n, y.n, F.size(F.array_intersect(x.tokens, y.tokens)))).otherwise(False)
+            held = lambda common: (F.get(common, F.lit(0)) == F.col("token")) & f.similar(x.n, y.n, F.size(common))
+            return F.when((x.prev != y.prev) & (x.cid != y.cid) & f.first(x.getField, y.getField) & may, F.exists(F.array(F.array_intersect(x.tokens, y.tokens)), held)).otherwise(False)
 
         return F.filter("ys", match)
 
