@@ -219,7 +219,8 @@ def oracle_sql() -> dict[str, str]:
     bvc_cols = f"SELECT trade_date, seq, n AS window_n, {r6('d::DOUBLE * 1e-9::DOUBLE', 'delta')}, {r6('sigma')}, {r6('buy', 'bvc_buy')}, {r6('sell', 'bvc_sell')} FROM v"
     bins_of = lambda b: (RAW, STATE, records(b), sums(), grid(b))
     zs = ", ".join(r6(f"CASE WHEN s_{c} < 1e-8::DOUBLE THEN least(greatest((f.{c} - m_{c}) / 1e-8::DOUBLE, -100), 100) ELSE (f.{c} - m_{c}) / s_{c} END", c) if c not in _AS_IS else r6(f"f.{c}", c) for c in ALL_F)
-    stats_rows = " UNION ALL ".join(f"SELECT trade_date, '{c}' AS feature, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std, round(min({c}), 6) AS min, round(max({c}), 6) AS max, count({c}) AS n_finite, 0::BIGINT AS n_nan FROM f WHERE emit GROUP BY trade_date" for c in ALL_F)
+    digits = lambda x, name: f"CASE WHEN abs({x}) >= 1000000 THEN round({x}, -3) ELSE round({x}, 6) END AS {name}"
+    stats_rows = " UNION ALL ".join(f"SELECT trade_date, '{c}' AS feature, {digits(f'avg({c})', 'mean')}, {digits(f'stddev_pop({c})', 'std')}, {digits(f'min({c})', 'min')}, {digits(f'max({c})', 'max')}, count({c}) AS n_finite, 0::BIGINT AS n_nan FROM f WHERE emit GROUP BY trade_date" for c in ALL_F)
     volume = lambda w: f"coalesce(sum(size) FILTER (WHERE {w}), 0)::DOUBLE"
     return {
         "bin_signed_flow": with_(*base, sums(), select=f"SELECT trade_date, b AS bin_idx, tb::BIGINT AS trf_buy_vol, tsl::BIGINT AS trf_sell_vol, tu::BIGINT AS trf_unsigned_vol, rv::BIGINT AS retail_vol, rb::BIGINT AS retail_buy_vol, rs::BIGINT AS retail_sell_vol, lv::BIGINT AS lit_vol, {r6('(tb - tsl)::DOUBLE / greatest((tb + tsl)::DOUBLE, 1e-8::DOUBLE)', 'trf_signed_imbalance')} FROM a"),

@@ -199,7 +199,8 @@ def sequences_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalization_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = normalize.feature_stats(day.feature_bins(driver_events(spark, sf_dir), COARSE))
-    return rounded(found.drop("symbol", "feature_idx"), "mean", "std", "min", "max")
+    digits = lambda c: F.when(F.abs(c) >= 1e6, F.round(c, -3)).otherwise(r6(c)).alias(c)  # noqa: E731  ratios without a divisor are very large, and their sums depend on the order in the last digits
+    return found.select("trade_date", "feature", *map(digits, ("mean", "std", "min", "max")), "n_finite", "n_nan")
 
 
 def zscore_features(spark: SparkSession, sf_dir: str) -> DataFrame:
