@@ -211,8 +211,7 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     frequent = written(doubtful.groupBy("token").agg(F.count("*").alias("c")).where(col("c") > rare).select("token"), "counts")
     some = not frequent.isEmpty()
     hot = written(doubtful.join(frequent, "token"), "frequent") if some else None
-    cold = entries.where(bound(col("token")) <= rare).unionByName(doubtful.join(frequent, "token", "left_anti")) if some else entries
-    cold = cold.drop("prev")
+    cold = (entries.join(frequent, "token", "left_anti") if some else entries).drop("prev")
     larger = (col("x.n") > col("y.n")) | ((col("x.n") == col("y.n")) & (col("x.cid") > col("y.cid")))
     may = larger & f.may(lambda c: col(f"x.{c}"), lambda c: col(f"y.{c}"))
 
