@@ -1,7 +1,7 @@
 """From events to feature bins: the whole dataflow as one declarative plan.
 
-Events are exchanged once, by day of a symbol, and sorted once, by seq; the ordered operators over records share
-both. Trades' side branches (bulk volume, bursts, VPIN) need only columns that are there before classification,
+For quotes, classes and bins, events are exchanged once, by day of a symbol, and sorted once, by seq; the ordered operators over
+records share both. Trades' side branches (bulk volume, bursts, VPIN) exchange and sort trades again; they need only columns that are there before classification,
 and bins are few, so everything after the per-bin aggregation is small.
 """
 
