@@ -31,6 +31,8 @@ from tickloom.llm.components import components
 
 #: Entries of a bucket that one task gathers; larger ones are split by a further covering.
 BUCKET = 20_000
+#: Shingles of a text that are hashed at a time, each of which takes 64 bytes.
+SHINGLES = 1 << 18
 #: Union-find entries that a task keeps to leave out edges it has already implied.
 REMEMBERED = 400_000
 
@@ -45,17 +47,22 @@ def fingerprint(text: bytes, width: int = 4, seed: int = 42) -> int:
     ends = np.cumsum(sizes + 1) - 1
     starts = ends - sizes
     step = min(width, len(words)) - 1
-    hashes = np.fromiter((xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts[: len(words) - step].tolist(), ends[step:].tolist(), strict=True)), np.uint64, len(words) - step)
-    return int(_majority(hashes))
+    starts, ends = starts[: len(words) - step], ends[step:]
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(starts), SHINGLES):
+        some = zip(starts[at : at + SHINGLES].tolist(), ends[at : at + SHINGLES].tolist(), strict=True)
+        ones += _ones(np.fromiter((xxh64_intdigest(joined[a:b], seed) for a, b in some), np.uint64))
+    return int(np.packbits(2 * ones > len(starts), bitorder="little").view("<u8")[0])
 
 
-def _majority(hashes: np.ndarray) -> np.uint64:
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit."""
     bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     full = len(bits) // 255 * 255
     counts = bits[full:].sum(axis=0, dtype=np.int64)
     if full:  # sums of at most 255 ones fit a byte, which numpy adds in wide registers
         counts += bits[:full].reshape(-1, 255, 64).sum(axis=1, dtype=np.uint8).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0]
+    return counts
 
 
 def masks(radius: int, level: int = 0) -> list[int]:
