@@ -1,17 +1,19 @@
 """Mixing sources to target weights, by blocks.
 
-Each source's words, document after document, are packed into blocks of fixed length. Output shards draw
-multinomial counts of slots for the sources; a source's slots are numbered across the shards, and slot i takes
-block perm(i), perm being a keyed pseudorandom permutation of the source's block indices, another one for
-each pass over the source. Slots and blocks are joined by index.
+Each source's words, documents in the order of their identifiers, are packed into blocks of fixed length. Output
+shards draw multinomial counts of slots for the sources (first for groups of GROUP sources, then within each, so that
+nothing holds a number for each source); a source's slots are numbered across the shards, and slot i takes block
+perm(i), perm being a keyed pseudorandom permutation of the source's block indices, another one for each pass over
+the source. A source's last block may be shorter and comes last in each pass. Slots and blocks are joined by index.
 
 Multinomial draws miss the targets by chance, so the books are settled: slots numbered beyond a source's due
-count are left out and missing ones are added to a last shard. A source is due at most two passes, so no
-document is taken more than twice.
+count are left out, missing ones are added to a last shard, and a source's last slot is cut to the words still
+due. So each source gives its target to the word. It is due at most two passes, so no document is taken more than twice.
 
 Defined results: a null text has no words; null sources are one source, last in order. Documents without
 words are reported with taken 0. Null identifiers and repeated rows count row by row. An empty table gives an
-empty table. Extra columns are ignored. Everything follows from the seed, so reruns over the same input agree.
+empty table. Extra columns are ignored. Everything follows from the rows and the seed, however the rows are cut into files
+and partitions; only rows with the same source, identifier and text can change places.
 """
 
 from __future__ import annotations
@@ -24,13 +26,16 @@ import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickloom.llm.common import batch_of, mapped, own_columns, table, utf8, written
+from tickloom.llm.common import mapped, own_columns, table, utf8, written
 
 BLOCK, SHARD_SLOTS, SEED = 64, 16_384, 20_260
-WEIGHTS, VOLUME, MOST_PASSES = (5.0, 2.0, 1.0), 1.5, 2.0
-#: A mixture's sources are named and weighed, so they are held by the driver and by tasks; more than this is an error.
-MOST_SOURCES = 100_000
+WEIGHTS, VOLUME, MOST_PASSES = (5.0, 2.0, 1.0), 1.5, 2
+#: Sources whose counts are drawn together.
+GROUP = 4096
+#: Slots that a task makes, until there are MOST_TASKS of them.
+TASK_SLOTS, MOST_TASKS = 1 << 18, 1 << 14
 
 
 def _source(col: str) -> Column:
@@ -38,24 +43,6 @@ def _source(col: str) -> Column:
     return F.struct(F.col(f"`{col}`").isNull().cast("int").alias("absent"), F.coalesce(F.col(f"`{col}`"), F.lit("")).alias("name"))
 
 
-def targets(sizes: list[int], weights: tuple[float, ...] = WEIGHTS, volume: float = VOLUME, passes: float = MOST_PASSES) -> list[float]:
-    """What each source, in order, is due: volume times all words by weight, at most passes times its own, the excess reshared."""
-    w = [weights[i % len(weights)] for i in range(len(sizes))]
-    left, open_, out = volume * sum(sizes), set(range(len(sizes))), [0.0] * len(sizes)
-    while open_ and left > 0:
-        level = left / sum(w[i] for i in open_)
-        full = [i for i in open_ if w[i] * level > passes * sizes[i]]
-        if not full:
-            for i in open_:
-                out[i] = w[i] * level
-            break
-        for i in full:
-            out[i] = passes * sizes[i]
-            left -= out[i]
-            open_.discard(i)
-    return out
-
-
 def _mix64(x: np.ndarray, key: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = x + np.uint64(key % (1 << 64))
@@ -78,106 +65,173 @@ def permute(index: np.ndarray, size: int, key: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
+def running(df: DataFrame, group: str, order: list[str], value: str, out: str) -> DataFrame:
+    """df, written in order of group and order, with out: the sum of value over the group's rows before this one.
+
+    Rows are range-partitioned and summed within partitions; a table of at most one row a partition holds what a
+    group's earlier partitions sum to, so a group of any size is spread over tasks. group and value are whole numbers.
+    """
+    kinds = T.StructType([*df.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("inner", T.LongType())])
+    names = kinds.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, so_far = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            groups, values = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (group, value))
+            before = np.cumsum(values) - values
+            first = np.maximum.accumulate(np.where(np.append(True, groups[1:] != groups[:-1]), np.arange(len(groups)), 0))
+            inner = before - before[first]
+            if groups[0] == last:
+                inner[first == 0] += so_far
+            last, so_far = groups[-1], int(inner[-1] + values[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(groups), part, np.int32)), pa.array(inner)], names=names)
+
+    put = written(mapped(df.repartitionByRange(group, *order).sortWithinPartitions(group, *order), run, kinds), "running")
+    earlier = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = put.groupBy("part", group).agg(F.sum(value).alias("held")).select("part", group, F.sum("held").over(earlier).alias("base")).where("base > 0")
+    # Only the group that a partition begins with has earlier partitions.
+    return put.join(F.broadcast(bases), ["part", group], "left").withColumn(out, F.col("inner") + F.coalesce("base", F.lit(0))).drop("part", "inner", "base")
+
+
+def level(sources: DataFrame, volume: float = VOLUME, passes: int = MOST_PASSES) -> float:
+    """The words due for each unit of weight: sources (size, weight) share volume times all words, none more than passes times its own.
+
+    Each step shares what full sources leave among the others, which makes more of them full, or ends.
+    """
+    at, full = 0.0, -1
+    while True:
+        is_full = F.lit(full >= 0) & (F.col("weight") * at > F.col("size") * passes)
+        sums = sources.agg(
+            F.coalesce(F.sum("size"), F.lit(0)).alias("words"), F.count_if(is_full).alias("full"), F.coalesce(F.sum(F.when(is_full, F.col("size"))), F.lit(0)).alias("given"), F.coalesce(F.sum(F.when(~is_full, F.col("weight"))), F.lit(0.0)).alias("open")
+        ).first()
+        if sums.full == full or not sums.open:
+            return at
+        at, full = (volume * sums.words - passes * sums.given) / sums.open, sums.full
+
+
+def planned(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, volume: float = VOLUME, passes: int = MOST_PASSES, block: int = BLOCK) -> DataFrame:
+    """sizes (source, size) with rank, weight, target, and what follows from it: words, slots and blocks. One row a source."""
+    ranked = running(sizes.withColumn("all", F.lit(0)).withColumn("one", F.lit(1)), "all", ["source"], "one", "rank").drop("all", "one")
+    weighed = written(ranked.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))), "weighed")
+    most = F.col("size") * passes
+    aimed = weighed.withColumn("target", F.least(F.col("weight") * level(weighed, volume, passes), most.cast("double")))
+    aimed = aimed.withColumn("words", F.least(F.round("target").cast("long"), most)).withColumn("blocks", F.ceil(F.col("size") / block))
+    rest = F.col("words") % F.col("size")
+    return aimed.withColumn("slots", F.when(F.col("size") > 0, F.expr("words div size") * F.col("blocks") + F.ceil(rest / block)).otherwise(F.lit(0)).cast("long"))
+
+
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, carry: list[str]) -> DataFrame:
-    """docs with size (words), part, and start (words of the source before it in this partition)."""
-    schema = pa.schema([("size", pa.int64()), ("part", pa.int32()), ("start", pa.int64())])
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), _source(source_col).alias("source"), utf8(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(1).alias("none")]).alias("row"))
-    kinds = "id long, source struct<absent:int,name:string>, row " + rows.schema["row"].dataType.simpleString() + ", size long, part int, start long"
+    """(id, source, tie, row, size, uid): size in words, tie from the text, row the carried columns."""
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), _source(source_col).alias("source"), F.xxhash64(f"`{text_col}`").alias("tie"), utf8(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(1).alias("none")]).alias("row"))
+    kept = ["id", "source", "tie", "row"]
+    kinds = T.StructType([*[rows.schema[c] for c in kept], T.StructField("size", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, so_far = TaskContext.get().partitionId(), {}
         for batch in batches:
             sizes = [len(t.as_py().split()) for t in batch.column("text")]
-            starts = []
-            for s, n in zip(batch.column("source").to_pylist(), sizes, strict=True):
-                key = (s["absent"], s["name"])
-                starts.append(so_far.get(key, 0))
-                so_far[key] = starts[-1] + n
-            more = batch_of({"size": sizes, "part": pa.array([part] * len(sizes), pa.int32()), "start": starts}, schema)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("source"), batch.column("row"), *more.columns], names=["id", "source", "row", *schema.names])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(sizes, pa.int64())], names=[*kept, "size"])
 
-    return mapped(rows, run, kinds)
+    return mapped(rows, run, kinds).withColumn("uid", F.monotonically_increasing_id())
 
 
-def _slots(due: list[int], blocks: list[int], seed: int, shard_slots: int):
-    """Shards' draws, and from numbered runs of slots the blocks they take."""
-    total = sum(due)
-    share = np.array(due, float) / max(total, 1)
+def drawn(plan: DataFrame, shard_slots: int, seed: int, group: int = GROUP) -> tuple[DataFrame, int]:
+    """((shard, rank, slots), all slots): multinomial counts by shard, and a last shard with all that is due."""
+    spark = plan.sparkSession
+    due = plan.where("slots > 0").select(F.expr(f"rank div {group}").alias("grp"), F.struct("rank", "slots").alias("m"))
+    groups = written(due.groupBy("grp").agg(F.sum("m.slots").alias("due"), F.sort_array(F.collect_list("m")).alias("members")), "groups")
+    held = {r.grp: r.due for r in groups.select("grp", "due").collect()}  # one number for GROUP sources
+    names, sums = np.array(sorted(held), np.int64), np.array([held[g] for g in sorted(held)], np.int64)
+    total = int(sums.sum())
     last = -(-total // shard_slots)
 
-    def draws(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in batch.column("id").to_pylist():
-                if k < last:
-                    drawn = np.random.Generator(np.random.PCG64([seed, k])).multinomial(shard_slots, share)
-                    at = np.flatnonzero(drawn)
-                    drawn = drawn[at]
-                else:  # what the draws leave short; the runs before it are cut to what is due
-                    at = np.flatnonzero(np.array(due))
-                    drawn = np.array(due)[at]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k)), pa.array(at.astype(np.int32)), pa.array(drawn.astype(np.int64))], names=["shard", "rank", "slots"])
+                got = np.random.Generator(np.random.PCG64([seed, k])).multinomial(shard_slots, sums / total) if k < last else sums
+                at = np.flatnonzero(got)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k)), pa.array(names[at]), pa.array(got[at].astype(np.int64))], names=["shard", "grp", "got"])
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, grp, n, members in zip(*(batch.column(c) for c in ("shard", "grp", "got", "members")), strict=True):
+                ranks, parts = (members.values.field(c).to_numpy() for c in ("rank", "slots"))
+                k = shard.as_py()
+                got = np.random.Generator(np.random.PCG64([seed, k, grp.as_py()])).multinomial(n.as_py(), parts / parts.sum()) if k < last else parts
+                at = np.flatnonzero(got)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k)), pa.array(ranks[at]), pa.array(got[at].astype(np.int64))], names=["shard", "rank", "slots"])
+
+    shards = spark.range(last + 1 if total else 0)
+    by = mapped(shards, by_group, "shard long, grp long, got long")
+    return mapped(by.join(groups.select("grp", "members"), "grp"), within, "shard long, rank long, slots long"), total
+
+
+def _taker(seed: int, block: int):
+    """From numbered runs of slots the blocks they take, and at most how many words of each."""
+    names = ["shard", "slot", "rank", "pass", "block", "most"]
+
+    def of_run(shard: int, rank: int, first: int, n: int, due: int, blocks: int, size: int, words: int) -> list[np.ndarray]:
+        i = np.arange(first, first + n)
+        passed, place = i // blocks, i % blocks
+        taken = np.full(n, blocks - 1)
+        for p in np.unique(passed).tolist():
+            mine = np.flatnonzero((passed == p) & (place < blocks - 1))
+            taken[mine] = permute(place[mine], blocks - 1, (seed * 1_000_003 + rank) * 16 + p)
+        most = np.full(n, block)
+        if first + n == due:
+            most[-1] = words - passed[-1] * size - place[-1] * block
+        return [np.full(n, shard), i, np.full(n, rank), passed, taken, most]
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step, held, count = 1 << 16, [], 0
         for batch in batches:
-            for shard, rank, first, n in zip(*(batch.column(c).to_pylist() for c in ("shard", "rank", "first", "slots")), strict=True):
-                for at in range(first, first + n, 1 << 16):
-                    i = np.arange(at, min(at + (1 << 16), first + n))
-                    passed = i // blocks[rank]
-                    block = np.empty(len(i), np.int64)
-                    for p in np.unique(passed).tolist():
-                        mine = passed == p
-                        block[mine] = permute(i[mine] % blocks[rank], blocks[rank], (seed * 1_000_003 + rank) * 16 + p)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), shard)), pa.array(i), pa.array(np.full(len(i), rank, np.int32)), pa.array(passed), pa.array(block)], names=["shard", "slot", "rank", "pass", "block"])
+            for shard, rank, first, n, *rest in zip(*(batch.column(c).to_pylist() for c in ("shard", "rank", "first", "slots", "due", "blocks", "size", "words")), strict=True):
+                for at in range(first, first + n, step):
+                    held.append(of_run(shard, rank, at, min(step, first + n - at), *rest))
+                    count += len(held[-1][0])
+                    if count >= step:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=names)
+                        held, count = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=names)
 
-    return draws, take, last
+    return take
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: list[str] | None = None, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(rows, taken).
 
-    rows: id, row (the carried columns), rank, at (the row's first word within its source), size, source_size, target.
-    taken: shard, slot, rank, pass, block, at, word (first one within the row), words: the mix itself, piece by piece.
+    rows: uid, id, rank, at (the row's first word within its source), size, source_size, target, and with carry row (those columns).
+    taken: shard, slot, rank, pass, block, uid, word (first one within the row), words: the mix itself, piece by piece.
     """
-    spark = docs.sparkSession
     base = written(sized(docs, id_col, text_col, source_col, carry or []), "sized")
-    parts = base.groupBy("part", "source").agg(F.sum("size").alias("size"))
-    found = parts.groupBy("source").agg(F.sum("size").alias("size")).orderBy("source").limit(MOST_SOURCES + 1).collect()
-    if len(found) > MOST_SOURCES:
-        raise ValueError(f"a mixture of more than {MOST_SOURCES} sources")
-    sizes = [r["size"] for r in found]
-    aims = targets(sizes)
-    blocks = [-(-n // block) for n in sizes]
-    due = [min(int(MOST_PASSES * b), round(t / n * b)) if n else 0 for t, n, b in zip(aims, sizes, blocks, strict=True)]
-    named = spark.createDataFrame([(tuple(r.source), i, n, t) for i, (r, n, t) in enumerate(zip(found, sizes, aims, strict=True))], "source struct<absent:int,name:string>, rank int, source_size long, target double")
-    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = parts.select("source", "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base")).join(named, "source")
-    rows = base.join(bases, ["source", "part"]).select("id", "row", "rank", (F.col("base") + F.col("start")).alias("at"), "size", "source_size", "target")
-
-    draws, take, last = _slots(due, blocks, seed, shard_slots)
-    shards = mapped(spark.range(last + 1), draws, "shard long, rank int, slots long")
-    line = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    most = F.element_at(F.array(*[F.lit(n).cast("long") for n in due]), F.col("rank") + 1) if len(due) <= 256 else None
-    numbered = shards.withColumn("first", F.coalesce(F.sum("slots").over(line), F.lit(0)))
-    if most is None:
-        numbered = numbered.join(spark.createDataFrame([(i, n) for i, n in enumerate(due)], "rank int, due long"), "rank")
-        most = F.col("due")
-    numbered = numbered.withColumn("slots", F.least("slots", most - F.col("first"))).where("slots > 0")
-    slots = mapped(numbered.select("shard", "rank", "first", "slots"), take, "shard long, slot long, rank int, pass long, block long")
+    plan = written(planned(base.groupBy("source").agg(F.sum("size").alias("size")), block=block), "plan")
+    named = plan.select("source", "rank", F.col("size").alias("source_size"), "target")
+    rows = running(base.select("uid", "id", "source", "tie", "size").join(named, "source").drop("source"), "rank", ["id", "tie"], "size", "at").drop("tie")
+
+    counts, total = drawn(plan, shard_slots, seed)
+    numbered = running(written(counts, "drawn"), "rank", ["shard"], "slots", "first")
+    runs = numbered.join(plan.select("rank", F.col("slots").alias("due"), "blocks", "size", "words"), "rank").withColumn("slots", F.least("slots", F.col("due") - F.col("first"))).where("slots > 0")
+    spread = runs.repartition(max(1, min(MOST_TASKS, -(-total // TASK_SLOTS))), "rank", "shard")
+    slots = mapped(spread, _taker(seed, block), "shard long, slot long, rank long, pass long, block long, most long")
 
     cut = F.explode(F.sequence(F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block)))
-    pieces = rows.where("size > 0").select("rank", "at", "size", cut.alias("block"))
+    pieces = rows.where("size > 0").select("uid", "rank", "at", "size", cut.alias("block"))
     low = F.greatest("at", F.col("block") * block)
-    pieces = pieces.select("rank", "block", "at", (low - F.col("at")).alias("word"), (F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block) - low).alias("words"))
+    pieces = pieces.select("uid", "rank", "block", (low - F.col("at")).alias("word"), (low - F.col("block") * block).alias("skip"), (F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block) - low).alias("held"))
     # Both sides grow with the input, which the plan can't see through the maps: sorted, and not broadcast.
-    return rows, slots.hint("merge").join(pieces.hint("merge"), ["rank", "block"]).select("shard", "slot", "rank", "pass", "block", "at", "word", "words")
+    met = slots.hint("merge").join(pieces.hint("merge"), ["rank", "block"]).withColumn("words", F.least("held", F.col("most") - F.col("skip"))).where("words > 0")
+    if carry:
+        rows = rows.join(base.select("uid", "row"), "uid")
+    return rows, met.select("shard", "slot", "rank", "pass", "block", "uid", "word", "words")
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: what the mix takes of every document."""
     rows, taken = mix(own_columns(table(spark, sf_dir, "documents"), "doc_id", "text", "source"))
-    sums = taken.groupBy("rank", "at").agg(F.sum("words").alias("taken")).withColumn("size_key", F.lit(True))
-    # Rows without words share their place with the row after them; only rows with words are in the mix.
-    joined = rows.withColumn("size_key", F.col("size") > 0).hint("merge").join(sums.hint("merge"), ["rank", "at", "size_key"], "left")
+    sums = taken.groupBy("uid").agg(F.sum("words").alias("taken"))
+    joined = rows.hint("merge").join(sums.hint("merge"), "uid", "left")
     return joined.select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
@@ -187,8 +241,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     A pass that takes all of a document keeps its text as it is.
     """
     rows, taken = mix(docs, carry=docs.columns)
-    passes = taken.groupBy("rank", "at", "pass").agg(F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("word", "words"))).alias("runs"))
-    joined = rows.where("size > 0").hint("merge").join(passes.hint("merge"), ["rank", "at"]).select("row", "size", "words", "runs")
+    passes = taken.groupBy("uid", "pass").agg(F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("word", "words"))).alias("runs"))
+    joined = rows.hint("merge").join(passes.hint("merge"), "uid").select("row", "size", "words", "runs")
     kinds = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
