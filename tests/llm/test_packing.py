@@ -51,6 +51,49 @@ def test_windows_are_gapless(sizes):
         assert end <= 1024
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 9000), st.sampled_from([0, 0.5, 1, 3])), min_size=1, max_size=9))
+def test_windows_of_phases_are_gapless_and_weighted(queues):
+    sizes, weights = {f"q{i}": n for i, (n, _) in enumerate(queues)}, {f"q{i}": w for i, (_, w) in enumerate(queues)}
+    quanta = {q: -(-n // packing.QUANTUM) for q, n in sizes.items()}
+    dealt = packing.phases(quanta, weights)
+    assert {q: sum(p.get(q, 0) for p in dealt) for q in sizes} == quanta
+    places, windows, by_queue = packing.Places(sizes, weights=weights), defaultdict(list), defaultdict(lambda: defaultdict(int))
+    for q, n in sizes.items():
+        cuts = np.unique(np.concatenate([[0, n], np.arange(0, n, 700)]))
+        row, at, length, w, offset = places.pieces(q, cuts[:-1], np.diff(cuts))
+        assert length.sum() == n and (length > 0).all()
+        ends = defaultdict(int)
+        for r, a, k, o, m in zip(row.tolist(), at.tolist(), w.tolist(), offset.tolist(), length.tolist()):
+            assert a == ends[r]
+            ends[r] += m
+            windows[k].append((o, m))
+            by_queue[k][q] += m
+    assert sorted(windows) == list(range(len(windows)))
+    for runs in windows.values():
+        end = 0
+        for o, m in sorted(runs):
+            assert o == end
+            end += m
+        assert end <= 1024
+    # Until the first queue ends, each window has the target proportions.
+    named = {q: w for q, w in weights.items() if w}
+    if named:
+        slots = sum(dealt[0].values())
+        for k in range(slots // places.slots):
+            for q, w in named.items():
+                assert abs(by_queue[k][q] - 1024 * w / sum(named.values())) <= 8 * packing.QUANTUM
+
+
+def test_weights(spark):
+    rows = [(i, f"word{i} " * 200, "ab"[i % 2]) for i in range(60)] + [(99, "other " * 3000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    seqs, _ = check(rows, packing.pack(docs, weights={"a": 3, "b": 1}).collect())
+    for w in range(5):
+        assert abs(sum(n for _, n, q in seqs[w] if q == "=a") - 768) <= 2 * packing.QUANTUM
+    assert {q for _, _, q in seqs[len(seqs) - 1]} == {"null"}
+
+
 def check(rows, got, window=1024):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     ids = {i: [*t.encode(text or "", add_special_tokens=False).ids, 0] for i, text, _ in rows}

@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import batch_of, discard, mapped, own_columns, table, utf8, written
 from tickloom.llm.quality import fold
 
-#: Training documents of all languages together, and the most languages learned (the most frequent ones).
-TRAIN_ROWS, MOST_LANGUAGES = 4000, 400
+#: Training documents of all languages together; each language has at least one, the most frequent languages first.
+TRAIN_ROWS = 4000
 BUCKETS, CENTROIDS, ROUNDS = 1 << 12, 4, 12
 FOLDS, HELD_FOLD = 4, 2
 #: Share of a language's training documents that its distance limit accepts.
@@ -116,7 +116,7 @@ class Model:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = TRAIN_ROWS, folds: int = FOLDS, held: int = HELD_FOLD) -> Model | None:
     lang = F.col(f"`{lang_col}`")
     usable = own_columns(docs, id_col, text_col, lang_col).where(lang.isNotNull() & F.col(f"`{text_col}`").isNotNull() & (fold(id_col, folds) != held))
-    counts = {r[0]: r[1] for r in usable.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_LANGUAGES).collect()}
+    counts = {r[0]: r[1] for r in usable.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(rows).collect()}
     if not counts:
         return None
     # A hash threshold of twice each language's share leaves about that many rows, of which the least hashes are taken: a small table, whatever the input.

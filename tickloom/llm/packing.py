@@ -7,9 +7,11 @@ The scheduler is hierarchical: a binary tree over the sources, each node of whic
 between its two sides, with the carried deficit being the remainder of n*share. That makes the state after n
 slots a closed form, so any task can say which slots a run of tokens gets, and no task walks the schedule.
 
-Targets are the sources' shares of all tokens, as every token has to be packed: so all queues end together and
-every window has the target mixture to within a quantum a level of the tree. Only the last window and the last quantum of each
-source can fall short.
+Target proportions are given as weights by source. Every token has to be packed, so once a source has ended the others go on
+by their weights, and sources without a weight come last: each such phase has a schedule of its own, and what a phase leaves
+due to a queue is carried to the next. Without weights the targets are the sources' shares of all tokens: all queues end together, in one phase.
+Every window has its phase's mixture to within a quantum a level of the tree. Only the last window and the last quantum of each
+source can fall short. With weights there is at most a phase for each of them, so they are meant for some hundred sources.
 
 Steps: texts are tokenised once, in one scan, and written with their place in their partition's part of the
 queue; the totals by (partition, source) give every part its place in the whole queue; then each row finds its
@@ -141,17 +143,43 @@ class Schedule:
         return j
 
 
-class Places:
-    """Where tokens go: a Schedule, with the queues' lengths in tokens."""
+def phases(sizes: dict[str, int], weights: dict[str, float] | None = None) -> list[dict[str, int]]:
+    """What each queue gives to each phase. A phase ends with a queue; the others go on by their weights, those without one come last, by their sizes."""
+    if weights is None:
+        return [sizes] if sizes else []
+    full = {q: n / weights[q] for q, n in sizes.items() if weights.get(q)}
+    out, given = [], dict.fromkeys(sizes, 0)
+    for level in sorted(set(full.values())):
+        upto = {q: sizes[q] if full[q] <= level else min(sizes[q], int(weights[q] * level)) for q in full}
+        out.append({q: n - given[q] for q, n in upto.items() if n > given[q]})
+        given |= upto
+    out.append({q: n for q, n in sizes.items() if q not in full})
+    return [p for p in out if p]
+
 
-    def __init__(self, tokens: dict[str, int], window: int = WINDOW, quantum: int = QUANTUM):
-        self.tokens, self.window, self.quantum, self.slots = tokens, window, quantum, window // quantum
-        self.schedule = Schedule({q: -(-n // quantum) for q, n in tokens.items()})
-        self.short: dict[int, list[tuple[int, int]]] = {}  # window: (order, tokens that the last quantum of that queue lacks)
+class Places:
+    """Where tokens go: a Schedule for each phase, one after the other, with the queues' lengths in tokens."""
+
+    def __init__(self, tokens: dict[str, int], window: int = WINDOW, quantum: int = QUANTUM, weights: dict[str, float] | None = None):
+        self.tokens, self.quantum, self.slots = tokens, quantum, window // quantum
+        dealt = phases({q: -(-n // quantum) for q, n in tokens.items()}, weights)
+        self.schedules = [Schedule(p) for p in dealt]
+        self.begins = np.cumsum([0, *(s.total for s in self.schedules)])  # a phase's first slot
+        self.given = {q: np.cumsum([0, *(p.get(q, 0) for p in dealt)]) for q in tokens}  # a queue's quanta before each phase
+        self.short: dict[int, list[tuple[int, int, int]]] = {}  # window: (phase, order, tokens that the last quantum of that queue lacks)
         for q, n in tokens.items():
             if lack := -n % quantum:
-                w = int(self.schedule.slot(q, np.array([-(-n // quantum) - 1]))[0]) // self.slots
-                self.short.setdefault(w, []).append((self.schedule.order[q], lack))
+                phase, slot = self._slot(q, np.array([-(-n // quantum) - 1]))
+                k = int(phase[0])
+                self.short.setdefault(int(slot[0]) // self.slots, []).append((k, self.schedules[k].order[q], lack))
+
+    def _slot(self, queue: str, quanta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phase and slot of each of the queue's quanta."""
+        phase, slot = np.searchsorted(self.given[queue], quanta, "right") - 1, np.empty_like(quanta)
+        for k in np.unique(phase).tolist():
+            mine = phase == k
+            slot[mine] = self.begins[k] + self.schedules[k].slot(queue, quanta[mine] - self.given[queue][k])
+        return phase, slot
 
     def pieces(self, queue: str, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
         """For runs of the queue's tokens: row, first token within the run, length, window and offset of each piece."""
@@ -160,20 +188,27 @@ class Places:
         counts = last - first + 1
         row = np.repeat(np.arange(len(starts)), counts)
         j = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first, counts)
-        w = self.schedule.slot(queue, j) // self.slots
+        phase, slot = self._slot(queue, j)
+        w = slot // self.slots
         new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (w[1:] != w[:-1])
-        row, w = row[new], w[new]
-        have, before = self.schedule.served(queue, w * self.slots)
-        then, after = self.schedule.served(queue, np.minimum((w + 1) * self.slots, self.schedule.total))
+        new[1:] = (row[1:] != row[:-1]) | (w[1:] != w[:-1]) | (phase[1:] != phase[:-1])
+        row, w, phase = row[new], w[new], phase[new]
+        # A phase's part of a window, in slots: low to high.
+        low, high = np.maximum(w * self.slots, self.begins[phase]), np.minimum((w + 1) * self.slots, self.begins[phase + 1])
+        have, before, then, after = (np.empty_like(w) for _ in range(4))
+        for k in np.unique(phase).tolist():
+            mine, served = phase == k, self.schedules[k].served
+            have[mine], before[mine] = served(queue, low[mine] - self.begins[k])
+            then[mine], after[mine] = served(queue, high[mine] - self.begins[k])
+        have, then = have + self.given[queue][phase], then + self.given[queue][phase]
         opens = have * quantum
         a = np.maximum(starts[row], opens)
         b = np.minimum(starts[row] + sizes[row], np.minimum(then * quantum, total))
-        offset = (after - before) * quantum + a - opens
+        offset = (low - w * self.slots + after - before) * quantum + a - opens
         if self.short:
-            mine = self.schedule.order[queue]
             for k in np.flatnonzero(np.isin(w, np.fromiter(self.short, np.int64, len(self.short)))).tolist():
-                offset[k] -= sum(lack for order, lack in self.short[int(w[k])] if order < mine)
+                mine = int(phase[k]), self.schedules[phase[k]].order[queue]
+                offset[k] -= sum(lack for *place, lack in self.short[int(w[k])] if tuple(place) < mine)
         return row, a - starts[row], b - a, w, offset
 
 
@@ -187,8 +222,12 @@ def pack(
     quantum: int = QUANTUM,
     most_sources: int = MOST_SOURCES,
     with_ids: bool = False,
+    weights: dict[str | None, float] | None = None,
 ) -> DataFrame:
-    """Pieces (id, source_queue, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids as little-endian 32-bit numbers])."""
+    """Pieces (id, source_queue, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids as little-endian 32-bit numbers]).
+
+    weights: target proportions by source (None: the null source).
+    """
     tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     tokens = written(tokenised(docs, id_col, text_col, source_col, tokenizer), "tokens")
     parts = tokens.groupBy("part", "queue").agg(F.sum("n").alias("n"))
@@ -199,7 +238,8 @@ def pack(
     before = Window.partitionBy("shared").orderBy("part", "queue").rowsBetween(Window.unboundedPreceding, -1)
     # Written, so that its size is known when the join is planned: it is broadcast if small, and only then are no ids shuffled.
     bases = written(parts.select("part", "queue", "shared", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
-    places = Places(totals, window, quantum) if totals else None
+    aims = None if weights is None else {"null" if k is None else f"={k}": v for k, v in weights.items()}
+    places = Places(totals, window, quantum, aims) if totals else None
     fields = [("id", pa.int64()), ("source_queue", pa.string()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
     schema = pa.schema([*fields, ("ids", pa.binary())] if with_ids else fields)
 

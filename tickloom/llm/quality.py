@@ -49,7 +49,7 @@ def _shape(word: bytes) -> bytes:
         k = 88 if 65 <= c <= 90 else 120 if 97 <= c <= 122 else 57 if 48 <= c <= 57 else 117 if c >= 128 else c
         if not out or out[-1] != k:
             out.append(k)
-    return bytes(out[:12])
+    return bytes(out)
 
 
 class _Tokens(dict):
