@@ -44,8 +44,45 @@ split_dates = ["2024-01-16", "2024-01-20"]
     assert "SYN_20240116_sequences.npy" in names and len(names) == 6
     meta = json.loads((tmp_path / "out/train/SYN_20240116_metadata.json").read_text())
     assert meta["n_sequences"] == found["splits"]["train"]["n_sequences"] > 0 and len(meta["feature_names"]) == 34
+    assert (tmp_path / "out/train" / meta["normalization"]["params_file"]).exists()
     with pytest.raises(FileExistsError):
         cli.main(["export", "--config", str(config)])
     assert cli.main(["profile", "--config", str(config), "--date", "2024-01-16"]) == 0
     assert cli.main(["coverage", "--config", str(config)]) == 0
     assert "2024-01-16" in capsys.readouterr().out
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="needs the driver's tables")
+def test_bad_rows_of_delimited_files_are_counted(spark, tmp_path):
+    events = driver_events(spark, str(DATA)).where("trade_date = '2024-01-16'").orderBy("seq").toPandas()
+    (tmp_path / "in").mkdir()
+    target = tmp_path / "in/day-20240116.csv"
+    events.to_csv(target, index=False)
+    lines = target.read_text().splitlines()
+    at = lines[0].split(",").index("price_nano")
+    bad = lines[3].split(",")
+    bad[at] = "not a number"
+    target.write_text("\n".join([*lines[:3], ",".join(bad), *lines[4:]]) + "\n")
+    config = tmp_path / "c.toml"
+    config.write_text(
+        f"""
+[input]
+data_dir = "file://{tmp_path}/in"
+filename_pattern = "day-{{date}}.csv"
+[sampling]
+bin_size_seconds = 600
+[sequence]
+window_size = 3
+[labeling]
+horizons = [1, 2]
+[dates]
+start_date = "2024-01-16"
+end_date = "2024-01-16"
+[export]
+output_dir = "{tmp_path}/out"
+split_dates = ["2024-01-16", "2024-01-20"]
+"""
+    )
+    assert cli.main(["export", "--config", str(config)]) == 0
+    found = json.loads((tmp_path / "out/train/SYN_20240116_diagnostics.json").read_text())["summary"]
+    assert found["decode_errors"] == 1 and found["decode_truncated"] is False

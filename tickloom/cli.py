@@ -28,8 +28,8 @@ def daily(spark: SparkSession, cfg: Config) -> DataFrame:
     return context.daily_context(spark.read.parquet(path)) if path else context.empty_context(spark)
 
 
-def wanted(spark: SparkSession, cfg: Config, date: str | None = None) -> DataFrame:
-    """Events of the days asked for that have a file; days without one are named on stderr."""
+def wanted(spark: SparkSession, cfg: Config, date: str | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(events, decode counters): the days asked for that have a file; days without one are named on stderr. Only delimited files can hold bad rows, and have counters."""
     start, end = (date, date) if date else (cfg.dates.start_date, cfg.dates.end_date)
     if date:
         iso(date)
@@ -40,9 +40,13 @@ def wanted(spark: SparkSession, cfg: Config, date: str | None = None) -> DataFra
     paths = [r.path for r in calendar.available(days, found).orderBy("trade_date").collect()]
     if not paths:
         raise FileNotFoundError("no day has a file")
-    kinds = {"csv" if p.endswith(".csv") else "parquet" for p in paths}
-    parts = [files.read_events(spark, [p for p in paths if p.endswith(".csv") == (k == "csv")], k) for k in sorted(kinds)]
-    return reduce(DataFrame.unionByName, parts).withColumn("symbol", F.coalesce("symbol", F.lit(cfg.input.symbol)))
+    delimited, other = [p for p in paths if p.endswith(".csv")], [p for p in paths if not p.endswith(".csv")]
+    named = lambda df: df.withColumn("symbol", F.coalesce("symbol", F.lit(cfg.input.symbol)))
+    parts, decode = [named(files.read_events(spark, other))] if other else [], None
+    if delimited:
+        good, decode = files.decode_report(named(files.read_tolerant(spark, delimited)))
+        parts.append(good)
+    return reduce(DataFrame.unionByName, parts), decode
 
 
 def printed(rows: DataFrame) -> None:
@@ -65,11 +69,12 @@ def main(argv: list[str] | None = None) -> int:
         root = cfg.export.output_dir
         manifest.guard(root, args.force)
         ctx = daily(spark, cfg) if cfg.input.daily_summary_path else None
-        found = manifest.fold(export.export_days(wanted(spark, cfg), cfg, root, ctx), cfg, root)
+        events, decode = wanted(spark, cfg)
+        found = manifest.fold(export.export_days(events, cfg, root, ctx, decode), cfg, root)
         shutil.copyfile(args.config, Path(root) / "export_config.toml")
         print(f"{found['total_sequences']} sequences, complete: {found['complete']}")
         return 0 if found["complete"] else 1
-    events = wanted(spark, cfg, args.date)
+    events, _ = wanted(spark, cfg, args.date)
     if args.command == "profile":
         printed(reports.profile_report(events, cfg).orderBy("symbol", "trade_date"))
         return 0

@@ -164,17 +164,17 @@ f AS (SELECT x.trade_date, x.bin_idx, x.bin_end_ns, x.is_gap, x.is_final, x.emit
   LEFT JOIN l t ON t.trade_date = x.trade_date AND t.bin_idx = x.t_from LEFT JOIN l m ON m.trade_date = x.trade_date AND m.bin_idx = x.m_from)"""
 
 
-def vpin_cte(name: str, where: str, volume: int, lookback: int, window_ns: int) -> str:
+def vpin_cte(name: str, where: str, volume: int | str, lookback: int, window_ns: int, table: str = "r") -> str:
     n = name
     return f"""
-{n}0 AS (SELECT trade_date, seq, ts, px, size, b, coalesce(px - lag(px) OVER (PARTITION BY trade_date ORDER BY seq), 0) AS d, sum(size) OVER (PARTITION BY trade_date ORDER BY seq) AS thru FROM r WHERE acc AND {where}),
-{n}1 AS (SELECT x.trade_date, x.seq, x.b, x.size, x.d, x.thru, count(*) AS n, sum(y.d::HUGEINT) AS sd, sum(y.d::HUGEINT * y.d::HUGEINT) AS sdd FROM {n}0 x JOIN {n}0 y ON y.trade_date = x.trade_date AND y.seq <= x.seq AND x.ts - y.ts <= {window_ns} GROUP BY ALL),
+{n}0 AS (SELECT trade_date, seq, ts, px, size, b, coalesce(px - lag(px) OVER (PARTITION BY trade_date ORDER BY seq), 0) AS d, sum(size) OVER (PARTITION BY trade_date ORDER BY seq) AS thru, ({volume})::BIGINT AS vol FROM {table} WHERE acc AND {where}),
+{n}1 AS (SELECT x.trade_date, x.seq, x.b, x.size, x.d, x.thru, x.vol, count(*) AS n, sum(y.d::HUGEINT) AS sd, sum(y.d::HUGEINT * y.d::HUGEINT) AS sdd FROM {n}0 x JOIN {n}0 y ON y.trade_date = x.trade_date AND y.seq <= x.seq AND x.ts - y.ts <= {window_ns} GROUP BY ALL),
 {n}2 AS (SELECT *, CASE WHEN n < 2 THEN 0.0::DOUBLE ELSE sqrt((sdd * n - sd * sd)::DOUBLE / (n * (n - 1))::DOUBLE) * 1e-9::DOUBLE END AS sigma FROM {n}1),
 {n}3 AS (SELECT *, CASE WHEN sigma > 1e-8::DOUBLE THEN d::DOUBLE * 1e-9::DOUBLE / sigma ELSE 0.0::DOUBLE END AS z FROM {n}2),
-{n}4 AS (SELECT *, {phi('z')} AS share, unnest(range(((thru - size) // {volume})::BIGINT, ((thru - 1) // {volume})::BIGINT + 1)) AS bucket FROM {n}3),
-{n}5 AS (SELECT *, (least(thru, (bucket + 1) * {volume}) - greatest(thru - size, bucket * {volume}))::BIGINT AS part FROM {n}4),
-{n}6 AS (SELECT trade_date, bucket, sum(part * share) AS buy, sum(part * (1.0::DOUBLE - share)) AS sell, sum(part) AS filled, max_by(b, seq) AS b FROM {n}5 GROUP BY trade_date, bucket),
-{n}7 AS (SELECT *, abs(sell - buy) / {volume}.0::DOUBLE AS imbalance FROM {n}6 WHERE filled = {volume}),
+{n}4 AS (SELECT *, {phi('z')} AS share, unnest(range(((thru - size) // vol)::BIGINT, ((thru - 1) // vol)::BIGINT + 1)) AS bucket FROM {n}3),
+{n}5 AS (SELECT *, (least(thru, (bucket + 1) * vol) - greatest(thru - size, bucket * vol))::BIGINT AS part FROM {n}4),
+{n}6 AS (SELECT trade_date, bucket, sum(part * share) AS buy, sum(part * (1.0::DOUBLE - share)) AS sell, sum(part) AS filled, max_by(b, seq) AS b, vol FROM {n}5 GROUP BY trade_date, bucket, vol),
+{n}7 AS (SELECT *, abs(sell - buy) / vol::DOUBLE AS imbalance FROM {n}6 WHERE filled = vol),
 {n} AS (SELECT *, avg(imbalance) OVER (PARTITION BY trade_date ORDER BY bucket ROWS BETWEEN {lookback - 1} PRECEDING AND CURRENT ROW) AS vpin FROM {n}7)"""
 
 
@@ -248,6 +248,7 @@ def oracle_sql() -> dict[str, str]:
         "bin_bvc": with_(*base, bvc(HOUR), select=f"SELECT trade_date, b AS bin_idx, {r6('sum(buy)', 'bvc_buy')}, {r6('sum(sell)', 'bvc_sell')} FROM v GROUP BY trade_date, b"),
         "bin_bursts": with_(*base, select="SELECT trade_date, b AS bin_idx, max(ts) AS burst_ts FROM (SELECT *, lag(ts, 2) OVER (PARTITION BY trade_date, b ORDER BY seq) AS was FROM r WHERE acc AND trf) WHERE ts - was <= 300000000000 GROUP BY trade_date, b"),
         "vpin_buckets": with_(*base, _VPIN[0], select=f"SELECT trade_date, bucket, b AS bin_idx, {r6('buy')}, {r6('sell')}, {r6('imbalance')}, {r6('vpin')} FROM vpt"),
+        "vpin_daily_buckets": with_(*base, _CONTEXT, "rd AS (SELECT r.*, floor(consolidated_volume * 0.05::DOUBLE)::BIGINT AS own FROM r LEFT JOIN cx ON cx.trade_date = r.trade_date)", vpin_cte("vpd", "trf", "CASE WHEN own > 0 THEN own ELSE 1000 END", 5, HOUR, "rd"), select=f"SELECT trade_date, count(*) AS buckets, {r6('avg(imbalance)', 'mean_imbalance')} FROM vpd GROUP BY trade_date"),
         "bin_vpin": with_(*base, sums(), grid(B600), bvc(HOUR), *_VPIN, live(B600, 2, 3, 300_000_000_000, vpin=True), select=f"SELECT trade_date, bin_idx, {r6('trf_vpin')}, {r6('lit_vpin')} FROM l WHERE emit"),
         "gap_bins": with_(*bins_of(B60), select=f"SELECT trade_date, b AS bin_idx, bend AS bin_end_ns, is_gap, is_flush, emit, trades, ups AS updates, {r6('st_mid', 'mid_price')} FROM p"),
         "volume_bins": with_(*base, "vb0 AS (SELECT trade_date, seq, size, sum(size) OVER (PARTITION BY trade_date ORDER BY seq) AS thru FROM r WHERE acc)", select="SELECT trade_date, ((thru - 1) // 5000)::BIGINT AS volume_bin, count(*) AS trades, sum(size)::BIGINT AS volume, min(seq) AS first_seq FROM vb0 GROUP BY 1, 2"),
@@ -272,7 +273,7 @@ def oracle_sql() -> dict[str, str]:
         "coverage_report": with_(*bins_of(B600), _CONTEXT, _COVER, select=f"SELECT trade_date, trf_volume, lit_volume, consolidated_volume, {r6('coverage')}, {r6('dark_share')} FROM cv"),
         "coverage_summary": with_(*bins_of(B600), _CONTEXT, _COVER, select="SELECT count(*) AS days, round(avg(coverage), 6) AS mean_coverage, round(min(coverage), 6) AS min_coverage, round(max(coverage), 6) AS max_coverage, round(avg(dark_share), 6) AS mean_dark_share, CASE WHEN avg(coverage) BETWEEN 0.8::DOUBLE AND 0.86::DOUBLE THEN 'PASS' ELSE 'WARNING' END AS status FROM cv WHERE coverage IS NOT NULL"),
         "profile_report": with_(*_coarse(), f"lb AS ({_LEADS})", f"ns AS (SELECT trade_date, count(*) AS n FROM lb WHERE position >= 4 AND {_VALID} GROUP BY trade_date)", "pp AS (SELECT p.*, coalesce(tn, 0) AS tn, coalesce(ln, 0) AS ln FROM p LEFT JOIN a ON a.trade_date = p.trade_date AND a.b = p.b)", select="SELECT pp.trade_date, sum(trades)::BIGINT AS records, sum(trades)::BIGINT AS trades, sum(tn)::BIGINT AS trf_trades, sum(ln)::BIGINT AS lit_trades, count(*) FILTER (WHERE emit) AS bins, count(*) FILTER (WHERE emit AND tn = 0) AS empty_bins, coalesce(max(ns.n), 0) AS sequences FROM pp LEFT JOIN ns ON ns.trade_date = pp.trade_date GROUP BY pp.trade_date"),
-        "fusion": with_(*_coarse(), "cn AS (SELECT trade_date, count(*) AS x, count(*) FILTER (WHERE bin_idx % 13 <> 5) AS y FROM l WHERE emit GROUP BY trade_date)", select="SELECT trade_date, bin_idx, trf_volume, trf_volume AS trf_volume_r, bbo_update_rate FROM l JOIN cn USING (trade_date) WHERE emit AND bin_idx % 13 <> 5 AND x - y <= x * 0.1::DOUBLE"),
+        "fusion": with_(*_coarse(), select="SELECT trade_date, bin_idx, trf_volume, trf_volume AS trf_volume_r, bbo_update_rate FROM l WHERE emit"),
         "normal_cdf_grid": f"SELECT event_id, round({phi('z')}, 6) AS phi FROM (SELECT event_id, (value - 10.0::DOUBLE) / 5.0::DOUBLE AS z FROM events)",
         "file_discovery": with_(RAW, select="SELECT DISTINCT trade_date, 'day-' || strftime(trade_date, '%Y%m%d') || '.parquet' AS name FROM raw"),
         "npy_export": with_(*_coarse(), f"lb AS ({_LEADS})", f"ns AS (SELECT trade_date, count(*) AS n FROM lb WHERE position >= 4 AND {_VALID} GROUP BY trade_date)", select="SELECT CASE WHEN trade_date <= DATE '2024-01-20' THEN 'train' WHEN trade_date <= DATE '2024-01-25' THEN 'val' ELSE 'test' END AS split, count(*) AS n_days, coalesce(sum(n), 0)::BIGINT AS n_sequences, strftime(min(trade_date), '%Y-%m-%d') AS first_date, strftime(max(trade_date), '%Y-%m-%d') AS last_date FROM (SELECT DISTINCT trade_date FROM p) LEFT JOIN ns USING (trade_date) GROUP BY 1"),

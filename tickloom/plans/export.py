@@ -59,8 +59,8 @@ def metadata(day_: str, counts: dict, cfg: Config, context: dict | None = None)
         "schema_version": SCHEMA_VERSION,
         "label_type": cfg.labeling.label_type,
         "label_encoding": {"unit": "basis_points", "dtype": "float64"},
-        "forward_prices": {"exported": True, "max_horizon": max(h), "n_columns": max(h) + 1, "unit": "USD"},
-        "normalization": {"strategy": cfg.export.normalization, "applied": cfg.export.normalization != "none", "not_normalized": [FEATURES.index(f) for f in FEATURES if f in CATEGORICAL]},
+        "forward_prices": {"exported": True, "max_horizon": max(h), "n_columns": max(h) + 1, "unit": "USD", "smoothing_window_offset": 0},
+        "normalization": {"strategy": cfg.export.normalization, "applied": cfg.export.normalization != "none", "params_file": f"{cfg.input.symbol}_{day_.replace('-', '')}_{KINDS[4]}", "not_normalized": [FEATURES.index(f) for f in FEATURES if f in CATEGORICAL]},
         "signing_method": cfg.classification.signing_method,
         "exclusion_band": cfg.classification.exclusion_band,
         "features_config": cfg.to_dict()["features"],
@@ -68,6 +68,7 @@ def metadata(day_: str, counts: dict, cfg: Config, context: dict | None = None)
         "provenance": {"config_hash": cfg.hash(), "experiment": cfg.export.experiment, "written_at": datetime.now(UTC).isoformat()},
         "context_available": bool(context and context.get("consolidated_volume")),
         "consolidated_volume": (context or {}).get("consolidated_volume"),
+        "trf_volume_fraction": (context or {}).get("trf_volume_fraction"),
         **{k: v for k, v in counts.items() if k != "n_sequences"},
     }
 
@@ -106,16 +107,17 @@ def write_day(root: str, split: str, name: str, seq: np.ndarray, label: np.ndarr
     return len(seq)
 
 
-def export_days(events: DataFrame, cfg: Config, root: str, context: DataFrame | None = None) -> DataFrame:
+def export_days(events: DataFrame, cfg: Config, root: str, context: DataFrame | None = None, decode: DataFrame | None = None) -> DataFrame:
     """Exports every day of events below root (a folder that all executors share) and returns a status row a day.
 
     (symbol, trade_date, split, n_sequences, error): with continue_on_error an error is a row, else it ends the job.
+    decode: counters of bad rows by DAY, where the source counts them.
     """
     processed = day.all_bins(events, cfg, context)
     bins = processed.where("emit")
     h = cfg.labeling.horizons
     rows = sequence_rows(bins, cfg).groupBy(*DAY, "split").agg(F.sort_array(F.collect_list(F.struct("bin_idx", "sequence", "labels", "forward_prices"))).alias("rows"))
-    summary = diagnostics.day_summary(processed, cfg.bin_ns)
+    summary = diagnostics.day_summary(processed, cfg.bin_ns, decode)
     stats = normalize.feature_stats(bins).groupBy(*DAY).agg(F.to_json(F.sort_array(F.collect_list(F.struct("feature_idx", "feature", *normalize.STATS)))).alias("stats"))
     counts = labels.label_summary(labels.with_labels(bins, h), h)
     names = [c for c in summary.columns if c not in DAY]
@@ -135,7 +137,7 @@ def export_days(events: DataFrame, cfg: Config, root: str, context: DataFrame |
                     s = json.loads(r["summary"])
                     tally = {"n_sequences": len(found), "n_bins_total": s["total_bins_emitted"], "n_bins_valid": int(r["n_valid"]), "n_bins_warmup_discarded": s["warmup_bins_discarded"], "n_bins_label_truncated": int(r["n_truncated"]), "n_total_records": s["total_records_processed"], "n_trade_records": s["total_trade_records"], "n_trf_trades": s["total_trf_trades"], "n_lit_trades": s["total_lit_trades"], "first_bin_start_ns": s["first_bin_start_ns"], "last_bin_end_ns": s["last_bin_end_ns"]}
                     volume = r.get("consolidated_volume")
-                    known = {"consolidated_volume": int(volume)} if volume is not None and volume == volume else None
+                    known = {"consolidated_volume": int(volume), "trf_volume_fraction": s["total_trf_volume"] / volume if volume else None} if volume is not None and volume == volume else None
                     documents = {KINDS[3]: metadata(f"{r['trade_date']:%Y-%m-%d}", tally, cfg, known), KINDS[4]: {"day": f"{r['trade_date']:%Y-%m-%d}", "strategy": cfg.export.normalization, "features": json.loads(r["stats"])}, KINDS[5]: {"schema_version": DIAGNOSTICS_VERSION, "day": f"{r['trade_date']:%Y-%m-%d}", "summary": s}}
                     as_array = lambda key: np.array([np.array([list(map(float, x)) for x in row[key]] if key == "sequence" else [float("nan") if x is None else x for x in row[key]], float) for row in found])
                     status["n_sequences"] = write_day(root, r["split"], name, as_array("sequence"), as_array("labels"), as_array("forward_prices"), documents)

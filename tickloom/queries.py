@@ -265,7 +265,7 @@ def profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two exports of the same days: coarse flow beside the same bins' quotes."""
     both = _bins(spark, sf_dir)
-    left, right = both.select(*DAY, "bin_idx", "trf_volume"), both.where("bin_idx % 13 <> 5").select(*DAY, "bin_idx", "trf_volume", "bbo_update_rate")
+    left, right = both.select(*DAY, "bin_idx", "trf_volume"), both.select(*DAY, "bin_idx", "trf_volume", "bbo_update_rate")
     return context.fused(left, right).drop("symbol")
 
 

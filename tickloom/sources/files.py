@@ -38,7 +38,7 @@ def read_events(spark: SparkSession, path: str | list[str], kind: str = "parquet
     return reader.parquet(*paths) if kind == "parquet" else reader.option("header", True).csv(paths)
 
 
-def read_tolerant(spark: SparkSession, path: str) -> DataFrame:
+def read_tolerant(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Delimited events with bad rows kept as such in _corrupt_record; their seq, if readable, tells their place."""
     schema = T.StructType([*EVENTS.fields, T.StructField("_corrupt_record", T.StringType())])
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").csv(path)
@@ -46,7 +46,9 @@ def read_tolerant(spark: SparkSession, path: str) -> DataFrame:
 
 def decode_report(rows: DataFrame, most: int = MOST_ERRORS) -> tuple[DataFrame, DataFrame]:
     """(good rows, DAY with decode_errors and decode_truncated). A day is cut off at its first run of `most` bad rows."""
-    bad = F.col("_corrupt_record").isNotNull()
+    # The reader checks only columns that are used; this uses all of them, so that a row counts the same whatever is selected later.
+    every = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).bitwiseAND(0) == 0
+    bad = F.col("_corrupt_record").isNotNull() & every
     order = Window.partitionBy(*DAY).orderBy("seq")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     marked = rows.withColumn("_bad", bad).withColumn("_island", F.sum(F.when(F.col("_bad"), 0).otherwise(1)).over(so_far))
