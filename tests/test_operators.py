@@ -221,3 +221,13 @@ def test_manifest(tmp_path):
 
 def test_schema():
     assert len(FEATURES) == 34 and len(set(FEATURES)) == 34 and EVENTS.fieldNames()[2] == "seq"
+
+
+def test_fusion_of_exports_that_differ(spark):
+    days = [DAY, datetime.date(2024, 1, 17)]
+    left = spark.createDataFrame([("S", d, b, float(b)) for d in days for b in range(20)], "symbol string, trade_date date, bin_idx long, v double")
+    lacks = {days[0]: {5, 7}, days[1]: {1, 2, 3}}  # a tenth is tolerated, more leaves the day out
+    right = spark.createDataFrame([("S", d, b, -1.0, "x") for d in days for b in range(20) if b not in lacks[d]], "symbol string, trade_date date, bin_idx long, v double, w string")
+    got = context.fused(left, right)
+    assert got.columns == ["symbol", "trade_date", "bin_idx", "v", "v_r", "w"]
+    assert {(r.trade_date, r.bin_idx) for r in got.collect()} == {(DAY, b) for b in range(20) if b not in lacks[DAY]}
