@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickloom.llm import exact_dedup, language, line_dedup, mixing, packing, private_terms, quality, simhash, transport_stream, warc
+from tickloom.llm import exact_dedup, language, line_dedup, mixing, packing, prefix_trie, private_terms, quality, simhash, transport_stream, warc
 
 
 def queries() -> dict:
@@ -17,10 +17,12 @@ def queries() -> dict:
         "op8_line_dedup": line_dedup.op8_line_dedup,
         "op9_transport_stream": transport_stream.op9_transport_stream,
         "op10_quality_classifier": quality.op10_quality_classifier,
+        "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_exact_dedup": exact_dedup.ORACLE,
+        "op11_prefix_trie": prefix_trie.ORACLE,
     }
