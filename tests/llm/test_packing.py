@@ -10,6 +10,8 @@ from tokenizers import Tokenizer
 
 from tickloom.llm import packing
 
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
 
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.text("abcdef", min_size=1, max_size=3), st.integers(1, 3000), min_size=1, max_size=9))
@@ -145,3 +147,29 @@ def test_sequences_and_empty(spark):
     assert packing.pack(docs.limit(0)).count() == 0
     small = spark.createDataFrame([(5, "", "a")], "doc_id long, text string, source string")
     assert [(r.used, r.ids) for r in packing.sequences(packing.pack(small, with_ids=True)).collect()] == [(1, [0])]
+
+
+@pytest.mark.parametrize("char", [" ", "\n", chr(0xA0), "a", "?"])
+def test_long_runs_as_the_tokenizer_has_them(char):
+    encode = packing.encoder(PATH)
+    tokenizer = Tokenizer.from_file(PATH)
+    run = char * 1_000_000
+    for text in (f"x{run}y", f"{run}<|endoftext|>{run} y", run):
+        assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+    if char.isspace():  # the tokenizer itself needs gigabytes here
+        assert len(encode(f"x{char * 10_000_000}y")) >= 3
+
+
+@pytest.mark.parametrize("length", [9_998, 9_999, 10_000, 10_001, 10_002])
+@pytest.mark.parametrize("after", ["", "y", " y", "\n", "<|endoftext|>", "'s", "\ny"])
+def test_runs_about_the_bound(length, after):
+    text = f"it's{' ' * length}{after}"
+    assert packing.encoder(PATH)(text) == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+
+
+def test_query_with_white_space(spark, tmp_path):
+    rows = [(1, "\n" * 1_000_000, "a"), (2, "a b c", "b"), (3, None, None), (None, " " * 10_000_000 + "x", "a")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = packing.op7_mixture_packing(spark, str(tmp_path)).groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
+    encode = packing.encoder(PATH)
+    assert {r.doc_id: (r["sum(length)"], r["max(doc_tokens)"]) for r in got} == {i: (len(encode(t or "")) + 1,) * 2 for i, t, _ in rows}

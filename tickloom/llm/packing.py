@@ -34,6 +34,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,6 +42,8 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import batch_of, mapped, own_columns, table, utf8, written
 
 WINDOW, QUANTUM, END_ID = 1024, 32, 0
+#: Characters of white space in a row from which on they are encoded by themselves.
+LONG_RUN = 10_000
 #: Queues of the schedule, which every task holds: about 100 bytes each.
 MOST_SOURCES = 4096
 
@@ -50,13 +53,35 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     """The byte-level BPE of the tokenizer file at path, from its vocabulary as ranks: the same ids, several times faster.
 
     Strings that the file adds to the vocabulary are one id each wherever they are in a text, as the file has it by default.
+    The pattern engine's stack grows with a run of white space, so a long run goes past it: all of it but its last character, or the
+    whole where nothing follows, is what the pattern takes as one piece anyway.
     """
     import tiktoken
 
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path.removesuffix(".json") + ".tiktoken", "rb"))}
     added = {t["content"]: t["id"] for t in json.loads(open(path, encoding="utf-8").read())["added_tokens"]}
-    known = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
-    return lambda text: known.encode(text, allowed_special="all") if any(t in text for t in added) else known.encode_ordinary(text)
+    known = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    runs = regex.compile(rf"\s{{{LONG_RUN},}}")
+    cuts = regex.compile("(" + "|".join(map(regex.escape, added)) + ")")
+
+    def plain(text: str) -> list[int]:
+        ids, at = [], 0
+        for m in runs.finditer(text) if len(text) >= LONG_RUN else ():
+            last = m.end() - (m.end() < len(text))
+            ids += known.encode_ordinary(text[at : m.start()])
+            ids += known._encode_single_piece(text[m.start() : last])
+            at = last
+        return ids + known.encode_ordinary(text[at:]) if at else known.encode_ordinary(text)
+
+    def encode(text: str) -> list[int]:
+        if not any(t in text for t in added):
+            return plain(text)
+        ids = []
+        for part in cuts.split(text):
+            ids += [added[part]] if part in added else plain(part)
+        return ids
+
+    return encode
 
 
 def queue_of(source_col: str) -> Column:
