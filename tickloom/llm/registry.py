@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickloom.llm import exact_dedup, language, line_dedup, mixing, packing, prefix_trie, private_terms, quality, simhash, transport_stream, warc
+from tickloom.llm import exact_dedup, language, line_dedup, mixing, packing, prefix_trie, private_terms, quality, simhash, tokens, transport_stream, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_transport_stream": transport_stream.op9_transport_stream,
         "op10_quality_classifier": quality.op10_quality_classifier,
         "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+        "op12_token_counts": tokens.op12_token_counts,
     }
 
 
