@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickloom.llm import exact_dedup, language, line_dedup, mixing, packing, prefix_trie, private_terms, quality, simhash, tokens, transport_stream, warc
+from tickloom.llm import exact_dedup, language, line_dedup, mixing, packing, prefix_trie, private_terms, quality, resampling, simhash, tokens, transport_stream, warc
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_quality_classifier": quality.op10_quality_classifier,
         "op11_prefix_trie": prefix_trie.op11_prefix_trie,
         "op12_token_counts": tokens.op12_token_counts,
+        "op13_importance_resampling": resampling.op13_importance_resampling,
     }
 
 
@@ -26,4 +27,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_exact_dedup": exact_dedup.ORACLE,
         "op11_prefix_trie": prefix_trie.ORACLE,
+        "op13_importance_resampling": resampling.ORACLE,
     }
