@@ -23,10 +23,16 @@ def brute(rows, radius=4):
             if (fps[i] ^ fps[j]).bit_count() <= radius:
                 a, b = comp[i], comp[j]
                 comp = [min(a, b) if c in (a, b) else c for c in comp]
+    for k, (i, _) in enumerate(rows):  # rows of one identifier are one document
+        for j in range(k):
+            if i is not None and rows[j][0] == i:
+                a, b = comp[k], comp[j]
+                comp = [min(a, b) if c in (a, b) else c for c in comp]
     least = {}
     for (i, _), c in zip(rows, comp, strict=True):
-        least[c] = min(least.get(c, i), i)
-    return {(i, f"{f:016x}", least[c]) for (i, _), f, c in zip(rows, fps, comp, strict=True)}
+        if i is not None:
+            least[c] = min(least.get(c, i), i)
+    return {(i, f"{f:016x}", least.get(c)) for (i, _), f, c in zip(rows, fps, comp, strict=True)}
 
 
 def rows():
@@ -80,3 +86,34 @@ def test_empty_table_and_stage(spark):
     assert simhash.near_duplicates(none).count() == 0
     docs = spark.createDataFrame([(4, "a b c d e"), (2, "a b c d e"), (9, "quite another text here")], "doc_id long, text string")
     assert sorted(r.doc_id for r in simhash.simhash_stage(spark, docs, "").collect()) == [2, 9]
+    clash = docs.withColumn("_gone", F.lit(2)).withColumn("gone", F.lit(2)).withColumn("id", F.lit(2))
+    out = simhash.simhash_stage(spark, clash, "")
+    assert out.columns == clash.columns and sorted(r.doc_id for r in out.collect()) == [2, 9]
+
+
+def test_null_and_repeated_identifiers(spark):
+    """A row without an identifier between two documents links them; so does an identifier with several texts."""
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in rng.integers(0, 400, 200)]
+    chain = [list(words)]
+    for _ in range(12):
+        step = list(chain[-1])
+        step[rng.integers(0, 200)] = f"x{rng.integers(0, 99)}"
+        chain.append(step)
+    texts = [" ".join(c) for c in chain]
+    data = [(1 if k == 0 else 9 if k == 12 else None, t) for k, t in enumerate(texts)]
+    data += [(20, "alone with this text of some words"), (21, "another text that nothing else is like at all"), (20, "another text that nothing else is like at all")]
+    data += [(None, "only rows without an identifier have this text"), (None, "only rows without an identifier have this text"), (30, texts[0]), (30, texts[0])]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = simhash.near_duplicates(docs).select("id", F.lower(F.lpad(F.hex("fp"), 16, "0")), "component").collect()
+    assert {tuple(r) for r in got} == brute(data) and len(got) == len(data)
+    assert {c for i, _, c in brute(data) if i == 9} == {1}
+
+
+def test_query(spark, tmp_path):
+    data = [*rows(), (None, "One two"), (3, "One two")]
+    spark.createDataFrame([(*r, "x") for r in data], "doc_id long, text string, fingerprint string").write.parquet(f"{tmp_path}/documents.parquet")
+    df = simhash.op5_simhash_covering(spark, str(tmp_path))
+    assert df.columns == ["doc_id", "fingerprint", "component_id"]
+    got = df.collect()
+    assert {tuple(r) for r in got} == brute(data) and len(got) == len(data)

@@ -12,7 +12,7 @@ covering over the bits they may still differ in. Each such level halves those bi
 bucket has at most 256 distinct entries.
 
 Defined results: a null or empty text has fingerprint zero and is linked like any other. Fewer than `width`
-words make one shingle. A null identifier keeps its row but names no component. Rows that repeat an
+words make one shingle. A null identifier keeps its row and links others, but names no component. Rows that repeat an
 identifier count as that one document. An empty table gives an empty table; extra columns are ignored.
 """
 
@@ -215,14 +215,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, fp, component) for each row; component is the smallest identifier reachable over links within radius."""
     prints = written(fingerprints(own_columns(docs, id_col, text_col), id_col, text_col, width, seed), "prints")
     classes = written(prints.groupBy("fp").agg(F.min("id").alias("first")), "classes")
-    # An identifier on several rows stands for several fingerprints: those are one document, so they are linked through it.
-    entries = classes.where("first is not null").select(F.col("first").alias("id"), "fp")
-    twice = prints.where("id is not null").groupBy("id").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x <> y").select("id")
-    own = prints.join(twice, "id").join(classes, "fp").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    found = links(entries, radius, bucket).unionAll(own)
-    grouped = components(found)
-    named = classes.join(grouped, F.col("first") == F.col("node"), "left").select("fp", F.coalesce("component", "first").alias("component"))
-    return prints.join(named, "fp").select("id", "fp", "component")
+    # Nodes are fingerprints, so rows without an identifier link others too. An identifier on several rows is one document: it links what they have.
+    twice = prints.where("id is not null").groupBy("id").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x <> y").select("id", "x")
+    own = prints.join(twice, "id").select(F.col("fp").alias("a"), F.col("x").alias("b"))
+    grouped = components(links(classes.select("fp", F.col("fp").alias("id")), radius, bucket).unionAll(own))
+    joined = written(classes.join(grouped, F.col("fp") == F.col("node")).select("fp", "first", "component"), "joined")
+    least = joined.groupBy("component").agg(F.min("first").alias("least"))
+    named = joined.join(least, "component").select(F.col("fp").alias("of"), "least")
+    return prints.join(classes, "fp").join(named, F.col("fp") == F.col("of"), "left").select("id", "fp", F.when(F.col("of").isNull(), F.col("first")).otherwise(F.col("least")).alias("component"))
 
 
 def op5_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,5 +233,5 @@ def op5_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs without all but the smallest identifier of each component; a null identifier stays."""
-    gone = near_duplicates(docs).where("id <> component").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs).where("id <> component").select(F.col("id").alias("gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
