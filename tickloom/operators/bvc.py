@@ -12,7 +12,7 @@ from collections import deque
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.market import normal_cdf
@@ -20,6 +20,13 @@ from tickloom.operators.quotes import by_seq, up_to_now
 from tickloom.schema import DAY, EPS
 
 MINUTE_NS = 60_000_000_000
+#: Volumes are added up in whole parts of a share, so that no sum depends on its order.
+GRAIN = 1 << 20
+
+
+def grains(volume: Column) -> Column:
+    """A volume in whole parts of a share."""
+    return F.floor(volume * F.lit(float(GRAIN)) + F.lit(0.5)).cast("long")
 
 
 def with_bvc(trades: DataFrame, window_minutes: int = 1) -> DataFrame:
@@ -90,4 +97,6 @@ def _phi(z: np.ndarray) -> np.ndarray:
 
 
 def by_bin(trades: DataFrame) -> DataFrame:
-    return trades.groupBy(*DAY, "bin_idx").agg(F.sum("bvc_buy").alias("bvc_buy"), F.sum("bvc_sell").alias("bvc_sell"))
+    buy = grains(F.col("bvc_buy"))
+    whole = trades.groupBy(*DAY, "bin_idx").agg(F.sum(buy).alias("buy"), F.sum(F.col("size") * F.lit(GRAIN) - buy).alias("sell"))
+    return whole.select(*DAY, "bin_idx", (F.col("buy") / F.lit(float(GRAIN))).alias("bvc_buy"), (F.col("sell") / F.lit(float(GRAIN))).alias("bvc_sell"))

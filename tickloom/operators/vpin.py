@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators.bvc import with_bvc
+from tickloom.operators.bvc import GRAIN, grains, with_bvc
 from tickloom.operators.quotes import up_to_now
 from tickloom.schema import DAY
 
@@ -13,18 +13,20 @@ from tickloom.schema import DAY
 def vpin_buckets(trades: DataFrame, bucket_volume: Column | int, lookback: int, window_minutes: int = 1) -> DataFrame:
     """(DAY, bucket, buy, sell, bin_idx, imbalance, vpin) of the full buckets; trades are one venue class's accepted ones.
 
-    A trade that straddles buckets is split in proportion. bin_idx is the bin of the trade that fills the bucket.
+    A trade that straddles buckets is split in proportion. Sums are whole numbers, whatever their order. bin_idx is the bin of the trade that fills the bucket.
     """
     volume = F.lit(bucket_volume).cast("long") if isinstance(bucket_volume, int) else bucket_volume
     split = with_bvc(trades, window_minutes).where("size > 0").withColumn("through", F.sum("size").over(up_to_now())).withColumn("volume", volume)
     first, last = F.floor((F.col("through") - F.col("size")) / F.col("volume")), F.floor((F.col("through") - 1) / F.col("volume"))
     parts = split.withColumn("bucket", F.explode(F.sequence(first, last)))
     inside = F.least(F.col("through"), (F.col("bucket") + 1) * F.col("volume")) - F.greatest(F.col("through") - F.col("size"), F.col("bucket") * F.col("volume"))
-    share = inside.cast("double") / F.col("size")
-    sums = parts.groupBy(*DAY, "bucket", "volume").agg(F.sum(F.col("bvc_buy") * share).alias("buy"), F.sum(F.col("bvc_sell") * share).alias("sell"), F.sum(inside).alias("filled"), F.max_by("bin_idx", "seq").alias("bin_idx"))
-    full = sums.where("filled = volume").withColumn("imbalance", F.abs(F.col("sell") - F.col("buy")) / F.col("volume"))
+    bought = grains(F.col("bvc_buy") * (inside.cast("double") / F.col("size")))
+    sums = parts.groupBy(*DAY, "bucket", "volume").agg(F.sum(bought).alias("bought"), F.sum(inside * F.lit(GRAIN) - bought).alias("sold"), F.sum(inside).alias("filled"), F.max_by("bin_idx", "seq").alias("bin_idx"))
+    one = F.col("volume").cast("double") * F.lit(float(GRAIN))
+    full = sums.where("filled = volume").withColumn("gap", F.abs(F.col("sold") - F.col("bought")))
     recent = Window.partitionBy(*DAY).orderBy("bucket").rowsBetween(-(lookback - 1), Window.currentRow)
-    return full.withColumn("vpin", F.avg("imbalance").over(recent)).drop("filled", "volume")
+    vpin = F.sum("gap").over(recent) / (one * F.count("*").over(recent))
+    return full.select(*DAY, "bucket", (F.col("bought") / F.lit(float(GRAIN))).alias("buy"), (F.col("sold") / F.lit(float(GRAIN))).alias("sell"), "bin_idx", (F.col("gap") / one).alias("imbalance"), vpin.alias("vpin"))
 
 
 def by_bin(buckets: DataFrame, name: str) -> DataFrame:

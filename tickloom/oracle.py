@@ -79,6 +79,13 @@ p1 AS (SELECT p0.*, max(last_seq) OVER (PARTITION BY p0.trade_date ORDER BY p0.b
 p AS (SELECT p1.*, s.bid IS NOT NULL AS st_valid, coalesce(s.mid, 0.0::DOUBLE) AS st_mid, coalesce(s.bps, 0.0::DOUBLE) AS st_bps, coalesce(s.bsz, 0) AS st_bsz, coalesce(s.asz, 0) AS st_asz, s.bbo_ts AS st_ts FROM p1 LEFT JOIN s ON s.seq = p1.st_seq)"""
 
 
+GRAIN = 1 << 20
+
+
+def grains(volume: str) -> str:
+    return f"floor(({volume}) * {GRAIN}.0::DOUBLE + 0.5::DOUBLE)::BIGINT"
+
+
 def bvc(window_ns: int) -> str:
     return f"""
 v0 AS (SELECT trade_date, seq, ts, px, size, b, pub, coalesce(px - lag(px) OVER (PARTITION BY trade_date ORDER BY seq), 0) AS d FROM r WHERE acc),
@@ -114,7 +121,7 @@ vb AS (SELECT trade_date, b, max_by(vpin, bucket) AS tvp FROM vpt GROUP BY ALL),
     return f"""
 bt AS (SELECT trade_date, b, seq, ts, lag(ts, {burst - 1}) OVER (PARTITION BY trade_date, b ORDER BY seq) AS was FROM r WHERE acc AND trf),
 bu AS (SELECT trade_date, b, max(ts) AS burst_ts FROM bt WHERE ts - was <= {burst_ns} GROUP BY ALL),{vp}
-vv AS (SELECT trade_date, b, sum(buy) AS vbuy, sum(sell) AS vsell FROM v GROUP BY ALL),
+vv AS (SELECT trade_date, b, sum({grains('buy')}) / {GRAIN}.0::DOUBLE AS vbuy, sum(size * {GRAIN} - {grains('buy')}) / {GRAIN}.0::DOUBLE AS vsell FROM v GROUP BY ALL),
 uu AS (SELECT u0.trade_date, u0.b, sum(bps * (greatest(0, coalesce(next_ts, p.bend) - ts))::DOUBLE) AS ws, sum((greatest(0, coalesce(next_ts, p.bend) - ts))::DOUBLE) AS wd,
   max(bps) FILTER (WHERE n = 1) AS bps0, max(bsz) FILTER (WHERE n = 1) AS bsz0, max(asz) FILTER (WHERE n = 1) AS asz0 FROM u0 JOIN p ON p.trade_date = u0.trade_date AND p.b = u0.b GROUP BY ALL),
 c AS (SELECT p.*, {vcols} last_value(bu.burst_ts IGNORE NULLS) OVER ww AS burst_ts FROM p LEFT JOIN bu ON bu.trade_date = p.trade_date AND bu.b = p.b {vjoin}
@@ -173,9 +180,9 @@ def vpin_cte(name: str, where: str, volume: int | str, lookback: int, window_ns:
 {n}3 AS (SELECT *, CASE WHEN sigma > 1e-8::DOUBLE THEN d::DOUBLE * 1e-9::DOUBLE / sigma ELSE 0.0::DOUBLE END AS z FROM {n}2),
 {n}4 AS (SELECT *, {phi('z')} AS share, unnest(range(((thru - size) // vol)::BIGINT, ((thru - 1) // vol)::BIGINT + 1)) AS bucket FROM {n}3),
 {n}5 AS (SELECT *, (least(thru, (bucket + 1) * vol) - greatest(thru - size, bucket * vol))::BIGINT AS part FROM {n}4),
-{n}6 AS (SELECT trade_date, bucket, sum(part * share) AS buy, sum(part * (1.0::DOUBLE - share)) AS sell, sum(part) AS filled, max_by(b, seq) AS b, vol FROM {n}5 GROUP BY trade_date, bucket, vol),
-{n}7 AS (SELECT *, abs(sell - buy) / vol::DOUBLE AS imbalance FROM {n}6 WHERE filled = vol),
-{n} AS (SELECT *, avg(imbalance) OVER (PARTITION BY trade_date ORDER BY bucket ROWS BETWEEN {lookback - 1} PRECEDING AND CURRENT ROW) AS vpin FROM {n}7)"""
+{n}6 AS (SELECT trade_date, bucket, sum({grains('part * share')}) AS bought, sum(part) AS filled, max_by(b, seq) AS b, vol FROM {n}5 GROUP BY trade_date, bucket, vol),
+{n}7 AS (SELECT *, abs(filled * {GRAIN} - 2 * bought)::BIGINT AS gap, bought / {GRAIN}.0::DOUBLE AS buy, (filled * {GRAIN} - bought) / {GRAIN}.0::DOUBLE AS sell, gap / (vol * {GRAIN})::DOUBLE AS imbalance FROM {n}6 WHERE filled = vol),
+{n} AS (SELECT *, sum(gap) OVER w / (vol::DOUBLE * {GRAIN}.0::DOUBLE * count(*) OVER w) AS vpin FROM {n}7 WINDOW w AS (PARTITION BY trade_date ORDER BY bucket ROWS BETWEEN {lookback - 1} PRECEDING AND CURRENT ROW))"""
 
 
 HOUR = 3_600_000_000_000
@@ -245,7 +252,7 @@ def oracle_sql() -> dict[str, str]:
         "bin_context": _live(*ALL_F[31:34]),
         "bvc_per_trade": with_(*base, bvc(HOUR), select=bvc_cols),
         "bvc_replayed": with_(*base, bvc(HOUR), select=bvc_cols),
-        "bin_bvc": with_(*base, bvc(HOUR), select=f"SELECT trade_date, b AS bin_idx, {r6('sum(buy)', 'bvc_buy')}, {r6('sum(sell)', 'bvc_sell')} FROM v GROUP BY trade_date, b"),
+        "bin_bvc": with_(*base, bvc(HOUR), select=f"SELECT trade_date, b AS bin_idx, {r6(f"sum({grains('buy')}) / {GRAIN}.0::DOUBLE", 'bvc_buy')}, {r6(f"sum(size * {GRAIN} - {grains('buy')}) / {GRAIN}.0::DOUBLE", 'bvc_sell')} FROM v GROUP BY trade_date, b"),
         "bin_bursts": with_(*base, select="SELECT trade_date, b AS bin_idx, max(ts) AS burst_ts FROM (SELECT *, lag(ts, 2) OVER (PARTITION BY trade_date, b ORDER BY seq) AS was FROM r WHERE acc AND trf) WHERE ts - was <= 300000000000 GROUP BY trade_date, b"),
         "vpin_buckets": with_(*base, _VPIN[0], select=f"SELECT trade_date, bucket, b AS bin_idx, {r6('buy')}, {r6('sell')}, {r6('imbalance')}, {r6('vpin')} FROM vpt"),
         "vpin_daily_buckets": with_(*base, _CONTEXT, "rd AS (SELECT r.*, floor(consolidated_volume * 0.05::DOUBLE)::BIGINT AS own FROM r LEFT JOIN cx ON cx.trade_date = r.trade_date)", vpin_cte("vpd", "trf", "CASE WHEN own > 0 THEN own ELSE 1000 END", 5, HOUR, "rd"), select=f"SELECT trade_date, count(*) AS buckets, {r6('avg(imbalance)', 'mean_imbalance')} FROM vpd GROUP BY trade_date"),
