@@ -1,6 +1,7 @@
 """Golden values of single operators."""
 
 import datetime
+import hashlib
 import json
 import math
 from pathlib import Path
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 from tickloom.config import Config, ConfigError
 from tickloom.functions import market
 from tickloom.operators import bvc, calendar, context, labels, normalize, quotes, sequences, vpin
-from tickloom.plans import export, manifest
+from tickloom.plans import dataset, export, manifest
 from tickloom.schema import EVENTS, FEATURES, UNDEFINED_PRICE
-from tickloom.sources import files
+from tickloom.sources import files, npy, stores
 
 DAY = datetime.date(2024, 1, 16)
 S = 1_000_000_000
@@ -197,28 +198,82 @@ def test_as_of_quotes(spark):
     assert got == {5: None, 6: 1.0, 7: 1.0}
 
 
-def test_export_is_all_or_nothing(tmp_path):
-    seq, label, ahead = np.ones((2, 3, 34)), np.ones((2, 2)), np.full((2, 4), np.nan)
-    docs = {k: {"a": 1} for k in export.KINDS[3:]}
-    assert export.write_day(str(tmp_path), "train", "d", seq, label, ahead, docs) == 2
-    assert np.load(tmp_path / "train/d_sequences.npy").dtype == np.float32 and np.load(tmp_path / "train/d_forward_prices.npy").shape == (2, 4)
+def day_arrays(n=2):
+    return {"sequences.npy": np.ones((n, 3, 34)), "labels.npy": np.ones((n, 2)), "forward_prices.npy": np.full((n, 4), np.nan)}
+
+
+def test_a_day_is_staged_whole_or_not_at_all(tmp_path):
+    docs = {k: {"a": 1} for k in dataset.DOCUMENTS}
+    found = dataset.stage(str(tmp_path), "train", "d", day_arrays(), docs)
+    folder = tmp_path / dataset.STAGING / "train"
+    assert found == {k: hashlib.sha256((folder / f"d_{k}").read_bytes()).hexdigest() for k in dataset.KINDS}
+    assert np.load(folder / "d_sequences.npy").dtype == np.float32 and np.load(folder / "d_forward_prices.npy").shape == (2, 4)
     with pytest.raises(ValueError, match="finite"):
-        export.write_day(str(tmp_path), "train", "e", seq * np.inf, label, ahead, docs)
-    assert export.write_day(str(tmp_path), "train", "f", seq[:0], label, ahead, docs) == 0
-    assert sorted(p.name for p in (tmp_path / "train").iterdir()) == sorted(f"d_{k}" for k in export.KINDS)
+        dataset.stage(str(tmp_path), "train", "e", day_arrays() | {"sequences.npy": np.full((2, 3, 34), np.inf)}, docs)
+    assert dataset.stage(str(tmp_path), "train", "f", day_arrays(0), docs) == {}
+    assert sorted(p.name for p in folder.iterdir()) == sorted(f"d_{k}" for k in dataset.KINDS)
+    assert not list((tmp_path / dataset.STAGING / "attempts").iterdir())
 
 
 def test_manifest(tmp_path):
-    rows = [{"symbol": "S", "trade_date": f"2024-01-0{d}", "split": "train", "n_sequences": n, "error": e} for d, n, e in ((1, 5, None), (2, 0, None), (3, 0, "broken"))]
-    m = manifest.build(rows, Config(), True)
+    rows = [{"symbol": "S", "trade_date": f"2024-01-0{d}", "split": "train", "n_sequences": n, "error": e, "digests": {"labels.npy": "x"} if n else {}} for d, n, e in ((1, 5, None), (2, 0, None), (3, 0, "broken"))]
+    m = dataset.manifest_of(rows, Config())
     assert (m["splits"]["train"]["n_days"], m["total_sequences"], m["zero_sequence_days"], m["complete"]) == (2, 5, ["2024-01-02"], False)
-    manifest.write(str(tmp_path), m)
-    assert json.loads(Path(tmp_path, manifest.NAME).read_text()) == m
+    assert m["failed_days"] == [{"day": "2024-01-03", "error": "broken"}] and m["diagnostics_files"] == ["train/S_20240101_diagnostics.json"]
+    stores.put(f"{tmp_path}/{manifest.NAME}", json.dumps(m).encode())
+    assert manifest.read(str(tmp_path)) == m
     with pytest.raises(FileExistsError):
         manifest.guard(str(tmp_path))
     manifest.guard(str(tmp_path), force=True)
 
 
+def test_digests_of_large_files_and_folders(tmp_path):
+    data = np.random.default_rng(0).bytes(300_000)
+    (tmp_path / "a").write_bytes(data)
+    assert stores.sha256_of(str(tmp_path / "a"), 1000) == stores.sha256_of(f"file:{tmp_path}/a") == stores.sha256_of(f"file://{tmp_path}/a") == hashlib.sha256(data).hexdigest()
+    before = stores.sha256_of(str(tmp_path))
+    (tmp_path / "_hidden").write_bytes(b"1")
+    assert stores.sha256_of(f"file:{tmp_path}") == before
+    (tmp_path / "b").write_bytes(b"1")
+    assert stores.sha256_of(str(tmp_path)) != before
+
+
+def exported(spark, root, **more):
+    cfg = Config().with_(sampling={"bin_size_seconds": 600}, sequence={"window_size": 3}, labeling={"horizons": (1, 2)}, validation={"min_trades_per_bin": 1}, export={"split_dates": ("2024-01-16", "2024-01-20"), **more})
+    from test_day import stream
+
+    rows = [r | {"symbol": f"S{k}"} for k in range(4) for r in stream(40 + k, False)]
+    return cfg, spark.createDataFrame([tuple(r[f.name] for f in EVENTS) for r in rows], EVENTS)
+
+
+def test_a_failed_export_leaves_nothing(spark, tmp_path):
+    cfg, events = exported(spark, tmp_path, continue_on_error=False)
+    root = str(tmp_path / "out")
+    # One day's task fails; the others have staged theirs by then, or are about to.
+    rows = export.day_rows(events, cfg)
+    victim = rows.agg(F.max("symbol")).first()[0]
+    rows = rows.withColumn("stats", F.when(F.col("symbol") == victim, F.lit("not json")).otherwise(F.col("stats"))).repartition(4, "symbol")
+    spark.dataSource.register(dataset.DatasetSink)
+    with pytest.raises(Exception, match="JSON|json|Expecting"):
+        rows.write.format(dataset.FORMAT).mode("append").option("root", root).option("config", json.dumps(cfg.to_dict())).save()
+    assert not stores.exists(f"{root}/{manifest.NAME}") and not [p for p in Path(root).rglob("*") if p.is_file()]
+
+
+def test_an_export_lists_what_it_wrote(spark, tmp_path):
+    cfg, events = exported(spark, tmp_path)
+    root = str(tmp_path / "out")
+    for _ in range(2):  # once more over what is there
+        found = export.export_dataset(events, cfg, root)
+        assert found["complete"] and found["total_sequences"] > 0 and not (tmp_path / "out" / dataset.STAGING).exists()
+        files = {p.relative_to(root).as_posix(): hashlib.sha256(p.read_bytes()).hexdigest() for p in Path(root).glob("*/*")}
+        assert files == {f"train/{n}_{k}": d for n, ds in found["digests"].items() for k, d in ds.items()}
+    name = next(iter(found["digests"]))
+    meta = json.loads((tmp_path / "out/train" / f"{name}_metadata.json").read_text())
+    assert isinstance(meta["provenance"]["git_dirty"], bool) and meta["provenance"]["git_commit"] and "data_file_sha256" not in meta["provenance"]
+    assert meta["n_sequences"] == len(np.load(tmp_path / "out/train" / f"{name}_labels.npy")) and meta["contract_version"] == found["contract_version"]
+    assert sum(1 for _ in npy.read_targets(spark, root, (1, 2)).toLocalIterator()) == found["total_sequences"]
+
+
 def test_schema():
     assert len(FEATURES) == 34 and len(set(FEATURES)) == 34 and EVENTS.fieldNames()[2] == "seq"
 

@@ -18,11 +18,8 @@ COLUMNS = ["symbol", "bin_idx", "bin_end_ns", "is_gap", "is_flush", "trades", "t
 
 @pytest.fixture
 def rocks(spark):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, state.PROVIDER)
-    yield
-    spark.conf.set(key, before)
+    with state.carried(spark):
+        yield
 
 
 def batch_bins(events, cfg):

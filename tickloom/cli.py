@@ -8,7 +8,6 @@
 from __future__ import annotations
 
 import argparse
-import shutil
 import sys
 from functools import reduce
 from pathlib import Path
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 from tickloom.config import Config, iso
 from tickloom.operators import calendar, context
 from tickloom.plans import export, manifest, reports
-from tickloom.sources import files
+from tickloom.sources import files, stores
 
 
 def daily(spark: SparkSession, cfg: Config) -> DataFrame:
@@ -28,8 +27,8 @@ def daily(spark: SparkSession, cfg: Config) -> DataFrame:
     return context.daily_context(spark.read.parquet(path)) if path else context.empty_context(spark)
 
 
-def wanted(spark: SparkSession, cfg: Config, date: str | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """(events, decode counters): the days asked for that have a file; days without one are named on stderr. Only delimited files can hold bad rows, and have counters."""
+def wanted(spark: SparkSession, cfg: Config, date: str | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """(events, decode counters, (trade_date, path) of the files): the days asked for that have a file; days without one are named on stderr. Only delimited files can hold bad rows, and have counters."""
     start, end = (date, date) if date else (cfg.dates.start_date, cfg.dates.end_date)
     if date:
         iso(date)
@@ -37,7 +36,8 @@ def wanted(spark: SparkSession, cfg: Config, date: str | None = None) -> tuple[D
     found = files.discover(spark, cfg.input.data_dir, cfg.input.filename_pattern)
     for r in calendar.missing(days, found).orderBy("trade_date").collect():  # one row a day of the calendar
         print(f"no file for {r.trade_date}", file=sys.stderr)
-    paths = [r.path for r in calendar.available(days, found).orderBy("trade_date").collect()]
+    there = calendar.available(days, found)
+    paths = [r.path for r in there.orderBy("trade_date").collect()]
     if not paths:
         raise FileNotFoundError("no day has a file")
     delimited, other = [p for p in paths if p.endswith(".csv")], [p for p in paths if not p.endswith(".csv")]
@@ -46,7 +46,7 @@ def wanted(spark: SparkSession, cfg: Config, date: str | None = None) -> tuple[D
     if delimited:
         good, decode = files.decode_report(named(files.read_tolerant(spark, delimited)))
         parts.append(good)
-    return reduce(DataFrame.unionByName, parts), decode
+    return reduce(DataFrame.unionByName, parts), decode, there.select("trade_date", "path")
 
 
 def printed(rows: DataFrame) -> None:
@@ -69,12 +69,13 @@ def main(argv: list[str] | None = None) -> int:
         root = cfg.export.output_dir
         manifest.guard(root, args.force)
         ctx = daily(spark, cfg) if cfg.input.daily_summary_path else None
-        events, decode = wanted(spark, cfg)
-        found = manifest.fold(export.export_days(events, cfg, root, ctx, decode), cfg, root)
-        shutil.copyfile(args.config, Path(root) / "export_config.toml")
+        events, decode, there = wanted(spark, cfg)
+        source = stores.digests(there).select("trade_date", F.element_at(F.split("path", "/"), -1).alias("source_file"), F.col("sha256").alias("data_file_sha256"))
+        found = export.export_dataset(events, cfg, root, ctx, decode, source)
+        stores.put(f"{root.rstrip('/')}/export_config.toml", Path(args.config).read_bytes())
         print(f"{found['total_sequences']} sequences, complete: {found['complete']}")
         return 0 if found["complete"] else 1
-    events, _ = wanted(spark, cfg, args.date)
+    events, *_ = wanted(spark, cfg, args.date)
     if args.command == "profile":
         printed(reports.profile_report(events, cfg).orderBy("symbol", "trade_date"))
         return 0

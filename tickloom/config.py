@@ -38,6 +38,8 @@ class Input:
     filename_pattern: str = "{date}.parquet"
     symbol: str = "SYN"
     daily_summary_path: str | None = None
+    data_source: str = "XNAS.BASIC"
+    record_schema: str = "cmbp-1"
 
     def __post_init__(self) -> None:
         _check(self.filename_pattern.count("{date}") == 1, "filename_pattern needs exactly one {date}")

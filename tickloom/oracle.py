@@ -229,7 +229,22 @@ def oracle_sql() -> dict[str, str]:
     digits = lambda x, name: f"CASE WHEN abs({x}) >= 1000000 THEN round({x}, -3) ELSE round({x}, 6) END AS {name}"
     stats_rows = " UNION ALL ".join(f"SELECT trade_date, '{c}' AS feature, {digits(f'avg({c})', 'mean')}, {digits(f'stddev_pop({c})', 'std')}, {digits(f'min({c})', 'min')}, {digits(f'max({c})', 'max')}, count({c}) AS n_finite, 0::BIGINT AS n_nan FROM f WHERE emit GROUP BY trade_date" for c in ALL_F)
     volume = lambda w: f"coalesce(sum(size) FILTER (WHERE {w}), 0)::DOUBLE"
+    z = lambda c: f"coalesce({c}, 0)"
+    islands = """SELECT trade_date, min(us) AS start_us, max(us) + 300000000 AS end_us, count(*) AS trades, sum(size)::BIGINT AS volume, coalesce(sum(size) FILTER (WHERE pub IN (82, 83)), 0)::BIGINT AS trf_volume,
+  coalesce(sum(size) FILTER (WHERE pub IN (81, 88, 89)), 0)::BIGINT AS lit_volume, min(px) AS low_nano, max(px) AS high_nano
+  FROM (SELECT *, sum(opens) OVER (PARTITION BY trade_date ORDER BY us, seq) AS island FROM (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY trade_date ORDER BY us, seq) < 300000000 THEN 0 ELSE 1 END AS opens
+  FROM (SELECT *, ts // 1000 AS us FROM raw WHERE action = 'T' AND px > 0))) GROUP BY trade_date, island"""
+    split = "CASE WHEN trade_date <= DATE '2024-01-20' THEN 'train' WHEN trade_date <= DATE '2024-01-25' THEN 'val' ELSE 'test' END AS split"
+    ends = f"lb AS ({_LEADS})", f"sq AS (SELECT *, row_number() OVER (PARTITION BY trade_date ORDER BY position) - 1 AS n FROM lb WHERE position >= 4 AND {_VALID})"
+    ahead = ", ".join(f"nullif(lead(mid_price, {k}) OVER w, 0) AS price_{k}" for k in range(6))
     return {
+        "npy_sequences": with_(*_coarse(), filled(), *ends, "ff AS (SELECT *, row_number() OVER (PARTITION BY trade_date ORDER BY bin_idx) - 1 AS position FROM f WHERE emit)", select=f"SELECT sq.trade_date, {split.replace('trade_date', 'sq.trade_date')}, n, ff.position - sq.position + 4 AS step, {', '.join(r6(f'ff.{c}::FLOAT::DOUBLE', c) for c in ALL_F)} FROM sq JOIN ff ON ff.trade_date = sq.trade_date AND ff.position BETWEEN sq.position - 4 AND sq.position"),
+        "npy_targets": with_(*_coarse(), *ends, f"pr AS (SELECT trade_date, bin_idx, {ahead} FROM l WHERE emit WINDOW w AS (PARTITION BY trade_date ORDER BY bin_idx))", select=f"SELECT sq.trade_date, {split.replace('trade_date', 'sq.trade_date')}, n, {', '.join(r6(f'label_{h}') for h in (1, 2, 3, 5))}, {', '.join(r6(f'price_{k}') for k in range(6))} FROM sq JOIN pr ON pr.trade_date = sq.trade_date AND pr.bin_idx = sq.bin_idx"),
+        "session_windows": with_(RAW, select=islands),
+        "stream_sessions": with_(RAW, select=islands),
+        "stream_state_bins": with_(RAW, STATE, records(B60), sums(), grid(B60, k=10**9), select=f"""SELECT p.trade_date, p.b AS bin_idx, bend AS bin_end_ns, is_gap, is_flush, p.trades, p.ups AS updates, coalesce(a.dropped, 0) AS dropped, {z('tb')}::BIGINT AS trf_buy_vol, {z('tsl')}::BIGINT AS trf_sell_vol,
+  {z('tu')}::BIGINT AS trf_unsigned_vol, {z('lv')}::BIGINT AS lit_vol, {r6('s.bid', 'bid')}, {r6('s.ask', 'ask')}, s.bsz AS bid_size, s.asz AS ask_size, {r6('st_mid', 'mid_price')}, st_ts AS quote_ts
+  FROM p LEFT JOIN a ON a.trade_date = p.trade_date AND a.b = p.b LEFT JOIN s ON s.seq = p.st_seq WHERE NOT (is_flush AND p.trade_date = (SELECT max(trade_date) FROM raw))"""),
         "bin_signed_flow": with_(*base, sums(), select=f"SELECT trade_date, b AS bin_idx, tb::BIGINT AS trf_buy_vol, tsl::BIGINT AS trf_sell_vol, tu::BIGINT AS trf_unsigned_vol, rv::BIGINT AS retail_vol, rb::BIGINT AS retail_buy_vol, rs::BIGINT AS retail_sell_vol, lv::BIGINT AS lit_vol, {r6('(tb - tsl)::DOUBLE / greatest((tb + tsl)::DOUBLE, 1e-8::DOUBLE)', 'trf_signed_imbalance')} FROM a"),
         "bbo_state_asof": with_(RAW, STATE, select=f"SELECT trade_date, seq, quote_check, valid AS bbo_valid, {r6('bid')}, {r6('ask')}, bsz AS bid_size, asz AS ask_size, {r6('mid')}, {r6('bps', 'spread_bps')}, {r6('micro', 'microprice')}, bbo_ts FROM s"),
         "bbo_diagnostics": with_(RAW, STATE, select="SELECT trade_date, count(*) FILTER (WHERE quote_check = 'ok') AS updates, count(*) FILTER (WHERE quote_check = 'crossed') AS crossed, count(*) FILTER (WHERE quote_check = 'invalid') AS invalid FROM q GROUP BY trade_date"),

@@ -1,30 +1,29 @@
 """Export: sequences, labels and forward prices as arrays, with metadata, statistics and diagnostics beside them.
 
-A day of a symbol is one export unit; the units are written in parallel, each by one task, into temporary
-names that are renamed when all files are there. Parquet is the native sink for the same content.
+A day of a symbol is one export unit. Bins are computed once and written; sequences, statistics, labels and diagnostics branch from there
+and meet in one row a day, which the dataset sink takes. Parquet is the native sink for the same content.
 """
 
 from __future__ import annotations
 
 import json
-import os
-import shutil
-from collections.abc import Iterator
+import subprocess
 from datetime import UTC, datetime
+from functools import lru_cache
 from pathlib import Path
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import tickloom
 from tickloom.config import Config
 from tickloom.functions.market import split_of
 from tickloom.operators import diagnostics, labels, normalize, sequences
-from tickloom.plans import day
-from tickloom.schema import CATEGORICAL, DAY, DIAGNOSTICS_VERSION, FEATURES, SCHEMA_VERSION
+from tickloom.plans import dataset, day, manifest
+from tickloom.schema import CATEGORICAL, CONTRACT_VERSION, DAY, DIAGNOSTICS_VERSION, FEATURES, SCHEMA_VERSION
+from tickloom.sources.stores import stored
 
-KINDS = ("sequences.npy", "labels.npy", "forward_prices.npy", "metadata.json", "normalization.json", "diagnostics.json")
+KINDS = dataset.KINDS
 
 
 def labelled_bins(bins: DataFrame, cfg: Config) -> DataFrame:
@@ -42,9 +41,31 @@ def sequence_rows(bins: DataFrame, cfg: Config) -> DataFrame:
     return rows.select(*DAY, "bin_idx", "sequence", F.array(*[f"label_{h}" for h in cfg.labeling.horizons]).alias("labels"), "forward_prices", split.alias("split"))
 
 
-def metadata(day_: str, counts: dict, cfg: Config, context: dict | None = None) -> dict:
-    """The metadata document of a day."""
+@lru_cache(maxsize=1)
+def _commit() -> tuple[str, bool]:
+    """The commit that this code is of, and whether files differ from it; unknown where there is no repository."""
+    git = lambda *args: subprocess.run(["git", *args], cwd=Path(__file__).parent, capture_output=True, text=True, timeout=10, check=True).stdout.strip()
+    try:
+        return git("rev-parse", "HEAD") or "unknown", bool(git("status", "--porcelain", "--untracked-files=no"))
+    except (OSError, subprocess.SubprocessError):
+        return "unknown", False
+
+
+def written_by() -> dict:
+    """What wrote a dataset, for its manifest."""
+    commit, dirty = _commit()
+    return {"schema_version": f"{SCHEMA_VERSION:.1f}", "contract_version": CONTRACT_VERSION, "feature_count": len(FEATURES), "processor_version": tickloom.__version__, "git_commit": commit, "git_dirty": dirty, "export_timestamp": datetime.now(UTC).isoformat()}
+
+
+def metadata(day_: str, counts: dict, cfg: Config, context: dict | None = None, source: dict | None = None) -> dict:
+    """The metadata document of a day. source: source_file, data_file_sha256 and commit, as far as they are known."""
     h = list(cfg.labeling.horizons)
+    source = source or {}
+    now = datetime.now(UTC).isoformat()
+    commit, dirty = source.get("commit") or _commit()
+    provenance = {"source_file": source.get("source_file") or "", "processor_version": tickloom.__version__, "git_commit": commit, "git_dirty": dirty, "export_timestamp_utc": now, "config_hash": cfg.hash()}
+    if source.get("data_file_sha256"):
+        provenance["data_file_sha256"] = source["data_file_sha256"]
     return {
         "day": day_,
         "symbol": cfg.input.symbol,
@@ -57,6 +78,11 @@ def metadata(day_: str, counts: dict, cfg: Config, context: dict | None = None)
         "bin_size_seconds": cfg.sampling.bin_size_seconds,
         "market_open_et": cfg.sampling.market_open_et,
         "schema_version": SCHEMA_VERSION,
+        "contract_version": CONTRACT_VERSION,
+        "data_source": cfg.input.data_source,
+        "schema": cfg.input.record_schema,
+        "experiment": cfg.export.experiment,
+        "label_strategy": cfg.labeling.label_type,
         "label_type": cfg.labeling.label_type,
         "label_encoding": {"unit": "basis_points", "dtype": "float64"},
         "forward_prices": {"exported": True, "max_horizon": max(h), "n_columns": max(h) + 1, "unit": "USD", "smoothing_window_offset": 0},
@@ -65,7 +91,8 @@ def metadata(day_: str, counts: dict, cfg: Config, context: dict | None = None)
         "exclusion_band": cfg.classification.exclusion_band,
         "features_config": cfg.to_dict()["features"],
         "classification_config": cfg.to_dict()["classification"],
-        "provenance": {"config_hash": cfg.hash(), "experiment": cfg.export.experiment, "written_at": datetime.now(UTC).isoformat()},
+        "provenance": provenance,
+        "export_timestamp": now,
         "context_available": bool(context and context.get("consolidated_volume")),
         "consolidated_volume": (context or {}).get("consolidated_volume"),
         "trf_volume_fraction": (context or {}).get("trf_volume_fraction"),
@@ -73,47 +100,26 @@ def metadata(day_: str, counts: dict, cfg: Config, context: dict | None = None)
     }
 
 
-def _save(path: Path, array: np.ndarray, finite: bool) -> None:
-    if finite and not np.isfinite(array).all():
-        raise ValueError(f"{path.name}: a value is not finite")
-    with path.open("wb") as f:
-        np.save(f, array)
-
-
-def write_day(root: str, split: str, name: str, seq: np.ndarray, label: np.ndarray, ahead: np.ndarray, documents: dict[str, dict]) -> int:
-    """Writes a day's six files, all or none. Without sequences nothing is written."""
-    if not len(seq):
-        return 0
-    folder = Path(root) / split
-    temporary = folder / f".tmp_{name}"
-    temporary.mkdir(parents=True, exist_ok=True)
-    moved: list[Path] = []
-    try:
-        _save(temporary / KINDS[0], seq.astype(np.float32), True)
-        _save(temporary / KINDS[1], label.astype(np.float64), True)
-        _save(temporary / KINDS[2], ahead.astype(np.float64), False)
-        for kind in KINDS[3:]:
-            (temporary / kind).write_text(json.dumps(documents[kind], indent=1, sort_keys=True))
-        for kind in KINDS:
-            target = folder / f"{name}_{kind}"
-            os.replace(temporary / kind, target)
-            moved.append(target)
-    except BaseException:
-        for target in moved:
-            target.unlink(missing_ok=True)
-        raise
-    finally:
-        shutil.rmtree(temporary, ignore_errors=True)
-    return len(seq)
+def documents_of(row: dict, n_sequences: int, cfg: Config) -> dict[str, dict]:
+    """The three documents of a day, from its row."""
+    s, day_ = json.loads(row["summary"]), f"{row['trade_date']:%Y-%m-%d}"
+    tally = {"n_sequences": n_sequences, "n_bins_total": s["total_bins_emitted"], "n_bins_valid": int(row["n_valid"]), "n_bins_warmup_discarded": s["warmup_bins_discarded"], "n_bins_label_truncated": int(row["n_truncated"]), "n_total_records": s["total_records_processed"], "n_trade_records": s["total_trade_records"], "n_trf_trades": s["total_trf_trades"], "n_lit_trades": s["total_lit_trades"], "first_bin_start_ns": s["first_bin_start_ns"], "last_bin_end_ns": s["last_bin_end_ns"]}
+    volume = row.get("consolidated_volume")
+    known = {"consolidated_volume": int(volume), "trf_volume_fraction": s["total_trf_volume"] / volume if volume else None} if volume is not None else None
+    source = {"source_file": row.get("source_file"), "data_file_sha256": row.get("data_file_sha256"), "commit": (row["git_commit"], row["git_dirty"])}
+    return {
+        "metadata.json": metadata(day_, tally, cfg, known, source),
+        "normalization.json": {"day": day_, "strategy": cfg.export.normalization, "features": json.loads(row["stats"])},
+        "diagnostics.json": {"schema_version": DIAGNOSTICS_VERSION, "day": day_, "summary": s},
+    }
 
 
-def export_days(events: DataFrame, cfg: Config, root: str, context: DataFrame | None = None, decode: DataFrame | None = None) -> DataFrame:
-    """Exports every day of events below root (a folder that all executors share) and returns a status row a day.
+def day_rows(events: DataFrame, cfg: Config, context: DataFrame | None = None, decode: DataFrame | None = None, sources: DataFrame | None = None) -> DataFrame:
+    """One row a day of a symbol, with all that its files need. The bins are computed here, once.
 
-    (symbol, trade_date, split, n_sequences, error): with continue_on_error an error is a row, else it ends the job.
-    decode: counters of bad rows by DAY, where the source counts them.
+    decode: counters of bad rows by DAY, where the source counts them. sources: (trade_date, source_file, data_file_sha256), where days are files.
     """
-    processed = day.all_bins(events, cfg, context)
+    processed = stored(day.all_bins(events, cfg, context), "bins")
     bins = processed.where("emit")
     h = cfg.labeling.horizons
     rows = sequence_rows(bins, cfg).groupBy(*DAY, "split").agg(F.sort_array(F.collect_list(F.struct("bin_idx", "sequence", "labels", "forward_prices"))).alias("rows"))
@@ -122,33 +128,29 @@ def export_days(events: DataFrame, cfg: Config, root: str, context: DataFrame |
     counts = labels.label_summary(labels.with_labels(bins, h), h)
     names = [c for c in summary.columns if c not in DAY]
     joined = summary.select(*DAY, F.to_json(F.struct(*names)).alias("summary")).join(counts, DAY).join(stats, DAY).join(rows, DAY, "left")
-    joined = joined.withColumn("split", F.coalesce("split", split_of(F.col("trade_date"), *cfg.export.split_dates)))
+    commit, dirty = _commit()
+    joined = joined.withColumns({"split": F.coalesce("split", split_of(F.col("trade_date"), *cfg.export.split_dates)), "git_commit": F.lit(commit), "git_dirty": F.lit(dirty)})
     if context is not None:
         joined = joined.join(context.select(*DAY, "consolidated_volume"), DAY, "left")
+    return joined if sources is None else joined.join(sources, "trade_date", "left")
+
 
-    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for r in frame.to_dict("records"):
-                name = f"{r['symbol']}_{r['trade_date']:%Y%m%d}"
-                found = r["rows"] if r["rows"] is not None else []
-                status = {"symbol": r["symbol"], "trade_date": r["trade_date"], "split": r["split"], "n_sequences": 0, "error": None}
-                try:
-                    s = json.loads(r["summary"])
-                    tally = {"n_sequences": len(found), "n_bins_total": s["total_bins_emitted"], "n_bins_valid": int(r["n_valid"]), "n_bins_warmup_discarded": s["warmup_bins_discarded"], "n_bins_label_truncated": int(r["n_truncated"]), "n_total_records": s["total_records_processed"], "n_trade_records": s["total_trade_records"], "n_trf_trades": s["total_trf_trades"], "n_lit_trades": s["total_lit_trades"], "first_bin_start_ns": s["first_bin_start_ns"], "last_bin_end_ns": s["last_bin_end_ns"]}
-                    volume = r.get("consolidated_volume")
-                    known = {"consolidated_volume": int(volume), "trf_volume_fraction": s["total_trf_volume"] / volume if volume else None} if volume is not None and volume == volume else None
-                    documents = {KINDS[3]: metadata(f"{r['trade_date']:%Y-%m-%d}", tally, cfg, known), KINDS[4]: {"day": f"{r['trade_date']:%Y-%m-%d}", "strategy": cfg.export.normalization, "features": json.loads(r["stats"])}, KINDS[5]: {"schema_version": DIAGNOSTICS_VERSION, "day": f"{r['trade_date']:%Y-%m-%d}", "summary": s}}
-                    as_array = lambda key: np.array([np.array([list(map(float, x)) for x in row[key]] if key == "sequence" else [float("nan") if x is None else x for x in row[key]], float) for row in found])
-                    status["n_sequences"] = write_day(root, r["split"], name, as_array("sequence"), as_array("labels"), as_array("forward_prices"), documents)
-                except Exception as e:
-                    if not cfg.export.continue_on_error:
-                        raise
-                    status["error"] = str(e)[:500]
-                out.append(status)
-            yield pd.DataFrame(out, columns=["symbol", "trade_date", "split", "n_sequences", "error"])
-
-    return joined.mapInPandas(write, "symbol string, trade_date date, split string, n_sequences long, error string")
+def export_dataset(events: DataFrame, cfg: Config, root: str, context: DataFrame | None = None, decode: DataFrame | None = None, sources: DataFrame | None = None) -> dict:
+    """Exports every day of events below root, a path or URI that driver and tasks share, and returns the manifest.
+
+    With continue_on_error a day's error is listed in the manifest, else it ends the job and leaves nothing.
+    """
+    spark = events.sparkSession
+    spark.dataSource.register(dataset.DatasetSink)
+    rows = day_rows(events, cfg, context, decode, sources)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")  # a day is megabytes
+    try:
+        rows.write.format(dataset.FORMAT).mode("append").option("root", root).option("config", json.dumps(cfg.to_dict())).save()
+    finally:
+        spark.conf.set(key, before)
+    return manifest.read(root)
 
 
 def export_parquet(bins: DataFrame, cfg: Config, path: str) -> None:

@@ -3,67 +3,25 @@
 from __future__ import annotations
 
 import json
-import os
-from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.config import Config
+from tickloom.sources import stores
 
 NAME = "dataset_manifest.json"
 
 
 def guard(root: str, force: bool = False) -> None:
     """Refuses a folder that already has a manifest."""
-    if (Path(root) / NAME).exists() and not force:
+    if stores.exists(f"{root.rstrip('/')}/{NAME}") and not force:
         raise FileExistsError(f"{root} already holds an export; force overwrites it")
 
 
-def split_totals(status: DataFrame) -> DataFrame:
-    """(split, n_days, n_sequences, first_date, last_date) of the days exported."""
-    done = status.where("error is null")
-    return done.groupBy("split").agg(F.count("*").alias("n_days"), F.coalesce(F.sum("n_sequences"), F.lit(0)).alias("n_sequences"), F.min("trade_date").alias("first_date"), F.max("trade_date").alias("last_date"))
+def read(root: str) -> dict:
+    return json.loads(stores.get(f"{root.rstrip('/')}/{NAME}"))
 
 
-def build(rows: list[dict], cfg: Config, complete: bool) -> dict:
-    """The manifest of status rows. A day without sequences is a day, and is listed as such."""
-    ok = [r for r in rows if r["error"] is None]
-    splits: dict[str, dict] = {}
-    for r in sorted(ok, key=lambda r: str(r["trade_date"])):
-        s = splits.setdefault(r["split"], {"n_days": 0, "n_sequences": 0, "first_date": str(r["trade_date"]), "last_date": "", "days": []})
-        s["n_days"] += 1
-        s["n_sequences"] += r["n_sequences"]
-        s["last_date"] = str(r["trade_date"])
-        s["days"].append(str(r["trade_date"]))
-    failed = [{"day": str(r["trade_date"]), "error": r["error"]} for r in rows if r["error"] is not None]
-    return {
-        "experiment": cfg.export.experiment,
-        "symbol": cfg.input.symbol,
-        "config_hash": cfg.hash(),
-        "split_dates": list(cfg.export.split_dates),
-        "splits": splits,
-        "failed_days": failed,
-        "zero_sequence_days": [str(r["trade_date"]) for r in ok if not r["n_sequences"]],
-        "total_sequences": sum(r["n_sequences"] for r in ok),
-        "complete": complete and not failed,
-    }
-
-
-def write(root: str, manifest: dict) -> None:
-    target = Path(root) / NAME
-    target.parent.mkdir(parents=True, exist_ok=True)
-    temporary = target.with_suffix(".tmp")
-    temporary.write_text(json.dumps(manifest, indent=1, sort_keys=True))
-    os.replace(temporary, target)
-
-
-def fold(status: DataFrame, cfg: Config, root: str) -> dict:
-    """Writes the manifest as days arrive (one status row a day) and once more when all are there."""
-    rows: list[dict] = []
-    for r in status.toLocalIterator():
-        rows.append(r.asDict())
-        write(root, build(rows, cfg, complete=False))
-    found = build(rows, cfg, complete=True)
-    write(root, found)
-    return found
+def split_totals(days: DataFrame) -> DataFrame:
+    """(split, n_days, n_sequences, first_date, last_date) of days (split, trade_date, n_sequences)."""
+    return days.groupBy("split").agg(F.count("*").alias("n_days"), F.coalesce(F.sum("n_sequences"), F.lit(0)).alias("n_sequences"), F.min("trade_date").alias("first_date"), F.max("trade_date").alias("last_date"))

@@ -7,7 +7,6 @@ addition can't show. Ordered quantities are whole numbers wherever they can be.
 from __future__ import annotations
 
 import re
-import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +18,11 @@ from tickloom.operators import aggregates, bursts, bvc, calendar, context, diagn
 from tickloom.operators import bins as grid
 from tickloom.plans import day, export, manifest, reports
 from tickloom.schema import DAY, FEATURES
-from tickloom.sources.adapter import driver_events
+from tickloom.sources import npy
+from tickloom.sources.adapter import driver_events, from_driver_events
+from tickloom.sources.stores import scratch
 from tickloom.streaming import bins as streaming
+from tickloom.streaming import sessions, sink, state
 
 #: Bins of ten minutes suit the driver's sparse days; bins of a minute bring out gaps and early closes.
 COARSE = Config().with_(sampling={"bin_size_seconds": 600}, validation={"min_trades_per_bin": 2, "burst_threshold": 3, "burst_window_ns": 300_000_000_000, "auto_detect_close": True}, vpin={"bucket_volume": 1000, "lookback_buckets": 5, "sigma_window_minutes": 60}, sequence={"window_size": 5}, labeling={"horizons": (1, 2, 3, 5)})
@@ -28,12 +30,6 @@ FINE = Config().with_(sampling={"bin_size_seconds": 60}, vpin={"sigma_window_min
 WITH_VPIN = COARSE.with_(features={"vpin": True})
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that driver and executors share (spark.checkpoint.dir); a local one where that is unset, as in tests."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or "/tmp/checkpoints/tickloom"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def local(path: str) -> str:
     """The mounted form of a file: path, for the writers of NPY files."""
     return re.sub(r"^file:/*", "/", path)
@@ -289,16 +285,32 @@ def file_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discover(spark, f"file://{root}", "day-{date}.parquet").select("trade_date", F.element_at(F.split("path", "/"), -1).alias("name"))
 
 
+def _exported(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch(spark, "export")
+    manifest.guard(root)
+    export.export_dataset(driver_events(spark, sf_dir), COARSE.with_(export={"output_dir": root}), root)
+    return root
+
+
 def npy_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full export with its manifest, and what the manifest says."""
-    root = local(scratch(spark, "export"))
-    cfg = COARSE.with_(export={"output_dir": root})
-    manifest.guard(root)
-    found = manifest.fold(export.export_days(driver_events(spark, sf_dir), cfg, root), cfg, root)
+    found = manifest.read(_exported(spark, sf_dir))
     rows = [(s, v["n_days"], v["n_sequences"], v["first_date"], v["last_date"]) for s, v in sorted(found["splits"].items())]
     return spark.createDataFrame(rows, "split string, n_days long, n_sequences long, first_date string, last_date string")
 
 
+def npy_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequences of a full export, read again: every step's features."""
+    return rounded(npy.read_sequences(spark, _exported(spark, sf_dir)).drop("symbol"), *FEATURES)
+
+
+def npy_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels and forward prices of a full export, read again."""
+    h = COARSE.labeling.horizons
+    found = npy.read_targets(spark, _exported(spark, sf_dir), h)
+    return rounded(found.drop("symbol"), *[f"label_{x}" for x in h], *[f"price_{k}" for k in range(max(h) + 1)])
+
+
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The streaming bins, run over all that is there, open bins included."""
     root = scratch(spark, "stream")
@@ -306,6 +318,38 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.read.parquet(f"{root}/bins").drop("symbol"), "dark_share")
 
 
+def _streamed(spark: SparkSession, sf_dir: str, name: str, stream, mode: str = "append", slices: int = 3) -> str:
+    """The driver's events arrive in slices; each time the query is started anew from its checkpoint and its results are committed. Gives the results' path."""
+    root = scratch(spark, name)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    step = -(-(high - low + 1) // slices) if high is not None else 1
+    for k in range(slices):
+        mine = events if high is None else events.where(F.col("event_id").between(low + k * step, low + (k + 1) * step - 1))
+        mine.write.parquet(f"{root}/in/{k:03}")
+        arrived = from_driver_events(spark.readStream.schema(events.schema).parquet(f"{root}/in/*"))
+        sink.run_available(stream(arrived), f"{root}/out", f"{root}/checkpoint", mode)
+    return f"{root}/out"
+
+
+def stream_state_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins of a minute from carried quote state, gaps included. The last day is still open when the events end, so its last bin isn't there."""
+    with state.carried(spark):
+        out = _streamed(spark, sf_dir, "state", lambda e: state.stream_state_bins(e, FINE))
+    found = sink.committed(spark, out)
+    return found.select("trade_date", "bin_idx", "bin_end_ns", "is_gap", "is_flush", "trades", "updates", "dropped", "trf_buy_vol", "trf_sell_vol", "trf_unsigned_vol", "lit_vol", r6("bid").alias("bid"), r6("ask").alias("ask"), "bid_size", "ask_size", r6("mid_price").alias("mid_price"), "quote_ts")
+
+
+def session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.activity_sessions(driver_events(spark, sf_dir)).drop("symbol")
+
+
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sessions from a stream that is stopped and started twice; open ones too."""
+    out = _streamed(spark, sf_dir, "sessions", lambda e: sessions.activity_sessions(e, lateness="10 seconds"), "complete")
+    return sink.committed(spark, out, latest=True).drop("symbol")
+
+
 def queries() -> dict:
     flow, venues, retail, quotes_, size = FEATURES[0:3], FEATURES[4:8], FEATURES[8:12], FEATURES[12:18], FEATURES[20:24]
     return {
@@ -359,5 +403,10 @@ def queries() -> dict:
         "normal_cdf_grid": normal_cdf_grid,
         "file_discovery": file_discovery,
         "npy_export": npy_export,
+        "npy_sequences": npy_sequences,
+        "npy_targets": npy_targets,
         "stream_tumbling": stream_tumbling,
+        "stream_state_bins": stream_state_bins,
+        "session_windows": session_windows,
+        "stream_sessions": stream_sessions,
     }

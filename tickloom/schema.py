@@ -13,6 +13,7 @@ DAY_NS = 86_400 * SECOND_NS
 LIT, TRF, MINOR_LIT, QUOTE_ONLY = (81,), (82, 83), (88, 89), (93,)
 DEFAULT_HORIZONS = (1, 2, 3, 5, 10, 20, 30, 60)
 SCHEMA_VERSION = 1.0
+CONTRACT_VERSION = "off_exchange_1.0"
 DIAGNOSTICS_VERSION = "1.2.0"
 
 # The feature vector, in order.

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tickloom.operators.calendar import from_file_date
 from tickloom.schema import DAY, EVENTS
+from tickloom.sources.stores import digests
 
 #: Bad records in a row after which a day counts as cut off.
 MOST_ERRORS = 1000
@@ -64,5 +65,5 @@ def in_memory(spark: SparkSession, rows: list, schema: T.StructType = EVENTS) ->
 
 
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """(path, sha256) of each file; each is read by one task."""
-    return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"))
+    """(path, sha256) of each file; each is streamed by one task, whatever its size."""
+    return digests(spark.read.format("binaryFile").load(path).select("path"))

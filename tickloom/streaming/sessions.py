@@ -16,7 +16,7 @@ from tickloom.schema import DAY, UNDEFINED_PRICE
 def activity_sessions(events: DataFrame, gap: str = "5 minutes", lateness: str | None = None) -> DataFrame:
     """(DAY, start_us, end_us, trades, volume, trf_volume, lit_volume, low_nano, high_nano): end_us is the last trade's time plus the gap; a trade exactly there begins another session."""
     priced = F.coalesce((F.col("price_nano") > 0) & (F.col("price_nano") != UNDEFINED_PRICE), F.lit(False))
-    traded = events.where(is_trade(F.col("action")) & priced).withColumn("at", F.timestamp_micros(F.floor(F.col("ts_recv_ns") / F.lit(1000))))
+    traded = events.where(is_trade(F.col("action")) & priced).withColumn("at", F.timestamp_micros(F.expr("ts_recv_ns div 1000")))
     traded = traded if lateness is None else traded.withWatermark("at", lateness)
     size, publisher = F.col("size"), F.col("publisher_id")
     volume = lambda when: F.sum(F.when(when, size).otherwise(0))

@@ -13,10 +13,11 @@ repeats and are left out, as are rows later than the watermark.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -35,6 +36,18 @@ PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 SETTLE_NS = 4 * 3600 * 10**9
 
 
+@contextmanager
+def carried(spark: SparkSession) -> Iterator[None]:
+    """Within, streams that are started keep their state in PROVIDER, which carried state needs."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, PROVIDER)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def prepared(events: DataFrame, cfg: Config, lateness: str) -> DataFrame:
     """What the state needs of each record, as plain numbers; everything that doesn't depend on state is done here."""
     price, ts = F.col("price_nano"), F.col("ts_recv_ns")
@@ -45,7 +58,7 @@ def prepared(events: DataFrame, cfg: Config, lateness: str) -> DataFrame:
     flags = {"ok": ok, "quoted": ok & (ts >= opens) & (ts < closes), "accepted": traded & priced, "dropped": traded & ~priced, "trf": is_trf(F.col("publisher_id")), "lit": is_lit(F.col("publisher_id"))}
     numbers = {"seq": F.col("seq"), "ts": ts, "open_ns": opens, "close_ns": closes, "size": F.coalesce("size", F.lit(0)), "bid_size": F.coalesce("bid_sz", F.lit(0)), "ask_size": F.coalesce("ask_sz", F.lit(0))}
     prices = {"price": F.when(priced, usd(price)).otherwise(0.0), "bid": F.when(ok, usd(F.col("bid_px_nano"))).otherwise(0.0), "ask": F.when(ok, usd(F.col("ask_px_nano"))).otherwise(0.0)}
-    timed = events.withColumn("at", F.timestamp_micros(F.floor(ts / F.lit(1000)))).withWatermark("at", lateness)
+    timed = events.withColumn("at", F.timestamp_micros(F.expr("ts_recv_ns div 1000"))).withWatermark("at", lateness)
     return timed.select(*DAY, "at", *[c.alias(n) for n, c in (flags | prices).items()], *[c.cast("long").alias(n) for n, c in numbers.items()])
 
 
@@ -144,6 +157,6 @@ def _rows(key: tuple, bins: list[dict]) -> Iterator[pd.DataFrame]:
 
 
 def stream_state_bins(events: DataFrame, cfg: Config, lateness: str = "10 seconds", prompt: bool = False) -> DataFrame:
-    """Every bin from streaming canonical events: flow by side, quote at its end, gaps. Needs the state store of PROVIDER."""
+    """Every bin from streaming canonical events: flow by side, quote at its end, gaps. Start it within carried()."""
     found = prepared(events, cfg, lateness).groupBy(*DAY).transformWithStateInPandas(DayState(cfg.bin_ns, cfg.classification.exclusion_band, prompt), outputStructType=_SPARK(_OUT), outputMode="Append", timeMode="EventTime")
     return found.withColumn("mid_price", F.coalesce((F.col("bid") + F.col("ask")) / 2.0, F.lit(0.0)))
