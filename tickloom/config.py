@@ -168,7 +168,7 @@ class Export:
     def __post_init__(self) -> None:
         object.__setattr__(self, "split_dates", tuple(self.split_dates))
         _check(len(self.split_dates) == 2 and iso(self.split_dates[0]) < iso(self.split_dates[1]), "split_dates must be the ends of train and of validation, in order")
-        _check(self.normalization in {"none", "per_day_zscore"}, f"unknown normalization {self.normalization!r}")
+        _check(self.normalization in {"none", "per_day_zscore", "global_zscore"}, f"unknown normalization {self.normalization!r}")
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.market import zscore
@@ -36,3 +36,32 @@ def normalized(bins: DataFrame, off: set[str] = frozenset(), features: tuple[str
     stats = wide_stats(bins, features).select(*DAY, F.struct(*features).alias("_stats"))
     scored = {f: zscore(F.col(f), F.col(f"_stats.{f}.mean"), F.col(f"_stats.{f}.std")) for f in features if f not in CATEGORICAL and f not in off}
     return bins.join(stats, DAY).withColumns(scored).drop("_stats")
+
+
+def day_moments(bins: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:
+    """One row a day: a struct (n, mean, m2) a feature, over its finite values. Moments merge, so days are read once whatever is asked of them."""
+    stats = wide_stats(bins, features)
+    moments = [F.struct(F.col(f"{f}.n_finite").alias("n"), F.coalesce(f"{f}.mean", F.lit(0.0)).alias("mean"), (F.coalesce(f"{f}.std", F.lit(0.0)) * F.coalesce(f"{f}.std", F.lit(0.0)) * F.col(f"{f}.n_finite")).alias("m2")).alias(f) for f in features]
+    return stats.select(*DAY, *moments)
+
+
+def merged_moments(moments: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:
+    """One row: a struct (n, mean, m2) a feature over all days, from theirs. Means are taken before squares, so nothing cancels."""
+    n = moments.agg(*[F.struct(F.sum(f"{f}.n").alias("n"), (F.sum(F.col(f"{f}.n") * F.col(f"{f}.mean")) / F.greatest(F.sum(f"{f}.n"), F.lit(1))).alias("mean")).alias(f) for f in features])
+    both = moments.select(F.lit(1).alias("_all"), *[F.col(f).alias(f"_{f}") for f in features]).join(n.withColumn("_all", F.lit(1)), "_all")
+    aggs = []
+    for f in features:
+        off = F.col(f"_{f}.mean") - F.col(f"{f}.mean")
+        aggs.append(F.struct(F.first(f"{f}.n").alias("n"), F.first(f"{f}.mean").alias("mean"), F.sum(F.col(f"_{f}.m2") + F.col(f"_{f}.n") * off * off).alias("m2")).alias(f))
+    return both.agg(*aggs)
+
+
+def globally_normalized(bins: DataFrame, training: Column, off: set[str] = frozenset(), features: tuple[str, ...] = FEATURES) -> DataFrame:
+    """bins with each feature as its z-score against all bins of the days where `training` holds; other days are scaled, but give nothing to the statistics.
+
+    Of the same categorical features, and groups that are off, as normalized().
+    """
+    names = [f for f in features if f not in CATEGORICAL and f not in off]
+    whole = merged_moments(day_moments(bins.where(training), tuple(names)), tuple(names)).select(F.lit(1).alias("_all"), F.struct(*names).alias("_moments"))  # one row
+    std = lambda f: F.sqrt(F.col(f"_moments.{f}.m2") / F.greatest(F.col(f"_moments.{f}.n"), F.lit(1)))
+    return bins.withColumn("_all", F.lit(1)).join(F.broadcast(whole), "_all").withColumns({f: zscore(F.col(f), F.col(f"_moments.{f}.mean"), std(f)) for f in names}).drop("_moments", "_all")

@@ -6,6 +6,8 @@ bins), a (sums by bin), g (the grid), p (processed bins), l (live features), f (
 
 from __future__ import annotations
 
+import math
+
 MAX = "9223372036854775807"
 H13 = 46_800_000_000
 
@@ -237,7 +239,36 @@ def oracle_sql() -> dict[str, str]:
     split = "CASE WHEN trade_date <= DATE '2024-01-20' THEN 'train' WHEN trade_date <= DATE '2024-01-25' THEN 'val' ELSE 'test' END AS split"
     ends = f"lb AS ({_LEADS})", f"sq AS (SELECT *, row_number() OVER (PARTITION BY trade_date ORDER BY position) - 1 AS n FROM lb WHERE position >= 4 AND {_VALID})"
     ahead = ", ".join(f"nullif(lead(mid_price, {k}) OVER w, 0) AS price_{k}" for k in range(6))
+    gz = ", ".join(r6(f"CASE WHEN s_{c} < 1e-8::DOUBLE THEN least(greatest((f.{c} - m_{c}) / 1e-8::DOUBLE, -100), 100) ELSE (f.{c} - m_{c}) / s_{c} END", c) if c not in _AS_IS else r6(f"f.{c}", c) for c in ALL_F)
+    signals = ("trf_signed_imbalance", "mroib", "dark_share", "trf_volume")
+    ics = ["ll AS (SELECT *, (lead(mid_price) OVER w - mid_price) / nullif(mid_price, 0) * 10000.0::DOUBLE AS y FROM l WHERE emit WINDOW w AS (PARTITION BY trade_date ORDER BY bin_idx))"]
+    ics.append("lf AS (" + " UNION ALL ".join(f"SELECT trade_date, '{c}' AS feature, {c} AS x, y FROM ll WHERE y IS NOT NULL" for c in signals) + ")")
+    twice = lambda c: f"2 * rank() OVER (PARTITION BY trade_date, feature ORDER BY {c}) + count(*) OVER (PARTITION BY trade_date, feature, {c}) - 1"
+    ics.append(f"lr AS (SELECT trade_date, feature, ({twice('x')})::HUGEINT AS a, ({twice('y')})::HUGEINT AS b FROM lf)")
+    ics.append("li AS (SELECT trade_date, feature, count(*) AS n, sum(a) AS a, sum(b) AS b, sum(a * b) AS ab, sum(a * a) AS aa, sum(b * b) AS bb FROM lr GROUP BY ALL)")
+    ics.append("ic AS (SELECT trade_date, feature, n, CASE WHEN (n * aa - a * a) * (n * bb - b * b) > 0 THEN (n * ab - a * b)::DOUBLE / sqrt((n * aa - a * a)::DOUBLE * (n * bb - b * b)::DOUBLE) END AS ic FROM li)")
+    reached, steps = 0.0, []
+    for k in range(12):
+        reached += math.exp(-1) / math.factorial(k)
+        steps.append(f"(u >= {reached!r}::DOUBLE)::INT")
+    boot = [
+        "zu AS (SELECT feature, ic, rep, (('0x' || left(md5('7:' || rep || ':' || strftime(trade_date, '%Y-%m-%d')), 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE AS u FROM ic, (SELECT unnest(range(1, 201)) AS rep) WHERE ic IS NOT NULL)",
+        f"bw AS (SELECT feature, rep, ic, {' + '.join(steps)} AS w FROM zu)",
+        "bm AS (SELECT feature, rep, sum(w * ic) / sum(w) AS m FROM bw GROUP BY ALL HAVING sum(w) > 0)",
+        "bq AS (SELECT feature, quantile_cont(m, 0.025) AS low, quantile_cont(m, 0.975) AS high FROM bm GROUP BY feature)",
+    ]
+    kyle = """kx AS (SELECT trade_date, seq, b, (coalesce(px - lag(px) OVER (PARTITION BY trade_date ORDER BY seq), 0))::HUGEINT AS x, (CASE direction WHEN 'Buy' THEN size WHEN 'Sell' THEN -size ELSE 0 END)::HUGEINT AS v FROM r WHERE acc AND trf),
+ks AS (SELECT trade_date, seq, b, count(*) OVER w AS n, sum(x) OVER w AS sx, sum(v) OVER w AS sv, sum(x * v) OVER w AS sxv, sum(v * v) OVER w AS svv FROM kx WINDOW w AS (PARTITION BY trade_date ORDER BY seq ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))"""
+    in_force = f"SELECT t.trade_date, t.seq, t.size, {r6('x.bid_px::DOUBLE * 1e-9::DOUBLE', 'quote_bid')}, {r6('x.ask_px::DOUBLE * 1e-9::DOUBLE', 'quote_ask')}, x.ts AS quote_ts FROM (SELECT * FROM raw WHERE action = 'T') t LEFT JOIN (SELECT *, lead(ts) OVER (PARTITION BY trade_date ORDER BY ts, seq) AS until FROM q WHERE action = 'A' AND quote_check = 'ok') x ON x.trade_date = t.trade_date AND x.ts <= t.ts AND (x.until IS NULL OR t.ts < x.until)"
     return {
+        "interval_join_quotes": with_(RAW, STATE, select=in_force),
+        "global_zscore": with_(*_coarse(), filled(), "zz AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in ALL_F) + " FROM f WHERE emit AND trade_date <= DATE '2024-01-20')", select=f"SELECT f.trade_date, f.bin_idx, {gz} FROM f, zz WHERE f.emit"),
+        "kyle_lambda": with_(*base, kyle, select=f"SELECT trade_date, seq, b AS bin_idx, {r6('CASE WHEN n = 20 AND 20 * svv - sv * sv > 0 THEN (20 * sxv - sx * sv)::DOUBLE / (20 * svv - sv * sv)::DOUBLE * 1e-9::DOUBLE END * 1e6::DOUBLE', 'kyle_lambda')} FROM ks"),
+        "tick_test": with_(*base, "tt AS (SELECT trade_date, seq, px - lag(px) OVER (PARTITION BY trade_date ORDER BY seq) AS d FROM r WHERE acc)", "ti AS (SELECT *, count(*) FILTER (WHERE d <> 0) OVER (PARTITION BY trade_date ORDER BY seq) AS island FROM tt)", select="SELECT trade_date, seq, coalesce(max(CASE WHEN d <> 0 THEN sign(d) END) OVER (PARTITION BY trade_date, island), 0)::BIGINT AS tick_sign FROM ti"),
+        "rank_ic_daily": with_(*_coarse(), *ics, select=f"SELECT trade_date, feature, n, {r6('ic')} FROM ic"),
+        "rank_ic_bootstrap": with_(*_coarse(), *ics, *boot, select=f"SELECT feature, count(*) AS blocks, {r6('avg(ic)', 'mean_ic')}, {r6('min(low)', 'low')}, {r6('min(high)', 'high')} FROM ic LEFT JOIN bq USING (feature) WHERE ic IS NOT NULL GROUP BY feature"),
+        "sketch_rollup": with_(RAW, select="SELECT date_trunc('week', trade_date)::DATE AS week, count(*) AS trades, count(DISTINCT px) AS prices, true AS prices_within, true AS size_10_within, true AS size_50_within, true AS size_90_within FROM raw WHERE action = 'T' AND px > 0 GROUP BY 1"),
+        "feed_round_trip": with_(RAW, select="SELECT trade_date, seq, ts AS ts_recv_ns, action, px AS price_nano, size, bid_px AS bid_px_nano, bid_sz, ask_px AS ask_px_nano, ask_sz, pub AS publisher_id FROM raw"),
         "npy_sequences": with_(*_coarse(), filled(), *ends, "ff AS (SELECT *, row_number() OVER (PARTITION BY trade_date ORDER BY bin_idx) - 1 AS position FROM f WHERE emit)", select=f"SELECT sq.trade_date, {split.replace('trade_date', 'sq.trade_date')}, n, ff.position - sq.position + 4 AS step, {', '.join(r6(f'ff.{c}::FLOAT::DOUBLE', c) for c in ALL_F)} FROM sq JOIN ff ON ff.trade_date = sq.trade_date AND ff.position BETWEEN sq.position - 4 AND sq.position"),
         "npy_targets": with_(*_coarse(), *ends, f"pr AS (SELECT trade_date, bin_idx, {ahead} FROM l WHERE emit WINDOW w AS (PARTITION BY trade_date ORDER BY bin_idx))", select=f"SELECT sq.trade_date, {split.replace('trade_date', 'sq.trade_date')}, n, {', '.join(r6(f'label_{h}') for h in (1, 2, 3, 5))}, {', '.join(r6(f'price_{k}') for k in range(6))} FROM sq JOIN pr ON pr.trade_date = sq.trade_date AND pr.bin_idx = sq.bin_idx"),
         "session_windows": with_(RAW, select=islands),

@@ -36,6 +36,8 @@ def sequence_rows(bins: DataFrame, cfg: Config) -> DataFrame:
     ready = labelled_bins(bins, cfg)
     if cfg.export.normalization == "per_day_zscore":
         ready = normalize.normalized(ready)
+    elif cfg.export.normalization == "global_zscore":
+        ready = normalize.globally_normalized(ready, split_of(F.col("trade_date"), *cfg.export.split_dates) == "train")
     rows = sequences.sequences(ready, cfg.sequence.window_size, cfg.sequence.stride)
     split = split_of(F.col("trade_date"), *cfg.export.split_dates)
     return rows.select(*DAY, "bin_idx", "sequence", F.array(*[f"label_{h}" for h in cfg.labeling.horizons]).alias("labels"), "forward_prices", split.alias("split"))

@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from tickloom.config import Config
 from tickloom.functions.market import is_trf, normal_cdf
-from tickloom.operators import aggregates, bursts, bvc, calendar, context, diagnostics, features, labels, normalize, quotes, sequences, trades
+from tickloom.operators import aggregates, bursts, bvc, calendar, context, diagnostics, features, impact, intervals, labels, normalize, quotes, rank_ic, sequences, sketches, trades
 from tickloom.operators import bins as grid
 from tickloom.plans import day, export, manifest, reports
 from tickloom.schema import DAY, FEATURES
-from tickloom.sources import npy
+from tickloom.sources import feed, npy
 from tickloom.sources.adapter import driver_events, from_driver_events
-from tickloom.sources.stores import scratch
+from tickloom.sources.stores import scratch, stored
 from tickloom.streaming import bins as streaming
 from tickloom.streaming import sessions, sink, state
 
@@ -318,6 +318,70 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.read.parquet(f"{root}/bins").drop("symbol"), "dark_share")
 
 
+def interval_join_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As-of join of trades with quotes by way of the quotes' intervals."""
+    events = driver_events(spark, sf_dir)
+    left = events.where("action = 'T'").select(*DAY, "seq", "ts_recv_ns", "size")
+    right = events.where("action = 'A'").select(*DAY, "seq", "ts_recv_ns", "bid_px_nano", "bid_sz", "ask_px_nano", "ask_sz")
+    return intervals.quotes_in_force(left, right).select("trade_date", "seq", "size", r6("quote_bid").alias("quote_bid"), r6("quote_ask").alias("quote_ask"), "quote_ts")
+
+
+def global_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features against all bins of the training days."""
+    bins = stored(day.feature_bins(driver_events(spark, sf_dir), COARSE), "bins")
+    found = normalize.globally_normalized(bins, F.col("trade_date") <= F.lit("2024-01-20").cast("date"))
+    return found.select("trade_date", "bin_idx", *[r6(f).alias(f) for f in FEATURES])
+
+
+def kyle_lambda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price impact of signed off-exchange volume over the last 20 trades, in millionths of a dollar a share."""
+    signed = F.when(F.col("direction") == "Buy", F.col("size")).when(F.col("direction") == "Sell", -F.col("size")).otherwise(0)
+    found = impact.with_kyle_lambda(_records(spark, sf_dir).where("accepted and trf"), signed, 20)
+    return found.select("trade_date", "seq", "bin_idx", r6(F.col("kyle_lambda") * 1e6).alias("kyle_lambda"))
+
+
+def tick_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact.with_tick_test(_accepted(spark, sf_dir)).select("trade_date", "seq", F.col("tick_sign").cast("long").alias("tick_sign"))
+
+
+_SIGNALS = ["trf_signed_imbalance", "mroib", "dark_share", "trf_volume"]
+
+
+def _ics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_ic.rank_ic(stored(labels.with_labels(_bins(spark, sf_dir), (1,)), "labelled"), _SIGNALS, "label_1")
+
+
+def rank_ic_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_ics(spark, sf_dir), "ic")
+
+
+def rank_ic_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean rank IC with its interval over 200 resamplings of the days."""
+    return rounded(rank_ic.bootstrap(_ics(spark, sf_dir)), "mean_ic", "low", "high")
+
+
+def sketch_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weeks from stored sketches of days, held against exact aggregates: whether distinct counts and ranks are within four standard errors."""
+    trades = driver_events(spark, sf_dir).where("action = 'T' and price_nano > 0")
+    week = F.date_trunc("week", F.col("trade_date")).cast("date").alias("week")
+    rough = sketches.estimates(sketches.merged(stored(sketches.daily_sketches(trades), "sketches"), week))
+    exact = trades.groupBy(week).agg(F.count("*").alias("trades"), F.countDistinct("price_nano").alias("prices"))
+    ranks = trades.select(week, "size").join(F.broadcast(rough.select("week", "size_10", "size_50", "size_90")), "week")  # a row a week
+    sides = [c for r in (10, 50, 90) for c in (F.count_if(F.col("size") < F.col(f"size_{r}")).alias(f"below_{r}"), F.count_if(F.col("size") <= F.col(f"size_{r}")).alias(f"upto_{r}"))]
+    placed = ranks.groupBy("week").agg(*sides)
+    off = [((F.col(f"below_{r}") <= (r / 100 + 0.03) * F.col("trades")) & (F.col(f"upto_{r}") >= (r / 100 - 0.03) * F.col("trades"))).alias(f"size_{r}_within") for r in (10, 50, 90)]
+    near = F.abs(F.col("distinct_prices") - F.col("prices")) <= 0.065 * F.col("prices")
+    return exact.join(rough.drop("trades"), "week").join(placed, "week").select("week", "trades", "prices", near.alias("prices_within"), *off)
+
+
+def feed_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events written as a binary feed and read back from it, in parts."""
+    path = scratch(spark, "feed")
+    feed.write_feed(driver_events(spark, sf_dir), path, 1000)
+    found, _ = feed.decoded(feed.read_feed(spark, path, 1 << 16))
+    return found.select("trade_date", "seq", "ts_recv_ns", "action", "price_nano", "size", "bid_px_nano", "bid_sz", "ask_px_nano", "ask_sz", "publisher_id")
+
+
 def _streamed(spark: SparkSession, sf_dir: str, name: str, stream, mode: str = "append", slices: int = 3) -> str:
     """The driver's events arrive in slices; each time the query is started anew from its checkpoint and its results are committed. Gives the results' path."""
     root = scratch(spark, name)
@@ -406,6 +470,14 @@ def queries() -> dict:
         "npy_sequences": npy_sequences,
         "npy_targets": npy_targets,
         "stream_tumbling": stream_tumbling,
+        "interval_join_quotes": interval_join_quotes,
+        "global_zscore": global_zscore,
+        "kyle_lambda": kyle_lambda,
+        "tick_test": tick_test,
+        "rank_ic_daily": rank_ic_daily,
+        "rank_ic_bootstrap": rank_ic_bootstrap,
+        "sketch_rollup": sketch_rollup,
+        "feed_round_trip": feed_round_trip,
         "stream_state_bins": stream_state_bins,
         "session_windows": session_windows,
         "stream_sessions": stream_sessions,
