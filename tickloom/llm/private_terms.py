@@ -1,22 +1,23 @@
 """Personal data, and the terms that give it away. DataFrame functions only.
 
 Four kinds of personal data are found by pattern. Each value found is a protected entity. A term of a document with it is
-weighed by information theory, over the whole corpus: PMI(term; entity) = log2(n_te*N / (n_t*n_e)) against
-what the entity itself is worth, IC(entity) = log2(N / n_e). Their ratio is the share of the entity's information that
-the term reveals. Terms at or over GENERALISE are replaced by a placeholder of their kind, those at or over REMOVE are
-taken out, at every mention in the documents that have the entity. Terms are words outside all values.
+weighed by information theory, over the whole corpus: of what the entity is worth, IC(entity) = log2(N / n_e), the term
+reveals PMI(term; entity) = log2(n_te*N / (n_t*n_e)) and leaves IC - PMI = log2(n_t / n_te) bits open. Terms that leave at most GENERALISE
+bits open are replaced by a placeholder of their kind, those that leave at most REMOVE bits are taken out, at every mention in the
+documents that have the entity. One bit means that who reads the term is right about the entity as often as not. N
+cancels out, so a threshold means the same in a corpus of any size. Terms are words outside all values.
 
 A value that occurs once has little to count, so the part that it shares with others (a mail domain, a network, a
-card's issuer, a block of phone numbers) is an entity too. No pair is left out for being rare: a pair seen in k different texts
-counts with k / (k + 1) of its probability, a bit less for one text and next to nothing for many. The kind alone isn't an
+card's issuer, a block of phone numbers) is an entity too. No pair is left out for being rare, but a coincidence isn't certainty: a pair
+seen in k different texts counts with k / (k + 1) of its probability, so one text leaves a bit open at least, four a third of one. The kind alone isn't an
 entity, as the placeholder tells it anyway.
 
 n_te, n_e and n_t are documents with both, with the entity and with the term, N all documents; copies count in each of
 them alike. In k they don't, so copies of a document say nothing new.
 
 Scale: the patterns run in the scan. Only documents with personal data are written whole, and only one of each group of
-copies has its words taken out; what it tells holds for all. As n_te is at most n_e, a term in too many documents can't reach the
-threshold, whatever n_te is, so pairs are built of the rare terms only (rarest()), which loses none. The entities of a
+copies has its words taken out; what it tells holds for all. As n_te is at most n_e, a term in too many documents leaves more
+open, whatever n_te is, so pairs are built of the rare terms only (rarest()), which loses none. The entities of a
 text that are in no other have the same documents, and are weighed as one. Document frequencies are pre-aggregated hash
 aggregations. Joins are on (entity, term), text or row keys, and are left to adaptive execution, which splits hot keys.
 
@@ -41,8 +42,8 @@ PATTERNS = {
 }
 KINDS = list(PATTERNS)
 
-#: The shares of information.
-GENERALISE, REMOVE = 0.85, 0.95
+#: Bits that a term leaves open about an entity.
+GENERALISE, REMOVE = 1.0, 0.2
 TERM = r"\p{L}{3,}+"
 #: Matches of a text are numbered in blocks of so many, to add up their places.
 STRIDE = 256
@@ -148,13 +149,13 @@ def _written_spans(spans: Column) -> Column:
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Written: row (a key), id, spans, and key (the same for copies) and text where there are any."""
+    """Written: row (a key), id, spans, chars and sha256 of the text, and key (the same for copies) and text where there are spans."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = own_columns(docs, id_col, text_col).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     # Most texts have no match at all; the spans are only built where one kind of character is there that each of them needs.
     found = rows.select("id", F.when(text.rlike("[0-9@]"), base_spans(text)).otherwise(F.array().cast("array<struct<kind:string,start:bigint,end:bigint,value:string>>")).alias("spans"), "text")
     has = F.size("spans") > 0
-    return written(found.select(F.monotonically_increasing_id().alias("row"), "id", "spans", F.when(has, F.md5(F.col("text").cast("binary"))).alias("key"), F.when(has, F.col("text")).alias("text")), "personal")
+    return written(found.select(F.monotonically_increasing_id().alias("row"), "id", "spans", F.length(text).cast("long").alias("chars"), F.sha2(text, 256).alias("sha256"), F.when(has, F.md5(F.col("text").cast("binary"))).alias("key"), F.when(has, F.col("text")).alias("text")), "personal")
 
 
 def _replaced(text: Column, cuts: Column, same_length: bool = False) -> Column:
@@ -188,20 +189,19 @@ def _words(text: Column) -> Column:
     return F.array_distinct(F.transform(F.array_distinct(F.split(text, r"[^\p{L}]++")), lambda w: F.when(F.length(w) >= 3, F.lower(w)).otherwise("")))
 
 
-def rarest(n_e: Column, k_e: Column, n: Column, least: float) -> Column:
-    """Documents that a term may at most be in, to reveal the share least of an entity in n_e documents and k_e texts, with some room for rounding."""
-    return n_e * k_e / (k_e + 1.0) * F.pow(n / n_e, F.lit(1.0 - least)) * 1.000001
+def rarest(n_e: Column, k_e: Column, most_open: float) -> Column:
+    """Documents that a term may at most be in, to leave no more than most_open bits about an entity in n_e documents and k_e texts, with some room for rounding."""
+    return n_e * k_e / (k_e + 1.0) * 2.0**most_open * 1.000001
 
 
-def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text", least: float = GENERALISE) -> DataFrame:
-    """Written: (key, telling: map of term to share) of the terms that reveal at least that share of an entity of the text."""
+def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text", most_open: float = GENERALISE) -> DataFrame:
+    """Written: (key, telling: map of term to bits) of the terms that leave at most that many bits open about an entity of the text."""
     personal = found.where(F.size("spans") > 0)
     one = personal.groupBy("key").agg(F.min("row").alias("row"), F.count("*").alias("copies"))
     entities = F.array_distinct(F.flatten(F.transform("spans", lambda s: _entities(s.kind, s.value))))
     texts = written(personal.drop("key").join(one, "row").select("key", "copies", entities.alias("entities"), _words(_masked(F.col("text"), F.col("spans"))).alias("terms")), "texts")
-    n = F.lit(float(docs.agg(F.count("*").alias("n")).first().n))
     known = texts.select("copies", F.explode("entities").alias("entity")).groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count("*").alias("k_e"))
-    known = written(known.withColumn("most", rarest(F.col("n_e"), F.col("k_e"), n, least)), "entities")
+    known = written(known.withColumn("most", rarest(F.col("n_e"), F.col("k_e"), most_open)), "entities")
     most = known.agg(F.max("most").alias("most")).first().most or 0.0
 
     words = docs.select(F.explode(_words(F.col(f"`{text_col}`"))).alias("term")).where(F.length("term") >= 3)
@@ -213,33 +213,33 @@ def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text", least
     pairs = written(of.join(rare, "key").where(F.col("n_t") <= F.col("most")).select("key", "copies", "entity", "n_e", "term", "n_t"), "pairs")
 
     weighed = pairs.groupBy("entity", "term", "n_e", "n_t").agg(F.sum("copies").alias("n_te"), F.count("*").alias("k"))
-    n_t = F.greatest("n_t", "n_te").cast("double")
-    pmi = F.log2(F.col("k") / (F.col("k") + 1.0) * F.col("n_te") * n / (n_t * F.col("n_e")))
-    ic = F.log2(n / F.col("n_e"))
-    share = F.when(ic > 0, F.least(pmi / F.greatest(ic, F.lit(1e-9)), F.lit(1.0))).otherwise(0.0)
-    telling = written(weighed.select("entity", "term", share.alias("share")).where(F.col("share") >= least), "telling")
+    # IC - PMI, with the pair's probability discounted.
+    left = F.log2(F.greatest("n_t", "n_te") * (F.col("k") + 1.0) / (F.col("k") * F.col("n_te")))
+    telling = written(weighed.select("entity", "term", left.alias("bits")).where(F.col("bits") <= most_open + 1e-9), "telling")
     # Of several entities of a text, the one that a word tells most about decides.
-    best = pairs.select("key", "entity", "term").join(telling, ["entity", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
-    return written(best.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("telling")), "told")
+    best = pairs.select("key", "entity", "term").join(telling, ["entity", "term"]).groupBy("key", "term").agg(F.min("bits").alias("bits"))
+    return written(best.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "bits"))).alias("telling")), "told")
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
-    """(id, spans, terms, text): base spans, term spans with their share, and the sanitised text (null: unchanged)."""
+    """(id, spans, terms, text, chars, sha256): base spans, term spans with the bits they leave open, the sanitised text (null: unchanged), and its chars and sha256."""
     found = detect(docs, id_col, text_col)
     told = disclosures(docs, found, text_col, generalise)
-    kind = "array<struct<start:bigint,end:bigint,share:double>>"
+    kind = "array<struct<start:bigint,end:bigint,bits:double>>"
     personal = found.where(F.size("spans") > 0).join(told, "key", "left")
-    shares = F.transform(located(_masked(F.col("text"), F.col("spans")), TERM), lambda w: F.struct(w.start.alias("start"), w.end.alias("end"), F.element_at("telling", F.lower(w.value)).alias("share")))
-    mentions = F.when(F.col("telling").isNotNull(), F.filter(shares, lambda s: s.share.isNotNull())).otherwise(F.array().cast(kind))
+    known = F.transform(located(_masked(F.col("text"), F.col("spans")), TERM), lambda w: F.struct(w.start.alias("start"), w.end.alias("end"), F.element_at("telling", F.lower(w.value)).alias("bits")))
+    mentions = F.when(F.col("telling").isNotNull(), F.filter(known, lambda s: s.bits.isNotNull())).otherwise(F.array().cast(kind))
     personal = personal.select("id", "spans", mentions.alias("terms"), "text")
     base = F.transform("spans", lambda s: F.struct(s.start.alias("start"), s.end.alias("end"), F.concat(F.lit("["), F.upper(s.kind), F.lit("]")).alias("put")))
-    more = F.transform("terms", lambda s: F.struct(s.start.alias("start"), s.end.alias("end"), F.when(s.share >= remove, F.lit("")).otherwise(F.lit("[TERM]")).alias("put")))
+    more = F.transform("terms", lambda s: F.struct(s.start.alias("start"), s.end.alias("end"), F.when(s.bits <= remove, F.lit("")).otherwise(F.lit("[TERM]")).alias("put")))
     personal = personal.select("id", "spans", "terms", _replaced(F.col("text"), _in_order(F.concat(base, more))).alias("text"))
-    return personal.unionByName(found.where(F.size("spans") == 0).select("id", "spans", F.array().cast(kind).alias("terms"), "text"))
+    personal = personal.withColumns({"chars": F.length("text").cast("long"), "sha256": F.sha2("text", 256)})
+    clean = found.where(F.size("spans") == 0).select("id", "spans", F.array().cast(kind).alias("terms"), "text", "chars", "sha256")
+    return personal.unionByName(clean)
 
 
 def op1_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract query: personal data and telling terms of every document."""
+    """Contract query: personal data and telling terms of every document, and what its text is without them."""
     found = sanitise(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("spans", lambda s: s.kind == k)).cast("long").alias(f"n_{k}")
     base = _written_spans(F.col("spans"))
@@ -250,4 +250,6 @@ def op1_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(base, 256).alias("base_sha256"),
         F.concat_ws(",", F.when(F.size("spans") > 0, base), F.when(F.size("terms") > 0, F.array_join(terms, ","))).alias("spans"),
         F.size("terms").cast("long").alias("n_term"),
+        F.col("chars").alias("sanitised_chars"),
+        F.col("sha256").alias("sanitised_sha256"),
     )
