@@ -25,6 +25,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_warc_writer": warc.ORACLE,
         "op3_exact_dedup": exact_dedup.ORACLE,
         "op11_prefix_trie": prefix_trie.ORACLE,
         "op13_importance_resampling": resampling.ORACLE,

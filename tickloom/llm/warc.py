@@ -250,3 +250,15 @@ def op2_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "warc")
     found = write_warc(table(spark, sf_dir, "pages"), root)
     return read_warc(spark, root, found).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS digest, max(page_id) OVER (PARTITION BY html) AS first FROM p
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(digest, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::BIGINT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
