@@ -20,13 +20,21 @@ from tickloom.operators.quotes import by_seq, up_to_now
 from tickloom.schema import DAY, EPS
 
 MINUTE_NS = 60_000_000_000
-#: Volumes are added up in whole parts of a share, so that no sum depends on its order.
-GRAIN = 1 << 20
+#: Volumes are added up as whole shares and whole parts of one, so that no sum depends on its order.
+GRAIN = 1 << 40
+
+
+def shares(volume: Column) -> Column:
+    return F.floor(volume)
 
 
 def grains(volume: Column) -> Column:
-    """A volume in whole parts of a share."""
-    return F.floor(volume * F.lit(float(GRAIN)) + F.lit(0.5)).cast("long")
+    """What is left beside the whole shares of a volume."""
+    return F.floor((volume - F.floor(volume)) * F.lit(float(GRAIN)) + F.lit(0.5))
+
+
+def volume_of(whole: Column, parts: Column) -> Column:
+    return whole.cast("double") + parts / F.lit(float(GRAIN))
 
 
 def with_bvc(trades: DataFrame, window_minutes: int = 1) -> DataFrame:
@@ -97,6 +105,6 @@ def _phi(z: np.ndarray) -> np.ndarray:
 
 
 def by_bin(trades: DataFrame) -> DataFrame:
-    buy = grains(F.col("bvc_buy"))
-    whole = trades.groupBy(*DAY, "bin_idx").agg(F.sum(buy).alias("buy"), F.sum(F.col("size") * F.lit(GRAIN) - buy).alias("sell"))
-    return whole.select(*DAY, "bin_idx", (F.col("buy") / F.lit(float(GRAIN))).alias("bvc_buy"), (F.col("sell") / F.lit(float(GRAIN))).alias("bvc_sell"))
+    buy = F.col("bvc_buy")
+    sums = trades.groupBy(*DAY, "bin_idx").agg(F.sum("size").alias("all"), F.sum(shares(buy)).alias("whole"), F.sum(grains(buy)).alias("parts"))
+    return sums.select(*DAY, "bin_idx", volume_of(F.col("whole"), F.col("parts")).alias("bvc_buy"), volume_of(F.col("all") - F.col("whole"), -F.col("parts")).alias("bvc_sell"))

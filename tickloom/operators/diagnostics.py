@@ -11,7 +11,7 @@ from tickloom.schema import DAY
 def day_summary(bins: DataFrame, bin_ns: int, decode: DataFrame | None = None) -> DataFrame:
     """The 16 health counters of each day, from processed bins. Gap bins in warm-up count nowhere; records counted are accepted trades.
 
-    decode: DAY, decode_errors, decode_truncated from the reader, if it counts them.
+    decode: DAY, decode_errors, decode_truncated from the reader, if it counts them; null otherwise.
     """
     out_now, gap = F.col("emit"), F.col("is_gap")
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
@@ -32,5 +32,5 @@ def day_summary(bins: DataFrame, bin_ns: int, decode: DataFrame | None = None) -
         total("dropped").alias("dropped_invalid_price_trades"),
     )
     if decode is None:
-        return sums.withColumns({"decode_errors": F.lit(0).cast("long"), "decode_truncated": F.lit(False)})
+        return sums.withColumns({"decode_errors": F.lit(None).cast("long"), "decode_truncated": F.lit(None).cast("boolean")})
     return sums.join(decode, DAY, "left").withColumns({"decode_errors": F.coalesce("decode_errors", F.lit(0)), "decode_truncated": F.coalesce("decode_truncated", F.lit(False))})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators.bvc import GRAIN, grains, with_bvc
+from tickloom.operators.bvc import grains, shares, volume_of, with_bvc
 from tickloom.operators.quotes import up_to_now
 from tickloom.schema import DAY
 
@@ -20,13 +20,12 @@ def vpin_buckets(trades: DataFrame, bucket_volume: Column | int, lookback: int,
     first, last = F.floor((F.col("through") - F.col("size")) / F.col("volume")), F.floor((F.col("through") - 1) / F.col("volume"))
     parts = split.withColumn("bucket", F.explode(F.sequence(first, last)))
     inside = F.least(F.col("through"), (F.col("bucket") + 1) * F.col("volume")) - F.greatest(F.col("through") - F.col("size"), F.col("bucket") * F.col("volume"))
-    bought = grains(F.col("bvc_buy") * (inside.cast("double") / F.col("size")))
-    sums = parts.groupBy(*DAY, "bucket", "volume").agg(F.sum(bought).alias("bought"), F.sum(inside * F.lit(GRAIN) - bought).alias("sold"), F.sum(inside).alias("filled"), F.max_by("bin_idx", "seq").alias("bin_idx"))
-    one = F.col("volume").cast("double") * F.lit(float(GRAIN))
-    full = sums.where("filled = volume").withColumn("gap", F.abs(F.col("sold") - F.col("bought")))
+    bought = F.col("bvc_buy") * (inside.cast("double") / F.col("size"))
+    sums = parts.groupBy(*DAY, "bucket", "volume").agg(F.sum(shares(bought)).alias("whole"), F.sum(grains(bought)).alias("parts"), F.sum(inside).alias("filled"), F.max_by("bin_idx", "seq").alias("bin_idx"))
+    full = sums.where("filled = volume").withColumns({"buy": volume_of(F.col("whole"), F.col("parts")), "sell": volume_of(F.col("filled") - F.col("whole"), -F.col("parts"))})
+    gap = F.abs(volume_of(F.col("filled") - 2 * F.col("whole"), -2 * F.col("parts")))
     recent = Window.partitionBy(*DAY).orderBy("bucket").rowsBetween(-(lookback - 1), Window.currentRow)
-    vpin = F.sum("gap").over(recent) / (one * F.count("*").over(recent))
-    return full.select(*DAY, "bucket", (F.col("bought") / F.lit(float(GRAIN))).alias("buy"), (F.col("sold") / F.lit(float(GRAIN))).alias("sell"), "bin_idx", (F.col("gap") / one).alias("imbalance"), vpin.alias("vpin"))
+    return full.withColumn("imbalance", gap / F.col("volume")).withColumn("vpin", F.avg("imbalance").over(recent)).select(*DAY, "bucket", "buy", "sell", "bin_idx", "imbalance", "vpin")
 
 
 def by_bin(buckets: DataFrame, name: str) -> DataFrame:

@@ -81,11 +81,16 @@ p1 AS (SELECT p0.*, max(last_seq) OVER (PARTITION BY p0.trade_date ORDER BY p0.b
 p AS (SELECT p1.*, s.bid IS NOT NULL AS st_valid, coalesce(s.mid, 0.0::DOUBLE) AS st_mid, coalesce(s.bps, 0.0::DOUBLE) AS st_bps, coalesce(s.bsz, 0) AS st_bsz, coalesce(s.asz, 0) AS st_asz, s.bbo_ts AS st_ts FROM p1 LEFT JOIN s ON s.seq = p1.st_seq)"""
 
 
-GRAIN = 1 << 20
+GRAIN = 1 << 40
 
 
-def grains(volume: str) -> str:
-    return f"floor(({volume}) * {GRAIN}.0::DOUBLE + 0.5::DOUBLE)::BIGINT"
+def whole_sums(volume: str, whole: str, parts: str) -> str:
+    """A volume's sum as whole shares and whole parts of one."""
+    return f"sum(floor({volume})::BIGINT) AS {whole}, sum(floor((({volume}) - floor({volume})) * {GRAIN}.0::DOUBLE + 0.5::DOUBLE)::BIGINT) AS {parts}"
+
+
+def volume_of(whole: str, parts: str) -> str:
+    return f"(({whole})::DOUBLE + ({parts})::DOUBLE / {GRAIN}.0::DOUBLE)"
 
 
 def bvc(window_ns: int) -> str:
@@ -123,7 +128,8 @@ vb AS (SELECT trade_date, b, max_by(vpin, bucket) AS tvp FROM vpt GROUP BY ALL),
     return f"""
 bt AS (SELECT trade_date, b, seq, ts, lag(ts, {burst - 1}) OVER (PARTITION BY trade_date, b ORDER BY seq) AS was FROM r WHERE acc AND trf),
 bu AS (SELECT trade_date, b, max(ts) AS burst_ts FROM bt WHERE ts - was <= {burst_ns} GROUP BY ALL),{vp}
-vv AS (SELECT trade_date, b, sum({grains('buy')}) / {GRAIN}.0::DOUBLE AS vbuy, sum(size * {GRAIN} - {grains('buy')}) / {GRAIN}.0::DOUBLE AS vsell FROM v GROUP BY ALL),
+vv0 AS (SELECT trade_date, b, sum(size) AS al, {whole_sums('buy', 'wh', 'pt')} FROM v GROUP BY ALL),
+vv AS (SELECT trade_date, b, {volume_of('wh', 'pt')} AS vbuy, {volume_of('al - wh', '-pt')} AS vsell FROM vv0),
 uu AS (SELECT u0.trade_date, u0.b, sum(bps * (greatest(0, coalesce(next_ts, p.bend) - ts))::DOUBLE) AS ws, sum((greatest(0, coalesce(next_ts, p.bend) - ts))::DOUBLE) AS wd,
   max(bps) FILTER (WHERE n = 1) AS bps0, max(bsz) FILTER (WHERE n = 1) AS bsz0, max(asz) FILTER (WHERE n = 1) AS asz0 FROM u0 JOIN p ON p.trade_date = u0.trade_date AND p.b = u0.b GROUP BY ALL),
 c AS (SELECT p.*, {vcols} last_value(bu.burst_ts IGNORE NULLS) OVER ww AS burst_ts FROM p LEFT JOIN bu ON bu.trade_date = p.trade_date AND bu.b = p.b {vjoin}
@@ -182,9 +188,9 @@ def vpin_cte(name: str, where: str, volume: int | str, lookback: int, window_ns:
 {n}3 AS (SELECT *, CASE WHEN sigma > 1e-8::DOUBLE THEN d::DOUBLE * 1e-9::DOUBLE / sigma ELSE 0.0::DOUBLE END AS z FROM {n}2),
 {n}4 AS (SELECT *, {phi('z')} AS share, unnest(range(((thru - size) // vol)::BIGINT, ((thru - 1) // vol)::BIGINT + 1)) AS bucket FROM {n}3),
 {n}5 AS (SELECT *, (least(thru, (bucket + 1) * vol) - greatest(thru - size, bucket * vol))::BIGINT AS part FROM {n}4),
-{n}6 AS (SELECT trade_date, bucket, sum({grains('part * share')}) AS bought, sum(part) AS filled, max_by(b, seq) AS b, vol FROM {n}5 GROUP BY trade_date, bucket, vol),
-{n}7 AS (SELECT *, abs(filled * {GRAIN} - 2 * bought)::BIGINT AS gap, bought / {GRAIN}.0::DOUBLE AS buy, (filled * {GRAIN} - bought) / {GRAIN}.0::DOUBLE AS sell, gap / (vol * {GRAIN})::DOUBLE AS imbalance FROM {n}6 WHERE filled = vol),
-{n} AS (SELECT *, sum(gap) OVER w / (vol::DOUBLE * {GRAIN}.0::DOUBLE * count(*) OVER w) AS vpin FROM {n}7 WINDOW w AS (PARTITION BY trade_date ORDER BY bucket ROWS BETWEEN {lookback - 1} PRECEDING AND CURRENT ROW))"""
+{n}6 AS (SELECT trade_date, bucket, {whole_sums('part * share', 'wh', 'pt')}, sum(part) AS filled, max_by(b, seq) AS b, vol FROM {n}5 GROUP BY trade_date, bucket, vol),
+{n}7 AS (SELECT *, {volume_of('wh', 'pt')} AS buy, {volume_of('filled - wh', '-pt')} AS sell, abs({volume_of('filled - 2 * wh', '-2 * pt')}) / vol::DOUBLE AS imbalance FROM {n}6 WHERE filled = vol),
+{n} AS (SELECT *, avg(imbalance) OVER w AS vpin FROM {n}7 WINDOW w AS (PARTITION BY trade_date ORDER BY bucket ROWS BETWEEN {lookback - 1} PRECEDING AND CURRENT ROW))"""
 
 
 HOUR = 3_600_000_000_000
@@ -298,7 +304,7 @@ ks AS (SELECT trade_date, seq, b, count(*) OVER w AS n, sum(x) OVER w AS sx, sum
         "bin_context": _live(*ALL_F[31:34]),
         "bvc_per_trade": with_(*base, bvc(HOUR), select=bvc_cols),
         "bvc_replayed": with_(*base, bvc(HOUR), select=bvc_cols),
-        "bin_bvc": with_(*base, bvc(HOUR), select=f"SELECT trade_date, b AS bin_idx, {r6(f"sum({grains('buy')}) / {GRAIN}.0::DOUBLE", 'bvc_buy')}, {r6(f"sum(size * {GRAIN} - {grains('buy')}) / {GRAIN}.0::DOUBLE", 'bvc_sell')} FROM v GROUP BY trade_date, b"),
+        "bin_bvc": with_(*base, bvc(HOUR), f"vs AS (SELECT trade_date, b, sum(size) AS al, {whole_sums('buy', 'wh', 'pt')} FROM v GROUP BY ALL)", select=f"SELECT trade_date, b AS bin_idx, {r6(volume_of('wh', 'pt'), 'bvc_buy')}, {r6(volume_of('al - wh', '-pt'), 'bvc_sell')} FROM vs"),
         "bin_bursts": with_(*base, select="SELECT trade_date, b AS bin_idx, max(ts) AS burst_ts FROM (SELECT *, lag(ts, 2) OVER (PARTITION BY trade_date, b ORDER BY seq) AS was FROM r WHERE acc AND trf) WHERE ts - was <= 300000000000 GROUP BY trade_date, b"),
         "vpin_buckets": with_(*base, _VPIN[0], select=f"SELECT trade_date, bucket, b AS bin_idx, {r6('buy')}, {r6('sell')}, {r6('imbalance')}, {r6('vpin')} FROM vpt"),
         "vpin_daily_buckets": with_(*base, _CONTEXT, "rd AS (SELECT r.*, floor(consolidated_volume * 0.05::DOUBLE)::BIGINT AS own FROM r LEFT JOIN cx ON cx.trade_date = r.trade_date)", vpin_cte("vpd", "trf", "CASE WHEN own > 0 THEN own ELSE 1000 END", 5, HOUR, "rd"), select=f"SELECT trade_date, count(*) AS buckets, {r6('avg(imbalance)', 'mean_imbalance')} FROM vpd GROUP BY trade_date"),
@@ -315,20 +321,20 @@ ks AS (SELECT trade_date, seq, b, count(*) OVER w AS n, sum(x) OVER w AS sx, sum
         "sequences_index": with_(*_coarse(), f"lb AS ({_LEADS})", "sq AS (SELECT *, sum(trf_volume + trade_count * 1000) OVER (PARTITION BY trade_date ORDER BY bin_idx ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS checksum FROM lb)", select=f"SELECT trade_date, bin_idx, position, position - 4 AS first_position, checksum FROM sq WHERE position >= 4 AND {_VALID}"),
         "normalization_stats": with_(*_coarse(), filled(), select=stats_rows),
         "zscore_features": with_(*_coarse(), filled(), "zz AS (SELECT trade_date, " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in ALL_F) + " FROM f WHERE emit GROUP BY trade_date)", select=f"SELECT f.trade_date, f.bin_idx, {zs} FROM f JOIN zz ON zz.trade_date = f.trade_date WHERE f.emit"),
-        "calendar_weekdays": with_(_CALENDAR, select="SELECT trade_date, strftime(trade_date, '%Y%m%d') AS file_date, true AS same FROM cal"),
+        "calendar_weekdays": with_(RAW, "ds AS (SELECT trade_date, count(*) AS n FROM raw GROUP BY trade_date)", "cal AS (SELECT d::DATE AS trade_date FROM (SELECT unnest(generate_series(min(trade_date)::TIMESTAMP, max(trade_date)::TIMESTAMP, INTERVAL 1 DAY)) AS d FROM ds) WHERE dayofweek(d) NOT IN (0, 6) AND d::DATE NOT IN (DATE '2024-01-01', DATE '2024-01-15'))", select="SELECT cal.trade_date, strftime(cal.trade_date, '%Y%m%d') AS file_date, true AS same, coalesce(n, 0) AS n FROM cal LEFT JOIN ds ON ds.trade_date = cal.trade_date"),
         "split_assignment": with_(RAW, _CALENDAR, "dv AS (SELECT trade_date, count(*) AS n FROM raw GROUP BY trade_date)", select="SELECT CASE WHEN trade_date <= DATE '2024-01-20' THEN 'train' WHEN trade_date <= DATE '2024-01-25' THEN 'val' ELSE 'test' END AS split, count(*) AS n_days, sum(n)::BIGINT AS n_records, min(trade_date) AS first_date, max(trade_date) AS last_date FROM cal JOIN dv USING (trade_date) WHERE trade_date <= DATE '2024-01-31' GROUP BY 1"),
         "missing_days": with_(RAW, _CALENDAR, select="SELECT trade_date FROM cal WHERE trade_date NOT IN (SELECT trade_date FROM raw)"),
         "daily_context_join": with_(RAW, _CONTEXT, select=f"SELECT d.trade_date, n_records, consolidated_volume, {r6('open')}, {r6('high')}, {r6('low')}, {r6('close')} FROM (SELECT trade_date, count(*) AS n_records FROM raw GROUP BY trade_date) d LEFT JOIN cx ON cx.trade_date = d.trade_date"),
         "empty_context_join": with_(RAW, select="SELECT trade_date, count(*) AS n_records, NULL::BIGINT AS consolidated_volume, NULL::DOUBLE AS open, NULL::DOUBLE AS high, NULL::DOUBLE AS low, NULL::DOUBLE AS close FROM raw GROUP BY trade_date"),
         "day_summaries": with_(*bins_of(B60), "pp AS (SELECT p.*, coalesce(tn, 0) AS tn, coalesce(ln, 0) AS ln, coalesce(tv, 0) AS tv, coalesce(lv, 0) AS lv, coalesce(dropped, 0) AS dropped FROM p LEFT JOIN a ON a.trade_date = p.trade_date AND a.b = p.b)", select=f"""SELECT trade_date, sum(trades)::BIGINT AS total_records_processed, count(*) FILTER (WHERE emit) AS total_bins_emitted, count(*) FILTER (WHERE emit AND tn = 0) AS total_empty_bins, count(*) FILTER (WHERE NOT emit AND NOT is_gap AND NOT is_flush) AS warmup_bins_discarded,
  count(*) FILTER (WHERE emit AND is_gap) AS gap_bins_emitted, sum(tn)::BIGINT AS total_trf_trades, sum(ln)::BIGINT AS total_lit_trades, sum(trades)::BIGINT AS total_trade_records, coalesce(min(bend) FILTER (WHERE emit) - {B60}, 0) AS first_bin_start_ns, coalesce(min(bend) FILTER (WHERE emit), 0) AS first_bin_end_ns, coalesce(max(bend) FILTER (WHERE emit), 0) AS last_bin_end_ns,
- sum(tv)::DOUBLE AS total_trf_volume, sum(lv)::DOUBLE AS total_lit_volume, sum(dropped)::BIGINT AS dropped_invalid_price_trades, 0::BIGINT AS decode_errors, false AS decode_truncated FROM pp GROUP BY trade_date"""),
+ sum(tv)::DOUBLE AS total_trf_volume, sum(lv)::DOUBLE AS total_lit_volume, sum(dropped)::BIGINT AS dropped_invalid_price_trades, NULL::BIGINT AS decode_errors, NULL::BOOLEAN AS decode_truncated FROM pp GROUP BY trade_date"""),
         "coverage_report": with_(*bins_of(B600), _CONTEXT, _COVER, select=f"SELECT trade_date, trf_volume, lit_volume, consolidated_volume, {r6('coverage')}, {r6('dark_share')} FROM cv"),
         "coverage_summary": with_(*bins_of(B600), _CONTEXT, _COVER, select="SELECT count(*) AS days, round(avg(coverage), 6) AS mean_coverage, round(min(coverage), 6) AS min_coverage, round(max(coverage), 6) AS max_coverage, round(avg(dark_share), 6) AS mean_dark_share, CASE WHEN avg(coverage) BETWEEN 0.8::DOUBLE AND 0.86::DOUBLE THEN 'PASS' ELSE 'WARNING' END AS status FROM cv WHERE coverage IS NOT NULL"),
         "profile_report": with_(*_coarse(), f"lb AS ({_LEADS})", f"ns AS (SELECT trade_date, count(*) AS n FROM lb WHERE position >= 4 AND {_VALID} GROUP BY trade_date)", "pp AS (SELECT p.*, coalesce(tn, 0) AS tn, coalesce(ln, 0) AS ln FROM p LEFT JOIN a ON a.trade_date = p.trade_date AND a.b = p.b)", select="SELECT pp.trade_date, sum(trades)::BIGINT AS records, sum(trades)::BIGINT AS trades, sum(tn)::BIGINT AS trf_trades, sum(ln)::BIGINT AS lit_trades, count(*) FILTER (WHERE emit) AS bins, count(*) FILTER (WHERE emit AND tn = 0) AS empty_bins, coalesce(max(ns.n), 0) AS sequences FROM pp LEFT JOIN ns ON ns.trade_date = pp.trade_date GROUP BY pp.trade_date"),
         "fusion": with_(*_coarse(), select="SELECT trade_date, bin_idx, trf_volume, trf_volume AS trf_volume_r, bbo_update_rate FROM l WHERE emit"),
         "normal_cdf_grid": f"SELECT event_id, round({phi('z')}, 6) AS phi FROM (SELECT event_id, (value - 10.0::DOUBLE) / 5.0::DOUBLE AS z FROM events)",
-        "file_discovery": with_(RAW, select="SELECT DISTINCT trade_date, 'day-' || strftime(trade_date, '%Y%m%d') || '.parquet' AS name FROM raw"),
+        "file_discovery": with_(RAW, select="SELECT trade_date, 'day=' || strftime(trade_date, '%Y%m%d') AS name, count(*) AS n FROM raw GROUP BY trade_date"),
         "npy_export": with_(*_coarse(), f"lb AS ({_LEADS})", f"ns AS (SELECT trade_date, count(*) AS n FROM lb WHERE position >= 4 AND {_VALID} GROUP BY trade_date)", select="SELECT CASE WHEN trade_date <= DATE '2024-01-20' THEN 'train' WHEN trade_date <= DATE '2024-01-25' THEN 'val' ELSE 'test' END AS split, count(*) AS n_days, coalesce(sum(n), 0)::BIGINT AS n_sequences, strftime(min(trade_date), '%Y-%m-%d') AS first_date, strftime(max(trade_date), '%Y-%m-%d') AS last_date FROM (SELECT DISTINCT trade_date FROM p) LEFT JOIN ns USING (trade_date) GROUP BY 1"),
         "stream_tumbling": with_(*base, select=f"SELECT trade_date, (ts - open_ns) // {B600} AS bin_idx, count(*) AS trades, count(*) FILTER (WHERE trf) AS trf_trades, {volume('trf')} AS trf_volume, {volume('lit')} AS lit_volume, round({volume('trf')} / greatest({volume('trf')} + {volume('lit')}, 1e-8::DOUBLE), 6) AS dark_share FROM r WHERE acc GROUP BY trade_date, (ts - open_ns) // {B600}"),
     }

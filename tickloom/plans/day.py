@@ -1,7 +1,7 @@
 """From events to feature bins: the whole dataflow as one declarative plan.
 
-For quotes, classes and bins, events are exchanged once, by day of a symbol, and sorted once, by seq; the ordered operators over
-records share both. Trades' side branches (bulk volume, bursts, VPIN) exchange and sort trades again; they need only columns that are there before classification,
+For quotes, classes, bursts and bins, events are exchanged once, by day of a symbol, and sorted once, by seq; the ordered operators over
+records share both. Trades' side branches (bulk volume, VPIN) exchange and sort trades again; they need only columns that are there before classification,
 and bins are few, so everything after the per-bin aggregation is small.
 """
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tickloom.config import Config
 from tickloom.functions.market import is_trf
-from tickloom.operators import aggregates, bins, bursts, bvc, features, quotes, trades, vpin
+from tickloom.operators import aggregates, bins, bvc, features, quotes, trades, vpin
 from tickloom.schema import DAY
 
 
@@ -34,14 +34,12 @@ def processed_bins(events: DataFrame, cfg: Config, context: DataFrame | None = N
 
     times_in_order=False is for days whose receive times fall now and then: bulk volume is then replayed trade by trade.
     """
-    sums = aggregates.bin_aggregates(aggregates.with_previous(records(events, cfg)), cfg)
+    sums = aggregates.bin_aggregates(aggregates.with_burst(aggregates.with_previous(records(events, cfg)), cfg), cfg)
     grid = bins.emitted(bins.day_grid(sums, cfg), cfg)
     traded = accepted_trades(events, cfg)
     keys = [*DAY, "bin_idx"]
     bulk = bvc.with_bvc if times_in_order else bvc.replayed_bvc
     grid = grid.join(bvc.by_bin(bulk(traded, cfg.vpin.sigma_window_minutes)), keys, "left")
-    v = cfg.validation
-    grid = grid.join(bursts.bursts(traded.where(is_trf(F.col("publisher_id"))), v.burst_threshold, v.burst_window_ns), keys, "left")
     if cfg.features.vpin:
         grid = grid.join(vpin_by_bin(traded, cfg, context, "Trf"), keys, "left").join(vpin_by_bin(traded, cfg, context, "Lit"), keys, "left")
     return features.with_state(grid)

@@ -6,9 +6,6 @@ addition can't show. Ordered quantities are whole numbers wherever they can be.
 
 from __future__ import annotations
 
-import re
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +15,7 @@ from tickloom.operators import aggregates, bursts, bvc, calendar, context, diagn
 from tickloom.operators import bins as grid
 from tickloom.plans import day, export, manifest, reports
 from tickloom.schema import DAY, FEATURES
-from tickloom.sources import feed, npy
+from tickloom.sources import feed, files, npy
 from tickloom.sources.adapter import driver_events, from_driver_events
 from tickloom.sources.stores import scratch, stored
 from tickloom.streaming import bins as streaming
@@ -30,11 +27,6 @@ FINE = Config().with_(sampling={"bin_size_seconds": 60}, vpin={"sigma_window_min
 WITH_VPIN = COARSE.with_(features={"vpin": True})
 
 
-def local(path: str) -> str:
-    """The mounted form of a file: path, for the writers of NPY files."""
-    return re.sub(r"^file:/*", "/", path)
-
-
 def r6(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.round(c.cast("double"), 6) + F.lit(0.0)
@@ -194,13 +186,13 @@ def sequences_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalization_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = normalize.feature_stats(day.feature_bins(driver_events(spark, sf_dir), COARSE))
+    found = normalize.feature_stats(stored(day.feature_bins(driver_events(spark, sf_dir), COARSE), "bins"))
     digits = lambda c: F.when(F.abs(c) >= 1e6, F.round(c, -3)).otherwise(r6(c)).alias(c)  # noqa: E731  ratios without a divisor are very large, and their sums depend on the order in the last digits
     return found.select("trade_date", "feature", *map(digits, ("mean", "std", "min", "max")), "n_finite", "n_nan")
 
 
 def zscore_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = normalize.normalized(day.feature_bins(driver_events(spark, sf_dir), COARSE))
+    found = normalize.normalized(stored(day.feature_bins(driver_events(spark, sf_dir), COARSE), "bins"))
     return found.select("trade_date", "bin_idx", *[r6(f).alias(f) for f in FEATURES])
 
 
@@ -208,8 +200,11 @@ _HOLIDAYS = ("2024-01-01", "2024-01-15")
 
 
 def calendar_weekdays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = calendar.weekdays(spark, "2024-01-01", "2024-02-15", _HOLIDAYS)
-    return found.select("trade_date", calendar.file_date(F.col("trade_date")).alias("file_date"), (calendar.from_file_date(calendar.file_date(F.col("trade_date"))) == F.col("trade_date")).alias("same"))
+    """The calendar from the events' first day to their last, with their number."""
+    days = driver_events(spark, sf_dir).groupBy("trade_date").agg(F.count("*").alias("n"))
+    ends = days.agg(F.min("trade_date").cast("string"), F.max("trade_date").cast("string")).first()
+    found = calendar.weekdays(spark, *(ends if ends[0] else ("2024-01-01", "2024-01-01")), _HOLIDAYS).join(days, "trade_date", "left")
+    return found.select("trade_date", calendar.file_date(F.col("trade_date")).alias("file_date"), (calendar.from_file_date(calendar.file_date(F.col("trade_date"))) == F.col("trade_date")).alias("same"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def split_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,16 +268,12 @@ def normal_cdf_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Day files written from the events, found again by name."""
-    from tickloom.sources.files import discover
-
-    root = local(scratch(spark, "days"))
-    Path(root).mkdir(parents=True)
-    days = [r.d for r in driver_events(spark, sf_dir).select(calendar.file_date(F.col("trade_date")).alias("d")).distinct().collect()]  # one row a day
-    for d in days:
-        Path(root, f"day-{d}.parquet").touch()
-    Path(root, "day-2024.parquet").touch()
-    return discover(spark, f"file://{root}", "day-{date}.parquet").select("trade_date", F.element_at(F.split("path", "/"), -1).alias("name"))
+    """Each day's events in a folder of its own, found again by name, with what is in them."""
+    root = scratch(spark, "days")
+    driver_events(spark, sf_dir).select(calendar.file_date(F.col("trade_date")).alias("day"), "seq").write.partitionBy("day").parquet(root)
+    found = files.discover(spark, root, "day={date}").select("trade_date", F.element_at(F.split("path", "/"), -1).alias("name"))
+    inside = spark.read.parquet(root).groupBy(calendar.from_file_date(F.col("day").cast("string")).alias("trade_date")).agg(F.count("*").alias("n"))
+    return found.join(inside, "trade_date")
 
 
 def _exported(spark: SparkSession, sf_dir: str) -> str:
