@@ -173,3 +173,16 @@ def test_query_with_white_space(spark, tmp_path):
     got = packing.op7_mixture_packing(spark, str(tmp_path)).groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).collect()
     encode = packing.encoder(PATH)
     assert {r.doc_id: (r["sum(length)"], r["max(doc_tokens)"]) for r in got} == {i: (len(encode(t or "")) + 1,) * 2 for i, t, _ in rows}
+
+
+def test_sources_of_the_shared_queue_take_turns(spark):
+    rows = [(k, "w " * 40, f"big{k % 2}") for k in range(300)] + [(1000 + k, "w " * 40, f"small{k % 5}") for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    got = packing.pack(docs, most_sources=2).collect()
+    check(rows, got)
+    by = defaultdict(lambda: defaultdict(int))
+    for r in got:
+        by[r.sequence_id][r.source_queue] += r.length
+    per = {s: sum(w[s] for w in by.values()) / len(by) for s in {f"=small{k}" for k in range(5)}}
+    full = [w for s, w in by.items() if sum(w.values()) == 1024]
+    assert len(full) > 5 and all(abs(w[s] - n) <= 3 * packing.QUANTUM for w in full[:-1] for s, n in per.items())

@@ -25,14 +25,14 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return hung.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node that edges (a, b) name; component is the smallest node reachable.
 
     Null ends and loops are ignored; no edges give no rows. Long chains shrink by more than half a round.
     """
     now = written(edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     mark = None
-    for _ in range(most_rounds):
+    while True:  # each round either leaves all as it is or hangs a node lower
         seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if (seen.n, seen.s) == mark or not seen.n:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
@@ -40,4 +40,3 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
         after = written(_stars(_stars(now, True), False), "edges")
         discard(now)
         now = after
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -19,7 +19,10 @@ pieces by arithmetic. Token ids are never shuffled, unless the table of parts ou
 
 Defined results: a null text is empty and has just the end token. Null sources are a queue of their own.
 Null identifiers and repeated rows are packed like others. An empty table gives no pieces. Extra columns are
-ignored. Sources beyond the most_sources largest share one queue, with all their tokens.
+ignored.
+
+Any number of sources: those beyond the most_sources largest share one queue of the schedule, in which their quanta take turns by a
+second level, each source's k-th of q at the place (2k+1)/(2q) of all. These places are a table, made and joined by Spark.
 """
 
 from __future__ import annotations
@@ -40,6 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import batch_of, mapped, own_columns, table, utf8, written
+from tickloom.llm.mixing import running
 
 WINDOW, QUANTUM, END_ID = 1024, 32, 0
 #: Characters of white space in a row from which on they are encoded by themselves.
@@ -84,6 +88,10 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     return encode
 
 
+#: What a run of tokens needs to be placed: skip, the tokens of its document before it, tokens, all of its document's.
+_PLACED = ["id", "queue", "shared", "place", "skip", "n", "tokens", "ids"]
+
+
 def queue_of(source_col: str) -> Column:
     """A source's queue; null has one of its own."""
     c = F.col(f"`{source_col}`")
@@ -237,6 +245,23 @@ class Places:
         return row, a - starts[row], b - a, w, offset
 
 
+def turns(totals: DataFrame, quantum: int) -> DataFrame:
+    """(queue, k, at): where in the shared queue each quantum of each of its sources begins. totals: (queue, n)."""
+    count = F.ceil(F.col("n") / quantum)
+    quanta = totals.where("n > 0").select("queue", "n", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("k"))
+    placed = quanta.select("queue", "k", ((2 * F.col("k") + 1) / (2.0 * count)).alias("turn"), F.least(F.lit(quantum), F.col("n") - F.col("k") * quantum).alias("tokens"), F.lit(0).cast("long").alias("all"))
+    return running(placed.select("all", "turn", "queue", "k", "tokens"), "all", ["turn", "queue"], "tokens", "at").select("queue", "k", "at")
+
+
+def _in_turn(rows: DataFrame, totals: DataFrame, quantum: int) -> DataFrame:
+    """rows of the shared queue, cut by their own queues' quanta, each at its place there. rows: (id, queue, place, n, ids), place within the own queue."""
+    last = F.col("place") + F.col("n") - 1
+    cut = rows.withColumn("k", F.explode(F.sequence(F.expr(f"place div {quantum}"), F.floor(last / quantum))))
+    low, high = F.greatest("place", F.col("k") * quantum), F.least(last + 1, (F.col("k") + 1) * quantum)
+    runs = cut.select("id", "queue", "k", F.lit("rest").alias("shared"), (low - F.col("k") * quantum).alias("within"), (low - F.col("place")).alias("skip"), (high - low).alias("n"), F.col("n").alias("tokens"), F.substring("ids", (2 * (low - F.col("place")) + 1).cast("int"), (2 * (high - low)).cast("int")).alias("ids"))
+    return runs.join(turns(totals, quantum), ["queue", "k"]).withColumn("place", F.col("at") + F.col("within")).select(*_PLACED)
+
+
 def pack(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -256,13 +281,21 @@ def pack(
     tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     tokens = written(tokenised(docs, id_col, text_col, source_col, tokenizer), "tokens")
     parts = tokens.groupBy("part", "queue").agg(F.sum("n").alias("n"))
-    top = [r.queue for r in parts.groupBy("queue").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "queue").limit(most_sources).collect()]
-    shared = F.when(F.col("queue").isin(top), F.col("queue")).otherwise(F.lit("rest")) if len(top) >= most_sources else F.col("queue")
-    parts = parts.withColumn("shared", shared)
-    totals = {r.shared: r.n for r in parts.groupBy("shared").agg(F.sum("n").alias("n")).collect()}  # at most most_sources + 1 rows
-    before = Window.partitionBy("shared").orderBy("part", "queue").rowsBetween(Window.unboundedPreceding, -1)
+    by_queue = parts.groupBy("queue").agg(F.sum("n").alias("n"))
+    largest = [r.asDict() for r in by_queue.orderBy(F.desc("n"), "queue").limit(most_sources + 1).collect()]
+    named, more = {r["queue"]: r["n"] for r in largest[:most_sources]}, len(largest) > most_sources
+    before = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # Written, so that its size is known when the join is planned: it is broadcast if small, and only then are no ids shuffled.
-    bases = written(parts.select("part", "queue", "shared", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
+    bases = written(parts.select("part", "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
+    based = tokens.join(bases, ["part", "queue"]).withColumn("place", F.col("base") + F.col("start"))
+    own = F.col("queue").isin(list(named))
+    whole = lambda df: df.select("id", "queue", F.col("queue").alias("shared"), "place", F.lit(0).cast("long").alias("skip"), "n", F.col("n").alias("tokens"), "ids")
+    placed = whole(based)
+    totals = dict(named)
+    if more:
+        few = by_queue.where(~own)
+        totals["rest"] = few.agg(F.sum("n")).first()[0]
+        placed = whole(based.where(own)).unionByName(_in_turn(based.where(~own).select("id", "queue", "place", "n", "ids"), few, quantum))
     aims = None if weights is None else {"null" if k is None else f"={k}": v for k, v in weights.items()}
     places = Places(totals, window, quantum, aims) if totals else None
     fields = [("id", pa.int64()), ("source_queue", pa.string()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
@@ -273,7 +306,8 @@ def pack(
             if not batch.num_rows:
                 continue
             queues, sizes = np.array(batch.column("shared").to_pylist(), object), batch.column("n").to_numpy()
-            starts, names, ids = batch.column("base").to_numpy() + batch.column("start").to_numpy(), batch.column("id"), batch.column("ids")
+            starts, skips, whole = (batch.column(c).to_numpy() for c in ("place", "skip", "tokens"))
+            names, sources, ids = batch.column("id"), batch.column("queue"), batch.column("ids")
             for queue in dict.fromkeys(queues):
                 mine = np.flatnonzero(queues == queue)
                 row, at, length, w, offset = places.pieces(queue, starts[mine], sizes[mine])
@@ -285,12 +319,12 @@ def pack(
                     crcs.append(zlib.crc32(piece))
                     if with_ids:
                         raw.append(bytes(piece))
-                whole = pa.array(mine[row])
-                out = {"id": names.take(whole), "source_queue": pa.array([queue] * len(row), pa.string()), "start": pa.array(at), "length": pa.array(length), "ids_crc32": pa.array(crcs, pa.int64()), "doc_tokens": pa.array(sizes[mine][row]), "sequence_id": pa.array(w), "offset": pa.array(offset)}
+                of = pa.array(mine[row])
+                out = {"id": names.take(of), "source_queue": sources.take(of), "start": pa.array(at + skips[mine][row]), "length": pa.array(length), "ids_crc32": pa.array(crcs, pa.int64()), "doc_tokens": pa.array(whole[mine][row]), "sequence_id": pa.array(w), "offset": pa.array(offset)}
                 yield batch_of(out | ({"ids": pa.array(raw, pa.binary())} if with_ids else {}), schema)
 
     kinds = "id long, source_queue string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + (", ids binary" if with_ids else "")
-    return mapped(tokens.join(bases, ["part", "queue"]).select("id", "shared", "base", "start", "n", "ids"), run, kinds)
+    return mapped(placed.select(*_PLACED), run, kinds)
 
 
 def sequences(pieces: DataFrame, window: int = WINDOW, pad_id: int = END_ID) -> DataFrame:
