@@ -246,6 +246,19 @@ def exported(spark, root, **more):
     return cfg, spark.createDataFrame([tuple(r[f.name] for f in EVENTS) for r in rows], EVENTS)
 
 
+def test_metadata_has_the_contract_fields():
+    cfg = Config().with_(export={"experiment": "e"})
+    counts = dict.fromkeys(("n_bins_total", "n_bins_valid", "n_bins_warmup_discarded", "n_bins_label_truncated", "n_total_records", "n_trade_records", "n_trf_trades", "n_lit_trades", "first_bin_start_ns", "last_bin_end_ns"), 7) | {"n_sequences": 308}
+    m = json.loads(json.dumps(export.metadata("2025-02-03", counts, cfg, {"consolidated_volume": 10, "trf_volume_fraction": 0.5}, {"source_file": "day-20250203.feed", "data_file_sha256": "a" * 64})))
+    assert {"day", "n_sequences", "window_size", "n_features", "schema_version", "contract_version", "label_strategy", "label_encoding", "horizons", "bin_size_seconds", "market_open_et", "normalization", "provenance", "export_timestamp", "data_source", "schema", "symbol", "experiment", "signing_method", "exclusion_band", *counts} <= set(m)
+    assert (m["schema_version"], m["n_features"], m["contract_version"].startswith("off_exchange"), m["normalization"]["applied"], m["normalization"]["strategy"]) == ("1.0", 34, True, False, "none")
+    assert set(m["provenance"]) == {"source_file", "processor_version", "git_commit", "git_dirty", "export_timestamp_utc", "config_hash", "data_file_sha256"}
+    assert len(m["provenance"]["config_hash"]) == 64 and "/" not in m["provenance"]["source_file"]
+    fp = m["forward_prices"]
+    assert fp["n_columns"] == fp["smoothing_window_offset"] + fp["max_horizon"] + 1 and fp["units"] == "USD" and fp["column_layout"]
+    assert "vpin" in m["feature_groups_enabled"] and m["classification_config"]["signing_method"] == "midpoint"
+
+
 def test_a_failed_export_leaves_nothing(spark, tmp_path):
     cfg, events = exported(spark, tmp_path, continue_on_error=False)
     root = str(tmp_path / "out")

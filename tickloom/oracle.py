@@ -278,6 +278,7 @@ ks AS (SELECT trade_date, seq, b, count(*) OVER w AS n, sum(x) OVER w AS sx, sum
         "npy_sequences": with_(*_coarse(), filled(), *ends, "ff AS (SELECT *, row_number() OVER (PARTITION BY trade_date ORDER BY bin_idx) - 1 AS position FROM f WHERE emit)", select=f"SELECT sq.trade_date, {split.replace('trade_date', 'sq.trade_date')}, n, ff.position - sq.position + 4 AS step, {', '.join(r6(f'ff.{c}::FLOAT::DOUBLE', c) for c in ALL_F)} FROM sq JOIN ff ON ff.trade_date = sq.trade_date AND ff.position BETWEEN sq.position - 4 AND sq.position"),
         "npy_targets": with_(*_coarse(), *ends, f"pr AS (SELECT trade_date, bin_idx, {ahead} FROM l WHERE emit WINDOW w AS (PARTITION BY trade_date ORDER BY bin_idx))", select=f"SELECT sq.trade_date, {split.replace('trade_date', 'sq.trade_date')}, n, {', '.join(r6(f'label_{h}') for h in (1, 2, 3, 5))}, {', '.join(r6(f'price_{k}') for k in range(6))} FROM sq JOIN pr ON pr.trade_date = sq.trade_date AND pr.bin_idx = sq.bin_idx"),
         "session_windows": with_(RAW, select=islands),
+        "stream_sliding": with_(*base, "sw AS (SELECT *, (ts // 1000) // 600000000 * 600000000 - j * 600000000 AS start_us FROM r, (SELECT unnest([0, 1, 2]) AS j) WHERE acc)", select=f"SELECT trade_date, start_us, start_us + 1800000000 AS end_us, count(*) AS trades, count(*) FILTER (WHERE trf) AS trf_trades, {volume('trf')} AS trf_volume, {volume('lit')} AS lit_volume, {r6(volume('trf') + ' / greatest(' + volume('trf') + ' + ' + volume('lit') + ', 1e-8::DOUBLE)', 'dark_share')} FROM sw GROUP BY trade_date, start_us"),
         "stream_sessions": with_(RAW, select=islands),
         "stream_state_bins": with_(RAW, STATE, records(B60), sums(), grid(B60, k=10**9), select=f"""SELECT p.trade_date, p.b AS bin_idx, bend AS bin_end_ns, is_gap, is_flush, p.trades, p.ups AS updates, coalesce(a.dropped, 0) AS dropped, {z('tb')}::BIGINT AS trf_buy_vol, {z('tsl')}::BIGINT AS trf_sell_vol,
   {z('tu')}::BIGINT AS trf_unsigned_vol, {z('lv')}::BIGINT AS lit_vol, {r6('s.bid', 'bid')}, {r6('s.ask', 'ask')}, s.bsz AS bid_size, s.asz AS ask_size, {r6('st_mid', 'mid_price')}, st_ts AS quote_ts

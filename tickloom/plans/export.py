@@ -79,19 +79,19 @@ def metadata(day_: str, counts: dict, cfg: Config, context: dict | None = None,
         "horizons": h,
         "bin_size_seconds": cfg.sampling.bin_size_seconds,
         "market_open_et": cfg.sampling.market_open_et,
-        "schema_version": SCHEMA_VERSION,
+        "schema_version": f"{SCHEMA_VERSION:.1f}",
         "contract_version": CONTRACT_VERSION,
         "data_source": cfg.input.data_source,
         "schema": cfg.input.record_schema,
         "experiment": cfg.export.experiment,
         "label_strategy": cfg.labeling.label_type,
         "label_type": cfg.labeling.label_type,
-        "label_encoding": {"unit": "basis_points", "dtype": "float64"},
-        "forward_prices": {"exported": True, "max_horizon": max(h), "n_columns": max(h) + 1, "unit": "USD", "smoothing_window_offset": 0},
+        "label_encoding": "continuous_bps",
+        "forward_prices": {"exported": True, "max_horizon": max(h), "n_columns": max(h) + 1, "units": "USD", "column_layout": "column_0_is_base_price_at_t; column_h_is_price_at_t_plus_h", "smoothing_window_offset": 0},
         "normalization": {"strategy": cfg.export.normalization, "applied": cfg.export.normalization != "none", "params_file": f"{cfg.input.symbol}_{day_.replace('-', '')}_{KINDS[4]}", "not_normalized": [FEATURES.index(f) for f in FEATURES if f in CATEGORICAL]},
         "signing_method": cfg.classification.signing_method,
         "exclusion_band": cfg.classification.exclusion_band,
-        "features_config": cfg.to_dict()["features"],
+        "feature_groups_enabled": cfg.to_dict()["features"],
         "classification_config": cfg.to_dict()["classification"],
         "provenance": provenance,
         "export_timestamp": now,

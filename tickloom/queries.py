@@ -395,6 +395,12 @@ def stream_state_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("trade_date", "bin_idx", "bin_end_ns", "is_gap", "is_flush", "trades", "updates", "dropped", "trf_buy_vol", "trf_sell_vol", "trf_unsigned_vol", "lit_vol", r6("bid").alias("bid"), r6("ask").alias("ask"), "bid_size", "ask_size", r6("mid_price").alias("mid_price"), "quote_ts")
 
 
+def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half hours of flow, every ten minutes, from a stream that is stopped and started twice; open ones too."""
+    out = _streamed(spark, sf_dir, "sliding", lambda e: streaming.sliding_flow(e, COARSE, 3), "complete")
+    return rounded(sink.committed(spark, out, latest=True).drop("symbol"), "dark_share")
+
+
 def session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.activity_sessions(driver_events(spark, sf_dir)).drop("symbol")
 
@@ -470,6 +476,7 @@ def queries() -> dict:
         "sketch_rollup": sketch_rollup,
         "feed_round_trip": feed_round_trip,
         "stream_state_bins": stream_state_bins,
+        "stream_sliding": stream_sliding,
         "session_windows": session_windows,
         "stream_sessions": stream_sessions,
     }
