@@ -117,7 +117,7 @@ def test_moments_of_the_training_days_scale_all(spark):
     df = spark.createDataFrame(rows, "symbol string, trade_date date, bin_idx long, u double, v double").repartition(4)
     cut = DAY + datetime.timedelta(3)
     train = np.array([r[3:] for r in rows if r[1] <= cut])
-    m = normalize.merged_moments(normalize.day_moments(df.where(F.col("trade_date") <= F.lit(cut)), names), names).first()
+    m = {r.feature: r for r in normalize.merged_moments(normalize.day_moments(df.where(F.col("trade_date") <= F.lit(cut)), names)).collect()}
     for k, f in enumerate(names):
         x = train[:, k][~np.isnan(train[:, k])]
         assert (m[f].n, m[f].mean, m[f].m2) == (len(x), pytest.approx(x.mean(), rel=1e-14), pytest.approx(((x - x.mean()) ** 2).sum(), rel=1e-9))
@@ -125,3 +125,5 @@ def test_moments_of_the_training_days_scale_all(spark):
     x = train[:, 0]
     for _, d, b, u, _ in rows:
         assert got[d, b][0] == pytest.approx((u - x.mean()) / x.std(), abs=1e-6)
+    none = normalize.globally_normalized(df, F.lit(False), features=names).select("u", "v").distinct().collect()
+    assert [tuple(r) for r in none] == [(None, None)]

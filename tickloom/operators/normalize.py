@@ -1,4 +1,7 @@
-"""Per-day statistics of the features, in long form, and z-scores by them."""
+"""Statistics of the features by day, in long form, and z-scores by them.
+
+A row for each bin and feature, and few aggregates over them: plans stay small, however many features there are.
+"""
 
 from __future__ import annotations
 
@@ -11,21 +14,28 @@ from tickloom.schema import CATEGORICAL, DAY, FEATURES
 STATS = ("mean", "std", "min", "max", "n_finite", "n_nan")
 
 
-def wide_stats(bins: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:
-    """One row per day: a struct of statistics a feature, in one aggregation over all emitted bins."""
-    aggs = []
-    for f in features:
-        c = F.col(f)
-        ok = c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))
-        x = F.when(ok, c)
-        aggs.append(F.struct(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"), F.count(x).alias("n_finite"), F.count_if(~F.coalesce(ok, F.lit(False))).alias("n_nan")).alias(f))
-    return bins.groupBy(*DAY).agg(*aggs)
+def _named(features: tuple[str, ...]) -> Column:
+    return F.element_at(F.array(*map(F.lit, features)), F.col("feature_idx") + 1).alias("feature")
 
 
 def feature_stats(bins: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:
-    """(DAY, feature_idx, feature, mean, std, min, max, n_finite, n_nan)."""
-    rows = F.array(*[F.struct(F.lit(i).alias("feature_idx"), F.lit(f).alias("feature"), *[F.col(f"{f}.{s}").alias(s) for s in STATS]) for i, f in enumerate(features)])
-    return wide_stats(bins, features).select(*DAY, F.explode(rows).alias("s")).select(*DAY, "s.*")
+    """(DAY, feature_idx, feature, mean, std, min, max, n_finite, n_nan) over all emitted bins."""
+    long = bins.select(*DAY, F.posexplode(F.array(*[F.col(f).cast("double") for f in features])).alias("feature_idx", "value"))
+    c = F.col("value")
+    ok = F.coalesce(~F.isnan(c) & (F.abs(c) != float("inf")), F.lit(False))
+    x = F.when(ok, c)
+    stats = long.groupBy(*DAY, "feature_idx").agg(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"), F.count(x).alias("n_finite"), F.count_if(~ok).alias("n_nan"))
+    return stats.select(*DAY, "feature_idx", _named(features), *STATS)
+
+
+def _in_a_row(stats: DataFrame, keys: list[str], *names: str) -> DataFrame:
+    """One row for keys with _stats: an array of structs in the features' order."""
+    return stats.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("feature_idx", *names))).alias("_stats"))
+
+
+def _scored(features: tuple[str, ...], off: set[str]) -> dict[str, Column]:
+    scored = [f for f in features if f not in CATEGORICAL and f not in off]
+    return {f: zscore(F.col(f), F.col("_stats")[features.index(f)].mean, F.col("_stats")[features.index(f)].std) for f in scored}
 
 
 def normalized(bins: DataFrame, off: set[str] = frozenset(), features: tuple[str, ...] = FEATURES) -> DataFrame:
@@ -33,35 +43,29 @@ def normalized(bins: DataFrame, off: set[str] = frozenset(), features: tuple[str
 
     The statistics are a row a day and join on the day.
     """
-    stats = wide_stats(bins, features).select(*DAY, F.struct(*features).alias("_stats"))
-    scored = {f: zscore(F.col(f), F.col(f"_stats.{f}.mean"), F.col(f"_stats.{f}.std")) for f in features if f not in CATEGORICAL and f not in off}
-    return bins.join(stats, DAY).withColumns(scored).drop("_stats")
+    stats = _in_a_row(feature_stats(bins, features), list(DAY), "mean", "std")
+    return bins.join(stats, DAY).withColumns(_scored(features, off)).drop("_stats")
 
 
 def day_moments(bins: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:
-    """One row a day: a struct (n, mean, m2) a feature, over its finite values. Moments merge, so days are read once whatever is asked of them."""
-    stats = wide_stats(bins, features)
-    moments = [F.struct(F.col(f"{f}.n_finite").alias("n"), F.coalesce(f"{f}.mean", F.lit(0.0)).alias("mean"), (F.coalesce(f"{f}.std", F.lit(0.0)) * F.coalesce(f"{f}.std", F.lit(0.0)) * F.col(f"{f}.n_finite")).alias("m2")).alias(f) for f in features]
-    return stats.select(*DAY, *moments)
+    """(DAY, feature_idx, feature, n, mean, m2) over finite values. Moments merge, so days are read once whatever is asked of them."""
+    std = F.coalesce("std", F.lit(0.0))
+    return feature_stats(bins, features).select(*DAY, "feature_idx", "feature", F.col("n_finite").alias("n"), F.coalesce("mean", F.lit(0.0)).alias("mean"), (std * std * F.col("n_finite")).alias("m2"))
 
 
-def merged_moments(moments: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:
-    """One row: a struct (n, mean, m2) a feature over all days, from theirs. Means are taken before squares, so nothing cancels."""
-    n = moments.agg(*[F.struct(F.sum(f"{f}.n").alias("n"), (F.sum(F.col(f"{f}.n") * F.col(f"{f}.mean")) / F.greatest(F.sum(f"{f}.n"), F.lit(1))).alias("mean")).alias(f) for f in features])
-    both = moments.select(F.lit(1).alias("_all"), *[F.col(f).alias(f"_{f}") for f in features]).join(n.withColumn("_all", F.lit(1)), "_all")
-    aggs = []
-    for f in features:
-        off = F.col(f"_{f}.mean") - F.col(f"{f}.mean")
-        aggs.append(F.struct(F.first(f"{f}.n").alias("n"), F.first(f"{f}.mean").alias("mean"), F.sum(F.col(f"_{f}.m2") + F.col(f"_{f}.n") * off * off).alias("m2")).alias(f))
-    return both.agg(*aggs)
+def merged_moments(moments: DataFrame) -> DataFrame:
+    """(feature_idx, feature, n, mean, m2) over all days, from theirs. Means are taken before squares, so nothing cancels."""
+    key = ["feature_idx", "feature"]
+    total = moments.groupBy(*key).agg(F.sum("n").alias("all"), (F.sum(F.col("n") * F.col("mean")) / F.greatest(F.sum("n"), F.lit(1))).alias("centre"))
+    off = F.col("mean") - F.col("centre")
+    return moments.join(total, key).groupBy(*key).agg(F.first("all").alias("n"), F.first("centre").alias("mean"), F.sum(F.col("m2") + F.col("n") * off * off).alias("m2"))
 
 
 def globally_normalized(bins: DataFrame, training: Column, off: set[str] = frozenset(), features: tuple[str, ...] = FEATURES) -> DataFrame:
     """bins with each feature as its z-score against all bins of the days where `training` holds; other days are scaled, but give nothing to the statistics.
 
-    Of the same categorical features, and groups that are off, as normalized().
+    Of the same categorical features, and groups that are off, as normalized(). Without a training day nothing can be scaled, and features are null.
     """
-    names = [f for f in features if f not in CATEGORICAL and f not in off]
-    whole = merged_moments(day_moments(bins.where(training), tuple(names)), tuple(names)).select(F.lit(1).alias("_all"), F.struct(*names).alias("_moments"))  # one row
-    std = lambda f: F.sqrt(F.col(f"_moments.{f}.m2") / F.greatest(F.col(f"_moments.{f}.n"), F.lit(1)))
-    return bins.withColumn("_all", F.lit(1)).join(F.broadcast(whole), "_all").withColumns({f: zscore(F.col(f), F.col(f"_moments.{f}.mean"), std(f)) for f in names}).drop("_moments", "_all")
+    std = F.sqrt(F.col("m2") / F.greatest("n", F.lit(1)))
+    whole = _in_a_row(merged_moments(day_moments(bins.where(training), features)).select(F.lit(1).alias("_all"), "feature_idx", "mean", std.alias("std")), ["_all"], "mean", "std")  # one row
+    return bins.withColumn("_all", F.lit(1)).join(F.broadcast(whole), "_all", "left").withColumns(_scored(features, off)).drop("_stats", "_all")
