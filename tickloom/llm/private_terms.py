@@ -149,13 +149,13 @@ def _written_spans(spans: Column) -> Column:
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Written: row (a key), id, spans, chars and sha256 of the text, and key (the same for copies) and text where there are spans."""
+    """Written: row (a key), id, spans, chars and sha256 of the text, and key (the same for copies), text and masked, the text with blanks in place of its values, where there are spans."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = own_columns(docs, id_col, text_col).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     # Most texts have no match at all; the spans are only built where one kind of character is there that each of them needs.
     found = rows.select("id", F.when(text.rlike("[0-9@]"), base_spans(text)).otherwise(F.array().cast("array<struct<kind:string,start:bigint,end:bigint,value:string>>")).alias("spans"), "text")
     has = F.size("spans") > 0
-    return written(found.select(F.monotonically_increasing_id().alias("row"), "id", "spans", F.length(text).cast("long").alias("chars"), F.sha2(text, 256).alias("sha256"), F.when(has, F.md5(F.col("text").cast("binary"))).alias("key"), F.when(has, F.col("text")).alias("text")), "personal")
+    return written(found.select(F.monotonically_increasing_id().alias("row"), "id", "spans", F.length(text).cast("long").alias("chars"), F.sha2(text, 256).alias("sha256"), F.when(has, F.md5(F.col("text").cast("binary"))).alias("key"), F.when(has, F.col("text")).alias("text"), F.when(has, _masked(F.col("text"), F.col("spans"))).alias("masked")), "personal")
 
 
 def _replaced(text: Column, cuts: Column, same_length: bool = False) -> Column:
@@ -199,7 +199,7 @@ def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text", most_
     personal = found.where(F.size("spans") > 0)
     one = personal.groupBy("key").agg(F.min("row").alias("row"), F.count("*").alias("copies"))
     entities = F.array_distinct(F.flatten(F.transform("spans", lambda s: _entities(s.kind, s.value))))
-    texts = written(personal.drop("key").join(one, "row").select("key", "copies", entities.alias("entities"), _words(_masked(F.col("text"), F.col("spans"))).alias("terms")), "texts")
+    texts = written(personal.drop("key").join(one, "row").select("key", "copies", entities.alias("entities"), _words(F.col("masked")).alias("terms")), "texts")
     known = texts.select("copies", F.explode("entities").alias("entity")).groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count("*").alias("k_e"))
     known = written(known.withColumn("most", rarest(F.col("n_e"), F.col("k_e"), most_open)), "entities")
     most = known.agg(F.max("most").alias("most")).first().most or 0.0
@@ -227,7 +227,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ge
     told = disclosures(docs, found, text_col, generalise)
     kind = "array<struct<start:bigint,end:bigint,bits:double>>"
     personal = found.where(F.size("spans") > 0).join(told, "key", "left")
-    known = F.transform(located(_masked(F.col("text"), F.col("spans")), TERM), lambda w: F.struct(w.start.alias("start"), w.end.alias("end"), F.element_at("telling", F.lower(w.value)).alias("bits")))
+    known = F.transform(located(F.col("masked"), TERM), lambda w: F.struct(w.start.alias("start"), w.end.alias("end"), F.element_at("telling", F.lower(w.value)).alias("bits")))
     mentions = F.when(F.col("telling").isNotNull(), F.filter(known, lambda s: s.bits.isNotNull())).otherwise(F.array().cast(kind))
     personal = personal.select("id", "spans", mentions.alias("terms"), "text")
     base = F.transform("spans", lambda s: F.struct(s.start.alias("start"), s.end.alias("end"), F.concat(F.lit("["), F.upper(s.kind), F.lit("]")).alias("put")))
