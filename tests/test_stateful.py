@@ -23,7 +23,7 @@ def rocks(spark):
 
 
 def batch_bins(events, cfg):
-    sums = aggregates.bin_aggregates(aggregates.with_previous(day.records(events, cfg)), cfg)
+    sums = aggregates.bin_aggregates(aggregates.with_previous(day.records(events, cfg), cfg), cfg)
     from tickloom.operators.features import with_state
 
     found = with_state(bins.emitted(bins.day_grid(sums, cfg), cfg))

@@ -11,20 +11,19 @@ from tickloom.operators.quotes import up_to_previous
 from tickloom.schema import DAY
 
 
-def with_previous(records: DataFrame) -> DataFrame:
-    """Adds prev_quote (bin, time, spread of the last counted quote update) and prev_trf (bin, time of the last accepted off-exchange trade), in the day's one order."""
-    quote = F.when(F.col("quoted"), F.struct(F.col("bin_idx").alias("bin"), F.col("ts_recv_ns").alias("ts"), F.col("bbo_spread_bps").alias("spread")))
-    trade = F.when(F.col("accepted") & F.col("trf"), F.struct(F.col("bin_idx").alias("bin"), F.col("ts_recv_ns").alias("ts")))
-    return records.withColumns({"prev_quote": F.last(quote, ignorenulls=True).over(up_to_previous()), "prev_trf": F.last(trade, ignorenulls=True).over(up_to_previous())})
-
+def with_previous(records: DataFrame, cfg: Config) -> DataFrame:
+    """Adds prev_quote (bin, time, spread of the last counted quote update), prev_trf (bin, time of the last accepted off-exchange trade) and burst, in the day's one order and one pass.
 
-def with_burst(records: DataFrame, cfg: Config) -> DataFrame:
-    """Adds burst: whether an accepted off-exchange trade is the last of burst_threshold ones of its bin within the window. The same order as above, so there is no other pass over the trades."""
-    mine = "if(accepted and trf, struct(bin_idx as bin, ts_recv_ns as ts), null)"
-    was = F.expr(f"lag({mine}, {cfg.validation.burst_threshold - 1}) ignore nulls over (partition by {', '.join(DAY)} order by seq)")
-    out = records.withColumn("_was", was)
+    burst: whether an accepted off-exchange trade is the last of burst_threshold ones of its bin within the window.
+    """
+    quote = F.when(F.col("quoted"), F.struct(F.col("bin_idx").alias("bin"), F.col("ts_recv_ns").alias("ts"), F.col("bbo_spread_bps").alias("spread")))
+    mine = F.when(F.col("accepted") & F.col("trf"), F.struct(F.col("bin_idx").alias("bin"), F.col("ts_recv_ns").alias("ts")))
+    ahead = records.withColumns({"_quote": quote, "_trade": mine})
+    back = F.expr(f"lag(_trade, {cfg.validation.burst_threshold - 1}) ignore nulls over (partition by {', '.join(DAY)} order by seq)")
+    out = ahead.withColumns({"prev_quote": F.last("_quote", ignorenulls=True).over(up_to_previous()), "prev_trf": F.last("_trade", ignorenulls=True).over(up_to_previous()), "_was": back})
     near = F.greatest(F.col("ts_recv_ns") - F.col("_was.ts"), F.lit(0)) <= cfg.validation.burst_window_ns
-    return out.withColumn("burst", F.coalesce(F.col("accepted") & F.col("trf") & (F.col("_was.bin") == F.col("bin_idx")) & near, F.lit(False))).drop("_was")
+    burst = F.col("accepted") & F.col("trf") & (F.col("_was.bin") == F.col("bin_idx")) & near
+    return out.withColumn("burst", F.coalesce(burst, F.lit(False))).drop("_quote", "_trade", "_was")
 
 
 def bin_aggregates(records: DataFrame, cfg: Config) -> DataFrame:
@@ -75,7 +74,7 @@ def bin_aggregates(records: DataFrame, cfg: Config) -> DataFrame:
         F.count(gap).alias("gaps"),
         F.coalesce(F.sum(gap), F.lit(0.0)).alias("gap_sum"),
         F.coalesce(F.sum(gap * gap), F.lit(0.0)).alias("gap_squares"),
-        *([F.max_by("ts_recv_ns", F.when(F.col("burst"), F.col("seq"))).alias("burst_ts")] if "burst" in records.columns else []),
+        F.max_by("ts_recv_ns", F.when(F.col("burst"), F.col("seq"))).alias("burst_ts"),
     )
     sums = sums.withColumns({"first_quote": whole("first", quote, F.col("updates") > 0), "last_quote": whole("last", quote, F.col("updates") > 0), "state": whole("state", state, F.col("_state_ts").isNotNull(), F.lit(True).alias("bbo_valid"))})
     return sums.drop(*[c for c in sums.columns if c.startswith("_")])

@@ -6,7 +6,7 @@ record at or after the close opens no bin. Both follow from a running maximum ov
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.config import Config
@@ -15,14 +15,25 @@ from tickloom.operators.quotes import up_to_now
 from tickloom.schema import DAY
 
 
-def with_bins(records: DataFrame, cfg: Config) -> DataFrame:
-    """Adds open_ns, close_ns, in_session, bin_idx."""
-    opens, closes = market_time_ns(F.col("trade_date"), cfg.sampling.market_open_et), market_time_ns(F.col("trade_date"), cfg.sampling.market_close_et)
+def session_of(cfg: Config) -> tuple[Column, Column]:
+    """The open and the close of a record's day."""
+    return tuple(market_time_ns(F.col("trade_date"), at) for at in (cfg.sampling.market_open_et, cfg.sampling.market_close_et))
+
+
+def reached(cfg: Config) -> Column:
+    """The latest time before the close up to each record, in the day's one order."""
+    ts = F.col("ts_recv_ns")
+    return F.max(F.when(ts < session_of(cfg)[1], ts)).over(up_to_now())
+
+
+def with_bins(records: DataFrame, cfg: Config, upto: Column | None = None) -> DataFrame:
+    """Adds open_ns, close_ns, in_session, bin_idx. upto: reached(), where it is there already, or the record's own time where times are in order."""
+    opens, closes = session_of(cfg)
     ts = F.col("ts_recv_ns")
     out = records.withColumns({"open_ns": opens, "close_ns": closes})
     out = out.withColumn("in_session", (ts >= F.col("open_ns")) & (ts < F.col("close_ns")))
-    reached = F.max(F.when(ts < F.col("close_ns"), ts)).over(up_to_now())
-    return out.withColumn("bin_idx", F.greatest(F.lit(0).cast("long"), F.coalesce(F.floor((reached - F.col("open_ns")) / F.lit(cfg.bin_ns)), F.lit(0))))
+    upto = reached(cfg) if upto is None else upto
+    return out.withColumn("bin_idx", F.greatest(F.lit(0).cast("long"), F.coalesce(F.floor((upto - F.col("open_ns")) / F.lit(cfg.bin_ns)), F.lit(0))))
 
 
 def with_flags(records: DataFrame) -> DataFrame:

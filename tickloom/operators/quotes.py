@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.market import microprice, midpoint, quote_check, spread_bps, usd
@@ -22,18 +22,19 @@ def up_to_previous():
     return by_seq().rowsBetween(Window.unboundedPreceding, -1)
 
 
-def with_bbo(events: DataFrame) -> DataFrame:
+def with_bbo(events: DataFrame, **more: Column) -> DataFrame:
     """Adds quote_check and, as of each record and its own quote, the last accepted quote: bbo_valid, bid, ask, bid_size, ask_size, mid, spread, bbo_spread_bps, microprice, bbo_ts.
 
-    A rejected update keeps the state before it. Every record's quote counts, whatever its action.
+    A rejected update keeps the state before it. Every record's quote counts, whatever its action. more: further columns over the same order, taken in the same pass.
     """
     check = quote_check(F.col("bid_px_nano"), F.col("ask_px_nano"))
     own = F.struct(usd(F.col("bid_px_nano")).alias("bid"), usd(F.col("ask_px_nano")).alias("ask"), F.col("bid_sz").alias("bid_size"), F.col("ask_sz").alias("ask_size"), F.col("ts_recv_ns").alias("ts"))
     state = F.last(F.when(F.col("quote_check") == "ok", own), ignorenulls=True).over(up_to_now())
-    out = events.withColumn("quote_check", check).withColumn("bbo", state)
+    out = events.withColumn("quote_check", check).withColumns({"bbo": state} | more)
     bid, ask = F.col("bbo.bid"), F.col("bbo.ask")
     return out.select(
         *events.columns,
+        *more,
         "quote_check",
         F.col("bbo").isNotNull().alias("bbo_valid"),
         bid.alias("bid"),

@@ -18,13 +18,14 @@ from tickloom.schema import DAY
 
 def records(events: DataFrame, cfg: Config) -> DataFrame:
     """Every record with its quote state, class, bin and flags."""
-    seen = quotes.with_bbo(events)
-    return bins.with_flags(bins.with_bins(trades.with_classes(seen, cfg.classification), cfg))
+    seen = quotes.with_bbo(events, _reached=bins.reached(cfg))
+    return bins.with_flags(bins.with_bins(trades.with_classes(seen, cfg.classification), cfg, F.col("_reached")).drop("_reached"))
 
 
-def accepted_trades(events: DataFrame, cfg: Config) -> DataFrame:
-    """The accepted trades with their bin, without what only classification needs."""
-    binned = bins.with_bins(events.select(*DAY, "seq", "ts_recv_ns", "action", "price_nano", "size", "publisher_id"), cfg)
+def accepted_trades(events: DataFrame, cfg: Config, times_in_order: bool = False) -> DataFrame:
+    """The accepted trades with their bin, without what only classification needs. With times in order a trade's own time tells its bin, so that only accepted trades are exchanged."""
+    narrow = events.select(*DAY, "seq", "ts_recv_ns", "action", "price_nano", "size", "publisher_id")
+    binned = bins.with_bins(narrow, cfg, F.col("ts_recv_ns") if times_in_order else None)
     price = F.col("price_nano")
     return binned.where((F.col("action") == "T") & F.col("in_session") & (price > 0) & (price != 2**63 - 1)).select(*DAY, "seq", "ts_recv_ns", "price_nano", "size", "publisher_id", "bin_idx")
 
@@ -34,9 +35,9 @@ def processed_bins(events: DataFrame, cfg: Config, context: DataFrame | None = N
 
     times_in_order=False is for days whose receive times fall now and then: bulk volume is then replayed trade by trade.
     """
-    sums = aggregates.bin_aggregates(aggregates.with_burst(aggregates.with_previous(records(events, cfg)), cfg), cfg)
+    sums = aggregates.bin_aggregates(aggregates.with_previous(records(events, cfg), cfg), cfg)
     grid = bins.emitted(bins.day_grid(sums, cfg), cfg)
-    traded = accepted_trades(events, cfg)
+    traded = accepted_trades(events, cfg, times_in_order)
     keys = [*DAY, "bin_idx"]
     bulk = bvc.with_bvc if times_in_order else bvc.replayed_bvc
     grid = grid.join(bvc.by_bin(bulk(traded, cfg.vpin.sigma_window_minutes)), keys, "left")

@@ -91,7 +91,7 @@ def _features(names: tuple[str, ...], cfg: Config = COARSE):
 
 def bin_signed_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: signed off-exchange flow by bin, straight from the aggregation."""
-    sums = aggregates.bin_aggregates(aggregates.with_previous(_records(spark, sf_dir)), COARSE)
+    sums = aggregates.bin_aggregates(aggregates.with_previous(_records(spark, sf_dir), COARSE), COARSE)
     return sums.select("trade_date", "bin_idx", *[F.col(c).cast("long").alias(c) for c in ("trf_buy_vol", "trf_sell_vol", "trf_unsigned_vol", "retail_vol", "retail_buy_vol", "retail_sell_vol", "lit_vol")], r6((F.col("trf_buy_vol") - F.col("trf_sell_vol")) / F.greatest(F.col("trf_buy_vol") + F.col("trf_sell_vol"), F.lit(1e-8))).alias("trf_signed_imbalance"))
 
 
