@@ -86,3 +86,38 @@ split_dates = ["2024-01-16", "2024-01-20"]
     assert cli.main(["export", "--config", str(config)]) == 0
     found = json.loads((tmp_path / "out/train/SYN_20240116_diagnostics.json").read_text())["summary"]
     assert found["decode_errors"] == 1 and found["decode_truncated"] is False
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="needs the driver's tables")
+def test_export_from_feeds(spark, tmp_path):
+    from tickloom.sources import feed, stores
+
+    events = driver_events(spark, str(DATA)).where("trade_date between '2024-01-16' and '2024-01-17'")
+    for _ in range(2):  # written again, days are replaced
+        feed.write_feed(events, f"file://{tmp_path}/in", 50)
+    assert sorted(p.name for p in (tmp_path / "in").glob("*.feed")) == ["SYN_20240116.feed", "SYN_20240117.feed"]
+    config = tmp_path / "c.toml"
+    config.write_text(
+        f"""
+[input]
+data_dir = "file://{tmp_path}/in"
+filename_pattern = "SYN_{{date}}.feed"
+[sampling]
+bin_size_seconds = 600
+[sequence]
+window_size = 3
+[labeling]
+horizons = [1, 2]
+[dates]
+start_date = "2024-01-16"
+end_date = "2024-01-17"
+[export]
+output_dir = "file://{tmp_path}/out"
+split_dates = ["2024-01-16", "2024-01-20"]
+"""
+    )
+    assert cli.main(["export", "--config", str(config)]) == 0
+    meta = json.loads((tmp_path / "out/train/SYN_20240116_metadata.json").read_text())
+    assert meta["provenance"]["source_file"] == "SYN_20240116.feed" and meta["provenance"]["data_file_sha256"] == stores.sha256_of(f"{tmp_path}/in/SYN_20240116.feed")
+    found = json.loads((tmp_path / "out/train/SYN_20240116_diagnostics.json").read_text())["summary"]
+    assert found["decode_errors"] == 0 and found["total_trade_records"] == meta["n_trade_records"] > 0

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tickloom.config import Config, iso
 from tickloom.operators import calendar, context
 from tickloom.plans import export, manifest, reports
-from tickloom.sources import files, stores
+from tickloom.sources import feed, files, stores
 
 
 def daily(spark: SparkSession, cfg: Config) -> DataFrame:
@@ -28,7 +28,7 @@ def daily(spark: SparkSession, cfg: Config) -> DataFrame:
 
 
 def wanted(spark: SparkSession, cfg: Config, date: str | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame]:
-    """(events, decode counters, (trade_date, path) of the files): the days asked for that have a file; days without one are named on stderr. Only delimited files can hold bad rows, and have counters."""
+    """(events, decode counters, (trade_date, path) of the files): the days asked for that have a file; days without one are named on stderr. Delimited files and feeds can hold bad rows, and have counters."""
     start, end = (date, date) if date else (cfg.dates.start_date, cfg.dates.end_date)
     if date:
         iso(date)
@@ -40,13 +40,16 @@ def wanted(spark: SparkSession, cfg: Config, date: str | None = None) -> tuple[D
     paths = [r.path for r in there.orderBy("trade_date").collect()]
     if not paths:
         raise FileNotFoundError("no day has a file")
-    delimited, other = [p for p in paths if p.endswith(".csv")], [p for p in paths if not p.endswith(".csv")]
+    delimited, feeds = ([p for p in paths if p.endswith(kind)] for kind in (".csv", feed.SUFFIX))
+    other = [p for p in paths if not p.endswith((".csv", feed.SUFFIX))]
     named = lambda df: df.withColumn("symbol", F.coalesce("symbol", F.lit(cfg.input.symbol)))
-    parts, decode = [named(files.read_events(spark, other))] if other else [], None
-    if delimited:
-        good, decode = files.decode_report(named(files.read_tolerant(spark, delimited)))
+    parts, reports = [named(files.read_events(spark, other))] if other else [], []
+    found = [files.decode_report(named(files.read_tolerant(spark, delimited)))] if delimited else []
+    found += [feed.decoded(feed.read_feed(spark, feeds))] if feeds else []
+    for good, report in found:
         parts.append(good)
-    return reduce(DataFrame.unionByName, parts), decode, there.select("trade_date", "path")
+        reports.append(report)
+    return reduce(DataFrame.unionByName, parts), reduce(DataFrame.unionByName, reports) if reports else None, there.select("trade_date", "path")
 
 
 def printed(rows: DataFrame) -> None:

@@ -108,7 +108,7 @@ class Files(WriterCommitMessage):
 
 
 class Feed(DataSource):
-    """Options: path; split, the bytes that a task reads."""
+    """Options: path, a folder, a file or several as a JSON list; split, the bytes that a task reads; frame, the records of a frame."""
 
     @classmethod
     def name(cls) -> str:
@@ -130,15 +130,20 @@ class FeedReader(DataSourceReader):
 
     def partitions(self) -> list[Part]:
         """Byte ranges by the files' sizes; no file is opened here."""
-        store, base = opened(self.path)
-        found = sorted((f.path, f.size) for f in store.get_file_info(fs.FileSelector(base)) if f.path.endswith(SUFFIX))
-        return [Part(p, at, at + self.split) for p, size in found for at in range(0, size, self.split)] or [Part("", 0, 0)]
+        found: list[tuple[str, int]] = []
+        for uri in json.loads(self.path) if self.path.startswith("[") else [self.path]:
+            store, base = opened(uri)
+            at = store.get_file_info(base)
+            inside = store.get_file_info(fs.FileSelector(base)) if at.type == fs.FileType.Directory else [at]
+            top = uri.rstrip("/") if at.type == fs.FileType.Directory else uri.rstrip("/").rpartition("/")[0]
+            found += [(f"{top}/{f.base_name}", f.size) for f in inside if f.path.endswith(SUFFIX)]
+        return [Part(p, at, at + self.split) for p, size in sorted(found) for at in range(0, size, self.split)] or [Part("", 0, 0)]
 
     def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return
-        store, _ = opened(self.path)
-        with store.open_input_file(partition.path) as f:
+        store, path = opened(partition.path)
+        with store.open_input_file(path) as f:
             size = f.size()
             head = f.read_at(8, 0)
             about = json.loads(f.read_at(struct.unpack("<I", head[4:])[0], 8))
@@ -177,7 +182,7 @@ class FeedReader(DataSourceReader):
 
 
 class FeedWriter(DataSourceArrowWriter):
-    """Rows have to come by DAY, in order of seq: a file is written as its rows come and closed when the next day's begin."""
+    """Rows have to come by DAY, in order of seq: a file is written as its rows come and closed when the next day's begin. A day that is there already is replaced."""
 
     def __init__(self, path: str, frame: int):
         self.path, self.per_frame = path, frame
@@ -216,7 +221,7 @@ class FeedWriter(DataSourceArrowWriter):
     def commit(self, messages: list[Files | None]) -> None:
         store, _ = opened(self.path)
         for name in (n for m in messages if m for n in m.names):
-            store.move(f"{name}.tmp", f"{name}{SUFFIX}")
+            store.move(f"{name}.tmp", f"{name.rpartition('-')[0]}{SUFFIX}")
 
     def abort(self, messages: list[Files | None]) -> None:
         store, base = opened(self.path)
@@ -232,9 +237,10 @@ def write_feed(events: DataFrame, path: str, frame: int = FRAME) -> None:
     placed.write.format(FORMAT).mode("append").option("path", path).option("frame", str(frame)).save()
 
 
-def read_feed(spark: SparkSession, path: str, split: int = SPLIT) -> DataFrame:
-    """All records of all feed files below path, bad ones too."""
+def read_feed(spark: SparkSession, path: str | list[str], split: int = SPLIT) -> DataFrame:
+    """All records of a feed file, of all in a folder, or of several of either; bad ones too."""
     spark.dataSource.register(Feed)
+    path = path if isinstance(path, str) else json.dumps(path)
     return spark.read.format(FORMAT).option("path", path).option("split", str(split)).load()
 
 
