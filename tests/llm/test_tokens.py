@@ -1,5 +1,7 @@
 """Token counts against the tokenizer itself."""
 
+import json
+import zlib
 from pathlib import Path
 
 import public_tokenizers
@@ -62,6 +64,13 @@ def test_nulls_repeats_limits_and_clashing_columns(spark):
     assert tokens.token_counts(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_table_counts_the_whole_corpus(spark):
+    texts = [" ".join(f"once{k}x{d}" for k in range(50)) for d in range(20)] + ["zulu " * 30]
+    docs = spark.createDataFrame([(t.encode(),) for t in texts], "text binary").repartitionByRange(4, "text")  # the frequent word is in the last partition
+    names, sizes = json.loads(zlib.decompress(tokens.frequent(docs, PATH, most=10)))
+    assert dict(zip(names, sizes, strict=True)) == {"zulu": want(" zulu")}
+
+
 def test_no_shuffle(spark, capsys):
     tokens.token_counts(spark.createDataFrame([(1, "a b c")], "doc_id long, text string")).explain()
     assert "Exchange" not in capsys.readouterr().out

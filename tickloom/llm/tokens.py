@@ -3,12 +3,11 @@
 A text is cut before every space that something other than white space follows. The tokenizer's own pre-tokens never reach over
 such a place and what it does on one side doesn't depend on the other, so a text's count is the sum of its pieces' lengths. A piece
 is mostly one pre-token, or one with its punctuation. The first tier is a compact table of frequent pieces with their lengths,
-broadcast once. What it lacks is encoded, once a worker, and remembered for the worker's later batches and tasks. Documents are
-read in one scan and nothing about pieces is shuffled.
+broadcast once. What it lacks is encoded, once a worker, and remembered for the worker's later batches and tasks.
 
-The table only saves time, counts don't depend on it: it comes from the first partitions Spark takes, each of which reads at most
-SEED_BYTES, until TABLE entries are there. TABLE and ENTRY_CHARS bound it to some megabytes, REMEMBERED bounds what a worker adds,
-whatever the corpus.
+The table is counted over the whole texts of all rows: Spark sums up what stands between spaces and keeps the words above a count that
+at most TABLE of them reach. A second scan gives the rows' counts. TABLE and ENTRY_CHARS bound the table to some megabytes, REMEMBERED
+bounds what a worker adds, whatever the corpus.
 
 Added tokens' strings in a text are one token each, as the tokenizer has it by default.
 
@@ -18,11 +17,9 @@ are not UTF-8 count as replacement characters. An empty table gives an empty tab
 
 from __future__ import annotations
 
-import itertools
 import json
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,12 +29,14 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import batch_of, mapped, own_columns, table, utf8
+from tickloom.llm.common import batch_of, mapped, own_columns, table, utf8, written
 from tickloom.llm.packing import encoder
 
 LIMIT = 512
-#: Entries of the broadcast table, the longest piece in it or in a cache, and what a partition reads for it.
-TABLE, ENTRY_CHARS, SEED_BYTES = 1 << 16, 40, 4 << 20
+#: Entries of the broadcast table, and the longest piece in it or in a cache.
+TABLE, ENTRY_CHARS = 1 << 16, 40
+#: Steps for each doubling of a piece's count, by which the table's least count is found.
+STEPS = 8
 #: Pieces a worker remembers beside the table, and characters of a text that are cut at once.
 REMEMBERED, SLICE = 1 << 20, 1 << 22
 #: White space as Python has it holds all that the tokenizer's pattern has, so a cut is never within a run of it.
@@ -100,31 +99,32 @@ def worker(path: str, packed: bytes) -> Lengths:
 
 
 def frequent(texts: DataFrame, tokenizer: str, most: int = TABLE) -> bytes:
-    """The broadcast table, packed: the most frequent short pieces of the partitions that Spark takes first, and their lengths."""
+    """The broadcast table, packed: the most frequent short words of all texts, at most so many, and their lengths."""
+    words = texts.select(F.explode(F.split(F.col("text").cast("string"), " ")).alias("piece")).where(F.length("piece").between(1, ENTRY_CHARS))
+    counted = words.groupBy("piece").agg(F.count("*").alias("n")).where("n > 1")
+    counted = written(counted.select(F.col("piece").cast("binary").alias("piece"), "n", F.floor(F.log2(F.col("n").cast("double")) * STEPS).cast("int").alias("level")), "words")
+    least, held = None, 0
+    for level, n in sorted(counted.groupBy("level").count().collect(), reverse=True):  # a row a level, of which there are 64 * STEPS
+        held += n
+        if held > most:
+            break
+        least = level
+    if least is None:
+        return zlib.compress(json.dumps([[], []]).encode())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, left, encode = Counter(), SEED_BYTES, encoder(tokenizer)
-        for text in itertools.chain.from_iterable(b.column("text") for b in batches):
-            for cut, words in pieces(text.as_py().decode("utf-8", "replace")):
-                counts.update(words if cut else words[1:])
-                left -= sum(map(len, words))
-                if left <= 0:
-                    break
-            if left <= 0:
-                break
-        top = [(w, n) for w, n in counts.most_common(most) if len(w) <= ENTRY_CHARS]
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64()), pa.array([len(encode(" " + w)) for w, _ in top], pa.int64())], names=["piece", "n", "tokens"])
-
-    rows = mapped(texts, run, "piece string, n long, tokens long").take(most)  # at most `most` short rows; take() runs no more partitions than it needs
-    found: dict[str, list[int]] = {}
-    for r in rows:
-        found.setdefault(r.piece, [0, r.tokens])[0] += r.n
-    names = sorted(found, key=lambda w: (-found[w][0], w))
-    return zlib.compress(json.dumps([names, [found[w][1] for w in names]]).encode())
+        encode = encoder(tokenizer)
+        for batch in batches:
+            names = [w.as_py().decode("utf-8", "replace") for w in batch.column("piece")]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), batch.column("n"), pa.array([len(encode(" " + w)) for w in names], pa.int64())], names=["piece", "n", "tokens"])
+
+    rows = mapped(counted.where(F.col("level") >= least).select("piece", "n"), run, "piece string, n long, tokens long").collect()  # at most `most` short rows
+    rows.sort(key=lambda r: (-r.n, r.piece))
+    return zlib.compress(json.dumps([[r.piece for r in rows], [r.tokens for r in rows]]).encode())
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, limit: int = LIMIT) -> DataFrame:
-    """(id, n_bytes, n_tokens, over_limit) of every row, in one scan."""
+    """(id, n_bytes, n_tokens, over_limit) of every row."""
     tokenizer = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     rows = own_columns(docs, id_col, text_col).select(F.col(f"`{id_col}`").cast("long").alias("id"), utf8(text_col).alias("text"))
     packed = docs.sparkSession.sparkContext.broadcast(frequent(rows.select("text"), tokenizer))
