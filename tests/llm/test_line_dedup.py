@@ -64,6 +64,21 @@ def test_query_and_cleaned_text(spark, tmp_path):
         assert again[i] == kept
 
 
+def test_a_frequent_token_brings_no_chance_pairs_together(spark, monkeypatch):
+    """Lines that share one frequent token alone are told apart by their second ones; near copies and sets of one token are found."""
+    seen = []
+    of_chunks = ld._of_chunks
+    monkeypatch.setattr(ld, "_of_chunks", lambda rows, *rest: seen.append(rows.count()) or of_chunks(rows, *rest))
+    w = spark.range(20000).selectExpr("concat('w', id) AS w").selectExpr("w", "shiftrightunsigned(xxhash64(w), 8) AS h").orderBy("h").first().w  # first in every prefix
+    rows = [(d, f"{w} a{d} b{d} c{d} d{d} e{d} f{d}\n{w} a{d} b{d} c{d} d{d} e{d} f{d} g{d}") for d in range(40)] + [(90, "lone\nlone lone\nLone lone lone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(ld, "ranks", lambda classes: bytes([60]) * ld.BUCKETS)
+    got = {(r.id, r.line): (r.removed, r.links) for r in ld.dedup_lines(docs, rare=8).collect()}
+    want, _, _ = brute(rows)
+    assert {(i, k): v for (_, i, k), v in want.items() if v != (False, 0)} == {p: v for p, v in got.items() if v != (False, 0)}
+    assert not seen
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ld.dedup_lines(docs).count() == 0

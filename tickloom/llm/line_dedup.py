@@ -12,16 +12,18 @@ are joined at a Jaccard similarity of at least num/den:
 - positional filter: what a pair shares in its prefixes and the tokens left behind the last of that must be able to reach the overlap needed;
 - the rest is verified on the whole sets.
 
-Each entry also carries a signature, one bit of 64 for each token of every second kind: a bit that only one of two sets has
+Each entry also carries a signature, one bit of 128 for each token: a bit that only one of two sets has
 is a token that only it has, which bounds their overlap before any set is fetched.
 
 Tokens in the prefix of at most RARE classes are joined on the token, the larger sets' whole prefixes with the smaller
-ones' short ones. The rank bounds how often a token occurs, so only those whose bound is higher are counted. More
-frequent ones are cut by the sets' sizes into bands, of which only neighbouring ones can be similar, and these into chunks of CHUNK
-classes; every two such chunks of a token meet in one row, which verifies
-inside its arrays and gives sums by class. Two classes with the same token before it have met there, which is seen first, so that
-copies with small changes, which share most of their tokens, are compared in full about once. So no row is ever made for each pair of a large group,
-no group is gathered beyond a chunk, and no pair is lost. A pair is counted once, at its first common token.
+ones' short ones. The rank bounds how often a token occurs, so only those whose bound is higher are counted. Of more
+frequent ones, those that chance brings together are told from groups of near copies by the next common token, which lies in both
+prefixes too: pairs of tokens are joined in the same way. Pairs in more than RARE classes again are cut by the sets' sizes into bands, of which only
+neighbouring ones can be similar, and these into chunks of CHUNK classes; every two such chunks of a pair meet in one row, which verifies
+inside its arrays and gives sums by class. Two classes with the same token before one of the pair have met there, which is seen first, so that
+copies with small changes, which share most of their tokens, are compared in full about once, and chunks with the same usual token before
+don't meet at all. So no row is ever made for each pair of a large group,
+no group is gathered beyond a chunk, and no pair is lost. A pair is counted once, at its first common token or tokens.
 
 A line stays if it is its class's first occurrence (by document, then line) and no similar class occurs
 before it.
@@ -47,8 +49,8 @@ NUM, DEN = 4, 5
 BUCKETS, RARE, CHUNK = 1 << 18, 512, 128
 #: Hash buckets of the keys that are wanted, of which a broadcast holds no more.
 LIKELY = 1 << 20
-#: Tokens are joined in so many parts, one after the other, which bounds the disk that they take.
-PARTS = 3
+#: Tokens are joined in so many parts at least, one after the other, and of so many prefix tokens at most, which bounds the disk that they take.
+PARTS, PART = 3, 1 << 24
 #: Tokens that a pair must share in its prefixes, or all it needs if that's less. One more makes prefixes one longer, and rules out most pairs that meet by chance.
 SHARED = 2
 #: Ranks for each doubling of a bucket's count.
@@ -103,8 +105,8 @@ def _tokens(hashes: Column, ranked: bytes) -> Column:
     return F.sort_array(F.transform(hashes, lambda h: F.coalesce(F.shiftleft(rank(h), 56).bitwiseOR(F.shiftrightunsigned(h, 8)), F.lit(0).cast("long"))))
 
 
-def _signature(tokens: Column) -> Column:
-    half = F.filter(tokens, lambda t: t.bitwiseAND(64) == 0)
+def _signature(tokens: Column, kind: int) -> Column:
+    half = F.filter(tokens, lambda t: t.bitwiseAND(64) == kind)
     return F.aggregate(half, F.lit(0).cast("long"), lambda s, t: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))))
 
 
@@ -127,7 +129,8 @@ class _Filters:
     def may(self, x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
         """Whether entries x and y, of which x has the larger set, can be of a similar pair; each gives its n, i and sig."""
         enough = lambda overlap: overlap * (self.num + self.den) >= (x("n") + y("n")) * self.num
-        lacks = lambda a, b: F.bit_count(a("sig").bitwiseAND(F.bitwise_not(b("sig"))))
+        only = lambda a, b, sig: F.bit_count(a(sig).bitwiseAND(F.bitwise_not(b(sig))))
+        lacks = lambda a, b: only(a, b, "sig") + only(a, b, "sig2")
         return (y("n") * self.den >= x("n") * self.num) & (y("i") < self.indexed(y("n"))) & enough(x("n") - lacks(x, y)) & enough(y("n") - lacks(y, x))
 
     def first(self, x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
@@ -149,51 +152,82 @@ def _likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
 
 
 def _entries(sets: DataFrame) -> DataFrame:
-    """A row for each token in the prefix of each set, with the token before it, prev, or a number of the class's own. A token of rank 0 is in no other class."""
-    before = F.coalesce(F.when(F.col("i") > 0, F.get("prefix", F.col("i") - 1)), -F.col("cid") - 1)
-    return sets.select("cid", "n", "sig", "prefix", F.posexplode_outer("prefix").alias("i", "token")).where(F.col("token") >= 1 << 56).select("cid", "n", "sig", "i", "token", before.alias("prev"))
+    """A row for each token in the prefix of each set. A token of rank 0 is in no other class."""
+    return sets.select("cid", "n", "sig", "sig2", "prefix", F.posexplode("prefix").alias("i", "token")).where(F.col("token") >= 1 << 56)
 
 
-def _parts(df: DataFrame, key: str) -> list[DataFrame]:
-    return [df.where(F.pmod(F.xxhash64(key), F.lit(PARTS)) == k) for k in range(PARTS)]
+def _part(df: DataFrame, key: str, k: int, parts: int) -> DataFrame:
+    return df.where(F.pmod(F.xxhash64(key), F.lit(parts)) == k)
+
+
+def _frequent(entries: DataFrame, frequent: DataFrame) -> DataFrame:
+    """The entries of frequent tokens."""
+    return entries.join(frequent, "token", "left_semi")
+
+
+def _doubles(entries: DataFrame) -> DataFrame:
+    """A row for each token after an entry's own in the same prefix, second, at i2; a set of one token has 0 for it.
+
+    prev and prev2 are the tokens before token and before second, as far as they are others than these, or else a number of the class's own.
+    """
+    none = -F.col("cid") - 1
+    rest = entries.withColumn("prev", F.when(F.col("i") > 0, F.get("prefix", F.col("i") - 1)).otherwise(none)).withColumn("rest", F.expr("slice(prefix, i + 2, size(prefix))"))
+    seconds = rest.select("cid", "n", "sig", "sig2", "i", "token", "prev", "rest", F.posexplode_outer("rest").alias("j", "second")).where("second is not null or n = 1")
+    prev2 = F.when(F.col("j") > 0, F.get("rest", F.col("j") - 1)).otherwise(none)
+    return seconds.select("cid", "n", "sig", "sig2", "i", (F.col("i") + 1 + F.coalesce("j", F.lit(0))).alias("i2"), "token", F.coalesce("second", F.lit(0).cast("long")).alias("second"), "prev", prev2.alias("prev2"))
 
 
 def _total(found: DataFrame) -> DataFrame:
     return found.groupBy("cid").agg(F.sum("links").alias("links"), F.min("earliest").alias("earliest"))
 
 
+def _at(common: Column, token: Column, second: Column | None = None) -> Column:
+    """Whether token, and second after it, are the first that a pair has in common."""
+    first = F.get(common, F.lit(0)) == token
+    return first if second is None else first & (F.coalesce(F.get(common, F.lit(1)), F.lit(0).cast("long")) == second)
+
+
 def _of_pairs(pairs: DataFrame, known: DataFrame, f: _Filters) -> DataFrame:
-    """(cid, links, earliest) of verified pairs (cid, other, token), of which each counts at its first common token only."""
+    """(cid, links, earliest) of verified pairs (cid, other, token), with second or without, of which each counts at its first common tokens only."""
     n, m, common = F.size("tokens"), F.size("other_tokens"), F.array_intersect("tokens", "other_tokens")
     others = known.select(F.col("cid").alias("other"), F.col("first").alias("other_first"), F.col("tokens").alias("other_tokens"))
     both = pairs.join(known, "cid").join(others, "other")
+    second = F.col("second") if "second" in pairs.columns else None
     # One condition over one intersection, which a filter over a column of it would compute again for each use.
-    found = both.where(F.exists(F.array(common), lambda c: f.similar(n, m, F.size(c)) & (F.get(c, F.lit(0)) == F.col("token"))))
+    found = both.where(F.exists(F.array(common), lambda c: f.similar(n, m, F.size(c)) & _at(c, F.col("token"), second)))
     ends = F.array(F.struct("cid", F.col("other_first").alias("earliest")), F.struct(F.col("other").alias("cid"), F.col("first").alias("earliest")))
     return _total(found.select(F.explode(ends).alias("e")).select("e.cid", F.lit(1).cast("long").alias("links"), "e.earliest"))
 
 
-def _of_chunks(entries: DataFrame, known: DataFrame, f: _Filters, chunk: int) -> DataFrame:
-    """(cid, links, earliest) of what is similar within frequent tokens; entries: token, cid, n, i, sig, prev."""
-    banded = entries.withColumn("band", f.band(F.col("n")))
-    counts = banded.groupBy("token", "band").agg(F.count("*").alias("c"))
-    placed = banded.join(counts, ["token", "band"]).withColumn("k", F.pmod(F.xxhash64("cid"), F.ceil(F.col("c") / chunk)))
-    packed = placed.join(known, "cid").groupBy("token", "band", "k").agg(F.collect_list(F.struct("cid", "n", "i", "sig", "prev", "first", "tokens")).alias("members"))
+def _of_chunks(doubles: DataFrame, known: DataFrame, f: _Filters, chunk: int) -> DataFrame:
+    """(cid, links, earliest) of what is similar within frequent pairs of tokens.
+
+    Classes with the same prev or the same prev2 share an earlier token and are not compared here. So those with a key's most common prev
+    never meet each other, nor do those with its most common prev2, which leaves little to compare in a group of near copies.
+    """
+    key, kind = ["token", "second"], ["usual", "usual2", "band"]
+    counts = [doubles.groupBy(*key, c).agg(F.count("*").alias("c")).groupBy(*key).agg(F.max("c").alias(f"{c}_c"), F.max_by(c, F.struct("c", c)).alias(f"{c}_most")) for c in ("prev", "prev2")]
+    usual = [(F.col(c) == F.col(f"{c}_most")).alias(u) for c, u in (("prev", "usual"), ("prev2", "usual2"))]
+    banded = doubles.join(counts[0].join(counts[1], key), key).select(*doubles.columns, *usual, f.band(F.col("n")).alias("band"))
+    sizes = banded.groupBy(*key, *kind).agg(F.count("*").alias("c"))
+    placed = banded.join(sizes, [*key, *kind]).withColumn("k", F.pmod(F.xxhash64("cid"), F.ceil(F.col("c") / chunk)))
+    packed = placed.join(known, "cid").groupBy(*key, *kind, "k").agg(F.collect_list(F.struct("cid", "n", "i", "sig", "sig2", "prev", "prev2", "first", "tokens")).alias("members"))
 
     def matches(x: Column) -> Column:
         def match(y: Column) -> Column:
             larger = (x.n > y.n) | ((x.n == y.n) & (x.cid > y.cid))
             may = F.when(larger, f.may(x.getField, y.getField)).otherwise(f.may(y.getField, x.getField))
-            held = lambda common: (F.get(common, F.lit(0)) == F.col("token")) & f.similar(x.n, y.n, F.size(common))
-            return F.when((x.prev != y.prev) & (x.cid != y.cid) & f.first(x.getField, y.getField) & may, F.exists(F.array(F.array_intersect(x.tokens, y.tokens)), held)).otherwise(False)
+            held = lambda common: _at(common, F.col("token"), F.col("second")) & f.similar(x.n, y.n, F.size(common))
+            return F.when((x.prev != y.prev) & (x.prev2 != y.prev2) & (x.cid != y.cid) & f.first(x.getField, y.getField) & may, F.exists(F.array(F.array_intersect(x.tokens, y.tokens)), held)).otherwise(False)
 
         return F.filter("ys", match)
 
     def summed(x: Column) -> Column:
         return F.transform(F.array(matches(x)), lambda ys: F.struct(x.cid.alias("cid"), F.size(ys).cast("long").alias("links"), F.array_min(F.transform(ys, lambda y: y.first)).alias("earliest")))[0]
 
-    left, right = packed.select("token", F.col("band").alias("x_band"), F.col("members").alias("xs")), packed.select("token", F.col("band").alias("y_band"), F.col("members").alias("ys"))
-    met = left.hint("merge").join(right, "token").where(F.abs(F.col("x_band") - F.col("y_band")) <= 1)
+    left, right = (packed.select(*key, F.struct(*kind).alias(c), F.col("members").alias(f"{c}s")) for c in "xy")
+    meet = (F.abs(F.col("x.band") - F.col("y.band")) <= 1) & ~(F.col("x.usual") & F.col("y.usual")) & ~(F.col("x.usual2") & F.col("y.usual2"))
+    met = left.hint("merge").join(right, key).where(meet)
     return _total(met.select(F.explode(F.filter(F.transform("xs", summed), lambda s: s.links > 0)).alias("s")).select("s.cid", "s.links", "s.earliest"))
 
 
@@ -203,38 +237,54 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
     ranked = ranks(classes)
     sets = classes.select("cid", _tokens(col("hashes"), ranked).alias("tokens"))
     size = F.size("tokens")
-    sets = written(sets.select("cid", size.alias("n"), _signature(col("tokens")).alias("sig"), F.slice("tokens", F.lit(1), f.prefix(size)).alias("prefix")), "prefixes", "lz4")
+    sets = sets.select("cid", size.alias("n"), _signature(col("tokens"), 0).alias("sig"), _signature(col("tokens"), 64).alias("sig2"), F.slice("tokens", F.lit(1), f.prefix(size)).alias("prefix"))
+    sets = written(sets, "prefixes", "lz4")
+    parts = max(PARTS, -(-(sets.agg(F.sum(F.size("prefix"))).first()[0] or 0) // PART))
     entries = _entries(sets)
 
     # Frequent tokens are few, as prefixes hold the rarest ones; only those whose rank doesn't rule it out are counted.
     doubtful = entries.where(bound(col("token")) > rare)
     frequent = written(doubtful.groupBy("token").agg(F.count("*").alias("c")).where(col("c") > rare).select("token"), "counts")
     some = not frequent.isEmpty()
-    hot = written(doubtful.join(frequent, "token"), "frequent") if some else None
-    cold = (entries.join(frequent, "token", "left_anti") if some else entries).drop("prev")
     larger = (col("x.n") > col("y.n")) | ((col("x.n") == col("y.n")) & (col("x.cid") > col("y.cid")))
     may = larger & f.may(lambda c: col(f"x.{c}"), lambda c: col(f"y.{c}"))
 
-    def met(part: DataFrame) -> DataFrame:
+    def met(k: int) -> DataFrame:
+        part = _part(entries.drop("prefix"), "token", k, parts)
+        part = part.join(frequent, "token", "left_anti") if some else part
         both = part.alias("x").hint("merge").join(part.alias("y"), (col("x.token") == col("y.token")) & may)
         return both.groupBy(col("x.cid").alias("cid"), col("y.cid").alias("other")).agg(F.min("x.token").alias("token"), F.count("*").alias("shared"), *[F.max(c).alias(c.replace(".", "_")) for c in ("x.n", "x.i", "y.n", "y.i")])
 
     # Each part is written by itself, so that its shuffle files are gone before the next one's are made.
-    found = reduce(DataFrame.unionAll, [written(met(part), "met") for part in _parts(cold, "token")])
+    found = reduce(DataFrame.unionAll, [written(met(k), "met") for k in range(parts)])
     pairs = found.groupBy("cid", "other").agg(F.min("token").alias("token"), F.sum("shared").alias("shared"), *[F.max(c).alias(c) for c in ("x_n", "x_i", "y_n", "y_i")])
     need = f.need(col("x_n") + col("y_n"))
     enough = (col("shared") >= F.least(F.lit(SHARED), need)) & (col("shared") + F.least(col("x_n") - col("x_i"), col("y_n") - col("y_i")) - 1 >= need)
     if some:  # frequent tokens are not among those that were counted
-        pairs = pairs.join(hot.select(col("cid").alias("hot")).distinct(), col("cid") == col("hot"), "left").where(enough | col("hot").isNotNull())
+        ids = written(_frequent(doubtful, frequent).select("cid").distinct(), "hot")
+        hot, hot_sets = ids.select(col("cid").alias("hot")), written(_likely(sets, "cid", ids).join(ids, "cid", "left_semi"), "hot", "lz4")
+        pairs = pairs.join(hot, col("cid") == col("hot"), "left").where(enough | col("hot").isNotNull())
     else:
         pairs = pairs.where(enough)
     pairs = written(pairs.select("cid", "other", "token"), "pairs")
+
+    # A pair whose first common token is frequent has a second one in both prefixes, or is of sets of one token.
+    cold, often = [], []
+    for k in range(parts if some else 0):
+        doubles = _doubles(_frequent(_part(_entries(hot_sets), "token", k, parts), frequent))
+        both = written(doubles.groupBy("token", "second").agg(F.count("*").alias("c")).where(col("c") > rare).select("token", "second"), "counts")
+        often.append(written(doubles.join(both, ["token", "second"]), "frequent"))
+        rest = doubles.join(both, ["token", "second"], "left_anti")
+        once = (col("x.prev") != col("y.prev")) & (col("x.prev2") != col("y.prev2")) & f.first(lambda c: col(f"x.{c}"), lambda c: col(f"y.{c}"))
+        within = col("y.i2") < F.greatest(F.lit(2), f.indexed(col("y.n")))
+        joined = rest.alias("x").hint("merge").join(rest.alias("y"), (col("x.token") == col("y.token")) & (col("x.second") == col("y.second")) & may & within & once)
+        cold.append(written(joined.select(col("x.cid").alias("cid"), col("y.cid").alias("other"), "x.token", "x.second"), "pairs"))
     discard(sets)
 
-    wanted = pairs.select(F.explode(F.array("cid", "other")).alias("cid"))
-    wanted = (wanted.unionAll(hot.select("cid")) if some else wanted).distinct()
+    ends = [t.select(F.explode(F.array("cid", "other")).alias("cid")) for t in [pairs, *cold]] + [t.select("cid") for t in often]
+    wanted = reduce(DataFrame.unionAll, ends).distinct()
     known = written(_likely(classes, "cid", wanted).join(wanted, "cid", "left_semi").select("cid", "first", _tokens(col("hashes"), ranked).alias("tokens")), "sets", "lz4")
-    matched = [_of_pairs(pairs, known, f)] + ([_of_chunks(part, known, f, chunk) for part in _parts(hot, "token")] if some else [])
+    matched = [_of_pairs(pairs, known, f), *[_of_pairs(t, known, f) for t in cold], *[_of_chunks(t, known, f, chunk) for t in often if not t.isEmpty()]]
     return _total(reduce(DataFrame.unionAll, [written(x, "matched") for x in matched]))
 
 
