@@ -79,6 +79,28 @@ def test_a_frequent_token_brings_no_chance_pairs_together(spark, monkeypatch):
     assert not seen
 
 
+def test_near_copies_are_compared_in_one_part_by_what_they_change(spark, monkeypatch):
+    """A small table's frequent pairs of tokens are compared at once, and no chunk holds whole sets: a chunk's entry grows with what a line changes, not with the line."""
+    runs, packed = [], []
+    of_chunks, keep = ld._of_chunks, ld.written
+    monkeypatch.setattr(ld, "_of_chunks", lambda *a: runs.append(1) or of_chunks(*a))
+
+    def kept(df, name, *codec):
+        out = keep(df, name, *codec)
+        packed.extend([out] if name == "packed" else [])
+        return out
+
+    monkeypatch.setattr(ld, "written", kept)
+    base = [f"v{k}" for k in range(60)]
+    rows = [(d, " ".join(f"u{d}" if k == d % 60 else w for k, w in enumerate(base)) + (f" t{d}" if d % 3 else "")) for d in range(90)]
+    got = {(r.id, r.line): (r.removed, r.links) for r in ld.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), rare=8, chunk=16).collect()}
+    want, _, _ = brute(rows)
+    assert {(i, k): v for (_, i, k), v in want.items() if v != (False, 0)} == {p: v for p, v in got.items() if v != (False, 0)}
+    assert len(runs) == 1 and packed
+    sizes = packed[0].selectExpr("explode(members) AS m").selectExpr("max(size(m.lacks) + size(m.adds)) AS s", "max(size(m.before)) AS b").first()
+    assert sizes.s <= 6 and sizes.b < 20
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ld.dedup_lines(docs).count() == 0

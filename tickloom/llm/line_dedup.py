@@ -19,8 +19,8 @@ Tokens in the prefix of at most RARE classes are joined on the token, the larger
 ones' short ones. The rank bounds how often a token occurs, so only those whose bound is higher are counted. Of more
 frequent ones, those that chance brings together are told from groups of near copies by the next common token, which lies in both
 prefixes too: pairs of tokens are joined in the same way. Pairs in more than RARE classes again are cut by the sets' sizes into bands, of which only
-neighbouring ones can be similar, and these into chunks of CHUNK classes; every two such chunks of a pair meet in one row, which verifies
-inside its arrays and gives sums by class. Two classes with the same token before one of the pair have met there, which is seen first, so that
+neighbouring ones can be similar, and these into chunks of CHUNK classes, whose sets are told by what they lack and add against one of the
+classes; every two such chunks of a pair meet in one row, which verifies inside its arrays and gives sums by class. Two classes with the same token before one of the pair have met there, which is seen first, so that
 copies with small changes, which share most of their tokens, are compared in full about once, and chunks with the same usual token before
 don't meet at all. So no row is ever made for each pair of a large group,
 no group is gathered beyond a chunk, and no pair is lost. A pair is counted once, at its first common token or tokens.
@@ -181,20 +181,14 @@ def _total(found: DataFrame) -> DataFrame:
     return found.groupBy("cid").agg(F.sum("links").alias("links"), F.min("earliest").alias("earliest"))
 
 
-def _at(common: Column, token: Column, second: Column | None = None) -> Column:
-    """Whether token, and second after it, are the first that a pair has in common."""
-    first = F.get(common, F.lit(0)) == token
-    return first if second is None else first & (F.coalesce(F.get(common, F.lit(1)), F.lit(0).cast("long")) == second)
-
-
 def _of_pairs(pairs: DataFrame, known: DataFrame, f: _Filters) -> DataFrame:
-    """(cid, links, earliest) of verified pairs (cid, other, token), with second or without, of which each counts at its first common tokens only."""
+    """(cid, links, earliest) of verified pairs (cid, other, token, second), of which each counts at its first common tokens only; a null second is not asked for."""
     n, m, common = F.size("tokens"), F.size("other_tokens"), F.array_intersect("tokens", "other_tokens")
     others = known.select(F.col("cid").alias("other"), F.col("first").alias("other_first"), F.col("tokens").alias("other_tokens"))
     both = pairs.join(known, "cid").join(others, "other")
-    second = F.col("second") if "second" in pairs.columns else None
+    at = lambda c: (F.get(c, F.lit(0)) == F.col("token")) & (F.col("second").isNull() | (F.coalesce(F.get(c, F.lit(1)), F.lit(0).cast("long")) == F.col("second")))
     # One condition over one intersection, which a filter over a column of it would compute again for each use.
-    found = both.where(F.exists(F.array(common), lambda c: f.similar(n, m, F.size(c)) & _at(c, F.col("token"), second)))
+    found = both.where(F.exists(F.array(common), lambda c: f.similar(n, m, F.size(c)) & at(c)))
     ends = F.array(F.struct("cid", F.col("other_first").alias("earliest")), F.struct(F.col("other").alias("cid"), F.col("first").alias("earliest")))
     return _total(found.select(F.explode(ends).alias("e")).select("e.cid", F.lit(1).cast("long").alias("links"), "e.earliest"))
 
@@ -204,30 +198,41 @@ def _of_chunks(doubles: DataFrame, known: DataFrame, f: _Filters, chunk: int) ->
 
     Classes with the same prev or the same prev2 share an earlier token and are not compared here. So those with a key's most common prev
     never meet each other, nor do those with its most common prev2, which leaves little to compare in a group of near copies.
+    A set is told by what it lacks and adds against one class of its key, the base: near copies' overlaps are counted on a few tokens, not on whole sets.
     """
     key, kind = ["token", "second"], ["usual", "usual2", "band"]
-    counts = [doubles.groupBy(*key, c).agg(F.count("*").alias("c")).groupBy(*key).agg(F.max("c").alias(f"{c}_c"), F.max_by(c, F.struct("c", c)).alias(f"{c}_most")) for c in ("prev", "prev2")]
+    counts = [doubles.groupBy(*key, c).agg(F.count("*").alias("c"), F.min("cid").alias("base")).groupBy(*key).agg(F.sum("c").alias("all"), F.min("base").alias("base"), F.max_by(c, F.struct("c", c)).alias(f"{c}_most")) for c in ("prev", "prev2")]
+    # A key's chunks are spread over so many tasks, each of which meets all of them with its share.
+    spread = F.ceil(F.sqrt(F.col("all") / chunk)).cast("int").alias("spread")
+    keys = counts[0].join(counts[1].drop("all", "base"), key).join(known.select(F.col("cid").alias("base"), F.col("tokens").alias("base_tokens")), "base").select(*key, "prev_most", "prev2_most", spread, "base_tokens")
+    keys = written(keys, "keys", "lz4")
     usual = [(F.col(c) == F.col(f"{c}_most")).alias(u) for c, u in (("prev", "usual"), ("prev2", "usual2"))]
-    banded = doubles.join(counts[0].join(counts[1], key), key).select(*doubles.columns, *usual, f.band(F.col("n")).alias("band"))
-    sizes = banded.groupBy(*key, *kind).agg(F.count("*").alias("c"))
+    banded = doubles.join(keys.drop("base_tokens", "spread"), key).select(*doubles.columns, *usual, f.band(F.col("n")).alias("band"))
+    sizes = banded.groupBy(*key, *kind).agg(F.count("*").alias("c")).join(keys.drop("prev_most", "prev2_most"), key)
     placed = banded.join(sizes, [*key, *kind]).withColumn("k", F.pmod(F.xxhash64("cid"), F.ceil(F.col("c") / chunk)))
-    packed = placed.join(known, "cid").groupBy(*key, *kind, "k").agg(F.collect_list(F.struct("cid", "n", "i", "sig", "sig2", "prev", "prev2", "first", "tokens")).alias("members"))
+    before = F.array_except(F.slice("tokens", F.lit(1), F.col("i2")), F.array("token", "second"))
+    lacks, adds = F.array_except("base_tokens", "tokens"), F.array_except("tokens", "base_tokens")
+    told = placed.join(known, "cid").select(*key, *kind, "k", "spread", "cid", "n", "i", "sig", "sig2", "prev", "prev2", "first", before.alias("before"), lacks.alias("lacks"), adds.alias("adds"))
+    members = F.struct("cid", "n", "i", "sig", "sig2", "prev", "prev2", "first", "before", "lacks", "adds")
+    packed = written(told.groupBy(*key, *kind, "k", "spread").agg(F.collect_list(members).alias("members")), "packed", "lz4")
 
     def matches(x: Column) -> Column:
         def match(y: Column) -> Column:
             larger = (x.n > y.n) | ((x.n == y.n) & (x.cid > y.cid))
             may = F.when(larger, f.may(x.getField, y.getField)).otherwise(f.may(y.getField, x.getField))
-            held = lambda common: _at(common, F.col("token"), F.col("second")) & f.similar(x.n, y.n, F.size(common))
-            return F.when((x.prev != y.prev) & (x.prev2 != y.prev2) & (x.cid != y.cid) & f.first(x.getField, y.getField) & may, F.exists(F.array(F.array_intersect(x.tokens, y.tokens)), held)).otherwise(False)
+            of_base = x.n - F.size(x.adds) - F.size(y.lacks) + F.size(F.array_intersect(x.lacks, y.lacks))
+            held = lambda added: f.similar(x.n, y.n, of_base + F.size(added))
+            return F.when((x.prev != y.prev) & (x.prev2 != y.prev2) & (x.cid != y.cid) & f.first(x.getField, y.getField) & may & ~F.arrays_overlap(x.before, y.before), F.exists(F.array(F.array_intersect(x.adds, y.adds)), held)).otherwise(False)
 
         return F.filter("ys", match)
 
     def summed(x: Column) -> Column:
         return F.transform(F.array(matches(x)), lambda ys: F.struct(x.cid.alias("cid"), F.size(ys).cast("long").alias("links"), F.array_min(F.transform(ys, lambda y: y.first)).alias("earliest")))[0]
 
-    left, right = (packed.select(*key, F.struct(*kind).alias(c), F.col("members").alias(f"{c}s")) for c in "xy")
+    salts = {"x": F.pmod(F.xxhash64("k", *kind), F.col("spread")).cast("int"), "y": F.explode(F.sequence(F.lit(0), F.col("spread") - 1))}
+    left, right = (packed.select(*key, salt.alias("salt"), F.struct(*kind).alias(c), F.col("members").alias(f"{c}s")) for c, salt in salts.items())
     meet = (F.abs(F.col("x.band") - F.col("y.band")) <= 1) & ~(F.col("x.usual") & F.col("y.usual")) & ~(F.col("x.usual2") & F.col("y.usual2"))
-    met = left.hint("merge").join(right, key).where(meet)
+    met = left.hint("merge").join(right, [*key, "salt"]).where(meet)
     return _total(met.select(F.explode(F.filter(F.transform("xs", summed), lambda s: s.links > 0)).alias("s")).select("s.cid", "s.links", "s.earliest"))
 
 
@@ -266,25 +271,28 @@ def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: in
         pairs = pairs.join(hot, col("cid") == col("hot"), "left").where(enough | col("hot").isNotNull())
     else:
         pairs = pairs.where(enough)
-    pairs = written(pairs.select("cid", "other", "token"), "pairs")
+    none = F.lit(None).cast("long").alias("second")
+    pairs = [written(pairs.select("cid", "other", "token", none), "pairs")]
 
     # A pair whose first common token is frequent has a second one in both prefixes, or is of sets of one token.
-    cold, often = [], []
-    for k in range(parts if some else 0):
-        doubles = _doubles(_frequent(_part(_entries(hot_sets), "token", k, parts), frequent))
+    often, twice = [], F.size("prefix") * (F.size("prefix") + 1) / 2
+    hot_parts = -(-int(hot_sets.agg(F.sum(twice)).first()[0] or 0) // PART) if some else 0
+    for k in range(hot_parts):
+        doubles = _doubles(_frequent(_part(_entries(hot_sets), "token", k, hot_parts), frequent))
         both = written(doubles.groupBy("token", "second").agg(F.count("*").alias("c")).where(col("c") > rare).select("token", "second"), "counts")
         often.append(written(doubles.join(both, ["token", "second"]), "frequent"))
         rest = doubles.join(both, ["token", "second"], "left_anti")
         once = (col("x.prev") != col("y.prev")) & (col("x.prev2") != col("y.prev2")) & f.first(lambda c: col(f"x.{c}"), lambda c: col(f"y.{c}"))
         within = col("y.i2") < F.greatest(F.lit(2), f.indexed(col("y.n")))
         joined = rest.alias("x").hint("merge").join(rest.alias("y"), (col("x.token") == col("y.token")) & (col("x.second") == col("y.second")) & may & within & once)
-        cold.append(written(joined.select(col("x.cid").alias("cid"), col("y.cid").alias("other"), "x.token", "x.second"), "pairs"))
+        pairs.append(written(joined.select(col("x.cid").alias("cid"), col("y.cid").alias("other"), "x.token", "x.second"), "pairs"))
     discard(sets)
 
-    ends = [t.select(F.explode(F.array("cid", "other")).alias("cid")) for t in [pairs, *cold]] + [t.select("cid") for t in often]
+    pairs = reduce(DataFrame.unionAll, pairs)
+    ends = [pairs.select(F.explode(F.array("cid", "other")).alias("cid"))] + [t.select("cid") for t in often]
     wanted = reduce(DataFrame.unionAll, ends).distinct()
     known = written(_likely(classes, "cid", wanted).join(wanted, "cid", "left_semi").select("cid", "first", _tokens(col("hashes"), ranked).alias("tokens")), "sets", "lz4")
-    matched = [_of_pairs(pairs, known, f), *[_of_pairs(t, known, f) for t in cold], *[_of_chunks(t, known, f, chunk) for t in often if not t.isEmpty()]]
+    matched = [_of_pairs(pairs, known, f), *[_of_chunks(t, known, f, chunk) for t in often if not t.isEmpty()]]
     return _total(reduce(DataFrame.unionAll, [written(x, "matched") for x in matched]))
 
 
