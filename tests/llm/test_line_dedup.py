@@ -101,6 +101,28 @@ def test_near_copies_are_compared_in_one_part_by_what_they_change(spark, monkeyp
     assert sizes.s <= 6 and sizes.b < 20
 
 
+def test_pairs_are_verified_without_interpreted_lambdas(spark, monkeypatch):
+    """What is done for each pair of sets, chunks included, holds no lambda function, which Spark would interpret; and chunks of a small group aren't copied to several tasks."""
+    plans, chunks, keep = [], [], ld.written
+
+    def kept(df, name, *codec):
+        if name in {"matched", "packed"}:
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        out = keep(df, name, *codec)
+        chunks.extend([out] if name == "packed" else [])
+        return out
+
+    monkeypatch.setattr(ld, "written", kept)
+    base = [f"v{k}" for k in range(60)]
+    rows = [(d, " ".join(f"u{d}" if k == d % 60 else w for k, w in enumerate(base)) + (f" t{d}" if d % 3 else "")) for d in range(90)]
+    rows += [(200 + d, f"p{d % 9} q{d % 9} r{d % 9} s{d % 9} t{d % 9} extra{d}") for d in range(30)]
+    got = {(r.id, r.line): (r.removed, r.links) for r in ld.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), rare=8, chunk=16).collect()}
+    want, _, _ = brute(rows)
+    assert {(i, k): v for (_, i, k), v in want.items() if v != (False, 0)} == {p: v for p, v in got.items() if v != (False, 0)}
+    assert len(plans) == 3 and not any("lambda" in p for p in plans)
+    assert {r.spread for r in chunks[0].select("spread").collect()} == {1}
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ld.dedup_lines(docs).count() == 0

@@ -20,9 +20,9 @@ ones' short ones. The rank bounds how often a token occurs, so only those whose
 frequent ones, those that chance brings together are told from groups of near copies by the next common token, which lies in both
 prefixes too: pairs of tokens are joined in the same way. Pairs in more than RARE classes again are cut by the sets' sizes into bands, of which only
 neighbouring ones can be similar, and these into chunks of CHUNK classes, whose sets are told by what they lack and add against one of the
-classes; every two such chunks of a pair meet in one row, which verifies inside its arrays and gives sums by class. Two classes with the same token before one of the pair have met there, which is seen first, so that
+classes; every two such chunks of a pair meet in one row, whose pairs are made, verified and summed by class without being written. Two classes with the same token before one of the pair have met there, which is seen first, so that
 copies with small changes, which share most of their tokens, are compared in full about once, and chunks with the same usual token before
-don't meet at all. So no row is ever made for each pair of a large group,
+don't meet at all. So no row is ever kept for each pair of a large group,
 no group is gathered beyond a chunk, and no pair is lost. A pair is counted once, at its first common token or tokens.
 
 A line stays if it is its class's first occurrence (by document, then line) and no similar class occurs
@@ -47,6 +47,8 @@ from tickloom.llm.common import discard, own_columns, table, written
 
 NUM, DEN = 4, 5
 BUCKETS, RARE, CHUNK = 1 << 18, 512, 128
+#: So many chunks of a pair of tokens are left in one task.
+TOGETHER = 8
 #: Hash buckets of the keys that are wanted, of which a broadcast holds no more.
 LIKELY = 1 << 20
 #: Tokens are joined in so many parts at least, one after the other, and of so many prefix tokens at most, which bounds the disk that they take.
@@ -100,7 +102,9 @@ def bound(token: Column) -> Column:
 
 def _tokens(hashes: Column, ranked: bytes) -> Column:
     """The line's set as sorted longs: rank, then the hash."""
-    rank = lambda h: F.ascii(F.substring(F.lit(ranked), h.bitwiseAND(BUCKETS - 1).cast("int") + 1, 1).cast("string")).cast("long")
+    # Spark folds this into one array constant.
+    known = F.split(F.lit(",".join(map(str, ranked))), ",").cast("array<tinyint>")
+    rank = lambda h: F.get(known, h.bitwiseAND(BUCKETS - 1).cast("int")).cast("long")
     # Read from a table, an array may hold nulls as far as Spark knows; without that possibility it sorts plain numbers.
     return F.sort_array(F.transform(hashes, lambda h: F.coalesce(F.shiftleft(rank(h), 56).bitwiseOR(F.shiftrightunsigned(h, 8)), F.lit(0).cast("long"))))
 
@@ -138,7 +142,7 @@ class _Filters:
         return F.least(x("n") - x("i"), y("n") - y("i")) * (self.num + self.den) >= (x("n") + y("n")) * self.num
 
     def similar(self, n: Column, m: Column, common: Column) -> Column:
-        return common * self.den >= (n + m - common) * self.num
+        return common * (self.num + self.den) >= (n + m) * self.num
 
     def band(self, n: Column) -> Column:
         """Sets of similar size are in the same band or in neighbouring ones."""
@@ -156,6 +160,11 @@ def _entries(sets: DataFrame) -> DataFrame:
     return sets.select("cid", "n", "sig", "sig2", "prefix", F.posexplode("prefix").alias("i", "token")).where(F.col("token") >= 1 << 56)
 
 
+def _once(value: Column) -> Column:
+    """value as a generator's only row. Generated code computes it, once a row, where a lambda function, a filter or an aggregate over it would have it interpreted, or again for each use."""
+    return F.explode(F.array(value))
+
+
 def _part(df: DataFrame, key: str, k: int, parts: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key), F.lit(parts)) == k)
 
@@ -183,12 +192,12 @@ def _total(found: DataFrame) -> DataFrame:
 
 def _of_pairs(pairs: DataFrame, known: DataFrame, f: _Filters) -> DataFrame:
     """(cid, links, earliest) of verified pairs (cid, other, token, second), of which each counts at its first common tokens only; a null second is not asked for."""
-    n, m, common = F.size("tokens"), F.size("other_tokens"), F.array_intersect("tokens", "other_tokens")
+    n, m = F.size("tokens"), F.size("other_tokens")
     others = known.select(F.col("cid").alias("other"), F.col("first").alias("other_first"), F.col("tokens").alias("other_tokens"))
     both = pairs.join(known, "cid").join(others, "other")
-    at = lambda c: (F.get(c, F.lit(0)) == F.col("token")) & (F.col("second").isNull() | (F.coalesce(F.get(c, F.lit(1)), F.lit(0).cast("long")) == F.col("second")))
-    # One condition over one intersection, which a filter over a column of it would compute again for each use.
-    found = both.where(F.exists(F.array(common), lambda c: f.similar(n, m, F.size(c)) & at(c)))
+    both = both.select("cid", "other", "token", "second", "first", "other_first", n.alias("n"), m.alias("m"), _once(F.array_intersect("tokens", "other_tokens")).alias("common"))
+    at = (F.get("common", F.lit(0)) == F.col("token")) & (F.col("second").isNull() | (F.coalesce(F.get("common", F.lit(1)), F.lit(0).cast("long")) == F.col("second")))
+    found = both.where(f.similar(F.col("n"), F.col("m"), F.size("common")) & at)
     ends = F.array(F.struct("cid", F.col("other_first").alias("earliest")), F.struct(F.col("other").alias("cid"), F.col("first").alias("earliest")))
     return _total(found.select(F.explode(ends).alias("e")).select("e.cid", F.lit(1).cast("long").alias("links"), "e.earliest"))
 
@@ -202,8 +211,8 @@ def _of_chunks(doubles: DataFrame, known: DataFrame, f: _Filters, chunk: int) ->
     """
     key, kind = ["token", "second"], ["usual", "usual2", "band"]
     counts = [doubles.groupBy(*key, c).agg(F.count("*").alias("c"), F.min("cid").alias("base")).groupBy(*key).agg(F.sum("c").alias("all"), F.min("base").alias("base"), F.max_by(c, F.struct("c", c)).alias(f"{c}_most")) for c in ("prev", "prev2")]
-    # A key's chunks are spread over so many tasks, each of which meets all of them with its share.
-    spread = F.ceil(F.sqrt(F.col("all") / chunk)).cast("int").alias("spread")
+    # A key of many chunks is spread over tasks, each of which meets all of them with its share.
+    spread = F.ceil(F.sqrt(F.col("all") / (chunk * TOGETHER))).cast("int").alias("spread")
     keys = counts[0].join(counts[1].drop("all", "base"), key).join(known.select(F.col("cid").alias("base"), F.col("tokens").alias("base_tokens")), "base").select(*key, "prev_most", "prev2_most", spread, "base_tokens")
     keys = written(keys, "keys", "lz4")
     usual = [(F.col(c) == F.col(f"{c}_most")).alias(u) for c, u in (("prev", "usual"), ("prev2", "usual2"))]
@@ -212,28 +221,27 @@ def _of_chunks(doubles: DataFrame, known: DataFrame, f: _Filters, chunk: int) ->
     placed = banded.join(sizes, [*key, *kind]).withColumn("k", F.pmod(F.xxhash64("cid"), F.ceil(F.col("c") / chunk)))
     before = F.array_except(F.slice("tokens", F.lit(1), F.col("i2")), F.array("token", "second"))
     lacks, adds = F.array_except("base_tokens", "tokens"), F.array_except("tokens", "base_tokens")
-    told = placed.join(known, "cid").select(*key, *kind, "k", "spread", "cid", "n", "i", "sig", "sig2", "prev", "prev2", "first", before.alias("before"), lacks.alias("lacks"), adds.alias("adds"))
-    members = F.struct("cid", "n", "i", "sig", "sig2", "prev", "prev2", "first", "before", "lacks", "adds")
-    packed = written(told.groupBy(*key, *kind, "k", "spread").agg(F.collect_list(members).alias("members")), "packed", "lz4")
-
-    def matches(x: Column) -> Column:
-        def match(y: Column) -> Column:
-            larger = (x.n > y.n) | ((x.n == y.n) & (x.cid > y.cid))
-            may = F.when(larger, f.may(x.getField, y.getField)).otherwise(f.may(y.getField, x.getField))
-            of_base = x.n - F.size(x.adds) - F.size(y.lacks) + F.size(F.array_intersect(x.lacks, y.lacks))
-            held = lambda added: f.similar(x.n, y.n, of_base + F.size(added))
-            return F.when((x.prev != y.prev) & (x.prev2 != y.prev2) & (x.cid != y.cid) & f.first(x.getField, y.getField) & may & ~F.arrays_overlap(x.before, y.before), F.exists(F.array(F.array_intersect(x.adds, y.adds)), held)).otherwise(False)
+    members = F.struct("cid", "n", "i", "sig", "sig2", "prev", "prev2", "first", before.alias("before"), lacks.alias("lacks"), adds.alias("adds"))
+    told = placed.join(known, "cid").select(*key, *kind, "k", "spread", _once(members).alias("member"))
+    packed = written(told.groupBy(*key, *kind, "k", "spread").agg(F.collect_list("member").alias("members")), "packed", "lz4")
 
-        return F.filter("ys", match)
-
-    def summed(x: Column) -> Column:
-        return F.transform(F.array(matches(x)), lambda ys: F.struct(x.cid.alias("cid"), F.size(ys).cast("long").alias("links"), F.array_min(F.transform(ys, lambda y: y.first)).alias("earliest")))[0]
+    x, y = F.col("x"), F.col("y")
+    larger = (x.n > y.n) | ((x.n == y.n) & (x.cid > y.cid))
+    apart = (x.prev != y.prev) & (x.prev2 != y.prev2)
+    of_base = x.n - F.size(x.adds) - F.size(y.lacks) + F.size(F.array_intersect(x.lacks, y.lacks))
+    alike = f.similar(x.n, y.n, of_base + F.size(F.array_intersect(x.adds, y.adds)))
+    match = larger & apart & f.first(x.getField, y.getField) & f.may(x.getField, y.getField) & ~F.arrays_overlap(x.before, y.before) & alike
 
     salts = {"x": F.pmod(F.xxhash64("k", *kind), F.col("spread")).cast("int"), "y": F.explode(F.sequence(F.lit(0), F.col("spread") - 1))}
-    left, right = (packed.select(*key, salt.alias("salt"), F.struct(*kind).alias(c), F.col("members").alias(f"{c}s")) for c, salt in salts.items())
-    meet = (F.abs(F.col("x.band") - F.col("y.band")) <= 1) & ~(F.col("x.usual") & F.col("y.usual")) & ~(F.col("x.usual2") & F.col("y.usual2"))
-    met = left.hint("merge").join(right, [*key, "salt"]).where(meet)
-    return _total(met.select(F.explode(F.filter(F.transform("xs", summed), lambda s: s.links > 0)).alias("s")).select("s.cid", "s.links", "s.earliest"))
+    left, right = (packed.select(*key, salt.alias("salt"), F.struct(*kind).alias(f"{c}_kind"), F.col("members").alias(f"{c}s")) for c, salt in salts.items())
+    kinds = lambda name: (F.col(f"x_kind.{name}"), F.col(f"y_kind.{name}"))
+    both = lambda name: kinds(name)[0] & kinds(name)[1]
+    meet = (F.abs(kinds("band")[0] - kinds("band")[1]) <= 1) & ~both("usual") & ~both("usual2")
+    met = left.hint("merge").join(right, [*key, "salt"]).where(meet).select("xs", "ys")
+    # The pairs of two chunks are made and dropped one by one within generated code.
+    found = met.select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y")).where(match)
+    ends = F.array(F.struct(x.cid.alias("cid"), y.first.alias("earliest")), F.struct(y.cid.alias("cid"), x.first.alias("earliest")))
+    return _total(found.select(F.explode(ends).alias("e")).select("e.cid", F.lit(1).cast("long").alias("links"), "e.earliest"))
 
 
 def similar_classes(classes: DataFrame, num: int = NUM, den: int = DEN, rare: int = RARE, chunk: int = CHUNK) -> DataFrame:
