@@ -123,6 +123,73 @@ def test_pairs_are_verified_without_interpreted_lambdas(spark, monkeypatch):
     assert {r.spread for r in chunks[0].select("spread").collect()} == {1}
 
 
+def _marked(monkeypatch):
+    """The tables that are written on the way, by name."""
+    made, keep = {}, ld.written
+
+    def kept(df, name, *codec):
+        out = keep(df, name, *codec)
+        made.setdefault(name, []).append(out)
+        return out
+
+    monkeypatch.setattr(ld, "written", kept)
+    return made
+
+
+def _same_as_brute(spark, rows, **more):
+    got = {(r.id, r.line): (r.removed, r.links) for r in ld.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), **more).collect()}
+    want, _, _ = brute(rows)
+    assert {(i, k): v for (_, i, k), v in want.items() if v != (False, 0)} == {p: v for p, v in got.items() if v != (False, 0)}
+
+
+def test_prefixes_are_read_as_often_for_a_large_table_as_for_a_small_one(spark, monkeypatch):
+    """The parts of the tokens, each of which reads all prefixes, don't grow in number with the input."""
+    made = _marked(monkeypatch)
+    monkeypatch.setattr(ld, "PART", 8)
+    rows = data(5)[:60]
+    _same_as_brute(spark, rows)
+    assert len(made["met"]) == ld.PARTS
+
+
+def test_sets_of_different_sizes_do_not_meet_in_a_common_token(spark, monkeypatch):
+    """A token in many sets of all sizes isn't frequent in any band of sizes, and is joined like a rare one."""
+    made = _marked(monkeypatch)
+    word = "longest_of_words"
+    monkeypatch.setattr(ld, "LONG", 100)
+    rows = [(d, " ".join([word, *(f"a{d}_{k}" for k in range(int(4 * 1.1**d)))])) for d in range(40)]
+    rows += [(100 + d, " ".join([word, *(f"a{d}_{k}" for k in range(int(4 * 1.1**d))), f"b{d}"])) for d in range(40)]
+    _same_as_brute(spark, rows, rare=12)
+    assert "hot" not in made
+    assert made["pairs"][0].count() <= 60
+
+
+def test_words_are_counted_where_their_length_does_not_tell_which_are_rare(spark, monkeypatch):
+    """Like a log's lines: long words in all of them, and short ones that tell them apart."""
+    made, counted, ranks = _marked(monkeypatch), [], ld.ranks
+    monkeypatch.setattr(ld, "ranks", lambda classes: counted.append(1) or ranks(classes))
+    rows = [(d, " ".join([*(f"constant_word_{k}" for k in range(6)), *(f"v{d}x{k}" for k in range(4))])) for d in range(40)]
+    rows += [(100 + d, f"{rows[d][1]} v{d}y") for d in range(0, 40, 3)]
+    _same_as_brute(spark, rows, rare=8)
+    assert counted and len(made["prefixes"]) == 2 and "hot" not in made
+    counted.clear()
+    _same_as_brute(spark, data(6)[:60])
+    assert not counted
+
+
+def test_sets_of_different_frequent_tokens_are_not_verified(spark, monkeypatch):
+    """A pair that shares one rare token is verified for its frequent tokens only if it may have one in common."""
+    made = _marked(monkeypatch)
+    word = [f"frequent_word_number_{k}" for k in range(2)]
+    rows = [(d, f"{word[d % 2]} rare_word_number_{d // 2} " + " ".join(f"s{d}x{k}" for k in range(8))) for d in range(40)]
+    rows += [(100 + d, f"{rows[d][1]} more") for d in range(40)]
+    seen = []
+    monkeypatch.setattr(ld._Filters, "near", lambda self, x, y: y("n") * self.den >= x("n") * self.num)
+    of_pairs = ld._of_pairs
+    monkeypatch.setattr(ld, "_of_pairs", lambda pairs, *rest: seen.append(pairs.where("i2 is null").count()) or of_pairs(pairs, *rest))
+    _same_as_brute(spark, rows, rare=8)
+    assert "hot" in made and seen[0] <= 40
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ld.dedup_lines(docs).count() == 0
